@@ -34,6 +34,8 @@ B, RATE, TOP = 1.001, 20.0, 65534
 #: An estimate has a standard error of sqrt(J(1-J)/M) = 0.034 at J = 0.75; pairs 4.4 errors below go.
 LEAST_ESTIMATE = 0.60
 BLOCK = 512
+#: Bands of up to so many nodes give their pairs by a join on the band key, larger ones by blocks.
+SMALL = 16
 
 _rng = np.random.default_rng(20240229)
 _MULT = (_rng.integers(0, 2**32, M, dtype=np.uint64) | 1).astype(np.uint32)
@@ -69,8 +71,8 @@ def shingle_set(text: str | None, hashes: _WordHash) -> np.ndarray:
     n = min(WORDS, len(words))
     acc = np.full(len(h) - n + 1, n, np.uint64)
     for k in range(n):
-        acc = _mixed(acc * _STEP + h[k : len(h) - n + 1 + k])
-    return np.unique(acc)
+        acc = acc * _STEP + h[k : len(h) - n + 1 + k]
+    return np.unique(_mixed(acc))
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -220,18 +222,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     tried = stored(_pairs(members.where("rep <> star").select(F.col("star").alias("a"), F.col("rep").alias("b")).distinct(), sets), f"{path}/likely0")
     links = stored(_confirmed(tried, docs, f"{path}/sets0"), f"{path}/links0")
-    for turn in range(1, 4):  # two turns with the best partner of each, then all that is left
-        comp = stored(components(links, f"{path}/turn{turn}"), f"{path}/comp{turn}")
-        more = _across_components(members, comp, sets, best_only=turn < 3).join(tried, ["a", "b"], "left_anti")
+    comp = components(links, f"{path}/turn0")
+    for turn in (1, 2, 3):  # two turns with the best partner of each, then all that is left
+        more = _across_components(members, comp, sets, tried, best_only=turn < 3).join(tried, ["a", "b"], "left_anti")
         more = stored(more, f"{path}/likely{turn}")
-        if more.isEmpty():
-            if turn < 3:
-                continue
-            break
-        links = links.unionByName(stored(_confirmed(more, docs, f"{path}/sets{turn}"), f"{path}/links{turn}"))
-        tried = tried.unionByName(more)
-    else:
-        comp = components(links, f"{path}/last")
+        if not more.isEmpty():
+            links = links.unionByName(stored(_confirmed(more, docs, f"{path}/sets{turn}"), f"{path}/links{turn}"))
+            tried = tried.unionByName(more)
+            comp = components(links, f"{path}/turn{turn}")
     of_set = sets.select("k1", "k2", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     of_set = of_set.select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     found = sketches.drop("regs").join(of_set, ["k1", "k2"], "left")
@@ -256,7 +254,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, path: str) -> DataFrame:
     return pairs.mapInArrow(_confirm, "a long, b long").distinct()
 
 
-def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, best_only: bool) -> DataFrame:
+def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, tried: DataFrame, best_only: bool) -> DataFrame:
     """Likely pairs in bands that hold two or more components."""
     known = members.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     sizes = known.groupBy("key", "component").agg(F.count("*").alias("n"))
@@ -264,9 +262,14 @@ def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, bes
         sizes.groupBy("key")
         .agg(F.sum("n").alias("all_n"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("kinds"))
         .where("kinds > 1")
-        .select("key", F.col("top.component").alias("major"), F.ceil(F.col("all_n") / BLOCK).cast("int").alias("across"), F.ceil((F.col("all_n") - F.col("top.n")) / BLOCK).cast("int").alias("down"))
+        .select("key", "all_n", F.col("top.component").alias("major"), F.ceil(F.col("all_n") / BLOCK).cast("int").alias("across"), F.ceil((F.col("all_n") - F.col("top.n")) / BLOCK).cast("int").alias("down"))
     )
-    rows = known.join(mixed, "key").join(sets.select("rep", "regs", "n"), "rep")
+    rows = known.join(mixed, "key")
+    small = rows.where(F.col("all_n") <= SMALL)
+    other = small.select("key", F.col("rep").alias("rep_2"), F.col("component").alias("component_2"))
+    few = small.where("component <> major").join(other, "key").where("component <> component_2")
+    few = few.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b")).distinct()
+    rows = rows.where(F.col("all_n") > SMALL).join(sets.select("rep", "regs", "n"), "rep")
     spot = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     cols = ["key", "rep", "component", "regs", "n"]
@@ -275,7 +278,7 @@ def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, bes
     found = as_member.unionByName(as_minor).groupBy("key", "i", "j").applyInPandas(_across(best_only), "a long, b long, est double, rep long")
     if best_only:
         found = found.groupBy("rep").agg(F.max_by(F.struct("a", "b"), F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b")
-    return found.select("a", "b").distinct()
+    return few.join(tried, ["a", "b"], "left_anti").transform(_pairs, sets).unionByName(found.select("a", "b")).distinct()
 
 
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
