@@ -1,6 +1,10 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import near_dup
+from . import decontaminate, near_dup, toxicity
 
-QUERIES = {"op3_near_dup": near_dup.op3_near_dup}
+QUERIES = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_near_dup": near_dup.op3_near_dup,
+    "op6_toxicity": toxicity.op6_toxicity,
+}
 ORACLE_SQL = {"op3_near_dup": near_dup.SQL}
