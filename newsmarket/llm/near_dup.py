@@ -56,6 +56,10 @@ class _WordHash(dict):
         return h
 
 
+#: Of this Python worker, from task to task.
+_hashes = _WordHash()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -118,7 +122,7 @@ _SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, regs binary"
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _WordHash()
+    hashes = _hashes
     for batch in batches:
         n, k1, k2, regs = [], [], [], []
         for text in batch.column(1).to_pylist():
@@ -153,7 +157,7 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _WordHash()
+    hashes = _hashes
     for batch in batches:
         sets = [shingle_set(t, hashes).tobytes() for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
