@@ -9,7 +9,7 @@ confirmed on the full sets.
 
 Texts with equal sets are one node from the start. In a band each node is compared with the
 band's smallest node, then components are formed, and only bands that still hold two or more
-components are looked at again, block by block, for pairs across components. So copies are never
+components are looked at again, block by block, for links across components. So copies are never
 expanded into pairs, and no candidate is dropped.
 """
 
@@ -139,7 +139,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             keys = band_keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, M))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), keys.shape[1]))], ["key", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.tile(np.arange(keys.shape[1], dtype=np.int8), len(keys))), pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), keys.shape[1]))], ["key", "band", "rep"])
 
 
 def _regs(column: pa.Array) -> np.ndarray:
@@ -175,27 +175,37 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([at["a"].filter(keep), at["b"].filter(keep)], ["a", "b"])
 
 
-def _across(best_only: bool):
-    """Pairs of different components in one block: each minority member against all members."""
+_LINK = "a long, b long"
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        side = pdf["minor"].to_numpy()
-        q, m = pdf[side], pdf[~side]
-        out = []
-        if len(q) and len(m):
-            mr = np.frombuffer(b"".join(m["regs"]), np.uint16).reshape(-1, M)
-            mn, mc, mi = (m[c].to_numpy() for c in ("n", "component", "rep"))
-            for rep, comp, n, regs in zip(q["rep"], q["component"], q["n"], q["regs"], strict=True):
-                ok = (mc != comp) & (100 * np.minimum(mn, n) >= THRESHOLD * np.maximum(mn, n))
-                same = (mr[ok] == np.frombuffer(regs, np.uint16)).sum(1)
-                ok = np.flatnonzero(ok)[same >= 0.4 * M]  # cheap bound: at the least estimate over half of the registers agree
-                if len(ok):
-                    est = joint_estimate(np.broadcast_to(np.frombuffer(regs, np.uint16), (len(ok), M)), mr[ok], np.full(len(ok), float(n)), mn[ok].astype(float))
-                    order = np.argsort(-est, kind="stable")[:1] if best_only else np.arange(len(ok))
-                    out += [(min(rep, mi[ok[k]]), max(rep, mi[ok[k]]), float(est[k]), rep) for k in order if est[k] >= LEAST_ESTIMATE]
-        return pd.DataFrame(out, columns=["a", "b", "est", "rep"])
 
-    return run
+def _across(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Confirmed links across components in one block of a band: one at least for each minority
+    member and other component, if there is any. A pair counts in the first band that it shares.
+    """
+    band, q, m, out = key[1], pdf[pdf["minor"]], pdf[~pdf["minor"]], []
+    if len(q) and len(m):
+        regs = np.frombuffer(b"".join(m["regs"]), np.uint16).reshape(-1, M)
+        runs = regs.view(np.uint64)
+        comp, ids = m["component"].to_numpy(), m["rep"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in m["shingles"]]
+        n = np.array([len(x) for x in sets])
+        for row in q.itertuples():
+            own, full = np.frombuffer(row.regs, np.uint16), np.frombuffer(row.shingles, np.uint64)
+            at = np.flatnonzero((comp != row.component) & (100 * np.minimum(n, len(full)) >= THRESHOLD * np.maximum(n, len(full))))
+            at = at[(runs[at] == own.view(np.uint64)).argmax(1) == band]
+            if not len(at):
+                continue
+            est = joint_estimate(np.broadcast_to(own, (len(at), M)), regs[at], np.full(len(at), float(len(full))), n[at].astype(float))
+            at = at[est >= LEAST_ESTIMATE]
+            if not len(at):
+                continue
+            flat = np.concatenate([sets[k] for k in at])
+            inside = full[np.minimum(np.searchsorted(full, flat), len(full) - 1)] == flat
+            inter = np.add.reduceat(inside, np.concatenate([[0], np.cumsum(n[at])[:-1]]).astype(np.int64), dtype=np.int64)
+            linked = at[100 * inter >= THRESHOLD * (n[at] + len(full) - inter)]
+            linked = linked[np.unique(comp[linked], return_index=True)[1]]
+            out += [(min(row.rep, ids[k]), max(row.rep, ids[k])) for k in linked]
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -220,20 +230,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.min("doc_id").alias("rep"), F.first("regs").alias("regs"), F.first("n_shingles").alias("n"))
     )
     sets = stored(sets, f"{path}/sets")
-    bands = stored(sets.select("rep", "regs").mapInArrow(_bands, "key long, rep long"), f"{path}/bands")
+    bands = stored(sets.select("rep", "regs").mapInArrow(_bands, "key long, band byte, rep long"), f"{path}/bands")
     shared = bands.groupBy("key").agg(F.min("rep").alias("star"), F.max("rep").alias("other")).where("star <> other").select("key", "star")
     members = stored(bands.join(shared, "key"), f"{path}/members")
 
-    tried = stored(_pairs(members.where("rep <> star").select(F.col("star").alias("a"), F.col("rep").alias("b")).distinct(), sets), f"{path}/likely0")
-    links = stored(_confirmed(tried, docs, f"{path}/sets0"), f"{path}/links0")
-    comp = components(links, f"{path}/turn0")
-    for turn in (1, 2, 3):  # two turns with the best partner of each, then all that is left
-        more = _across_components(members, comp, sets, tried, best_only=turn < 3).join(tried, ["a", "b"], "left_anti")
-        more = stored(more, f"{path}/likely{turn}")
-        if not more.isEmpty():
-            links = links.unionByName(stored(_confirmed(more, docs, f"{path}/sets{turn}"), f"{path}/links{turn}"))
-            tried = tried.unionByName(more)
-            comp = components(links, f"{path}/turn{turn}")
+    stars = members.where("rep <> star").select(F.col("star").alias("a"), F.col("rep").alias("b")).distinct()
+    likely = stored(_pairs(stars, sets), f"{path}/likely")
+    links = stored(_confirmed(likely, docs, f"{path}/star_sets"), f"{path}/star_links")
+    comp = components(links, f"{path}/stars")
+    more = _across_components(members, comp, sets, docs, path)
+    comp = components(links.unionByName(more), f"{path}/all")
     of_set = sets.select("k1", "k2", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     of_set = of_set.select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     found = sketches.drop("regs").join(of_set, ["k1", "k2"], "left")
@@ -249,18 +255,23 @@ def _pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.mapInArrow(_likely, "a long, b long").distinct()
 
 
+def _sets_of(ids: DataFrame, docs: DataFrame, path: str) -> DataFrame:
+    """Full sets of the documents named; only their texts are moved."""
+    return stored(docs.join(ids.distinct(), "doc_id", "left_semi").mapInArrow(_full_sets, "id long, shingles binary"), path)
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, path: str) -> DataFrame:
-    """Of candidate pairs those linked on their full sets; only texts in some pair are moved."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    full = stored(docs.join(ids, "doc_id", "left_semi").mapInArrow(_full_sets, "id long, shingles binary"), path)
+    """Of candidate pairs those linked on their full sets."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    full = _sets_of(ids, docs, path)
     for side in ("a", "b"):
         pairs = pairs.join(full.select(F.col("id").alias(side), F.col("shingles").alias(f"s_{side}")), side)
-    return pairs.mapInArrow(_confirm, "a long, b long").distinct()
+    return pairs.mapInArrow(_confirm, _LINK).distinct()
 
 
-def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, tried: DataFrame, best_only: bool) -> DataFrame:
-    """Likely pairs in bands that hold two or more components."""
-    known = members.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, docs: DataFrame, path: str) -> DataFrame:
+    """Links in bands that hold two or more components: by a join in bands of up to SMALL nodes, else by blocks."""
+    known = members.select("key", "band", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     sizes = known.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = (
         sizes.groupBy("key")
@@ -268,21 +279,22 @@ def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, tri
         .where("kinds > 1")
         .select("key", "all_n", F.col("top.component").alias("major"), F.ceil(F.col("all_n") / BLOCK).cast("int").alias("across"), F.ceil((F.col("all_n") - F.col("top.n")) / BLOCK).cast("int").alias("down"))
     )
-    rows = known.join(mixed, "key")
-    small = rows.where(F.col("all_n") <= SMALL)
+    rows = stored(known.join(mixed, "key"), f"{path}/mixed")
+    small, large = rows.where(F.col("all_n") <= SMALL), rows.where(F.col("all_n") > SMALL)
     other = small.select("key", F.col("rep").alias("rep_2"), F.col("component").alias("component_2"))
     few = small.where("component <> major").join(other, "key").where("component <> component_2")
     few = few.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b")).distinct()
-    rows = rows.where(F.col("all_n") > SMALL).join(sets.select("rep", "regs", "n"), "rep")
+    few = stored(_pairs(few, sets), f"{path}/few")
+    few = stored(_confirmed(few, docs, f"{path}/few_sets"), f"{path}/few_links")
+    full = _sets_of(large.select(F.col("rep").alias("doc_id")), docs, f"{path}/large_sets").dropDuplicates(["id"])
+    large = large.join(sets.select("rep", "regs", "n").join(full.withColumnRenamed("id", "rep"), "rep"), "rep")
     spot = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cols = ["key", "rep", "component", "regs", "n"]
-    as_member = rows.select(*cols, F.lit(False).alias("minor"), spot("across").alias("j"), every("down").alias("i"))
-    as_minor = rows.where("component <> major").select(*cols, F.lit(True).alias("minor"), spot("down").alias("i"), every("across").alias("j"))
-    found = as_member.unionByName(as_minor).groupBy("key", "i", "j").applyInPandas(_across(best_only), "a long, b long, est double, rep long")
-    if best_only:
-        found = found.groupBy("rep").agg(F.max_by(F.struct("a", "b"), F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b")
-    return few.join(tried, ["a", "b"], "left_anti").transform(_pairs, sets).unionByName(found.select("a", "b")).distinct()
+    cols = ["key", "band", "rep", "component", "regs", "n", "shingles"]
+    as_member = large.select(*cols, F.lit(False).alias("minor"), spot("across").alias("j"), every("down").alias("i"))
+    as_minor = large.where("component <> major").select(*cols, F.lit(True).alias("minor"), spot("down").alias("i"), every("across").alias("j"))
+    found = as_member.unionByName(as_minor).groupBy("key", "band", "i", "j").applyInPandas(_across, _LINK)
+    return few.unionByName(stored(found.distinct(), f"{path}/block_links"))
 
 
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
