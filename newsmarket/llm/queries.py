@@ -1,10 +1,12 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import decontaminate, near_dup, toxicity
+from . import decontaminate, near_dup, token_output, toxicity, warc
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_near_dup": near_dup.op3_near_dup,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_token_output": token_output.op7_token_output,
+    "op9_warc": warc.op9_warc,
 }
-ORACLE_SQL = {"op3_near_dup": near_dup.SQL}
+ORACLE_SQL = {"op3_near_dup": near_dup.SQL, "op9_warc": warc.SQL}
