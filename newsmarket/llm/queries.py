@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import decontaminate, near_dup, token_output, toxicity, warc
+from . import decontaminate, mixing, near_dup, token_output, toxicity, warc
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
@@ -8,5 +8,6 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_token_output": token_output.op7_token_output,
     "op9_warc": warc.op9_warc,
+    "op10_mixing": mixing.op10_mixing,
 }
 ORACLE_SQL = {"op3_near_dup": near_dup.SQL, "op9_warc": warc.SQL}

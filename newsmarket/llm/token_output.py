@@ -21,7 +21,7 @@ from .common import partitions, read, shared_dir, small_batches
 
 END = 2
 STRIPE_BYTES, INDEX_ROWS, BLOOM_FPP = 16 << 20, 1000, 0.01
-SCHEMA = "doc_id long, block int, n_tokens int, ids array<int>"
+SCHEMA = "doc_id long, block int, row long, n_tokens int, ids array<int>"
 
 
 def tokenizer_path() -> str:
@@ -95,20 +95,21 @@ def encoder_of(path: str) -> Encoder:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
-    """Write (doc_id, block, n_tokens, ids) for each row of docs; a null text counts as empty.
+    """Write (doc_id, block, row, n_tokens, ids) for each row of docs; a null text counts as empty.
 
     Repeated ids stay as rows of their own, in the order of their texts; null ids come first.
     """
     small_batches(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, tail = encoder_of(tokenizer), np.array([end], "<u4").tobytes()
+        row, encoder, tail = 0, encoder_of(tokenizer), np.array([end], "<u4").tobytes()
         for batch in batches:
             rows = [ids + tail for ids in encoder.encode(batch.column(2).to_pylist())]
             sizes = np.array([len(r) // 4 for r in rows], np.int32)
             flat = pa.Array.from_buffers(pa.int32(), int(sizes.sum()), [None, pa.py_buffer(b"".join(rows))])
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), lists], ["doc_id", "block", "n_tokens", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.arange(row, row + len(rows))), pa.array(sizes), lists], ["doc_id", "block", "row", "n_tokens", "ids"])
+            row += len(rows)
 
     dealt = (
         docs.select(F.col("doc_id").cast("long"), F.col("text"))
@@ -128,7 +129,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END) ->
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, block, n_tokens, ids; filters on doc_id reach the files' indexes."""
+    """doc_id, block, row, n_tokens, ids; filters on doc_id reach the files' indexes."""
     return spark.read.schema(SCHEMA).orc(path)
 
 
@@ -140,16 +141,16 @@ def digests(tokens: DataFrame) -> DataFrame:
 
     def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(2)
+            ids = batch.column(3)
             flat, at = np.ascontiguousarray(ids.values.to_numpy(), "<i4").view(np.uint8), ids.offsets.to_numpy() * 4
             sums = [zlib.crc32(flat[at[k] : at[k + 1]]) for k in range(len(ids))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(at) // 4, pa.int64()), pa.array(sums, pa.int64())], ["doc_id", "block", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(at) // 4, pa.int64()), pa.array(sums, pa.int64())], ["doc_id", "block", "row", "n_tokens", "ids_crc32"])
 
-    rows = tokens.select("doc_id", "block", "ids").mapInArrow(crc, "doc_id long, block int, n_tokens long, ids_crc32 long")
+    rows = tokens.select("doc_id", "block", "row", "ids").mapInArrow(crc, "doc_id long, block int, row long, n_tokens long, ids_crc32 long")
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     totals = tokens.groupBy("block").agg(F.sum("n_tokens").alias("n"))
     totals = totals.select("block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("block").orderBy("doc_id", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("block").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("base") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))
     return rows.join(F.broadcast(totals), "block").select("doc_id", start.alias("start"), "n_tokens", "ids_crc32")
 
