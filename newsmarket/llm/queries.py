@@ -1,13 +1,15 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import decontaminate, mixing, near_dup, token_output, toxicity, warc
+from . import ann, decontaminate, mixing, near_dup, token_output, toxicity, url_filter, warc
 
 QUERIES = {
+    "op1_ann": ann.op1_ann,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_near_dup": near_dup.op3_near_dup,
+    "op5_url_filter": url_filter.op5_url_filter,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_token_output": token_output.op7_token_output,
     "op9_warc": warc.op9_warc,
     "op10_mixing": mixing.op10_mixing,
 }
-ORACLE_SQL = {"op3_near_dup": near_dup.SQL, "op9_warc": warc.SQL}
+ORACLE_SQL = {"op3_near_dup": near_dup.SQL, "op5_url_filter": url_filter.SQL, "op9_warc": warc.SQL}
