@@ -234,11 +234,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = bands.groupBy("key").agg(F.min("rep").alias("star"), F.max("rep").alias("other")).where("star <> other").select("key", "star")
     members = stored(bands.join(shared, "key"), f"{path}/members")
 
+    full = stored(_sets_of(members.select(F.col("rep").alias("doc_id")), docs), f"{path}/full")
     stars = members.where("rep <> star").select(F.col("star").alias("a"), F.col("rep").alias("b")).distinct()
     likely = stored(_pairs(stars, sets), f"{path}/likely")
-    links = stored(_confirmed(likely, docs, f"{path}/star_sets"), f"{path}/star_links")
+    links = stored(_confirmed(likely, full), f"{path}/star_links")
     comp = components(links, f"{path}/stars")
-    more = _across_components(members, comp, sets, docs, path)
+    more = _across_components(members, comp, sets, full, path)
     comp = components(links.unionByName(more), f"{path}/all")
     of_set = sets.select("k1", "k2", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     of_set = of_set.select("k1", "k2", F.coalesce("component", "rep").alias("component"))
@@ -255,21 +256,19 @@ def _pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.mapInArrow(_likely, "a long, b long").distinct()
 
 
-def _sets_of(ids: DataFrame, docs: DataFrame, path: str) -> DataFrame:
-    """Full sets of the documents named; only their texts are moved."""
-    return stored(docs.join(ids.distinct(), "doc_id", "left_semi").mapInArrow(_full_sets, "id long, shingles binary"), path)
+def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """Full sets of the documents named, which share a band with another; texts are moved this once."""
+    return docs.join(ids.distinct().hint("merge"), "doc_id", "left_semi").mapInArrow(_full_sets, "id long, shingles binary")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, path: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
     """Of candidate pairs those linked on their full sets."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-    full = _sets_of(ids, docs, path)
     for side in ("a", "b"):
         pairs = pairs.join(full.select(F.col("id").alias(side), F.col("shingles").alias(f"s_{side}")), side)
     return pairs.mapInArrow(_confirm, _LINK).distinct()
 
 
-def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, docs: DataFrame, path: str) -> DataFrame:
+def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, full: DataFrame, path: str) -> DataFrame:
     """Links in bands that hold two or more components: by a join in bands of up to SMALL nodes, else by blocks."""
     known = members.select("key", "band", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     sizes = known.groupBy("key", "component").agg(F.count("*").alias("n"))
@@ -284,13 +283,12 @@ def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, doc
     other = small.select("key", F.col("rep").alias("rep_2"), F.col("component").alias("component_2"))
     few = small.where("component <> major").join(other, "key").where("component <> component_2")
     few = few.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b")).distinct()
-    few = stored(_pairs(few, sets), f"{path}/few")
-    few = stored(_confirmed(few, docs, f"{path}/few_sets"), f"{path}/few_links")
-    full = _sets_of(large.select(F.col("rep").alias("doc_id")), docs, f"{path}/large_sets").dropDuplicates(["id"])
-    large = large.join(sets.select("rep", "regs", "n").join(full.withColumnRenamed("id", "rep"), "rep"), "rep")
+    few = stored(_confirmed(_pairs(few, sets), full), f"{path}/few_links")
+    full = full.groupBy("id").agg(F.max("shingles").alias("shingles"))  # an id with several texts: one of them
+    large = large.join(sets.groupBy("rep").agg(F.max("regs").alias("regs")).join(full.withColumnRenamed("id", "rep"), "rep"), "rep")
     spot = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cols = ["key", "band", "rep", "component", "regs", "n", "shingles"]
+    cols = ["key", "band", "rep", "component", "regs", "shingles"]
     as_member = large.select(*cols, F.lit(False).alias("minor"), spot("across").alias("j"), every("down").alias("i"))
     as_minor = large.where("component <> major").select(*cols, F.lit(True).alias("minor"), spot("down").alias("i"), every("across").alias("j"))
     found = as_member.unionByName(as_minor).groupBy("key", "band", "i", "j").applyInPandas(_across, _LINK)
