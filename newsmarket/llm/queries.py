@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import ann, decontaminate, mixing, near_dup, token_output, toxicity, url_filter, warc
+from . import ann, decontaminate, mixing, near_dup, pii, token_output, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_ann": ann.op1_ann,
@@ -9,6 +9,7 @@ QUERIES = {
     "op5_url_filter": url_filter.op5_url_filter,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_token_output": token_output.op7_token_output,
+    "op8_pii": pii.op8_pii,
     "op9_warc": warc.op9_warc,
     "op10_mixing": mixing.op10_mixing,
 }
