@@ -45,7 +45,7 @@ PATTERNS = {
     "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\p{L}\p{N}])",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE} {_WORD}(?: {_WORD})?|{_TITLE_UP} \p{{Lu}}{{2,}}(?: \p{{Lu}}{{2,}})?)",
 }
-ENTITY = "|".join(f"(?:{p})" for p in (PATTERNS[k] for k in ("email", "secret", "ip", "phone", "card", "name")))
+ENTITY = "|".join(f"(?:{p})" for p in (PATTERNS[k] for k in ("email", "secret", "ip", "card", "phone", "name")))
 _MAYBE = rf"[0-9@]|{_TITLE}|{_TITLE_UP}"
 _ALPHABETS = {"digit": "0123456789", "lower": "abcdefghijklmnopqrstuvwxyz", "hex": "0123456789abcdef"}
 
