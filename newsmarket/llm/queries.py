@@ -1,11 +1,12 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import ann, decontaminate, mixing, near_dup, pii, token_output, toxicity, url_filter, warc
+from . import ann, decontaminate, licenses, mixing, near_dup, pii, token_output, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_ann": ann.op1_ann,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_near_dup": near_dup.op3_near_dup,
+    "op4_licenses": licenses.op4_licenses,
     "op5_url_filter": url_filter.op5_url_filter,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_token_output": token_output.op7_token_output,
