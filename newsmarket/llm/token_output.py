@@ -30,7 +30,7 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-_WHOLE = re.compile(r"^ | (?:\s|$)")
+_BLANKS = re.compile(r" \s")
 
 
 class Encoder:
@@ -43,7 +43,7 @@ class Encoder:
     starts with a blank. Up to ``most`` pieces are remembered at a time.
     """
 
-    most = 700_000
+    most = 500_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -58,7 +58,7 @@ class Encoder:
         self.opens[[k for t, k in vocab.items() if t.startswith(blank)]] = True
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     def _learn(self, pieces: list[str]) -> None:
         for k in range(0, len(pieces), 2000):
@@ -72,16 +72,14 @@ class Encoder:
                 self.known.update((p, self.whole(" " + p)) for p in some)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [None if not t or _WHOLE.search(t) else t.split(" ") for t in texts]
+        split = [None if not t or t[0] == " " or t[-1] == " " or _BLANKS.search(t) else t.split(" ") for t in texts]
+        heads = [s and s.pop(0) for s in split]
         if len(self.known) >= self.most:
             self.known.clear()
-        wanted: set[str] = set()
-        for s in split:
-            if s:
-                wanted.update(s[1:])
-        self._learn([p for p in wanted if p not in self.known])
+        wanted = set().union(*filter(None, split))
+        self._learn(list(wanted.difference(self.known)))
         get = self.known.__getitem__
-        return [self.whole(t or "") if s is None else self.whole(s[0]) + b"".join(map(get, s[1:])) for t, s in zip(texts, split, strict=True)]
+        return [self.whole(t or "") if s is None else self.whole(h) + b"".join(map(get, s)) for t, h, s in zip(texts, heads, split, strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
