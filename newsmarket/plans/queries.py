@@ -1,8 +1,15 @@
 """The registered queries of the library and their SQL."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 
-def entry(spark, sf_dir):
-    raise NotImplementedError
+from . import market, text
+
+QUERIES = {**market.QUERIES, **text.QUERIES}
+ORACLE_SQL = {**market.SQL, **text.SQL}
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: negative news followed by a fall."""
+    return QUERIES["negative_then_fall"](spark, sf_dir)
