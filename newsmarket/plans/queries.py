@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import market, text
+from . import market, state, text
 
-QUERIES = {**market.QUERIES, **text.QUERIES}
-ORACLE_SQL = {**market.SQL, **text.SQL}
+QUERIES = {**market.QUERIES, **text.QUERIES, **state.QUERIES}
+ORACLE_SQL = {**market.SQL, **text.SQL, **state.SQL}
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
