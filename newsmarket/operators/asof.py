@@ -17,13 +17,19 @@ def lagged_by_year(series: DataFrame, keys: list[str], date: str, values: list[s
 
 
 def forward(targets: DataFrame, prices: DataFrame, key: str, at: str, date: str, columns: list[str]) -> DataFrame:
-    """Adds to each target the first row of its key dated ``at`` or later: its date and ``columns``, else nulls."""
-    left = targets.select(F.col(key).alias("_k"), F.col(at).alias("_t"), F.lit(0).alias("_side"), F.struct(*targets.columns).alias("_row"), F.lit(None).cast(prices.select(F.struct(date, *columns).alias("s")).schema["s"].dataType).alias("_v"))
-    right = prices.select(F.col(key).alias("_k"), F.col(date).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"), F.struct(date, *columns).alias("_v"))
-    order = Window.partitionBy("_k").orderBy(F.col("_t").asc_nulls_last(), "_side").rowsBetween(0, Window.unboundedFollowing)
-    found = left.unionByName(right).withColumn("_found", F.first("_v", ignorenulls=True).over(order)).where("_side = 0")
-    hit = F.when(F.col("_t").isNotNull(), F.col("_found"))
-    return found.withColumn("_found", hit).select("_row.*", *[F.col(f"_found.{c}").alias(c) for c in (date, *columns)])
+    """Adds to each target the first row of its key dated ``at`` or later: its date and ``columns``, else nulls.
+
+    Only distinct (key, date) pairs enter the window, so its size is bounded by the calendar even
+    if one key holds most targets; the targets then join on both columns.
+    """
+    kind = prices.select(F.struct(date, *columns).alias("s")).schema["s"].dataType
+    asked = targets.select(F.col(key).alias("_k"), F.col(at).alias("_t")).where("_t is not null").distinct()
+    left = asked.select("_k", "_t", F.lit(0).alias("_side"), F.lit(None).cast(kind).alias("_v"))
+    right = prices.select(F.col(key).alias("_k"), F.col(date).alias("_t"), F.lit(1).alias("_side"), F.struct(date, *columns).alias("_v"))
+    order = Window.partitionBy("_k").orderBy("_t", "_side").rowsBetween(0, Window.unboundedFollowing)
+    found = left.unionByName(right).withColumn("_v", F.first("_v", ignorenulls=True).over(order)).where("_side = 0")
+    found = found.select(F.col("_k").alias(key), F.col("_t").alias(at), *[F.col(f"_v.{c}").alias(c) for c in (date, *columns)])
+    return targets.join(found, [key, at], "left").select(*targets.columns, date, *columns)
 
 
 def snapshot(dates: DataFrame, series: DataFrame, wanted: list[str]) -> DataFrame:
