@@ -125,10 +125,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     if size is None:
         return none
     alike = F.size("v") == size["dim"]
-    smallest = F.slice(F.array_sort(F.collect_set("vec_id")), 1, k + 1)
-    # Partial sets are cut before the shuffle: at most k + 1 ids of a vector leave a salt.
-    salted = vectors.where(alike).groupBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(64)).alias("salt")).agg(smallest.alias("ids"))
-    entries = salted.groupBy("v").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1).alias("ids"))
+    # The rank is limited in each task before rows move, so a vector sends k + 1 ids of a task at most.
+    ranked = vectors.where(alike).withColumn("_rank", F.dense_rank().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("_rank") <= k + 1)
+    entries = ranked.groupBy("v").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     entries = stored(entries.mapInArrow(_packed, "vec binary, ids array<long>"), f"{path}/entries")
     n = entries.count()
     sample = entries.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(FIT_ROWS).collect()
