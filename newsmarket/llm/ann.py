@@ -24,7 +24,9 @@ FIT_ROWS = 20_000
 PARTS, CODES = 16, 256
 BLOCK = 4096
 #: Codes kept for exact measuring, from each block.
-SHORTLIST = 120
+SHORTLIST = 60
+#: Share of the sample's true neighbours that must lie in the probed cells, and the queries it is measured with.
+COVERED, TRIALS = 0.98, 256
 K = 10
 
 
@@ -64,6 +66,21 @@ class Index:
     def probes(self, q: np.ndarray, n: int) -> np.ndarray:
         return np.argsort(_distances(q, self.cells), axis=1, kind="stable")[:, :n]
 
+    def probes_needed(self, sample: np.ndarray, k: int) -> int:
+        """Cells to probe so that COVERED of the neighbours in the sample are met. Where vectors have little
+        structure these are many; a larger table has nearer neighbours and needs no more.
+        """
+        q = sample[:TRIALS]
+        d = _distances(q, sample)
+        d[np.arange(len(q)), np.arange(len(q))] = np.inf
+        k = min(k, len(sample) - 1)
+        if k < 1:
+            return 1
+        near = np.argpartition(d, k - 1, axis=1)[:, :k]
+        cell = _distances(sample, self.cells).argmin(1)
+        place = np.argsort(self.probes(q, len(self.cells)), axis=1)  # place of each cell in a query's order
+        return int(np.quantile(place[np.arange(len(q))[:, None], cell[near]], COVERED)) + 1
+
     def tables(self, q: np.ndarray, cell: int) -> np.ndarray:
         """Squared distances of a query's residual to each code, (parts, CODES)."""
         rest = q - self.cells[cell]
@@ -126,13 +143,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         return none
     alike = F.size("v") == size["dim"]
     # The rank is limited in each task before rows move, so a vector sends k + 1 ids of a task at most.
-    ranked = vectors.where(alike).withColumn("_rank", F.dense_rank().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("_rank") <= k + 1)
-    entries = ranked.groupBy("v").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
-    entries = stored(entries.mapInArrow(_packed, "vec binary, ids array<long>"), f"{path}/entries")
+    packed = vectors.where(alike).select("v", "vec_id").mapInArrow(_packed, "vec binary, vec_id long")
+    ranked = packed.withColumn("_rank", F.dense_rank().over(Window.partitionBy("vec").orderBy("vec_id"))).where(F.col("_rank") <= k + 1)
+    entries = stored(ranked.groupBy("vec").agg(F.array_sort(F.collect_set("vec_id")).alias("ids")), f"{path}/entries")
     n = entries.count()
     sample = entries.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(FIT_ROWS).collect()
-    index = Index(np.stack([np.frombuffer(r["vec"], np.float64) for r in sample]), cells_for(n))
-    probes = max(8, len(index.cells) // 6)
+    sample = np.stack([np.frombuffer(r["vec"], np.float64) for r in sample])
+    index = Index(sample, cells_for(n))
+    probes = index.probes_needed(sample, k)
     held = spark.sparkContext.broadcast(index)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
