@@ -45,8 +45,12 @@ PATTERNS = {
     "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\p{L}\p{N}])",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE} {_WORD}(?: {_WORD})?|{_TITLE_UP} \p{{Lu}}{{2,}}(?: \p{{Lu}}{{2,}})?)",
 }
-ENTITY = "|".join(f"(?:{p})" for p in (PATTERNS[k] for k in ("email", "secret", "ip", "card", "phone", "name")))
-_MAYBE = rf"[0-9@]|{_TITLE}|{_TITLE_UP}"
+# A look at the next character goes before the alternatives, as most places start no entity.
+_INITIALS = "".join(sorted({t[0] for g in TITLES.values() for t in g} | {t[0].upper() for g in TITLES.values() for t in g}))
+_NUMBERS = rf"(?=[0-9+(])(?:{PATTERNS['ip']}|{PATTERNS['card']}|{PATTERNS['phone']})"
+_NO_MAIL = rf"{_NUMBERS}|(?=[0-9a-fA-F]){PATTERNS['secret']}|(?=[{_INITIALS}]){PATTERNS['name']}"
+ENTITY = rf"(?=[^\s@]){PATTERNS['email']}|{_NO_MAIL}"
+_MAYBE = rf"[0-9@]|(?=[{_INITIALS}])(?:{_TITLE}|{_TITLE_UP})"
 _ALPHABETS = {"digit": "0123456789", "lower": "abcdefghijklmnopqrstuvwxyz", "hex": "0123456789abcdef"}
 
 
@@ -198,14 +202,15 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     Null texts stay null with no entities; repeated rows get the same text; other columns are
     ignored. Only texts with entities are moved, and equal texts are worked on once.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    maybe = F.col("text").rlike(_MAYBE)
-    hits = F.when(maybe, F.regexp_extract_all(F.col("text"), F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    has = F.coalesce(maybe & F.col("text").rlike(ENTITY), F.lit(False))
-    without = docs.where(~has).select("doc_id", F.lit(0).alias("entities"), "text")
-    some = docs.where(has).withColumn("k", F.md5("text"))
     path = shared_dir(docs.sparkSession)
-    found = stored(some.select("k", hits.alias("hits")).groupBy("k").agg(F.first("hits").alias("hits")), f"{path}/found")
+    text, mail = F.col("text"), F.contains("text", F.lit("@"))
+    both = lambda f: F.when(mail, f(ENTITY)).otherwise(f(_NO_MAIL))  # noqa: E731  a text without the sign holds no address
+    hits = F.when(text.rlike(_MAYBE), both(lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0))))
+    # Written once, so that each text is searched once.
+    marked = stored(docs.select(F.col("doc_id").cast("long"), "text", hits.alias("hits")), f"{path}/marked")
+    without = marked.where("coalesce(size(hits), 0) <= 0").select("doc_id", F.lit(0).alias("entities"), "text")
+    some = marked.where("size(hits) > 0").withColumn("k", F.md5("text"))
+    found = stored(some.groupBy("k").agg(F.first("hits").alias("hits")), f"{path}/found")
     mentions = found.select("k", F.posexplode("hits").alias("at", "mention")).withColumn("kind", kind_of(F.col("mention")))
     parts = mentions.select("k", "at", "mention", F.col("kind").alias("of"), F.posexplode(_parts(F.col("kind"), F.col("mention"))).alias("part", "p")).select("k", "at", "mention", "of", "part", "p.kind", "p.value")
     parts = stored(parts, f"{path}/parts")
@@ -213,7 +218,7 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     new = parts.join(table, ["kind", "value"]).groupBy("k", "at", "mention", "of").agg(F.transform(F.array_sort(F.collect_list(F.struct("part", "surrogate"))), lambda x: x["surrogate"]).alias("found"))
     new = new.select("k", "at", _written(F.col("of"), F.col("mention"), F.col("found")).alias("new"))
     new = new.groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias("new"))
-    gaps = F.split("text", ENTITY, -1)
+    gaps = both(lambda p: F.split("text", p, -1))
     whole = F.array_join(F.zip_with("gaps", "new", lambda g, n: F.concat(g, F.coalesce(n, F.lit("")))), "")
     with_ = some.select("doc_id", "k", gaps.alias("gaps")).join(new, "k").select("doc_id", F.size("new").alias("entities"), whole.alias("text"))
     return with_.unionByName(without)
