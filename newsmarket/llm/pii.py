@@ -67,27 +67,24 @@ def _digits(c: Column) -> Column:
     return F.regexp_replace(c, r"\D", "")
 
 
-def _bits(what: Column, attempt: Column, key: str) -> Column:
-    """128 hex digits that depend on the key, the value and the attempt."""
-    return F.sha2(F.concat_ws("|", F.lit(key), what, attempt.cast("string")), 512)
+def _pick(k: Column | int, n: Column | int) -> Column:
+    """A number below n from the k-th (0..) of the keyed numbers in column ``_n``."""
+    k = F.lit(k) if isinstance(k, int) else k
+    return F.pmod(F.element_at("_n", F.pmod(k, F.lit(31)) + 1) + k, F.lit(n) if isinstance(n, int) else n).cast("int")
 
 
-def _pick(hexes: Column, k: Column | int, n: Column | int) -> Column:
-    """A number below n from the k-th (0..) four hex digits."""
-    at = F.pmod(F.lit(k) if isinstance(k, int) else k, F.lit(31)) * 4 + 1
-    return F.pmod(F.conv(F.substring(hexes, at, F.lit(4)), 16, 10).cast("int") + (F.lit(k) if isinstance(k, int) else k), F.lit(n) if isinstance(n, int) else n).cast("int")
+def _letter_of(alphabet: str, i: Column) -> Column:
+    return F.substring(F.lit(alphabet), _pick(i, len(alphabet)) + 1, F.lit(1))
 
 
-def _same_shape(text: Column, hexes: Column, letters: str = "lower", keep: Column | None = None) -> Column:
-    """Each digit and each lower-case letter replaced by one of its kind; ``keep`` leading characters stay."""
+def _same_shape(kind: Column, text: Column) -> Column:
+    """Digits for digits, letters for letters, hex digits in a secret; a phone's country code stays."""
     chars = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substring(text, i, F.lit(1)))
-    alphabet = _ALPHABETS[letters]
+    keep = F.when(kind == "phone", F.instr(text, " ")).otherwise(F.lit(0))
 
     def one(ch: Column, i: Column) -> Column:
-        new = F.when(ch.rlike("[0-9]") & F.lit(letters != "hex"), F.substring(F.lit(_ALPHABETS["digit"]), _pick(hexes, i, 10) + 1, F.lit(1)))
-        new = new.when(ch.rlike(r"[\p{L}]" if letters != "hex" else "[0-9a-f]"), F.substring(F.lit(alphabet), _pick(hexes, i, len(alphabet)) + 1, F.lit(1)))
-        new = new.otherwise(ch)
-        return new if keep is None else F.when(i < keep, ch).otherwise(new)
+        plain = F.when(ch.between("0", "9"), _letter_of(_ALPHABETS["digit"], i)).when(ch.rlike(r"\p{L}"), _letter_of(_ALPHABETS["lower"], i)).otherwise(ch)
+        return F.when(i < keep, ch).when(kind == "secret", _letter_of(_ALPHABETS["hex"], i)).otherwise(plain)
 
     return F.array_join(F.transform(chars, one), "")
 
@@ -105,28 +102,31 @@ def _check_digit(digits: Column) -> Column:
     return F.element_at(found, 1).cast("string")
 
 
-def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a canonical value; name parts have kinds given-<gender> and family."""
-    h = _bits(F.concat_ws(":", kind, value), attempt, key)
+def _with_surrogate(values: DataFrame, attempt: int, key: str) -> DataFrame:
+    """kind, value, surrogate; name parts have kinds given-<gender> and family."""
+    kind, value = F.col("kind"), F.col("value")
+    bits = values.select("kind", "value", F.sha2(F.concat_ws("|", F.lit(key), kind, value, F.lit(str(attempt))), 512).alias("_h"))
+    numbers = F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.conv(F.substring("_h", i * 4 + 1, F.lit(4)), 16, 10).cast("int"))
+    shaped = bits.withColumn("_n", numbers).withColumn("_s", F.when(kind.isin("email", "card", "phone", "secret"), _same_shape(kind, value)))
     dot = F.length(value) - F.instr(F.reverse(value), ".") + 1  # the top-level domain stays
-    email = F.concat(_same_shape(F.substring(value, F.lit(1), dot - 1), h), F.substring(value, dot, F.length(value)))
-    ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_pick(h, i, 254) + 1).cast("string")), ".")
-    card = _same_shape(value, h)
-    card = F.when(luhn_ok(value), F.concat(F.substring(card, F.lit(1), F.length(card) - 1), _check_digit(F.substring(card, F.lit(1), F.length(card) - 1)))).otherwise(card)
-    phone = _same_shape(value, h, keep=F.instr(value, " "))
+    email = F.concat(F.substring("_s", F.lit(1), dot - 1), F.substring(value, dot, F.length(value)))
+    ip = F.concat_ws(".", *[(_pick(i, 254) + 1).cast("string") for i in range(4)])
+    shaped = shaped.withColumn("_head", F.substring("_s", F.lit(1), F.length("_s") - 1))
+    card = F.when(luhn_ok(value), F.concat("_head", _check_digit(F.col("_head")))).otherwise(F.col("_s"))
     cyrillic = value.rlike(r"\p{IsCyrillic}")
     given = F.lit(None).cast("string")
     for gender in ("m", "f", "n"):
         lists = [F.array(*map(F.lit, GIVEN[gender + s])) for s in ("", "-cyr")]
-        words = F.when(cyrillic, lists[1]).otherwise(lists[0])
-        given = F.when(kind == f"given-{gender}", F.element_at(words, _pick(h, 0, F.size(words)) + 1)).otherwise(given)
+        words = F.when(cyrillic, F.element_at(lists[1], _pick(0, len(GIVEN[gender + "-cyr"])) + 1)).otherwise(F.element_at(lists[0], _pick(0, len(GIVEN[gender])) + 1))
+        given = F.when(kind == f"given-{gender}", words).otherwise(given)
     # Given names are few: from the second attempt on they get syllables, as many as the attempt.
-    syllables = F.when(cyrillic, F.array(*map(F.lit, SYLLABLES_CYR))).otherwise(F.array(*map(F.lit, SYLLABLES)))
-    tail = lambda n: F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.element_at(syllables, _pick(h, i, 20) + 1)), "")
-    given = F.when(attempt > 0, F.concat(given, tail(attempt + 1))).otherwise(given)
-    family = F.initcap(tail(F.lit(3) + attempt))
-    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone)
-    return out.when(kind == "secret", _same_shape(value, h, "hex")).when(kind == "family", family).otherwise(given)
+    syllable = lambda i: F.when(cyrillic, F.element_at(F.array(*map(F.lit, SYLLABLES_CYR)), _pick(i, 20) + 1)).otherwise(F.element_at(F.array(*map(F.lit, SYLLABLES)), _pick(i, 20) + 1))
+    tail = lambda n: F.concat(*[syllable(i) for i in range(1, n + 1)])
+    if attempt:
+        given = F.concat(given, tail(attempt + 1))
+    family = F.initcap(tail(3 + attempt))
+    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind.isin("phone", "secret"), F.col("_s")).when(kind == "family", family).otherwise(given)
+    return shaped.select("kind", "value", out.alias("surrogate"))
 
 
 def _title_gender(mention: Column) -> Column:
@@ -180,7 +180,7 @@ def surrogates(values: DataFrame, key: str = KEY) -> DataFrame:
     open_, done = values, None
     group = F.when(F.col("kind").startswith("given"), "given").otherwise(F.col("kind"))
     for attempt in range(ATTEMPTS):
-        tried = open_.select("kind", "value", _surrogate(F.col("kind"), F.col("value"), F.lit(attempt), key).alias("surrogate")).withColumn("group", group)
+        tried = _with_surrogate(open_, attempt, key).withColumn("group", group)
         tried = stored(tried, f"{path}/tried{attempt}")
         real = values.select(group.alias("group"), F.col("value").alias("surrogate_low")).distinct()
         first = tried.groupBy("group", F.lower("surrogate").alias("surrogate_low")).agg(F.min(F.struct("kind", "value")).alias("w"))
