@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,53 +35,72 @@ def tokenizer_path() -> str:
 _BLANKS = re.compile(r" \s")
 
 
-class Encoder:
+_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
+
+class Encoder(dict):
     """Ids (little-endian bytes) of texts, by way of remembered pieces.
 
-    A piece is a blank and the characters up to the next blank. The vocabulary's splitting never
-    joins characters across a blank that stands between visible characters, so a text's ids are
-    those of its pieces in a row; a text with a blank before white space or at an end is encoded
-    whole. Pieces not seen before are encoded together: a piece's first id is the only one that
-    starts with a blank. Up to ``most`` pieces are remembered at a time.
+    A piece is a blank and the characters up to the next blank; it is kept without the blank. The
+    vocabulary's splitting never joins characters across a blank that stands between visible
+    characters, so a text's ids are those of its pieces in a row; a text with a blank before white
+    space or at an end is encoded whole. Letters, and signs after them, are words of their own to
+    the splitting, so they go to the model directly. Up to ``most`` pieces are remembered; then
+    the half learned first, which holds the common ones, stays.
     """
 
-    most = 500_000
+    most = 600_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        blank = self.tokenizer.id_to_token(self.tokenizer.encode(" ", add_special_tokens=False).ids[0])
-        vocab = self.tokenizer.get_vocab()
-        self.opens = np.zeros(max(vocab.values()) + 1, bool)
-        self.opens[[k for t, k in vocab.items() if t.startswith(blank)]] = True
+        self.blank = self.tokenizer.id_to_token(self.tokenizer.encode(" ", add_special_tokens=False).ids[0])
+        self.model, self.tails = self.tokenizer.model, {"": b""}
+        # Bytes stand as printable characters in the vocabulary; others than those follow from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = {c: c for c in plain} | {c: 256 + k for k, c in enumerate(c for c in range(256) if c not in plain)}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        for k in range(0, len(pieces), 2000):
-            some = pieces[k : k + 2000]
-            ids = self.whole(" " + " ".join(some))
-            at = np.flatnonzero(self.opens[np.frombuffer(ids, "<u4")]) * 4
-            if len(at) == len(some):
-                ends = [*at[1:].tolist(), len(ids)]
-                self.known.update(zip(some, [ids[x:y] for x, y in zip(at.tolist(), ends, strict=True)], strict=True))
-            else:
-                self.known.update((p, self.whole(" " + p)) for p in some)
+    def _word(self, letters: str) -> bytes:
+        mapped = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(self.blank + mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, piece: str) -> bytes:
+        core = piece.rstrip(_SIGNS)
+        if not core.isalpha():
+            ids = self.whole(" " + piece)
+        elif core is piece or len(core) == len(piece):
+            ids = self._word(piece)
+        else:
+            tail = piece[len(core) :]
+            if tail not in self.tails:
+                if len(self.tails) > 50_000:
+                    self.tails.clear()
+                self.tails[tail] = self.whole(tail)
+            ids = (dict.get(self, core) or self._word(core)) + self.tails[tail]
+        self[piece] = ids
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [None if not t or t[0] == " " or t[-1] == " " or _BLANKS.search(t) else t.split(" ") for t in texts]
-        heads = [s and s.pop(0) for s in split]
-        if len(self.known) >= self.most:
-            self.known.clear()
-        wanted = set().union(*filter(None, split))
-        self._learn(list(wanted.difference(self.known)))
-        get = self.known.__getitem__
-        return [self.whole(t or "") if s is None else self.whole(h) + b"".join(map(get, s)) for t, h, s in zip(texts, heads, split, strict=True)]
+        if len(self) >= self.most:
+            kept = dict(islice(self.items(), self.most // 2))
+            self.clear()
+            self.update(kept)
+        get, out = self.__getitem__, []
+        for t in texts:
+            if not t or t[0] == " " or t[-1] == " " or _BLANKS.search(t):
+                out.append(self.whole(t or ""))
+            else:
+                first, _, rest = t.partition(" ")
+                out.append(self.whole(first) + b"".join(map(get, rest.split(" "))) if rest else self.whole(first))
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
