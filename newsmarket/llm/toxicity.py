@@ -3,8 +3,9 @@
 A character language model is counted over all documents. A word that mixes letters with signs or
 digits, or repeats a letter, or is spaced out letter by letter, is a lattice: each character may
 stand for itself, for the letters it resembles, or for nothing. Viterbi decoding under the
-language model restores it. The restored words (and their beginnings) are scored by a logistic
-model that is fitted on a bounded sample of labelled documents.
+language model restores it. Words glued by signs count whole and in their parts. The restored words
+(and their beginnings) are scored by a logistic model that is fitted on a bounded sample of labelled
+documents.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ FIT_ROWS = 20_000
 #: Terms of the model, at most; those of the largest weight of evidence.
 TERMS = 400
 LEAST_DOCS = 4
+FAR_BEHIND = 8.0  # states of glued words this much less likely than the best are dropped
 ORDER, SIZE = 4, 28  # letters a-z, other letters, and 0 for the edge of a word
-LONGEST = 24  # characters of a word that is decoded
+LONGEST = 24  # characters of a word that is decoded at once; longer ones in windows of twice that
 
 # Letters that a sign or digit may stand for.
 LOOKS_LIKE = {
@@ -46,6 +48,10 @@ for _c in range(0x250):
 _LETTERS = {k: chr(96 + k) for k in range(1, 27)} | {27: "?"}
 _ODD = re.compile(r"[^\W\d_][\d@$!|+€£(<¡*#_.\-~]+[^\W\d_]|^[\d@$!|+€£(<¡]+[^\W\d_]|(.)\1\1")
 _SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*~]{1,2}(?:[^\W_]|[@$!|+])(?![^\W_])){3,}")
+_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
+# Signs that no obfuscation uses part words; marks and zero-width characters belong to letters.
+_BREAKS = re.compile(r"[^\w@$!|+€£(<¡*#.\-~'’\u0300-\u036f\u0900-\u0eff\u200b-\u200f\u2060\ufeff]+")
+_GLUE = re.compile(r"[@$!|+€£(<¡*#.\-~_]+")
 _EDGES = re.compile(r"^[^\w@$!|+€£(<¡]+|[^\w]+$")
 
 
@@ -104,8 +110,8 @@ def letter_model(docs: DataFrame) -> np.ndarray:
     return np.log(p).astype(np.float32)
 
 
-def decode(word: str, model: np.ndarray) -> str:
-    """The likeliest letters behind a word; the states are the last three letters."""
+def decode(word: str, model: np.ndarray, glued: bool = False) -> str:
+    """The likeliest letters behind a word, or behind several ``glued`` ones; the states are the last three letters."""
     chars = word.lower()
     states: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
     for k, ch in enumerate(chars):
@@ -119,6 +125,11 @@ def decode(word: str, model: np.ndarray) -> str:
         skip = -0.3 if ch in SPACERS else -6.0 if letter else -2.5
         run = k > 0 and ch == chars[k - 1]
         long_run = run and (chars[k + 1 : k + 2] == ch or chars[k - 2 : k - 1] == ch and k > 1)
+        if glued and k:
+            edge = max((s + float(model[a, b, c, 0]) - 1.0, o) for (a, b, c), (s, o) in states.items())
+            states[0, 0, 0] = max(states.get((0, 0, 0), edge), edge)
+            least = max(s for s, _ in states.values()) - FAR_BEHIND
+            states = {x: v for x, v in states.items() if v[0] >= least}
         new: dict[tuple[int, int, int], tuple[float, str]] = {}
         for (a, b, c), (score, out) in states.items():
             ways = [((b, c, x), score + cost + float(model[a, b, c, x]), out + _LETTERS[x]) for x, cost in options]
@@ -131,7 +142,11 @@ def decode(word: str, model: np.ndarray) -> str:
 
 
 class Restorer(dict):
-    """Maps a word to its restored letters, remembering up to ``most`` words at a time."""
+    """Maps a word to its restored words, remembering up to ``most`` words at a time.
+
+    They are the whole word, what stands between signs that no obfuscation uses, and, as other signs
+    may be letters or separate words, also what stands between those.
+    """
 
     most = 200_000
 
@@ -139,26 +154,49 @@ class Restorer(dict):
         super().__init__()
         self.model = model
 
-    def __missing__(self, word: str) -> str:
+    def __missing__(self, word: str) -> tuple[str, ...]:
         core = word if word.isalpha() else _EDGES.sub("", word)
         if core.isalpha() and not _TRIPLE.search(core):
-            out = folded(core)
-        elif core and len(core) <= LONGEST and _ODD.search(core) and not core.isdigit():
-            out = decode(core, self.model)
+            out = (folded(core),)
         else:
-            out = folded(core) if len(core) <= LONGEST else ""
+            core = _RUN.sub(r"\1\1\1", core)
+            pieces = [p for p in _BREAKS.split(core) if p]
+            found = self._one(core) if len(core) <= LONGEST or len(pieces) == 1 else []
+            if not core.isalpha():
+                parts = [g for p in pieces for g in _GLUE.split(p)]
+                for part in dict.fromkeys([*pieces, *parts]):
+                    part = _EDGES.sub("", part)
+                    if part != core and len(part) > 2:
+                        found += self._one(part)
+            out = tuple(dict.fromkeys(found))
         if len(self) >= self.most:
             self.clear()
-        self[word] = out
+        if len(word) <= 4 * LONGEST:
+            self[word] = out
         return out
 
+    def _one(self, core: str) -> list[str]:
+        """A piece as it reads; of a long lattice, what begins at any letter."""
+        if core.isdigit() or not _ODD.search(core):
+            return [folded(core)] if core else []
+        if len(core) <= LONGEST:
+            return [decode(core, self.model)]
+        return list(decoded_windows(core, self.model, glued=True)) if any(ch.isalpha() for ch in core) else []
+
+
+def decoded_windows(run: str, model: np.ndarray, glued: bool = False) -> Iterator[str]:
+    """Each beginning of a word in overlapping windows: what has up to LONGEST characters lies in one of them."""
+    for k in range(0, max(1, len(run) - LONGEST), LONGEST):
+        letters = decode(run[k : k + 2 * LONGEST], model, glued)
+        yield from (letters[i:] for i in range(len(letters) - 2))
+
 
 def restored_words(text: str | None, words: Restorer) -> set[str]:
     """The distinct restored words of a whole text."""
     if not text:
         return set()
     low = text.lower()
-    out = {words[w] for w in set(low.split())}
+    out = {x for w in set(low.split()) for x in words[w]}
     return out.union(spaced_words(low, words.model))
 
 
@@ -170,9 +208,7 @@ def spaced_words(low: str, model: np.ndarray) -> list[str]:
     for m in _SPACED.finditer(low):
         run = m.group()
         if any(ch.isalpha() for ch in run):
-            for k in range(0, len(run), LONGEST):
-                letters = decode(run[k : k + 2 * LONGEST], model)
-                out += [letters[i:] for i in range(len(letters) - 2)]
+            out += decoded_windows(run, model)
     return out
 
 
@@ -214,7 +250,7 @@ class Scorer:
             plain = w if w.isascii() else folded(w)
             if plain[:4] not in self.heads and not _TRIPLE.search(w):
                 return None
-        return self._ids(self.words[w])
+        return tuple({i for word in self.words[w] for i in self._ids(word) or ()}) or None
 
     def _ids(self, word: str) -> tuple[int, ...] | None:
         return tuple(self.terms[t] for t in _terms(word) if t in self.terms) or None if len(word) > 2 else None

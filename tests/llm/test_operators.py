@@ -183,6 +183,18 @@ def test_toxicity_restores_and_edges(spark):
     assert toxicity.scores(d.limit(0), labels).count() == 0
 
 
+def test_toxicity_glued_and_long_words(spark):
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(200)], "doc_id long, quality int, toxic int")
+    rng = random.Random(2)
+    clean = "the quick brown fox and other animals sleep under warm trees today".split()
+    text = lambda bad: " ".join(rng.choices(clean, k=20) + ["idiot"] * bad)
+    bad = ["fox,idiot today", "fox.idiot today", "the quick/brown/animals/under/idiot", "iiiiiidiiiiiioooooootttttt", "quickbrownanimalsunder1d10twarmtrees"]
+    good = ["fox,trees today", "the quick/brown/animals/under/trees", "ffffffffffoooooooooooooxxxxxxxx", "quickbrownanimalsund3rtr33swarmtrees"]
+    d = docs(spark, *[text(k % 2) for k in range(200)], *bad, *good)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.scores(d, labels).collect()}
+    assert [got[k] for k in range(200, 209)] == [1] * len(bad) + [0] * len(good)
+
+
 # Token files
 
 
