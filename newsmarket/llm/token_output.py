@@ -44,20 +44,23 @@ class Encoder(dict):
     A piece is a blank and the characters up to the next blank; it is kept without the blank. The
     vocabulary's splitting never joins characters across a blank that stands between visible
     characters, so a text's ids are those of its pieces in a row; a text with a blank before white
-    space or at an end is encoded whole. Letters, and signs after them, are words of their own to
+    space or at an end is encoded whole, as is one that holds an added token's content. With
+    ``plain_added`` such content counts as plain text instead of the token. Letters, and signs after them, are words of their own to
     the splitting, so they go to the model directly. Up to ``most`` pieces are remembered; then
     the half learned first, which holds the common ones, stays.
     """
 
     most = 600_000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_added: bool = False):
         from tokenizers import Tokenizer
 
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_added
+        added = [] if plain_added else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.blank = self.tokenizer.id_to_token(self.tokenizer.encode(" ", add_special_tokens=False).ids[0])
         self.model, self.tails = self.tokenizer.model, {"": b""}
         # Bytes stand as printable characters in the vocabulary; others than those follow from 256 on.
@@ -94,8 +97,9 @@ class Encoder(dict):
             self.clear()
             self.update(kept)
         get, out = self.__getitem__, []
+        added = self.added.search if self.added else lambda t: None
         for t in texts:
-            if not t or t[0] == " " or t[-1] == " " or _BLANKS.search(t):
+            if not t or t[0] == " " or t[-1] == " " or _BLANKS.search(t) or added(t):
                 out.append(self.whole(t or ""))
             else:
                 first, _, rest = t.partition(" ")
@@ -103,25 +107,26 @@ class Encoder(dict):
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder_of(path: str) -> Encoder:
+def encoder_of(path: str, plain_added: bool = False) -> Encoder:
     """The encoder of this Python worker; its pieces stay known from task to task."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, plain_added) not in _encoders:
+        _encoders[path, plain_added] = Encoder(path, plain_added)
+    return _encoders[path, plain_added]
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, plain_added: bool = True) -> None:
     """Write (doc_id, block, row, n_tokens, ids) for each row of docs; a null text counts as empty.
 
-    Repeated ids stay as rows of their own, in the order of their texts; null ids come first.
+    An added token's content in a text is plain text unless ``plain_added`` is false, when the ids are
+    those of the library's encode as it comes. Repeated ids stay as rows of their own, in the order of their texts; null ids come first.
     """
     small_batches(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, encoder, tail = 0, encoder_of(tokenizer), np.array([end], "<u4").tobytes()
+        row, encoder, tail = 0, encoder_of(tokenizer, plain_added), np.array([end], "<u4").tobytes()
         for batch in batches:
             rows = [ids + tail for ids in encoder.encode(batch.column(2).to_pylist())]
             sizes = np.array([len(r) // 4 for r in rows], np.int32)
@@ -177,7 +182,7 @@ def digests(tokens: DataFrame) -> DataFrame:
 def encode_and_digest(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     path = f"{shared_dir(spark)}/tokens"
-    write_tokens(docs, path, tokenizer_path())
+    write_tokens(docs, path, tokenizer_path(), plain_added=False)
     return digests(read_tokens(spark, path))
 
 

@@ -221,6 +221,19 @@ def test_tokens_round_trip(spark):
     assert token_output.encode_and_digest(d.limit(0)).count() == 0
 
 
+def test_tokens_of_added_content(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(token_output.tokenizer_path())
+    texts = ["a <|endoftext|> b", "x<|endoftext|>", "<|endoftext|> z", "plain <|endoftext| > text"]
+    got = {r["doc_id"]: r for r in token_output.encode_and_digest(docs(spark, *texts)).collect()}
+    at = 0
+    for k, t in enumerate(texts):
+        ids = tok.encode(t, add_special_tokens=False).ids + [token_output.END]
+        assert (got[k]["start"], got[k]["n_tokens"], got[k]["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
 # WARC
 
 
