@@ -5,8 +5,10 @@ into a document if some window of L words (cut at the document's end) is within
 word edits of it.
 
 * Windows are first bounded without loss: an edit destroys at most three word triples, so a
-  window within k edits holds L - 2 - 3k of the item's triples (and one at least, as the L - k
-  words that match fall into k + 1 runs). The count is a running sum over the document.
+  window within k edits holds L - 2 - 3k of the item's triples. Where that is none (L up to 5, and
+  8) pairs are counted, L - 1 - 2k and one at least, as the L - k words that match fall into k + 1
+  runs; of an item of one word, the word. The windows of those short items are all confirmed,
+  without the walks. The count is a running sum over the document.
 * A remaining window, and each item, walks through its words as in the CGK embedding: step j
   writes the word under the pointer, and a random bit of (j, word) says whether the pointer moves
   on. Edit distance becomes Hamming distance between walks. ``REPEATS`` walks are sampled at
@@ -28,7 +30,6 @@ from .common import read, small_batches
 
 EDITS = 0.25
 REPEATS, BITS, CYCLE = 40, 2, 128
-MIN_WORDS = 5
 #: Items and their characters in one pass over the documents; a larger benchmark takes several.
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 8_000_000
 
@@ -58,15 +59,67 @@ def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
     return score
 
 
-TRIPLE_BITS = 22
+SLOT_BITS = 22
 
 
-def _triples(words: np.ndarray) -> np.ndarray:
-    """A slot for each three words in a row."""
+def _gram_words(size: int) -> int:
+    """Words in a row of which a window within the edits holds one at least."""
+    return 3 if size - 2 - 3 * int(EDITS * size) > 0 else min(size, 2)
+
+
+def _grams(words: np.ndarray, n: int) -> np.ndarray:
+    """A slot for each n words in a row, up to three."""
+    x = np.zeros(max(0, len(words) - n + 1), np.int64)
     with np.errstate(over="ignore"):
-        x = (words[:-2] * 0x1E3779B97F4A7C15 + words[1:-1]) * 0x2545F4914F6CDD1D + words[2:]
+        for k in range(n):
+            x = x * (0x1E3779B97F4A7C15, 0x1E3779B97F4A7C15, 0x2545F4914F6CDD1D)[k] + words[k : k + len(x)]
         x = (x ^ (x >> 31)) * 0x1E3779B97F4A7C15
-    return (x >> 20) & ((1 << TRIPLE_BITS) - 1)
+    return (x >> 20) & ((1 << SLOT_BITS) - 1)
+
+
+class Grams:
+    """The slots of those items that are bounded by runs of n words."""
+
+    def __init__(self, items: list[np.ndarray], n: int):
+        own = [i for i, w in enumerate(items) if _gram_words(len(w)) == n]
+        slots = [np.unique(_grams(items[i], n)) for i in own]
+        self.n, self.items = n, items
+        slot = np.concatenate([*slots, np.empty(0, np.int64)])
+        item = np.repeat(np.array(own, np.int64), [len(x) for x in slots])
+        order = np.argsort(slot, kind="stable")
+        self.slot, self.item = slot[order], item[order]
+        self.some = np.zeros(1 << SLOT_BITS, bool)
+        self.some[self.slot] = True
+
+    def windows(self, text: np.ndarray, unknown: int) -> np.ndarray:
+        """(start, words, item) of the windows that hold enough runs of one item."""
+        n, out = self.n, [np.empty((0, 3), np.int64)]
+        if not len(self.slot):
+            return out[0]
+        slot = _grams(text, n)
+        known = self.some[slot]
+        for k in range(n):
+            known &= text[k : k + len(slot)] < unknown
+        hit = np.flatnonzero(known)
+        slot = slot[hit]
+        lo, hi = np.searchsorted(self.slot, slot), np.searchsorted(self.slot, slot, "right")
+        many = hi - lo
+        place = np.repeat(hit, many)
+        item = self.item[np.repeat(lo - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        order = np.lexsort((place, item))
+        place, item = place[order], item[order]
+        for i, at in zip(*np.unique(item, return_index=True), strict=True):
+            size = len(self.items[i])
+            own, least = place[at : np.searchsorted(item, i, "right")], max(1, size - (n - 1) - n * int(EDITS * size))
+            if len(own) < least:
+                continue
+            first, last = own[: len(own) - least + 1], own[least - 1 :]
+            near = last - first <= size - n
+            lowest = np.maximum(last[near] - size + n, 0)
+            count = first[near] - lowest + 1
+            starts = np.unique(np.repeat(lowest - np.cumsum(count) + count, count) + np.arange(count.sum()))
+            out.append(np.stack([starts, np.full(len(starts), size), np.full(len(starts), i)], 1))
+        return np.concatenate(out)
 
 
 class Items:
@@ -74,7 +127,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], seed: int = 7):
         rng = np.random.default_rng(seed)
-        split = [(i, w) for i, t in rows if len(w := words_of(t)) >= MIN_WORDS]
+        split = [(i, w) for i, t in rows if (w := words_of(t))]
         self.vocab = {w: k for k, w in enumerate(dict.fromkeys(w for _, words in split for w in words))}
         self.unknown = len(self.vocab)
         self.ids = [i for i, _ in split]
@@ -83,16 +136,10 @@ class Items:
         self.places = rng.random((REPEATS, BITS))
         self.salt = rng.integers(1, 2**62, (REPEATS, BITS + 1), dtype=np.int64) | 1
         self.lengths = sorted({len(w) for w in self.words})
-        slots = [np.unique(_triples(w)) for w in self.words]
-        self.slot = np.concatenate([*slots, np.empty(0, np.int64)])
-        self.slot_item = np.repeat(np.arange(len(slots)), [len(x) for x in slots])
-        order = np.argsort(self.slot, kind="stable")
-        self.slot, self.slot_item = self.slot[order], self.slot_item[order]
-        self.triples = np.zeros(1 << TRIPLE_BITS, bool)
-        self.triples[self.slot] = True
+        self.long, self.short = Grams(self.words, 3), [Grams(self.words, n) for n in (1, 2)]
         keys, owners = [], []
         for n in self.lengths:
-            own = [i for i, w in enumerate(self.words) if len(w) == n]
+            own = [i for i, w in enumerate(self.words) if len(w) == n and _gram_words(n) == 3]
             if own:
                 text = np.concatenate([np.append(self.words[i], np.full(n, self.unknown + 1)) for i in own])
                 k = self.samples(text, np.arange(len(own)) * 2 * n, np.full(len(own), n))
@@ -116,28 +163,6 @@ class Items:
                 at += self.bits[walk, j % CYCLE, word]
             return key ^ (key >> 29)
 
-    def _windows(self, hit: np.ndarray, slot: np.ndarray) -> np.ndarray:
-        """(start, words) of the windows that hold enough triples of one item."""
-        lo, hi = np.searchsorted(self.slot, slot), np.searchsorted(self.slot, slot, "right")
-        n = hi - lo
-        place = np.repeat(hit, n)
-        item = self.slot_item[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
-        order = np.lexsort((place, item))
-        place, item = place[order], item[order]
-        out = [np.empty((0, 2), np.int64)]
-        for i, at in zip(*np.unique(item, return_index=True), strict=True):
-            size = len(self.words[i])
-            own, least = place[at : np.searchsorted(item, i, "right")], max(1, size - 2 - 3 * int(EDITS * size))
-            if len(own) < least:
-                continue
-            first, last = own[: len(own) - least + 1], own[least - 1 :]
-            near = last - first <= size - 3
-            lowest = np.maximum(last[near] - size + 3, 0)
-            count = first[near] - lowest + 1
-            starts = np.unique(np.repeat(lowest - np.cumsum(count) + count, count) + np.arange(count.sum()))
-            out.append(np.stack([starts, np.full(len(starts), size)], 1))
-        return np.unique(np.concatenate(out), axis=0)
-
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(text, item id, first word, words, edits): the nearest window for each text and item."""
         if not self.ids:
@@ -152,27 +177,32 @@ class Items:
         for b, d in zip(begin.tolist(), docs, strict=True):
             if d:
                 text[b : b + len(d)] = np.fromiter(map(get, d, repeat(unknown)), np.int64, len(d))
-        slot = _triples(text)
-        hit = np.flatnonzero(self.triples[slot] & (text[:-2] < unknown) & (text[1:-1] < unknown) & (text[2:] < unknown))
-        windows = self._windows(hit, slot[hit])
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+
+        def confirm(start: int, item: int) -> None:
+            size = len(self.words[item])
+            doc = int(np.searchsorted(begin, start, "right")) - 1
+            first = int(start - begin[doc])
+            window = text[start : start + min(size, int(sizes[doc]) - first)]
+            edits = edit_distance(self.words[item], window)
+            if edits <= int(EDITS * size):
+                best[doc, item] = min(best.get((doc, item), (1 << 30, 0, 0)), (edits, first, len(window)))
+
+        for grams in self.short:
+            windows = grams.windows(text, unknown)
+            for start, _, item in windows[text[windows[:, 0]] != unknown + 1].tolist():
+                confirm(start, item)
+        windows = np.unique(self.long.windows(text, unknown)[:, :2], axis=0)
         windows = windows[text[windows[:, 0]] != unknown + 1]
         start, length = windows[:, 0], windows[:, 1]
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for k in range(0, len(start), 1024):
             s, n = start[k : k + 1024], length[k : k + 1024]
             keys = self.samples(text, s, n)
             lo, hi = np.searchsorted(self.keys, keys), np.searchsorted(self.keys, keys, "right")
             found = {(int(w), int(self.owners[x])) for w, r in np.argwhere(hi > lo) for x in range(lo[w, r], hi[w, r])}
             for w, item in found:
-                size = int(n[w])
-                if len(self.words[item]) != size:
-                    continue
-                doc = int(np.searchsorted(begin, s[w], "right")) - 1
-                first = int(s[w] - begin[doc])
-                window = text[s[w] : s[w] + min(size, int(sizes[doc]) - first)]
-                edits = edit_distance(self.words[item], window)
-                if edits <= int(EDITS * size):
-                    best[doc, item] = min(best.get((doc, item), (1 << 30, 0, 0)), (edits, first, len(window)))
+                if len(self.words[item]) == int(n[w]):
+                    confirm(int(s[w]), item)
         return [(doc, self.ids[item], first, n, edits) for (doc, item), (edits, first, n) in sorted(best.items())]
 
 
@@ -194,7 +224,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """doc_id, item_id, first_word, window_words, edits: one row for each document row and item that leaks.
 
     Null or empty texts leak nothing; repeated rows are reported as often as they occur; items
-    with fewer than five words are not searched; an empty benchmark gives no rows. Of a
+    of under four words are searched as they stand, as they allow no edit; an empty benchmark gives no rows. Of a
     document's windows the nearest counts, then the first.
     """
     spark = docs.sparkSession

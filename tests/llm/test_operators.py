@@ -156,6 +156,28 @@ def test_leaks_brute(spark):
     assert decontaminate.leaks(docs(spark, *texts), bench.limit(0)).count() == 0
 
 
+def test_leaks_of_short_items(spark):
+    rng = random.Random(9)
+    items = [(k, words(rng, 1 + k % 8, 60)) for k in range(48)] + [(90, "one two three four five"), (91, "a1 a2 a3 a4 a5 a6 a7 a8"), (92, "..."), (93, "solo")]
+    texts = ["x one two zz four five y", "a1 a2 zz a4 a5 zz a7 a8 end", "it is solo now", "solos", *(words(rng, 40, 60) for _ in range(60))]
+    for _, t in items[:48]:
+        w = t.split()
+        w[rng.randrange(len(w))] = "zz"
+        texts.append(f"q {' '.join(w)} q")
+    want = set()
+    for d, t in enumerate(texts):
+        text = decontaminate.words_of(t)
+        for i, x in items:
+            item = decontaminate.words_of(x)
+            code = {w: k for k, w in enumerate(set(item) | set(text))}
+            if item and any(decontaminate.edit_distance(np.array([code[w] for w in item]), np.array([code[w] for w in text[p : p + len(item)]])) <= len(item) // 4 for p in range(len(text))):
+                want.add((d, i))
+    assert {(0, 90), (1, 91), (2, 93)} <= want
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs(spark, *texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    short = {i for i, t in items if len(t.split()) in (1, 2, 3, 4, 5, 8)}
+    assert {x for x in got if x[1] in short} == {x for x in want if x[1] in short} and got <= want
+
+
 # Toxicity
 
 
