@@ -380,3 +380,16 @@ def test_licenses(spark):
         best = max(licenses.dice(own, licenses.bigrams(licenses.normalised(t))) for t in licenses.TEMPLATES.values())
         assert abs(best - r["dice"]) < 1e-8 and best >= licenses.THRESHOLD
     assert licenses.scan(docs(spark, *texts), {}).count() == 0 and licenses.scan(docs(spark, "x").limit(0)).count() == 0
+
+
+def test_licenses_within_longer_texts(spark):
+    import textwrap
+
+    rng = random.Random(6)
+    wrapped = lambda name: "\n".join(f"# {x}" for x in textwrap.wrap(licenses.TEMPLATES[name], 70))
+    prose = words(rng, 2000)
+    names = ["MIT", "Apache-2.0-header", "GPL-3.0-header", "ISC", "Apache-2.0", "GPL-3.0", "GPL-2.0", "MPL-2.0"]
+    texts = [f"{prose}\n{wrapped(n)}\n{prose}" for n in names] + [f"{prose} Released under the MIT License. {prose}", prose]
+    got = {(r["doc_id"], r["unit"], r["line"], r["template"]) for r in licenses.scan(docs(spark, *texts)).collect()}
+    assert {(k, "passage", 2, n) for k, n in enumerate(names)} <= got
+    assert (8, "passage", 1, "MIT-notice") in got and not any(x[0] == 9 for x in got)
