@@ -276,6 +276,12 @@ def cosine_topk_multi(spark, d):
     return vectors.top_k_many(v, v.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), "embedding"), 10)
 
 
+@query("cosine_topk_twentieth", _top(qs="SELECT vec_id FROM embeddings WHERE vec_id % 20 = 0"))
+def cosine_topk_twentieth(spark, d):
+    v = table(spark, d, "embeddings")
+    return vectors.top_k_many(v, v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), 10)
+
+
 @query("hybrid_topk", f"SELECT vec_id, score, rank FROM ({_top('AND u.vec_id IN (SELECT vec_id FROM embeddings WHERE label = 3)')})")
 def hybrid_topk(spark, d):
     v = table(spark, d, "embeddings")

@@ -104,6 +104,12 @@ def pending_scan(spark, d):
     return upsert.pending(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), done, "o_orderkey", "o_orderdate", 100)
 
 
+@query("pending_scan_all", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 30)")
+def pending_scan_all(spark, d):
+    done = table(spark, d, "lineitem").where("l_quantity > 30").select(F.col("l_orderkey").alias("o_orderkey"))
+    return upsert.pending(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), done, "o_orderkey", "o_orderdate")
+
+
 @query("mark_processed", "SELECT doc_id, doc_id % 3 <> 2 AND doc_id % 5 <> 0 AS enriched FROM documents")
 def mark_processed(spark, d):
     x = table(spark, d, "documents").select("doc_id")

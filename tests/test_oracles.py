@@ -38,3 +38,10 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).columns == ["guid", "ticker", "relation", "price_date", "next_day_return_pct", "title"]
+
+
+def test_searches_take_every_twentieth_row(spark):
+    folder = "/root/testdata/sf0.01"
+    asked = {r[0] for r in spark.read.parquet(f"{folder}/embeddings.parquet").where("vec_id % 20 = 0").select("vec_id").collect()}
+    got = plans.QUERIES["cosine_topk_twentieth"](spark, folder)
+    assert {r[0] for r in got.select("query_id").collect()} == asked and len(asked) > 5
