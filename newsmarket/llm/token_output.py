@@ -32,22 +32,26 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-_BLANKS = re.compile(r" \s")
-
-
+#: Characters of a piece that is remembered, at most.
+LONGEST_KEPT = 64
+#: White space that touches other white space: its run is split by the vocabulary's own rules.
+_RUNS = re.compile(r"[ \n]\s")
+#: Before a blank or line feed between visible characters.
+_SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
 class Encoder(dict):
     """Ids (little-endian bytes) of texts, by way of remembered pieces.
 
-    A piece is a blank and the characters up to the next blank; it is kept without the blank. The
-    vocabulary's splitting never joins characters across a blank that stands between visible
-    characters, so a text's ids are those of its pieces in a row; a text with a blank before white
-    space or at an end is encoded whole, as is one that holds an added token's content. With
-    ``plain_added`` such content counts as plain text instead of the token. Letters, and signs after them, are words of their own to
-    the splitting, so they go to the model directly. Up to ``most`` pieces are remembered; then
-    the half learned first, which holds the common ones, stays.
+    A piece is a blank or line feed and what follows up to the next one; one after a blank is kept
+    without it. The vocabulary's splitting never joins characters across a blank or line feed that
+    stands between visible characters, so a text's ids are those of its pieces in a row; white
+    space in runs, and at an end, stays within its piece. A text that holds an added token's
+    content is encoded whole; with ``plain_added`` such content counts as plain text instead of
+    the token. Letters, and signs after them, are words of their own to the splitting, so they go
+    to the model directly. Up to ``most`` pieces are remembered; then the half learned first, which
+    holds the common ones, stays.
     """
 
     most = 600_000
@@ -55,14 +59,13 @@ class Encoder(dict):
     def __init__(self, path: str, plain_added: bool = False):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_added
-        added = [] if plain_added else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.added = [] if plain_added else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.blank = self.tokenizer.id_to_token(self.tokenizer.encode(" ", add_special_tokens=False).ids[0])
-        self.model, self.tails = self.tokenizer.model, {"": b""}
+        self.line, self.tokenize, self.tails = self.whole("\n"), self.tokenizer.model.tokenize, {"": b""}
         # Bytes stand as printable characters in the vocabulary; others than those follow from 256 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letters = {c: c for c in plain} | {c: 256 + k for k, c in enumerate(c for c in range(256) if c not in plain)}
@@ -70,43 +73,53 @@ class Encoder(dict):
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def _word(self, letters: str) -> bytes:
+    def _word(self, letters: str, before: str) -> bytes:
         mapped = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(self.blank + mapped)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        ids = [t.id for t in self.tokenize(before + mapped)]
+        return _PACKERS[len(ids)](*ids) if len(ids) < len(_PACKERS) else np.array(ids, "<u4").tobytes()
 
     def __missing__(self, piece: str) -> bytes:
+        after_line = piece[:1] == "\n"
         core = piece.rstrip(_SIGNS)
-        if not core.isalpha():
-            ids = self.whole(" " + piece)
-        elif core is piece or len(core) == len(piece):
-            ids = self._word(piece)
+        letters = core[1:] if after_line else core
+        if not letters.isalpha():
+            ids = self.whole(piece if after_line else " " + piece)
         else:
-            tail = piece[len(core) :]
-            if tail not in self.tails:
+            tail = self.tails.get(piece[len(core) :])
+            if tail is None:
                 if len(self.tails) > 50_000:
                     self.tails.clear()
-                self.tails[tail] = self.whole(tail)
-            ids = (dict.get(self, core) or self._word(core)) + self.tails[tail]
-        self[piece] = ids
+                tail = self.tails[piece[len(core) :]] = self.whole(piece[len(core) :])
+            ids = (tail and self.get(core)) or (self.line + self._word(letters, "") if after_line else self._word(letters, self.blank))
+            ids += tail
+        if len(piece) <= LONGEST_KEPT:
+            self[piece] = ids
         return ids
 
+    def _pieces(self, text: str) -> list[str]:
+        """The first piece as it stands, then the others."""
+        if not text[-1].isspace() and not _RUNS.search(text):
+            return text.replace("\n", " \n").split(" ")
+        first, *rest = _SAFE.split(text)
+        return [first, *(p[1:] if p[0] == " " else p for p in rest)]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self) >= self.most:
             kept = dict(islice(self.items(), self.most // 2))
             self.clear()
             self.update(kept)
         get, out = self.__getitem__, []
-        added = self.added.search if self.added else lambda t: None
         for t in texts:
-            if not t or t[0] == " " or t[-1] == " " or _BLANKS.search(t) or added(t):
+            if not t or any(a in t for a in self.added):
                 out.append(self.whole(t or ""))
             else:
-                first, _, rest = t.partition(" ")
-                out.append(self.whole(first) + b"".join(map(get, rest.split(" "))) if rest else self.whole(first))
+                pieces = self._pieces(t)
+                pieces[0], first = "", pieces[0]
+                out.append(self.whole(first) + b"".join(map(get, pieces)))
         return out
 
 
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(40)]
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
