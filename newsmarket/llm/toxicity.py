@@ -1,11 +1,11 @@
 """Toxicity by noisy-channel deobfuscation.
 
 A character language model is counted over all documents. A word that mixes letters with signs or
-digits, or repeats a letter, or is spaced out letter by letter, is a lattice: each character may
-stand for itself, for the letters it resembles, or for nothing. Viterbi decoding under the
-language model restores it. Words glued by signs count whole and in their parts. The restored words
-(and their beginnings) are scored by a logistic model that is fitted on a bounded sample of labelled
-documents.
+digits, or ends in them, or repeats a letter, or is spaced out letter by letter, is a lattice: a
+letter stands for itself (what repeats it may go), a sign or digit for the letters it resembles or
+for nothing. Viterbi decoding under the language model restores it; the word as it stands counts
+too, and words glued by signs count whole and in their parts. The words (and their beginnings) are
+scored by a logistic model that is fitted on a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +25,8 @@ from .common import read, shared_dir, small_batches, stored
 
 #: Labelled documents that the model is fitted on, at most; those of the smallest hashes.
 FIT_ROWS = 20_000
-#: Terms of the model, at most; those of the largest weight of evidence.
-TERMS = 400
-LEAST_DOCS = 4
+#: Terms of the model, at most: those of the largest weight of evidence, of those with more than LEAST_EVIDENCE.
+TERMS, LEAST_EVIDENCE = 400, 8.0
 FAR_BEHIND = 8.0  # states of glued words this much less likely than the best are dropped
 ORDER, SIZE = 4, 28  # letters a-z, other letters, and 0 for the edge of a word
 LONGEST = 24  # characters of a word that is decoded at once; longer ones in windows of twice that
@@ -45,14 +44,17 @@ _FOLD = np.zeros(0x250, np.uint8)
 for _c in range(0x250):
     _base = unicodedata.normalize("NFD", chr(_c).lower())[:1]
     _FOLD[_c] = ord(_base) - 96 if "a" <= _base <= "z" else 27 if chr(_c).isalpha() else 0
-_LETTERS = {k: chr(96 + k) for k in range(1, 27)} | {27: "?"}
-_ODD = re.compile(r"[^\W\d_][\d@$!|+€£(<¡*#_.\-~]+[^\W\d_]|^[\d@$!|+€£(<¡]+[^\W\d_]|(.)\1\1")
+OTHER = "ø"  # stands for every letter that folds to none of a-z
+_LETTERS = {k: chr(96 + k) for k in range(1, 27)} | {27: OTHER}
+_SIGN = "@$!|+€£(<¡*#"
+_ODD = re.compile(rf"[^\W\d_][\d{_SIGN}_.\-~]+[^\W\d_]|^[\d@$!|+€£(<¡]+[^\W\d_]|[^\W\d_][\d{_SIGN}_]+$|(.)\1\1")
 _SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*~]{1,2}(?:[^\W_]|[@$!|+])(?![^\W_])){3,}")
 _RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
-# Signs that no obfuscation uses part words; marks and zero-width characters belong to letters.
-_BREAKS = re.compile(r"[^\w@$!|+€£(<¡*#.\-~'’\u0300-\u036f\u0900-\u0eff\u200b-\u200f\u2060\ufeff]+")
-_GLUE = re.compile(r"[@$!|+€£(<¡*#.\-~_]+")
-_EDGES = re.compile(r"^[^\w@$!|+€£(<¡]+|[^\w]+$")
+# Signs that no obfuscation uses part words.
+_BREAKS = re.compile(rf"[^\w{_SIGN}.\-~'’]+")
+_GLUE = re.compile(rf"[{_SIGN}.\-~_]+")
+_EDGES = re.compile(rf"^[^\w@$!|+€£(<¡]+|[^\w{_SIGN}]+$")
+_PLAIN_EDGES = ".,;:?\"')]}[{…»«“”‘’"
 
 
 def classes(text: str) -> np.ndarray:
@@ -61,20 +63,26 @@ def classes(text: str) -> np.ndarray:
     return np.where(codes < 0x250, _FOLD[np.minimum(codes, 0x24F)], np.uint8(27)).astype(np.int32)
 
 
-_PLAIN = {c: _LETTERS.get(int(_FOLD[c])) for c in range(0x250)} | dict.fromkeys([0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
+# Letters as they fold; marks and zero-width characters go.
+_FLAT = {c: _LETTERS[int(_FOLD[c])] for c in range(0x250) if _FOLD[c]} | dict.fromkeys([*range(0x300, 0x370), 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 # Letters of other scripts that look like ours, read so within a word that has ours.
 TWINS = dict(zip("аеорсухіѕјԁһκνοαρτυι", "aeopcyxisjdhkvoaptui", strict=True))
-_CLASS = {chr(c): int(_FOLD[c]) for c in range(0x250)}
 _TRIPLE = re.compile(r"(.)\1\1")
 
 
-def folded(word: str) -> str:
-    """Letters without their marks; signs and digits go."""
-    if word.isascii() and word.isalpha():
+def flat(word: str) -> str:
+    """A word in lower case with its letters folded to a-z or OTHER; signs and digits stay."""
+    if word.isascii():
         return word
-    plain = word.translate(_PLAIN)
+    plain = word.translate(_FLAT)
+    if plain.isascii() or all(ch < "\u0250" for ch in plain):
+        return plain
     mixed = any("a" <= ch <= "z" for ch in plain)
-    return "".join(ch if ch < "\u0250" else TWINS.get(ch, "?") if mixed else "?" for ch in plain)
+    return "".join((TWINS.get(ch, OTHER) if mixed else OTHER) if ch >= "\u0250" and ch.isalpha() else ch for ch in plain)
+
+
+def letters_of(flat_word: str) -> str:
+    return flat_word if flat_word.isalpha() else "".join(filter(str.isalpha, flat_word))
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,21 +118,31 @@ def letter_model(docs: DataFrame) -> np.ndarray:
     return np.log(p).astype(np.float32)
 
 
-def decode(word: str, model: np.ndarray, glued: bool = False) -> str:
-    """The likeliest letters behind a word, or behind several ``glued`` ones; the states are the last three letters."""
-    chars = word.lower()
+def ways(chars: str, k: int) -> tuple[int, list[tuple[int, float]], float | None]:
+    """What the k-th character of a flat word may stand for: its own letter class (0: none), (letter, cost)
+    choices, and the cost of leaving it out. A letter is only left out (None here) after its like.
+    """
+    ch = chars[k]
+    if ch.isalpha():
+        return (ord(ch) - 96 if "a" <= ch <= "z" else 27), [(ord(ch) - 96 if "a" <= ch <= "z" else 27, -0.05)], None
+    options = [(ord(x) - 96, -0.7) for x in LOOKS_LIKE.get(ch, "")]
+    options += [(ord(x) - 96, -2.5) for x in VOWELS if ch in MASKS]
+    return 0, options, -0.3 if ch in SPACERS or k and ch == chars[k - 1] else -2.5
+
+
+def _repeat_cost(chars: str, k: int) -> float | None:
+    """Of leaving out a letter that repeats the one before it: little in a run of three."""
+    if not k or chars[k] != chars[k - 1]:
+        return None
+    return -0.5 if chars[k + 1 : k + 2] == chars[k] or k > 1 and chars[k - 2] == chars[k] else -3.0
+
+
+def decode(chars: str, model: np.ndarray, glued: bool = False) -> str:
+    """The likeliest letters behind a flat word, or behind several ``glued`` ones; the states are the last three letters."""
     states: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
-    for k, ch in enumerate(chars):
-        letter = _CLASS.get(ch, 27)
-        options: list[tuple[int, float]] = []
-        if letter:
-            options.append((letter, -0.05))
-        options += [(ord(x) - 96, -0.7) for x in LOOKS_LIKE.get(ch, "")]
-        if ch in MASKS:
-            options += [(ord(x) - 96, -2.5) for x in VOWELS]
-        skip = -0.3 if ch in SPACERS else -6.0 if letter else -2.5
-        run = k > 0 and ch == chars[k - 1]
-        long_run = run and (chars[k + 1 : k + 2] == ch or chars[k - 2 : k - 1] == ch and k > 1)
+    for k in range(len(chars)):
+        letter, options, skip = ways(chars, k)
+        again = _repeat_cost(chars, k) if letter else None
         if glued and k:
             edge = max((s + float(model[a, b, c, 0]) - 1.0, o) for (a, b, c), (s, o) in states.items())
             states[0, 0, 0] = max(states.get((0, 0, 0), edge), edge)
@@ -132,63 +150,73 @@ def decode(word: str, model: np.ndarray, glued: bool = False) -> str:
             states = {x: v for x, v in states.items() if v[0] >= least}
         new: dict[tuple[int, int, int], tuple[float, str]] = {}
         for (a, b, c), (score, out) in states.items():
-            ways = [((b, c, x), score + cost + float(model[a, b, c, x]), out + _LETTERS[x]) for x, cost in options]
-            ways.append(((a, b, c), score + (max(skip, -0.5 if long_run else -3.0) if run and letter == c else skip), out))
-            for state, s, o in ways:
-                if state not in new or s > new[state][0]:
+            found = [((b, c, x), score + cost + float(model[a, b, c, x]), out + _LETTERS[x]) for x, cost in options]
+            left_out = skip if not letter else again if letter == c else None
+            if left_out is not None:
+                found.append(((a, b, c), score + left_out, out))
+            for state, s, o in found:
+                if state not in new or (s, o) > new[state]:
                     new[state] = (s, o)
         states = new
     return max((s + float(model[a, b, c, 0]), o) for (a, b, c), (s, o) in states.items())[1]
 
 
 class Restorer(dict):
-    """Maps a word to its restored words, remembering up to ``most`` words at a time.
+    """Maps a word in lower case to its restored words, remembering up to ``most`` words at a time.
 
     They are the whole word, what stands between signs that no obfuscation uses, and, as other signs
-    may be letters or separate words, also what stands between those.
+    may be letters or separate words, also what stands between those: each as it stands and, if it
+    is a lattice, decoded. ``may(flat word, anywhere)`` can tell that no decoding is of use.
     """
 
     most = 200_000
 
-    def __init__(self, model: np.ndarray):
+    def __init__(self, model: np.ndarray, may: Callable[[str, bool], bool] = lambda word, anywhere: True):
         super().__init__()
-        self.model = model
+        self.model, self.may = model, may
 
     def __missing__(self, word: str) -> tuple[str, ...]:
-        core = word if word.isalpha() else _EDGES.sub("", word)
-        if core.isalpha() and not _TRIPLE.search(core):
-            out = (folded(core),)
-        else:
-            core = _RUN.sub(r"\1\1\1", core)
-            pieces = [p for p in _BREAKS.split(core) if p]
-            found = self._one(core) if len(core) <= LONGEST or len(pieces) == 1 else []
-            if not core.isalpha():
-                parts = [g for p in pieces for g in _GLUE.split(p)]
-                for part in dict.fromkeys([*pieces, *parts]):
-                    part = _EDGES.sub("", part)
-                    if part != core and len(part) > 2:
-                        found += self._one(part)
-            out = tuple(dict.fromkeys(found))
+        out = self.readings(word)
         if len(self) >= self.most:
             self.clear()
         if len(word) <= 4 * LONGEST:
             self[word] = out
         return out
 
-    def _one(self, core: str) -> list[str]:
-        """A piece as it reads; of a long lattice, what begins at any letter."""
-        if core.isdigit() or not _ODD.search(core):
-            return [folded(core)] if core else []
-        if len(core) <= LONGEST:
-            return [decode(core, self.model)]
-        return list(decoded_windows(core, self.model, glued=True)) if any(ch.isalpha() for ch in core) else []
-
+    def readings(self, word: str) -> tuple[str, ...]:
+        core = flat(word.strip(_PLAIN_EDGES))
+        if core.isalpha() and not _TRIPLE.search(core):
+            return (core,)
+        core = _RUN.sub(r"\1\1\1", _EDGES.sub("", core))
+        pieces = [p for p in _BREAKS.split(core) if p]
+        found = self._one(core) if len(core) <= LONGEST or len(pieces) == 1 else []
+        if not core.isalpha():
+            parts = [g for p in pieces for g in _GLUE.split(p)]
+            for part in dict.fromkeys([*pieces, *parts]):
+                part = _EDGES.sub("", part)
+                if part != core and len(part) > 2:
+                    found += self._one(part)
+        return tuple(dict.fromkeys(found))
 
-def decoded_windows(run: str, model: np.ndarray, glued: bool = False) -> Iterator[str]:
+    def _one(self, core: str) -> list[str]:
+        """A piece as it stands, and decoded; of a long lattice, what begins at any letter."""
+        plain = letters_of(core)
+        found = [plain] if plain else []
+        if plain and _ODD.search(core):
+            if len(core) > LONGEST:
+                found += decoded_windows(core, self.model, self.may, glued=True)
+            elif self.may(core, False):
+                found.append(decode(core, self.model))
+        return found
+
+
+def decoded_windows(run: str, model: np.ndarray, may: Callable[[str, bool], bool], glued: bool = False) -> Iterator[str]:
     """Each beginning of a word in overlapping windows: what has up to LONGEST characters lies in one of them."""
     for k in range(0, max(1, len(run) - LONGEST), LONGEST):
-        letters = decode(run[k : k + 2 * LONGEST], model, glued)
-        yield from (letters[i:] for i in range(len(letters) - 2))
+        window = run[k : k + 2 * LONGEST]
+        if may(window, True):
+            letters = decode(window, model, glued)
+            yield from (letters[i:] for i in range(len(letters) - 2))
 
 
 def restored_words(text: str | None, words: Restorer) -> set[str]:
@@ -197,18 +225,18 @@ def restored_words(text: str | None, words: Restorer) -> set[str]:
         return set()
     low = text.lower()
     out = {x for w in set(low.split()) for x in words[w]}
-    return out.union(spaced_words(low, words.model))
+    return out.union(spaced_words(low, words))
 
 
-def spaced_words(low: str, model: np.ndarray) -> list[str]:
+def spaced_words(low: str, words: Restorer) -> list[str]:
     """Words spelled letter by letter: each run is decoded in windows, and as single letters before a word
     join its run, a word may start at any letter of it.
     """
     out = []
     for m in _SPACED.finditer(low):
-        run = m.group()
+        run = flat(m.group())
         if any(ch.isalpha() for ch in run):
-            out += decoded_windows(run, model)
+            out += decoded_windows(run, words.model, words.may)
     return out
 
 
@@ -217,43 +245,58 @@ def _terms(word: str) -> list[str]:
     return [] if len(word) < 3 else [f"={word}", *(word[:n] for n in range(4, min(9, len(word) + 1)))]
 
 
+def _lattice_of(head: str) -> str:
+    """A pattern of all flat words whose decoding may begin with ``head``."""
+    stands = lambda x: x + "".join(c for c, of in LOOKS_LIKE.items() if x in of) + (MASKS if x in VOWELS else "")
+    return "".join(f"[{re.escape(stands(x))}](?:{x}|[^a-z{OTHER}])*" for x in head)
+
+
 class Scorer:
     """What a task needs: the letter model, the terms and their weights."""
 
+    most = 200_000
+
     def __init__(self, model: np.ndarray, terms: list[str], weights: np.ndarray, bias: float):
         self.model, self.terms, self.weights, self.bias = model, {t: k for k, t in enumerate(terms)}, weights, bias
         self.heads = {t.lstrip("=")[:4] for t in terms}
+        self.of_word: dict[str, tuple[int, ...]] = {}
         self.words: Restorer | None = None
 
+    def _begin(self) -> None:
+        """Once in each worker."""
+        any_head = "|".join(sorted(map(_lattice_of, self.heads))) or "(?!)"
+        at_start, anywhere = re.compile(f"[^a-z{OTHER}]*(?:{any_head})").match, re.compile(any_head).search
+        self.words = Restorer(self.model, lambda word, inside: bool((anywhere if inside else at_start)(word)))
+
     def found(self, text: str | None) -> list[int]:
         if self.words is None:
-            self.words = Restorer(self.model)
-            self.words.most, self.of_word = 20_000, {}
+            self._begin()
         if not text:
             return []
         low, known, hits = text.lower(), self.of_word, set()
         for w in set(low.split()):
             ids = known.get(w)
             if ids is None:
-                if len(known) >= Restorer.most:
+                ids = self._look(w)
+                if len(known) >= self.most:
                     known.clear()
-                ids = known[w] = self._look(w)
+                if len(w) <= 4 * LONGEST:
+                    known[w] = ids
             if ids:
                 hits.update(ids)
-        for word in spaced_words(low, self.model):
-            hits.update(self._ids(word) or ())
+        for word in spaced_words(low, self.words):
+            hits.update(self._ids(word))
         return sorted(hits)
 
-    def _look(self, w: str) -> tuple[int, ...] | None:
+    def _look(self, w: str) -> tuple[int, ...]:
         """Terms of a raw word; a plain word whose first letters begin no term needs no more."""
-        if w.isalpha():
-            plain = w if w.isascii() else folded(w)
-            if plain[:4] not in self.heads and not _TRIPLE.search(w):
-                return None
-        return tuple({i for word in self.words[w] for i in self._ids(word) or ()}) or None
+        core = w if w.isalpha() else w.strip(_PLAIN_EDGES)
+        if core.isalpha() and flat(core)[:4] not in self.heads and not _TRIPLE.search(core):
+            return ()
+        return tuple({i for word in self.words.readings(w) for i in self._ids(word)})
 
-    def _ids(self, word: str) -> tuple[int, ...] | None:
-        return tuple(self.terms[t] for t in _terms(word) if t in self.terms) or None if len(word) > 2 else None
+    def _ids(self, word: str) -> list[int]:
+        return [self.terms[t] for t in _terms(word) if t in self.terms] if word[:4] in self.heads else []
 
     def score(self, text: str | None) -> float:
         z = self.bias + float(self.weights[self.found(text)].sum())
@@ -280,13 +323,13 @@ def _fit(rows: list[tuple[list[int], int]], n: int) -> tuple[np.ndarray, float]:
 def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, path: str) -> Scorer:
     """A scorer fitted on up to FIT_ROWS labelled documents outside the held-out fifth.
 
-    Terms are gathered from the toxic ones and counted in the others; without both kinds of
-    label the score is a constant.
+    Equal texts count once. Terms are gathered from the toxic ones and counted in the others; without
+    both kinds of label the score is a constant.
     """
     labels = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
     labels = labels.where("_id is not null and _toxic in (0, 1)").where(~held_out("_id")).groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
     few = stored(labels.orderBy(F.xxhash64("_id"), "_id").limit(FIT_ROWS), f"{path}/few")  # bounded, so it may be broadcast
-    rows = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(few), "_id").select("_toxic", "text")
+    rows = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(few), "_id").select("_toxic", "text").dropDuplicates(["_toxic", "text"])
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +355,9 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, path: str) -> Sco
             yield pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array(list(n.values()), pa.int64())], ["term", "n"])
 
         got = sample.where(F.col("toxic") == kind).select("words").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-        return dict(got.where(F.col("n") >= LEAST_DOCS).orderBy(F.desc("n"), "term").limit(100_000).collect()) if keep is None else dict(got.collect())
+        # What can't reach the least evidence, were it in no other document, is not counted there.
+        most = F.col("n") * F.log((F.col("n") + 0.5) / (bad + 1) * (good + 1) / 0.5)
+        return dict((got if wanted is not None else got.where(most > LEAST_EVIDENCE)).collect())
 
     in_bad = counted(1, None)
     in_good = counted(0, list(in_bad))
@@ -321,7 +366,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, path: str) -> Sco
         p, q = (in_bad[t] + 0.5) / (bad + 1), (in_good.get(t, 0) + 0.5) / (good + 1)
         return in_bad[t] * math.log(p / q) if p > 3 * q else 0.0
 
-    terms = sorted((t for t in in_bad if evidence(t) > 8), key=lambda t: (-evidence(t), t))[:TERMS]
+    terms = sorted((t for t in in_bad if evidence(t) > LEAST_EVIDENCE), key=lambda t: (-evidence(t), t))[:TERMS]
     scorer = Scorer(model, terms, np.zeros(len(terms)), 0.0)
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

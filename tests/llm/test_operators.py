@@ -210,11 +210,59 @@ def test_toxicity_glued_and_long_words(spark):
     rng = random.Random(2)
     clean = "the quick brown fox and other animals sleep under warm trees today".split()
     text = lambda bad: " ".join(rng.choices(clean, k=20) + ["idiot"] * bad)
-    bad = ["fox,idiot today", "fox.idiot today", "the quick/brown/animals/under/idiot", "iiiiiidiiiiiioooooootttttt", "quickbrownanimalsunder1d10twarmtrees"]
+    bad = ["an idio7", "you idiot!!!", "what an 1d107", "the idiot$$$", "x-y-z-idiot-quick-brown-foxes-sleep", "fox,idiot today", "fox.idiot today", "the quick/brown/animals/under/idiot", "iiiiiidiiiiiioooooootttttt", "quickbrownanimalsunder1d10twarmtrees"]
     good = ["fox,trees today", "the quick/brown/animals/under/trees", "ffffffffffoooooooooooooxxxxxxxx", "quickbrownanimalsund3rtr33swarmtrees"]
     d = docs(spark, *[text(k % 2) for k in range(200)], *bad, *good)
     got = {r["doc_id"]: r["predicted"] for r in toxicity.scores(d, labels).collect()}
-    assert [got[k] for k in range(200, 209)] == [1] * len(bad) + [0] * len(good)
+    assert [got[k] for k in range(200, 200 + len(bad + good))] == [1] * len(bad) + [0] * len(good)
+
+
+def test_decode_brute():
+    rng = np.random.default_rng(7)
+    model = np.log(rng.random((toxicity.SIZE,) * 4, dtype=np.float32) ** 3 + 1e-6)
+
+    def paths(chars, k, hist, score, out):
+        if k == len(chars):
+            yield score + float(model[*hist, 0]), out
+            return
+        letter, options, skip = toxicity.ways(chars, k)
+        for x, cost in options:
+            yield from paths(chars, k + 1, (*hist[1:], x), score + cost + float(model[*hist, x]), out + toxicity._LETTERS[x])
+        left_out = skip if not letter else toxicity._repeat_cost(chars, k) if letter == hist[-1] else None
+        if left_out is not None:
+            yield from paths(chars, k + 1, hist, score + left_out, out)
+
+    r = random.Random(1)
+    for _ in range(150):
+        word = "".join(r.choice("aabi1!0$*.-4ø") for _ in range(r.randrange(1, 8)))
+        assert toxicity.decode(word, model) == max(paths(word, 0, (0, 0, 0), 0.0, ""))[1], word
+
+
+def test_decode_restores_each_place(spark):
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = toxicity.letter_model(texts)
+    counts = texts.selectExpr("explode(split(lower(text), '[^a-z]+')) as w").where("length(w) between 5 and 9").groupBy("w").count()
+    common = [r["w"] for r in counts.orderBy(F.desc("count"), "w").limit(200).collect()]
+    signs = {of[0]: c for c, of in reversed(toxicity.LOOKS_LIKE.items()) if c.isdigit()}
+    words = toxicity.Restorer(model)
+    for change, least in ((lambda w: w[:-1] + signs[w[-1]], 0.85), (lambda w: w[:2] + signs[w[2]] + w[3:], 0.85), (lambda w: "".join(signs.get(c, c) for c in w), 0.7)):
+        fit = [w for w in common if w[-1] in signs and w[2] in signs]
+        assert len(fit) > 20 and sum(w in words[change(w)] for w in fit) >= least * len(fit)
+    for raw in ("bl00dy", "m4rket"):  # a letter is never left out
+        assert all(len(x) >= 4 for x in words[raw])
+    assert "plain" in words["plain!"] and "plain" in words["plain1"] and toxicity.flat("i\u200bd\u0301iöт") == "idioø"
+
+
+def test_terms_are_those_without_pruning(spark):
+    model = np.log(np.random.default_rng(3).random((toxicity.SIZE,) * 4, dtype=np.float32) + 1e-6)
+    scorer = toxicity.Scorer(model, ["=idiot", "idio", "=ass", "moro", "moron"], np.zeros(5), 0.0)
+    scorer.found("")
+    free = toxicity.Restorer(model)
+    r = random.Random(4)
+    texts = [" ".join("".join(r.choice("idiotmrnas10$@!.*- ø") for _ in range(r.randrange(3, 30))) for _ in range(6)) for _ in range(150)]
+    for text in texts + ["1d1o7", "id!ot...", "m o r o n y", "a$$", "mor0n" + "x" * 40]:
+        want = {scorer.terms[t] for w in toxicity.restored_words(text, free) for t in toxicity._terms(w) if t in scorer.terms}
+        assert set(scorer.found(text)) == want, text
 
 
 # Token files
