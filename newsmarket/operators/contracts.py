@@ -10,22 +10,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmarket.functions.lists import clean_entities, clean_tickers
-from newsmarket.functions.text import blank_to_null, guid, iso_instant
+from newsmarket.functions.text import blank_to_null, bound, guid, iso_instant
 
 Rule = tuple[str, Column, str]  # reason, condition that breaks it, message
 
 
+#: A reason that any other reason of a row wins over, whatever the order.
+WEAK = "TYPE_MISMATCH"
+
+
 def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The first broken rule gives the reason; the detail joins the messages of all broken rules (2048 characters)."""
-    broken = [F.coalesce(c, F.lit(False)) for _, c, _ in rules]
-    reason = F.coalesce(*[F.when(b, F.lit(r)) for b, (r, _, _) in zip(broken, rules, strict=True)])
-    detail = F.concat_ws("; ", *[F.when(b, F.lit(m)) for b, (_, _, m) in zip(broken, rules, strict=True)])
-    return df.withColumn("rejection_reason", reason).withColumn("rejection_detail", F.when(reason.isNotNull(), F.left(detail, F.lit(2048))))
+    """The first broken rule gives the reason, those of WEAK after all others; the detail joins the
+    messages of all broken rules (2048 characters). Each condition is evaluated once.
+    """
+
+    def outcome(broken: Column) -> Column:
+        at = [F.get(broken, F.lit(k)) for k in range(len(rules))]
+        order = sorted(range(len(rules)), key=lambda k: rules[k][0] == WEAK)
+        reason = F.coalesce(*[F.when(at[k], F.lit(rules[k][0])) for k in order])
+        detail = F.left(F.concat_ws("; ", *[F.when(b, F.lit(m)) for b, (_, _, m) in zip(at, rules, strict=True)]), F.lit(2048))
+        return F.struct(reason.alias("reason"), F.when(reason.isNotNull(), detail).alias("detail"))
 
+    found = bound(F.array(*[F.coalesce(c, F.lit(False)) for _, c, _ in rules]), outcome)
+    out = df.withColumn("rejection_reason", found)
+    return out.withColumns({"rejection_reason": F.col("rejection_reason.reason"), "rejection_detail": F.col("rejection_reason.detail")})
+
+
+def with_absent(raw: DataFrame, types: dict[str, str]) -> tuple[DataFrame, list[Rule]]:
+    """The columns with those that the input lacks as nulls, and a rule for each of the latter: absent is
+    MISSING_FIELD, while a null is of the wrong type.
+    """
+    absent = [c for c in types if c not in raw.columns]
+    raw = raw.withColumns({c: F.lit(None).cast(types[c]) for c in absent})
+    return raw, [("MISSING_FIELD", F.lit(True), f"{c}: field is absent") for c in absent]
 
-def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows, and the rest with their payload as JSON."""
-    payload = F.to_json(F.struct(*[c for c in df.columns if not c.startswith("rejection_")]))
+
+def split(df: DataFrame, payload_of: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Valid rows, and the rest with their payload (all columns, or those named) as JSON."""
+    payload = F.to_json(F.struct(*(payload_of or [c for c in df.columns if not c.startswith("rejection_")])))
     return df.where("rejection_reason is null").drop("rejection_reason", "rejection_detail"), df.where("rejection_reason is not null").withColumn("raw_payload", payload)
 
 
@@ -42,17 +64,19 @@ def news_contract(raw: DataFrame, sources: list[str], bypass: Column, limits: tu
     url, n = F.col("url"), F.length
     bad = lambda c, most: F.col(c).isNull() | (n(c) < 1) | (n(c) > most)
     absolute = url.rlike(r"^(?i)https?://[^\s/?#]+") & F.try_parse_url(url, F.lit("HOST")).isNotNull()
-    fields = bad("title", limits[0]) | bad("content", limits[1]) | (n("sector") > 64)
     entity = F.col("tickers").isNotNull() | blank_to_null(F.col("sector")).isNotNull() | F.col("entities").isNotNull()
     rules = [
-        ("UNKNOWN_SOURCE", F.col("source").isNull() | ~F.col("source").isin(sources), "source is unknown"),
-        ("INVALID_URL", blank_to_null(url).isNull(), "url is blank"),
-        ("INVALID_DATE", F.col("published_ts").isNull(), "date is no ISO time"),
-        ("INVALID_URL", ~absolute | (n(url) > limits[2]), "url is not absolute"),
-        ("TYPE_MISMATCH", fields, "a field is missing or too long"),
-        ("MISSING_ENTITY", ~entity & ~F.coalesce(F.col("macro_bypass"), F.lit(False)), "no ticker, sector or entity"),
+        ("UNKNOWN_SOURCE", F.col("source").isNull() | ~F.col("source").isin(sources), "source: unknown"),
+        ("INVALID_URL", blank_to_null(url).isNull(), "url: blank"),
+        ("INVALID_DATE", F.col("published_ts").isNull(), "published_at: no ISO time"),
+        ("INVALID_URL", ~absolute | (n(url) > limits[2]), "url: not absolute or too long"),
+        ("TYPE_MISMATCH", bad("title", limits[0]), f"title: no text of 1 to {limits[0]} characters"),
+        ("TYPE_MISMATCH", bad("content", limits[1]), f"content: no text of 1 to {limits[1]} characters"),
+        ("TYPE_MISMATCH", n("sector") > 64, "sector: more than 64 characters"),
     ]
-    out = apply_rules(raw, rules)
+    clean = ~bad("title", limits[0]) & ~bad("content", limits[1]) & ~F.coalesce(n("sector") > 64, F.lit(False))
+    entity_rule = ("MISSING_ENTITY", clean & ~entity & ~F.coalesce(F.col("macro_bypass"), F.lit(False)), "no ticker, sector or entity")
+    out = apply_rules(raw, [*rules, entity_rule])
     keyed = blank_to_null(F.col("source")).isNotNull() & blank_to_null(url).isNotNull() & F.col("published_ts").isNotNull()
     return out.withColumn("guid", F.when(keyed, guid(F.col("source"), url, F.col("published_ts"))))
 
@@ -60,27 +84,36 @@ def news_contract(raw: DataFrame, sources: list[str], bypass: Column, limits: tu
 def price_contract(raw: DataFrame) -> DataFrame:
     """ticker, date, open, high, low, close, adj_close, volume -> checked rows.
 
-    A missing or out-of-range field wins over the day's coherence, which is tested only if all fields pass.
+    The first absent or out-of-range field in this order wins over those of the wrong type (null, or a
+    bad ticker); NaN is out of range. The day's coherence is tested only if all fields pass.
     """
     prices = ("open", "high", "low", "close", "adj_close")
-    raw = raw.withColumn("ticker", F.upper(F.trim("ticker"))).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in prices})
-    missing = F.lit(False)
+    raw, absent = with_absent(raw, {"ticker": "string", "date": "date"} | dict.fromkeys(prices, "double") | {"volume": "long"})
+    lacking = {message.split(":")[0] for _, _, message in absent}
+    raw = raw.withColumn("ticker", F.upper(F.trim("ticker")))
+    rules: list[Rule] = []
     for c in ("ticker", "date", *prices, "volume"):
-        missing = missing | F.col(c).isNull()
-    rng = F.col("volume") < 0
-    for c in prices:
-        rng = rng | (F.col(c) <= 0)
-    outside = (F.col("low") > F.col("high")) | ~F.col("open").between(F.col("low"), F.col("high")) | ~F.col("close").between(F.col("low"), F.col("high"))
-    return apply_rules(raw, [("MISSING_FIELD", missing, "a field is missing"), ("OUT_OF_RANGE", rng, "a price is not positive or the volume is negative"), ("OUT_OF_RANGE", outside, "open or close is outside the day's range")])
+        wrong = F.col(c).isNull() | ~F.length("ticker").between(1, 32) if c == "ticker" else F.col(c).isNull()
+        out_of_range = F.col(c) < 0 if c == "volume" else (F.col(c) <= 0) | F.isnan(c) if c in prices else F.lit(False)
+        rules += [r for r in absent if r[2].startswith(f"{c}:")] if c in lacking else [("OUT_OF_RANGE", out_of_range, f"{c}: out of range"), (WEAK, wrong, f"{c}: null or of the wrong type")]
+    passed = F.lit(True)
+    for _, broken, _ in rules:
+        passed = passed & ~F.coalesce(broken, F.lit(False))
+    low, high = F.col("low"), F.col("high")
+    coherence = [(low > high, "low is above high"), (~F.col("open").between(low, high), "open is outside the day's range"), (~F.col("close").between(low, high), "close is outside the day's range")]
+    return apply_rules(raw, [*rules, *(("OUT_OF_RANGE", passed & broken, message) for broken, message in coherence)])
 
 
 def macro_contract(raw: DataFrame) -> DataFrame:
-    """series_id, date, value -> checked rows; values of any sign pass."""
+    """series_id, date, value -> checked rows; values of any sign, and NaN, pass."""
+    raw, absent = with_absent(raw, {"series_id": "string", "date": "date", "value": "double"})
+    lacking = {message.split(":")[0] for _, _, message in absent}
     raw = raw.withColumn("series_id", F.upper(F.trim("series_id")))
-    missing = blank_to_null(F.col("series_id")).isNull() | F.col("date").isNull() | F.col("value").isNull() | F.isnan("value")
-    return apply_rules(raw, [("MISSING_FIELD", missing, "a field is missing"), ("TYPE_MISMATCH", F.length("series_id") > 32, "the id is too long")])
+    wrong = {"series_id": F.col("series_id").isNull() | ~F.length("series_id").between(1, 32), "date": F.col("date").isNull(), "value": F.col("value").isNull()}
+    return apply_rules(raw, [*absent, *((WEAK, c, f"{name}: null or of the wrong type") for name, c in wrong.items() if name not in lacking)])
 
 
+# The measures of a statement.
 MEASURES = ("ingresos_totales", "utilidad_neta", "utilidad_por_accion", "activo_total", "pasivo_total", "capital_contable", "flujo_operativo", "flujo_libre")
 
 
@@ -116,3 +149,21 @@ def route(df: DataFrame, routes: dict[str, list[str]], retired: list[str] | None
 def summary(checked: DataFrame) -> DataFrame:
     """Rows for each source and reason ('VALID' for none)."""
     return checked.groupBy("source", F.coalesce("rejection_reason", F.lit("VALID")).alias("reason")).agg(F.count("*").alias("n_rows"))
+
+
+def run_summary(checked: DataFrame, target: DataFrame, key: str = "guid", skipped: Column | None = None) -> DataFrame:
+    """source, n_new, n_updated, n_quarantined, n_skipped of one run against the target it is loaded into.
+
+    Valid rows are applied one by one: the first of a key that the target lacks is new, the others
+    are updates. Rows for which ``skipped`` holds count as nothing else. Running the same rows
+    against the loaded target gives n_new = 0.
+    """
+    skip = F.coalesce(skipped, F.lit(False)) if skipped is not None else F.lit(False)
+    kind = F.when(skip, "s").when(F.col("rejection_reason").isNotNull(), "q").otherwise("v")
+    per_key = checked.select("source", F.when(kind == "v", F.col(key)).alias(key), kind.alias("kind")).groupBy("source", key, "kind").agg(F.count("*").alias("n"))
+    known = target.select(F.col(key), F.lit(True).alias("known_")).distinct()
+    per_key = per_key.join(known, key, "left")
+    fresh = F.when((F.col("kind") == "v") & F.col("known_").isNull(), 1).otherwise(0)
+    count = lambda k: F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0))
+    out = per_key.groupBy("source").agg(F.sum(fresh).cast("long").alias("n_new"), count("v").alias("n_valid"), count("q").alias("n_quarantined"), count("s").alias("n_skipped"))
+    return out.select("source", "n_new", (F.col("n_valid") - F.col("n_new")).alias("n_updated"), "n_quarantined", "n_skipped")

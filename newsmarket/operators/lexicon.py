@@ -5,24 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsmarket.functions.text import fold, terms_present, whole_word
+from newsmarket.functions.text import terms_present, with_terms
 
 
 def labels_present(text: Column, aliases: dict[str, list[str]]) -> Column:
-    """Sorted labels with an alias that occurs as a whole word. One pattern a label: no row is multiplied."""
-    low = fold(text)
-    found = [F.when(low.rlike("|".join(map(whole_word, terms))), F.lit(label)) for label, terms in aliases.items()]
-    return F.array_sort(F.array_compact(F.array(*found)))
+    """Sorted labels with an alias that occurs as a whole word; no row is multiplied."""
+    terms = [t for of in aliases.values() for t in of]
+    return with_terms(text, terms, lambda has: F.array_sort(F.array_compact(F.array(*[F.when(has(of), F.lit(label)) for label, of in aliases.items()]))))
 
 
 def first_label(text: Column, ordered: list[tuple[str, list[str]]]) -> Column:
     """The first label, in the lexicon's order, with a term in the text."""
-    low = fold(text)
-    return F.coalesce(*[F.when(low.rlike("|".join(map(whole_word, terms))), F.lit(label)) for label, terms in ordered])
+    terms = [t for _, of in ordered for t in of]
+    return with_terms(text, terms, lambda has: F.coalesce(*[F.when(has(of), F.lit(label)) for label, of in ordered]))
 
 
 def macro_terms(text: Column, terms: list[str]) -> Column:
-    return terms_present(fold(text), terms)
+    return terms_present(text, terms)
 
 
 def macro_bypass(text: Column, source: Column, terms: list[str], trusted: list[str]) -> Column:

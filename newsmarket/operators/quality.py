@@ -26,11 +26,115 @@ def count_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def report(checks: dict[str, DataFrame]) -> DataFrame:
-    """criterion, status, evidence: each check is a one-row table (ok boolean, evidence long)."""
-    rows = [df.select(F.lit(name).alias("criterion"), F.when(F.col("ok"), "PASS").otherwise("FAIL").alias("status"), F.col("evidence").cast("long").alias("evidence")) for name, df in checks.items()]
+    """criterion, status, evidence: each check is a one-row table (ok boolean, evidence long); a null ok is WARN:
+    there is nothing to show the criterion with.
+    """
+    status = F.when(F.col("ok").isNull(), "WARN").when(F.col("ok"), "PASS").otherwise("FAIL")
+    rows = [df.select(F.lit(name).alias("criterion"), status.alias("status"), F.col("evidence").cast("long").alias("evidence")) for name, df in checks.items()]
     return reduce(DataFrame.unionByName, rows)
 
 
+def at_least(df: DataFrame, condition: Column, least: int = 1) -> DataFrame:
+    """A check: so many rows meet a condition; their number is the evidence."""
+    return df.agg(F.count_if(condition).alias("evidence")).withColumn("ok", F.col("evidence") >= least)
+
+
+def none_of(df: DataFrame, condition: Column) -> DataFrame:
+    """A check: no row meets a condition."""
+    return df.agg(F.count_if(condition).alias("evidence")).withColumn("ok", F.col("evidence") == 0)
+
+
+def all_of(df: DataFrame, condition: Column) -> DataFrame:
+    """A check: there are rows and each meets a condition; without rows it is a WARN."""
+    got = df.agg(F.count("*").alias("evidence"), F.count_if(condition).alias("met"))
+    return got.select("evidence", F.when(F.col("evidence") > 0, F.col("met") == F.col("evidence")).alias("ok"))
+
+
+def under(df: DataFrame, measure: Column, limit: float) -> DataFrame:
+    """A check that only warns: the mean of a measure is under a limit."""
+    return df.agg(F.round(F.avg(measure)).cast("long").alias("evidence")).select("evidence", F.when(F.col("evidence") < limit, True).alias("ok"))
+
+
+def acceptance(batches: DataFrame, checked: DataFrame, enriched: DataFrame, correlated: DataFrame, counts: DataFrame, index: DataFrame, hits: DataFrame, sources: int = 5) -> DataFrame:
+    """The acceptance criteria of a run as rows.
+
+    batches: source, date, damaged; checked: as a contract returns it, with guid and macro_bypass;
+    enriched: sentiment, ma_event, fintech_flag, companies; correlated: relation, news_date,
+    next_session, price_date, next_day_return_pct; counts: as ``count_diff`` gives them; index: one
+    row an indexed vector; hits: one row a search result, with milliseconds ``ms`` if they were measured.
+    """
+    per_day = batches.groupBy("source", "date").agg(F.count("*").alias("n"))
+    twice = checked.where("rejection_reason is null").groupBy("guid").agg(F.count("*").alias("n"))
+    weekend = correlated.where(F.dayofweek("news_date").isin(6, 7, 1))
+    resolved = (F.col("next_session") > F.col("news_date")) & ~F.dayofweek("next_session").isin(7, 1) & (F.col("price_date") >= F.col("next_session"))
+    always = F.lit(True)
+    fast = {"search_under_500_ms": under(hits, F.col("ms"), 500)} if "ms" in hits.columns else {}
+    return report(
+        {
+            "bronze_sources": at_least(batches.select("source").distinct(), always, sources),
+            "bronze_several_batches_a_day": at_least(per_day, F.col("n") > 1),
+            "bronze_intact": none_of(batches, F.col("damaged")),
+            "contract_missing_entity": at_least(checked, F.col("rejection_reason") == "MISSING_ENTITY"),
+            "contract_macro_bypass": at_least(checked, F.col("rejection_reason").isNull() & F.col("macro_bypass")),
+            "unique_guids": none_of(twice, F.col("n") > 1),
+            "rerun_adds_nothing": none_of(counts, F.col("n_added") != 0),
+            "names_found": at_least(enriched, F.size("companies") > 0),
+            "sentiment_assigned": all_of(enriched, F.col("sentiment").isNotNull()),
+            "deals_found": at_least(enriched, F.col("ma_event")),
+            "fintechs_tagged": at_least(enriched, F.col("fintech_flag")),
+            "proxies_used": at_least(correlated, F.col("relation") == "proxy"),
+            "weekend_to_session": all_of(weekend, resolved),
+            "returns_correlated": at_least(correlated, F.col("next_day_return_pct").isNotNull()),
+            "index_filled": at_least(index, always),
+            "search_answers": at_least(hits, always),
+            **fast,
+        }
+    )
+
+
+# The rules that the tables' own checks state, for assert_table.
+
+
+def news_rules(sources: list[str]) -> dict[str, Column]:
+    """Of validated news."""
+    filled = lambda c: F.coalesce(F.size(c) > 0, F.lit(False))
+    entity = F.col("macro_bypass") | filled("tickers") | F.coalesce(F.length("sector") > 0, F.lit(False)) | filled("entities")
+    return {"guid_sha256": F.col("guid").rlike("^[0-9a-f]{64}$"), "known_source": F.col("source").isin(sources), "title_length": F.length("title").between(1, 1024), "content_length": F.length("content").between(1, 8192), "entity_or_bypass": F.coalesce(entity, F.lit(False))}
+
+
+def rejection_rules(reasons: tuple[str, ...] = ("MISSING_ENTITY", "TYPE_MISMATCH", "INVALID_URL", "INVALID_DATE", "MISSING_FIELD", "OUT_OF_RANGE", "DUPLICATE_KEY", "UNKNOWN_SOURCE")) -> dict[str, Column]:
+    """Of the quarantine."""
+    return {"known_reason": F.col("rejection_reason").isin(list(reasons))}
+
+
+def price_rules() -> dict[str, Column]:
+    positive = F.lit(True)
+    for c in ("open", "high", "low", "close", "adj_close"):
+        positive = positive & (F.col(c) > 0)
+    low, high = F.col("low"), F.col("high")
+    return {"positive_prices": positive, "volume_not_negative": F.col("volume") >= 0, "day_range": (low <= high) & F.col("open").between(low, high) & F.col("close").between(low, high)}
+
+
+def fundamental_rules(measures: tuple[str, ...]) -> dict[str, Column]:
+    return {"assets_positive": F.col("activo_total") > 0, "liabilities_not_negative": F.col("pasivo_total") >= 0, "some_measure": F.coalesce(*measures).isNotNull()}
+
+
+def enriched_rules(kinds: list[str]) -> dict[str, Column]:
+    """Of enriched news: sentiment, its score, and deals whose kind is none unless there is one."""
+    return {
+        "known_sentiment": F.col("sentiment").isin("positive", "negative", "neutral"),
+        "sentiment_score_range": F.col("sentiment_score").between(0, 1),
+        "known_deal": F.col("ma_kind").isin(kinds),
+        "deal_score_range": F.col("ma_score").between(0, 1),
+        "deal_coherent": F.col("ma_event") | (F.col("ma_kind") == "none"),
+    }
+
+
+def correlation_rules() -> dict[str, Column]:
+    """Of correlations: a proxy has a ticker in its place, a direct one has none, and no price is before its news."""
+    return {"proxy_coherent": F.col("is_proxy") == F.col("proxy_ticker").isNotNull(), "price_after_news": F.col("price_date") >= F.col("news_date")}
+
+
 def samples(df: DataFrame, by: str, order: list[str], n: int) -> DataFrame:
     """Up to ``n`` rows of each value of ``by``."""
     from pyspark.sql import Window

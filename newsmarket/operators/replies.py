@@ -9,7 +9,7 @@ from newsmarket.functions.lists import clamp01, clean_texts, within
 
 SENTIMENTS = ["positive", "negative", "neutral"]
 NER = "tickers array<string>, personas array<string>, empresas array<string>, sectores array<string>, sentimiento string, confianza_sentimiento string, _bad string"
-MA = "es_evento_ma string, tipo_ma string, confianza_ma string, fintechs array<string>, bancos_tradicionales array<string>, sector_afectado string, _bad string"
+MA = "es_evento_ma variant, tipo_ma string, confianza_ma string, fintechs array<string>, bancos_tradicionales array<string>, sector_afectado string, _bad string"
 
 
 def unfenced(x: Column) -> Column:
@@ -43,12 +43,18 @@ def sanitize_ner(reply: Column, universe: list[str], sectors: list[str]) -> Colu
     )
 
 
+def truthy(x: Column) -> Column:
+    """Whether a JSON value (variant) is neither absent, null, false, zero nor empty."""
+    said = F.to_json(x)
+    return said.isNotNull() & ~said.isin("null", "false", '""', "[]", "{}") & F.coalesce(said.try_cast("double") != 0, F.lit(True))
+
+
 def sanitize_ma(reply: Column, kinds: list[str], fintechs: list[str], sectors: list[str], lexicon_sector: Column) -> Column:
     """Event only if the flag is true and the kind is known and not none; the fintech flag follows from names
-    in the dictionary; a missing sector falls back to the lexicon if there are fintechs. The text "false" is false.
+    in the dictionary; a missing sector falls back to the lexicon if there are fintechs. Any filled text, "false" too, is a true flag.
     """
     kind = F.lower(F.trim(reply["tipo_ma"]))
-    event = F.coalesce(reply["es_evento_ma"].try_cast("boolean") & kind.isin([k for k in kinds if k != "none"]), F.lit(False))
+    event = F.coalesce(truthy(reply["es_evento_ma"]) & kind.isin([k for k in kinds if k != "none"]), F.lit(False))
     found = within(clean_texts(reply["fintechs"]), fintechs)
     sector = F.when(reply["sector_afectado"].isin(sectors), reply["sector_afectado"])
     return F.struct(

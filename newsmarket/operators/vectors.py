@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,31 +29,71 @@ def wrong_size(vectors: DataFrame, dim: int) -> DataFrame:
 
 
 def top_k(vectors: DataFrame, query: list[float], k: int) -> DataFrame:
-    """vec_id, score, rank of the k nearest to one query by cosine, ties to smaller ids."""
+    """vec_id, score, rank of the k nearest to one query by cosine in double precision, ties to smaller ids."""
     q = F.array(*[F.lit(float(x)) for x in query])
-    scored = vectors.select("vec_id", F.round(dot(normalised(F.col("embedding")), normalised(q)), 4).alias("score"))
+    scored = vectors.select("vec_id", dot(normalised(F.col("embedding")), normalised(q)).alias("score"))
     best = scored.orderBy(F.desc("score"), "vec_id").limit(k)
     return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "vec_id")))
 
 
-def top_k_many(vectors: DataFrame, queries: DataFrame, k: int, most: int = 1000) -> DataFrame:
-    """query_id, vec_id, score, rank for a stated set of queries, in blocks of ``most`` against all rows.
+def _unit(rows: list, dim: int) -> np.ndarray:
+    x = np.array(rows, np.float64).reshape(len(rows), dim)
+    norm = np.sqrt((x * x).sum(1, keepdims=True))
+    return x / np.where(norm == 0, 1.0, norm)
+
+
+def _block(vectors: DataFrame, ids: list[int], queries: np.ndarray, k: int) -> DataFrame:
+    """query_id, vec_id, score: in each task the k best of each query of a block, by matrix products."""
+    held = vectors.sparkSession.sparkContext.broadcast((np.array(ids, np.int64), queries))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query_id, q = held.value
+        best: list[list[tuple[float, int]]] = [[] for _ in query_id]
+        for batch in batches:
+            rows = [(i, v) for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if v is not None and len(v) == q.shape[1]]
+            if not rows:
+                continue
+            ident, x = np.array([i for i, _ in rows], np.int64), _unit([v for _, v in rows], q.shape[1])
+            rough = q @ x.T
+            least = np.partition(rough, -min(k, len(rows)), axis=1)[:, -min(k, len(rows))]
+            # The product's last digits depend on a row's place, so equal vectors are scored again one by one.
+            for j, at in zip(*np.nonzero(rough >= least[:, None] - 1e-9), strict=True):
+                best[j].append((-float((q[j] * x[at]).sum()), int(ident[at])))
+            for j, found in enumerate(best):
+                if len(found) > k:
+                    best[j] = sorted(found)[:k]
+        flat = [(int(query_id[j]), i, -d) for j, found in enumerate(best) for d, i in found]
+        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in flat], pa.int64()), pa.array([f[1] for f in flat], pa.int64()), pa.array([f[2] for f in flat], pa.float64())], ["query_id", "vec_id", "score"])
+
+    return vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(search, "query_id long, vec_id long, score double")
+
+
+def top_k_many(vectors: DataFrame, queries: DataFrame, k: int, most: int = 1000, folder: str | None = None) -> DataFrame:
+    """query_id, vec_id, score, rank for a stated set of queries, in blocks against all rows.
 
-    A block's queries go to each row as one array; the window keeps k for each query in each task
-    before rows move.
+    Scores are cosines in double precision, ties go to smaller ids; vectors that are null or not as
+    long as the queries take no part. The driver holds the queries of one block, about ``most``, at
+    a time; each task keeps k rows a query. Queries for more than one block need a shared
+    ``folder``, where the blocks' results are written.
     """
-    rows = queries.select("query_id", "embedding").orderBy("query_id").toLocalIterator()
-    blocks, now = [], []
-    for r in rows:
-        now.append((r["query_id"], [float(x) for x in r["embedding"]]))
-        if len(now) == most:
-            blocks, now = [*blocks, now], []
-    out = None
+    spark = vectors.sparkSession
+    queries = queries.where("query_id is not null and embedding is not null").select(F.col("query_id").cast("long"), F.col("embedding").cast("array<double>").alias("q"))
+    blocks = max(1, math.ceil(queries.count() / most))
+    found = None
+    for n in range(blocks):
+        rows = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == n).collect()
+        if not rows:
+            continue
+        one = _block(vectors, [r["query_id"] for r in rows], _unit([r["q"] for r in rows], len(rows[0]["q"])), k)
+        if blocks == 1:
+            found = one
+        elif folder is None:
+            raise ValueError("more queries than a block holds: give a shared folder")
+        else:
+            found = found or f"{folder}/{uuid.uuid4().hex}"
+            one.write.mode("append").parquet(found)
+    if found is None:
+        return spark.createDataFrame([], "query_id long, vec_id long, score double, rank int")
+    found = spark.read.parquet(found) if isinstance(found, str) else found
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    for block in [*blocks, now] if now or not blocks else blocks:
-        asked = vectors.sparkSession.createDataFrame(block, "query_id long, q array<double>").select("query_id", normalised(F.col("q")).alias("q"))
-        packed = asked.agg(F.collect_list(F.struct("query_id", "q")).alias("qs"))  # one row of at most ``most`` queries
-        flat = vectors.select("vec_id", normalised(F.col("embedding")).alias("v")).join(F.broadcast(packed)).select("vec_id", "v", F.explode("qs").alias("q"))
-        best = flat.select("q.query_id", "vec_id", F.round(dot(F.col("v"), F.col("q.q")), 4).alias("score")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        out = best if out is None else out.unionByName(best)
-    return out
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from newsmarket.functions.text import fold
 from newsmarket.operators import asof, calendar, correlate as corr, metrics, upsert, vectors
 
-from .testbed import BENCHMARK, adapter, oracle, table
+from .testbed import BENCHMARK, adapter, oracle, shared_folder, table
 
 R = 4
 QUERIES, SQL = {}, {}
@@ -203,7 +203,7 @@ ctx AS (SELECT d.news_date, count(DISTINCT x.series_id) AS n_macro FROM (SELECT
 FOUR = ("news", "sessions", "px", "macro")
 
 
-def _result(spark, d):
+def correlations(spark, d):
     news = local_news(spark, d)
     prices = metrics.with_returns(adapter(spark, d, "px"))
     sessions = adapter(spark, d, "sessions")
@@ -213,26 +213,26 @@ def _result(spark, d):
 
 @query("correlate", f"WITH {CORR} SELECT guid, ticker, relation, label, news_date, next_session, price_date, close, round(next_day_return_pct, {R}) AS next_day_return_pct, round(change_5d_pct, {R}) AS change_5d_pct, n_macro FROM c JOIN ctx USING (news_date)", *FOUR)
 def correlate(spark, d):
-    out = _result(spark, d)[3].withColumn("n_macro", F.coalesce(F.size("macro_context"), F.lit(0)).cast("long"))
+    out = correlations(spark, d)[3].withColumn("n_macro", F.coalesce(F.size("macro_context"), F.lit(0)).cast("long"))
     return rounded(out.select("guid", "ticker", "relation", "label", "news_date", "next_session", "price_date", "close", "next_day_return_pct", "change_5d_pct", "n_macro"), "next_day_return_pct", "change_5d_pct")
 
 
 @query("uncorrelated_reasons", f"""WITH {CORR} SELECT CASE WHEN guid IN (SELECT guid FROM c) THEN 'correlated' WHEN guid NOT IN (SELECT guid FROM targets) THEN 'no_target' WHEN next_session IS NULL THEN 'outside_calendar' ELSE 'no_price' END AS reason, count(*) AS n_news FROM dated GROUP BY 1""", *FOUR)
 def uncorrelated_reasons(spark, d):
-    news, found, sessions, result = _result(spark, d)
+    news, found, sessions, result = correlations(spark, d)
     return corr.reasons(news.select("guid", "news_date"), found, result, sessions)
 
 
 @query("negative_then_fall", f"WITH {CORR} SELECT c.guid, c.ticker, c.relation, c.price_date, round(c.next_day_return_pct, {R}) AS next_day_return_pct, n.title FROM c JOIN n USING (guid) WHERE n.sentiment = 'negative' AND c.next_day_return_pct < -2", *FOUR)
 def negative_then_fall(spark, d):
-    news, _, _, result = _result(spark, d)
+    news, _, _, result = correlations(spark, d)
     out = corr.negative_then_fall(result, news)
     return rounded(out.select("guid", "ticker", "relation", "price_date", "next_day_return_pct", "title"), "next_day_return_pct")
 
 
 @query("largest_move", f"WITH {CORR} SELECT guid, ticker, price_date, round(next_day_return_pct, {R}) AS next_day_return_pct FROM c WHERE next_day_return_pct IS NOT NULL ORDER BY abs(next_day_return_pct) DESC, guid, ticker LIMIT 1", *FOUR)
 def largest_move(spark, d):
-    out = _result(spark, d)[3].where("next_day_return_pct is not null").orderBy(F.desc(F.abs("next_day_return_pct")), "guid", "ticker").limit(1)
+    out = correlations(spark, d)[3].where("next_day_return_pct is not null").orderBy(F.desc(F.abs("next_day_return_pct")), "guid", "ticker").limit(1)
     return rounded(out.select("guid", "ticker", "price_date", "next_day_return_pct"), "next_day_return_pct")
 
 
@@ -241,7 +241,7 @@ def largest_move(spark, d):
 (SELECT string_agg(series_id || '=' || CAST(CAST(round(v, 2) AS DECIMAL(18,2)) AS VARCHAR), ',' ORDER BY series_id) FROM (SELECT series_id, max_by(value, date) AS v FROM macro GROUP BY 1)) AS macro
 FROM px WHERE ticker = '1-URGENT'""", *FOUR)
 def market_context(spark, d):
-    result = _result(spark, d)[3]
+    result = correlations(spark, d)[3]
     return corr.market_context(adapter(spark, d, "px"), result, adapter(spark, d, "macro"), "1-URGENT")
 
 
@@ -256,33 +256,33 @@ def l2_normalize(spark, d):
 
 
 def _top(extra: str = "", qs: str = "0", k: int = 10) -> str:
-    return f"""WITH {UNIT}, s AS (SELECT q.vec_id AS query_id, u.vec_id, round(list_dot_product(u.e, q.e) / (u.n * q.n), {R}) AS score FROM u, u q WHERE q.vec_id IN ({qs}) {extra}),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s) SELECT * FROM r WHERE rank <= {k}"""
+    return f"""WITH {UNIT}, s AS (SELECT q.vec_id AS query_id, u.vec_id, list_dot_product(u.e, q.e) / (u.n * q.n) AS score FROM u, u q WHERE q.vec_id IN ({qs}) {extra}),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s) SELECT * REPLACE (round(score, {R}) AS score) FROM r WHERE rank <= {k}"""
 
 
-def _vector(spark, d, vec_id):
+def vector_of(spark, d, vec_id):
     return table(spark, d, "embeddings").where(F.col("vec_id") == vec_id).select("embedding").first()[0]
 
 
 @query("cosine_topk", f"SELECT vec_id, score, rank, label FROM ({_top()}) JOIN embeddings USING (vec_id)")
 def cosine_topk(spark, d):
     v = table(spark, d, "embeddings")
-    return vectors.top_k(v, _vector(spark, d, 0), 10).join(v.select("vec_id", "label"), "vec_id")
+    return rounded(vectors.top_k(v, vector_of(spark, d, 0), 10), "score").join(v.select("vec_id", "label"), "vec_id")
 
 
 @query("cosine_topk_multi", _top(qs="0, 1, 2, 3, 4"))
 def cosine_topk_multi(spark, d):
     v = table(spark, d, "embeddings")
-    return vectors.top_k_many(v, v.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), "embedding"), 10)
+    return rounded(vectors.top_k_many(v, v.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), "embedding"), 10), "score")
 
 
 @query("cosine_topk_twentieth", _top(qs="SELECT vec_id FROM embeddings WHERE vec_id % 20 = 0"))
 def cosine_topk_twentieth(spark, d):
     v = table(spark, d, "embeddings")
-    return vectors.top_k_many(v, v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), 10)
+    return rounded(vectors.top_k_many(v, v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), 10, folder=shared_folder(spark)), "score")
 
 
 @query("hybrid_topk", f"SELECT vec_id, score, rank FROM ({_top('AND u.vec_id IN (SELECT vec_id FROM embeddings WHERE label = 3)')})")
 def hybrid_topk(spark, d):
     v = table(spark, d, "embeddings")
-    return vectors.top_k(v.where("label = 3"), _vector(spark, d, 0), 10)
+    return rounded(vectors.top_k(v.where("label = 3"), vector_of(spark, d, 0), 10), "score")

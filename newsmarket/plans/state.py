@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from newsmarket.functions import text
-from newsmarket.operators import quality, replies, upsert
+from newsmarket.operators import quality, replies, upsert, vectors
 from newsmarket.sources import bronze, feeds
 from newsmarket.streaming import incremental
 
-from .testbed import adapter, oracle, table
+from .market import CORR, FOUR, correlations, vector_of as correlation_vector
+from .testbed import adapter, oracle, shared_folder, table
 from .text import CHECKED, SOURCES, TERMS, TRUSTED, checked_news
 
 QUERIES, SQL = {}, {}
@@ -27,12 +26,6 @@ def query(name: str, sql: str | None = None, *names: str):
     return keep
 
 
-def _folder(spark) -> str:
-    """A fresh folder that all executors see, under the cluster's checkpoint folder or the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 # Orders before 1997 are the target; later ones, with their customer as key, come as updates.
 SIDES = """t AS (SELECT o_custkey AS k, max_by(o_totalprice, o_orderkey) AS v, max_by(o_orderpriority, o_orderkey) AS w, min_by(o_orderdate, o_orderkey) AS first_seen FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY 1),
 u AS (SELECT o_custkey AS k, max_by(o_totalprice, o_orderkey) AS v, max_by(o_orderpriority, o_orderkey) AS w, min_by(o_orderdate, o_orderkey) AS first_seen FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY 1)"""
@@ -135,9 +128,9 @@ def idempotence_diff(spark, d):
 def _replies(spark, d):
     i = F.col("doc_id")
     ticker = F.when(i % 4 == 0, "GFNORTE").otherwise('"GFNORTE"')
-    ner = F.concat(F.lit('{"tickers": ['), ticker, F.lit(', "INVENTED", " GFNORTE "], "sectores": ["banks", "moon"], "personas": ["Ana", " Ana ", ""], "sentimiento": "'), F.when(i % 3 == 0, "Positive").when(i % 3 == 1, "angry").otherwise("negative"), F.lit('", "confianza_sentimiento": '), F.when(i % 5 == 0, "1.7").when(i % 5 == 1, "-3").when(i % 5 == 2, '"0.8"').when(i % 5 == 3, '"high"').otherwise("0.5"), F.lit("}"))
+    ner = F.concat(F.lit('{"tickers": ['), ticker, F.lit(', "INVENTED", " GFNORTE "], "sectores": ["banks", "moon"], "personas": ["Ana", " Ana ", ""], "empresas": ["Acme "], "sentimiento": "'), F.when(i % 3 == 0, "Positive").when(i % 3 == 1, "angry").otherwise("negative"), F.lit('", "confianza_sentimiento": '), F.when(i % 5 == 0, "1.7").when(i % 5 == 1, "-3").when(i % 5 == 2, '"0.8"').when(i % 5 == 3, '"high"').otherwise("0.5"), F.lit("}"))
     ner = F.when(i % 7 == 0, F.concat(F.lit("```json\n"), ner, F.lit("\n```"))).when(i % 11 == 0, F.lit("no json")).otherwise(ner)
-    ma = F.concat(F.lit('{"es_evento_ma": '), F.when(i % 2 == 0, "true").when(i % 3 == 0, '"false"').otherwise("false"), F.lit(', "tipo_ma": "'), F.when(i % 4 == 0, "merger").when(i % 4 == 2, "none").otherwise("odd"), F.lit('", "confianza_ma": 0.4, "fintechs": ["'), F.when(i % 3 == 0, "Clip").otherwise("Nobody"), F.lit('"], "sector_afectado": '), F.when(i % 5 == 0, '"banks"').otherwise("null"), F.lit("}"))
+    ma = F.concat(F.lit('{"es_evento_ma": '), F.when(i % 2 == 0, "true").when(i % 3 == 0, '"false"').otherwise("false"), F.lit(', "tipo_ma": "'), F.when(i % 4 == 0, "merger").when(i % 4 == 2, "none").when(i % 9 == 0, "acquisition").otherwise("odd"), F.lit('", "confianza_ma": 0.4, "fintechs": ["'), F.when(i % 3 == 0, "Clip").otherwise("Nobody"), F.lit('"], "sector_afectado": '), F.when(i % 5 == 0, '"banks"').otherwise("null"), F.lit("}"))
     x = table(spark, d, "documents")
     return x.select("doc_id", F.lit("ner").alias("pass"), ner.alias("reply_text")).unionByName(x.select("doc_id", F.lit("ma").alias("pass"), ma.alias("reply_text")))
 
@@ -156,7 +149,7 @@ def sanitize_ner(spark, d):
     return s.select("doc_id", *[F.array_join(f"s.{c}", ",").alias(c) for c in ("tickers", "sectors", "persons")], "s.sentiment", "s.sentiment_score")
 
 
-@query("sanitize_ma", """SELECT doc_id, doc_id % 4 = 0 AS ma_event, CASE WHEN doc_id % 4 = 0 THEN 'merger' ELSE 'none' END AS ma_kind, CASE WHEN doc_id % 3 = 0 THEN 'Clip' ELSE '' END AS fintechs, doc_id % 3 = 0 AS fintech_flag,
+@query("sanitize_ma", """SELECT doc_id, doc_id % 4 = 0 OR (doc_id % 2 = 1 AND doc_id % 9 = 0) AS ma_event, CASE WHEN doc_id % 4 = 0 THEN 'merger' WHEN doc_id % 2 = 1 AND doc_id % 9 = 0 THEN 'acquisition' ELSE 'none' END AS ma_kind, CASE WHEN doc_id % 3 = 0 THEN 'Clip' ELSE '' END AS fintechs, doc_id % 3 = 0 AS fintech_flag,
 CASE WHEN doc_id % 5 = 0 THEN 'banks' WHEN doc_id % 3 = 0 THEN lang END AS sector_affected FROM documents""")
 def sanitize_ma(spark, d):
     lang = table(spark, d, "documents").select("doc_id", "lang")
@@ -239,7 +232,7 @@ def explode_series(spark, d):
 
 @query("bronze_roundtrip", "SELECT lang AS source, '2026-01-01' AS date, count(*) AS n_rows, sum(n_chars)::BIGINT AS n_chars, CAST(0 AS BIGINT) AS n_damaged FROM documents GROUP BY lang")
 def bronze_roundtrip(spark, d):
-    root, x = _folder(spark), table(spark, d, "documents")
+    root, x = shared_folder(spark), table(spark, d, "documents")
     for lang in ("en", "fr", "de", "es"):
         bronze.write_batch(x.where(F.col("lang") == lang).withColumn("tags", F.array("lang")), root, "news", lang, "2026-01-01")
     back = bronze.read_batches(spark, root, "doc_id long, text string, n_chars long, tags array<string>", category="news")
@@ -252,7 +245,7 @@ def feed_xml(spark, d):
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     title = F.trim(F.regexp_replace(F.substring("text", 1, 60), r"\s+", " "))
     item = F.concat(F.lit("<item><title>"), esc(title), F.lit("</title><guid>"), F.col("doc_id").cast("string"), F.lit("</guid></item>"))
-    path = _folder(spark)
+    path = shared_folder(spark)
     feed = F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list("item"), ""), F.lit("</channel></rss>"))
     items = table(spark, d, "documents").select(F.col("source"), item.alias("item"))
     feeds_ = items.groupBy("source", F.pmod(F.xxhash64("item"), F.lit(4)).alias("part")).agg(feed.alias("value"))
@@ -262,7 +255,7 @@ def feed_xml(spark, d):
 
 @query("seed_dictionary", "SELECT c_name AS legal_name, c_mktsegment AS sector, 'radar' AS source FROM customer")
 def seed_dictionary(spark, d):
-    path = _folder(spark)
+    path = shared_folder(spark)
     c = table(spark, d, "customer").select(F.col("c_name").alias("legal_name"), F.col("c_name").alias("commercial_name"), F.lit(None).cast("string").alias("ticker"), F.col("c_mktsegment").alias("sector"), F.lit("MX").alias("country"))
     arrays = c.groupBy(F.col("sector").alias("part")).agg(F.to_json(F.collect_list(F.struct(*c.columns))).alias("value"))
     arrays.write.partitionBy("part").text(path)  # one array a file
@@ -277,28 +270,68 @@ def html_table_rows(spark, d):
     return feeds.table_rows(p.select("page_id", page.alias("h")), "h", "Event").select("page_id", F.col("cells")["Event"].alias("event"), "link")
 
 
-@query("stream_validate", f"WITH {CHECKED} SELECT coalesce(rejection_reason, 'VALID') AS reason, count(*) AS n_rows FROM r GROUP BY 1", "news_raw")
+@query("stream_validate", f"""WITH {CHECKED} SELECT coalesce(rejection_reason, 'VALID') AS reason, count(*) + count(*) FILTER (rejection_reason IS NOT NULL AND guid IS NULL AND doc_id % 12 = 0) AS n_rows, count(*) FILTER (rejection_reason IS NULL AND doc_id % 12 = 0) AS n_changed,
+CAST(coalesce(sum(CASE WHEN rejection_reason IS NOT NULL THEN CASE WHEN doc_id % 12 = 0 THEN 2 ELSE 1 END END), 0) AS BIGINT) AS n_rejections FROM r GROUP BY 1""", "news_raw")
 def stream_validate(spark, d):
     from newsmarket.operators import contracts, lexicon
 
-    path = _folder(spark)
-    raw = adapter(spark, d, "news_raw").withColumn("sent", F.lit("2026-01-01T00:00:00")).withColumn("tickers", F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("X"))))
+    path = shared_folder(spark)
+    raw = adapter(spark, d, "news_raw").withColumn("tickers", F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("X"))))
     raw = raw.withColumn("sector", F.lit(None).cast("string")).withColumn("entities", F.lit(None).cast("array<string>"))
-    schema = "doc_id long, source string, title string, content string, url string, published_at string, sent string, tickers array<string>, sector string, entities array<string>"
+    schema = "doc_id long, source string, title string, content string, url string, published_at string, tickers array<string>, sector string, entities array<string>"
     check = lambda df: contracts.news_contract(df, SOURCES, lexicon.macro_bypass(F.col("content"), F.col("source"), TERMS, TRUSTED))
-    for part in (0, 1):  # the second landing repeats a third of the first
-        raw.where(f"doc_id % 2 = {part} or doc_id % 6 = 0").write.mode("append").option("ignoreNullFields", False).json(f"{path}/landed")
-        incremental.run(spark, f"{path}/landed", schema, check, f"{path}/valid", f"{path}/quarantine", f"{path}/state", time="sent", key="doc_id")
-    good, bad = spark.read.parquet(f"{path}/valid"), spark.read.parquet(f"{path}/quarantine")
-    rows = good.select(F.lit("VALID").alias("reason")).unionByName(bad.select(F.col("rejection_reason").alias("reason")))
-    return rows.groupBy("reason").agg(F.count("*").alias("n_rows"))
-
-
-@query("quality_report", f"""WITH {CHECKED}, d AS (SELECT count(*) AS n FROM (SELECT guid FROM r WHERE rejection_reason IS NULL GROUP BY 1 HAVING count(*) > 1)), q AS (SELECT count(*) AS n FROM r WHERE rejection_reason IS NOT NULL), p AS (SELECT count(*) FILTER (NOT low <= high) AS n FROM px)
-SELECT 'unique_guids' AS criterion, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, n AS evidence FROM d UNION ALL SELECT 'quarantine_used', CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END, n FROM q UNION ALL SELECT 'price_order', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, n FROM p""", "news_raw", "px")
+    # The second landing repeats a third of the first, half of it with another title.
+    changed = raw.where("doc_id % 2 = 1 or doc_id % 6 = 0").withColumn("title", F.when(F.col("doc_id") % 12 == 0, "changed").otherwise(F.col("title")))
+    for landing in (raw.where("doc_id % 2 = 0"), changed):
+        landing.write.mode("append").option("ignoreNullFields", False).json(f"{path}/landed")
+        incremental.run(spark, f"{path}/landed", schema, check, f"{path}/valid", f"{path}/quarantine", f"{path}/state", key="doc_id")
+    good = incremental.current(spark, f"{path}/valid", ["guid"], ["published_ts"])
+    bad = incremental.current_quarantine(spark, f"{path}/quarantine")
+    rows = good.select(F.lit("VALID").alias("reason"), (F.col("title") == "changed").cast("int").alias("changed"), F.lit(0).cast("long").alias("times"))
+    rows = rows.unionByName(bad.select("reason", F.lit(0).alias("changed"), F.col("times_rejected").alias("times")))
+    return rows.groupBy("reason").agg(F.count("*").alias("n_rows"), F.sum("changed").alias("n_changed"), F.sum("times").alias("n_rejections"))
+
+
+@query("enriched_assertions", """SELECT unnest(['known_sentiment', 'sentiment_score_range', 'known_deal', 'deal_score_range', 'deal_coherent']) AS rule, unnest([count(*) * 0, count(*) * 0, count(*) * 0, count(*) * 0, count(*) * 0]) AS n_violations FROM documents""")
+def enriched_assertions(spark, d):
+    return quality.assert_table(_enriched(spark, d), quality.enriched_rules(["merger", "acquisition", "none"]))
+
+
+def _enriched(spark, d):
+    r = replies.combine_passes(_replies(spark, d).withColumnRenamed("doc_id", "guid")).where("errors < 2")
+    ner = replies.sanitize_ner(replies.parse(F.col("ner"), replies.NER), ["GFNORTE", "WALMEX"], ["banks", "retail"])
+    ma = replies.sanitize_ma(replies.parse(F.col("ma"), replies.MA), ["merger", "acquisition", "none"], ["Clip", "Kueski"], ["banks"], F.lit(None).cast("string"))
+    return r.select("guid", ner.alias("n"), ma.alias("m")).select("guid", "n.*", "m.*")
+
+
+_CRITERIA = {
+    "bronze_sources": ("n_sources", "n_sources >= 5"), "bronze_several_batches_a_day": ("n_several", "n_several > 0"), "bronze_intact": ("0", "true"),
+    "contract_missing_entity": ("missing", "missing > 0"), "contract_macro_bypass": ("bypass", "bypass > 0"), "unique_guids": ("twice", "twice = 0"), "rerun_adds_nothing": ("0", "true"),
+    "names_found": ("names", "names > 0"), "sentiment_assigned": ("enriched", "CASE WHEN enriched > 0 THEN true END"), "deals_found": ("deals", "deals > 0"), "fintechs_tagged": ("fintechs", "fintechs > 0"),
+    "proxies_used": ("proxies", "proxies > 0"), "weekend_to_session": ("weekend", "CASE WHEN weekend > 0 THEN true END"), "returns_correlated": ("returns", "returns > 0"), "index_filled": ("vectors", "vectors > 0"), "search_answers": ("least(vectors, 10)", "vectors > 0"),
+}
+
+
+@query("quality_report", f"""WITH a AS (WITH {CHECKED} SELECT count(*) FILTER (rejection_reason = 'MISSING_ENTITY') AS missing, count(*) FILTER (rejection_reason IS NULL AND n_terms >= CASE WHEN source IN ('src1', 'src2') THEN 1 ELSE 2 END) AS bypass,
+  count(*) FILTER (rejection_reason IS NULL) - count(DISTINCT CASE WHEN rejection_reason IS NULL THEN guid END) AS twice FROM r),
+b AS (WITH {CORR} SELECT count(*) FILTER (relation = 'proxy') AS proxies, count(*) FILTER (dayofweek(news_date) IN (5, 6, 0)) AS weekend, count(next_day_return_pct) AS returns FROM c),
+e AS (SELECT count(*) FILTER (doc_id % 7 = 0 OR doc_id % 11 <> 0) AS names, count(*) AS enriched, count(*) FILTER (doc_id % 4 = 0 OR (doc_id % 2 = 1 AND doc_id % 9 = 0)) AS deals, count(*) FILTER (doc_id % 3 = 0) AS fintechs, count(DISTINCT source) AS n_sources FROM documents),
+s AS (SELECT count(*) AS n_several FROM (SELECT source FROM documents GROUP BY source HAVING count(DISTINCT lang) > 1)), v AS (SELECT count(*) AS vectors FROM embeddings)
+SELECT u.criterion, CASE WHEN u.ok THEN 'PASS' WHEN NOT u.ok THEN 'FAIL' ELSE 'WARN' END AS status, u.evidence FROM (SELECT unnest([{", ".join(f"struct_pack(criterion := '{k}', ok := {ok}, evidence := CAST({n} AS BIGINT))" for k, (n, ok) in _CRITERIA.items())}]) AS u FROM a, b, e, s, v)""", "news_raw", *FOUR)
 def quality_report(spark, d):
-    checked = checked_news(spark, d)
-    twice = upsert.duplicate_keys(checked.where("rejection_reason is null"), ["guid"]).agg(F.count("*").alias("evidence"))
-    bad = checked.agg(F.count("rejection_reason").alias("evidence"))
-    order = quality.assert_table(adapter(spark, d, "px"), {"low": F.col("low") <= F.col("high")}).select(F.col("n_violations").alias("evidence"))
-    return quality.report({"unique_guids": twice.withColumn("ok", F.col("evidence") == 0), "quarantine_used": bad.withColumn("ok", F.col("evidence") > 0), "price_order": order.withColumn("ok", F.col("evidence") == 0)})
+    x, v = table(spark, d, "documents"), table(spark, d, "embeddings")
+    batches = x.select("source", F.lit("2026-01-01").alias("date"), "lang").distinct().withColumn("damaged", F.lit(False))
+    target, updates = _sides(spark, d)
+    once = upsert.upsert(target, updates, *ARGS)
+    counts = quality.count_diff(quality.row_counts({"customers": once}), quality.row_counts({"customers": upsert.upsert(once, updates, *ARGS)}))
+    hits = vectors.top_k(v, correlation_vector(spark, d, 0), 10)
+    return quality.acceptance(batches, checked_news(spark, d), _enriched(spark, d), correlations(spark, d)[3], counts, v, hits)
+
+
+# A correlation as the table that holds it: a proxy's ticker stands apart.
+@query("correlation_assertions", f"WITH {CORR} SELECT unnest(['proxy_coherent', 'price_after_news']) AS rule, unnest([count(*) FILTER (relation = 'proxy' AND date_part('day', price_date) = 1), count(*) * 0]) AS n_violations FROM c", *FOUR)
+def correlation_assertions(spark, d):
+    c = correlations(spark, d)[3].withColumn("is_proxy", F.col("relation") == "proxy")
+    # On the first of a month the proxy's ticker is lost.
+    c = c.withColumn("proxy_ticker", F.when(F.col("is_proxy") & (F.dayofmonth("price_date") != 1), F.col("ticker")))
+    return quality.assert_table(c, quality.correlation_rules())

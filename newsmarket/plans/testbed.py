@@ -7,6 +7,7 @@ given table.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder that all executors see, under the cluster's checkpoint folder or, on one machine only, the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = ADAPTERS[name]
     for k, v in _SPARK.items():

@@ -54,13 +54,16 @@ def truncate_words(spark, d):
     return docs(spark, d).select("doc_id", text.truncate_words(F.col("text"), 200).alias("short"))
 
 
+# The references that the pages hold; the ampersand comes last.
+REFERENCES = {"&nbsp;": "\u00a0", "&copy;": "©", "&quot;": '"', "&middot;": "·", "&lt;": "<", "&gt;": ">", "&#39;": "''", "&apos;": "''", "&amp;": "&"}
+
+
 def _html_sql() -> str:
-    x = "regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>', ' ', 'g')"
-    x = f"regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g')"
-    for ref, ch in text.ENTITIES.items():
-        new = ch.replace("'", "''")
-        x = f"replace({x}, '{ref}', '{new}')"
-    return f"SELECT page_id, md5(CASE WHEN contains(html, '<') THEN trim(regexp_replace({x}, '\\s+', ' ', 'g')) ELSE html END) AS text_md5 FROM pages"
+    x = "regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|</?[a-z!?][^>]*>', chr(1), 'g')"
+    for ref, ch in REFERENCES.items():
+        x = f"replace({x}, '{ref}', '{ch}')"
+    nodes = f"list_filter(list_transform(string_split({x}, chr(1)), lambda n: regexp_replace(n, '^[\\s\u00a0]+|[\\s\u00a0]+$', '', 'g')), lambda n: n <> '')"
+    return f"SELECT page_id, md5(CASE WHEN contains(html, '<') THEN array_to_string({nodes}, ' ') ELSE html END) AS text_md5 FROM pages"
 
 
 @query("html_to_text", _html_sql())
@@ -152,6 +155,27 @@ def rejections_by_reason(spark, d):
     return contracts.summary(checked_news(spark, d))
 
 
+@query("run_summary", f"""WITH {CHECKED}, k AS (SELECT source, guid, CASE WHEN doc_id % 30 = 1 THEN 's' WHEN rejection_reason IS NOT NULL THEN 'q' ELSE 'v' END AS kind, guid IN (SELECT guid FROM r WHERE rejection_reason IS NULL AND doc_id % 3 = 0) AS known FROM r)
+SELECT source, count(DISTINCT CASE WHEN kind = 'v' AND NOT known THEN guid END) AS n_new, count(*) FILTER (kind = 'v') - count(DISTINCT CASE WHEN kind = 'v' AND NOT known THEN guid END) AS n_updated, count(*) FILTER (kind = 'q') AS n_quarantined, count(*) FILTER (kind = 's') AS n_skipped FROM k GROUP BY source""", "news_raw")
+def run_summary(spark, d):
+    checked = checked_news(spark, d)
+    target = checked.where("rejection_reason is null and doc_id % 3 = 0")
+    return contracts.run_summary(checked, target, "guid", F.col("doc_id") % 30 == 1)
+
+
+@query("rejection_details", f"""WITH {CHECKED} SELECT doc_id, concat_ws('; ', CASE WHEN source NOT IN ({', '.join(f"'{s}'" for s in SOURCES)}) THEN 'source: unknown' END, CASE WHEN url = '' THEN 'url: blank' END, CASE WHEN ts IS NULL THEN 'published_at: no ISO time' END,
+CASE WHEN NOT regexp_matches(url, '^https?://[^\\s/?#]+') THEN 'url: not absolute or too long' END, CASE WHEN length(title) < 1 THEN 'title: no text of 1 to 1024 characters' END, CASE WHEN length(content) NOT BETWEEN 1 AND 8192 THEN 'content: no text of 1 to 8192 characters' END,
+CASE WHEN length(title) >= 1 AND length(content) BETWEEN 1 AND 8192 AND ticker IS NULL AND NOT (n_terms >= CASE WHEN source IN ('src1', 'src2') THEN 1 ELSE 2 END) THEN 'no ticker, sector or entity' END) AS rejection_detail FROM r WHERE rejection_reason IS NOT NULL""", "news_raw")
+def rejection_details(spark, d):
+    return checked_news(spark, d).where("rejection_reason is not null").select("doc_id", "rejection_detail")
+
+
+@query("news_assertions", f"""WITH {CHECKED} SELECT unnest(['guid_sha256', 'known_source', 'title_length', 'content_length', 'entity_or_bypass']) AS rule, unnest([count(*) FILTER (guid IS NOT NULL AND NOT regexp_matches(guid, '^[0-9a-f]{{64}}$')), count(*) FILTER (source NOT IN ({', '.join(f"'{s}'" for s in SOURCES)})), count(*) FILTER (NOT length(title) BETWEEN 1 AND 1024), count(*) FILTER (NOT length(content) BETWEEN 1 AND 8192),
+count(*) FILTER (ticker IS NULL AND NOT (n_terms >= CASE WHEN source IN ('src1', 'src2') THEN 1 ELSE 2 END))]) AS n_violations FROM r""", "news_raw")
+def news_assertions(spark, d):
+    return quality.assert_table(checked_news(spark, d), quality.news_rules(SOURCES))
+
+
 @query("samples_per_reason", f"WITH {CHECKED} SELECT rejection_reason, doc_id, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY rejection_reason ORDER BY doc_id) AS INT) AS rank FROM r WHERE rejection_reason IS NOT NULL) WHERE rank <= 3", "news_raw")
 def samples_per_reason(spark, d):
     _, rejected = contracts.split(checked_news(spark, d))
@@ -177,15 +201,25 @@ def clean_lists(spark, d):
 BARS = """bars AS (SELECT user_id, CAST(ts AS DATE) AS date, min_by(value, ts) - CASE WHEN user_id % 11 = 0 THEN 100 ELSE 0 END AS open, max(value) AS high, CASE WHEN user_id % 13 = 0 THEN NULL ELSE min(value) END AS low, max_by(value, ts) * CASE WHEN user_id % 17 = 0 THEN 3 ELSE 1 END AS close, count(*) - CASE WHEN user_id % 19 = 0 THEN 50 ELSE 0 END AS volume FROM events GROUP BY user_id, CAST(ts AS DATE))"""
 
 
-@query("price_contract", f"""WITH {BARS} SELECT user_id, date, CASE WHEN low IS NULL THEN 'MISSING_FIELD' WHEN open <= 0 OR high <= 0 OR low <= 0 OR close <= 0 OR volume < 0 THEN 'OUT_OF_RANGE' WHEN low > high OR open < low OR open > high OR close < low OR close > high THEN 'OUT_OF_RANGE' END AS rejection_reason FROM bars""")
+@query("price_contract", f"""WITH {BARS} SELECT user_id, date, CASE WHEN open <= 0 OR user_id % 23 = 0 OR low <= 0 OR close <= 0 OR volume < 0 THEN 'OUT_OF_RANGE' WHEN low IS NULL THEN 'TYPE_MISMATCH' WHEN low > high OR open < low OR open > high OR close < low OR close > high THEN 'OUT_OF_RANGE' END AS rejection_reason FROM bars""")
 def price_contract(spark, d):
+    return contracts.price_contract(_bars(spark, d)).select("user_id", "date", "rejection_reason")
+
+
+def _bars(spark, d):
     e, u = table(spark, d, "events").withColumn("date", F.to_date("ts")), F.col("user_id")
     bars = e.groupBy("user_id", "date").agg(F.min_by("value", "ts").alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", "ts").alias("close"), F.count("*").alias("volume"))
-    bars = bars.withColumns({"ticker": u.cast("string"), "open": F.col("open") - F.when(u % 11 == 0, 100).otherwise(0), "low": F.when(u % 13 != 0, F.col("low")).otherwise(F.lit(float("nan"))), "close": F.col("close") * F.when(u % 17 == 0, 3).otherwise(1), "volume": F.col("volume") - F.when(u % 19 == 0, 50).otherwise(0)})
-    return contracts.price_contract(bars.withColumn("adj_close", F.col("close"))).select("user_id", "date", "rejection_reason")
+    bars = bars.withColumns({"ticker": u.cast("string"), "open": F.col("open") - F.when(u % 11 == 0, 100).otherwise(0), "high": F.when(u % 23 == 0, F.lit(float("nan"))).otherwise(F.col("high")), "low": F.when(u % 13 != 0, F.col("low")), "close": F.col("close") * F.when(u % 17 == 0, 3).otherwise(1), "volume": F.col("volume") - F.when(u % 19 == 0, 50).otherwise(0)})
+    return bars.withColumn("adj_close", F.col("close"))
+
+
+@query("price_assertions", f"""WITH {BARS} SELECT unnest(['positive_prices', 'volume_not_negative', 'day_range']) AS rule, unnest([count(*) FILTER (open <= 0 OR high <= 0 OR low <= 0 OR close <= 0), count(*) FILTER (volume < 0),
+count(*) FILTER (coalesce(low > CASE WHEN user_id % 23 <> 0 THEN high END, false) OR coalesce(open < low, false) OR coalesce(open > CASE WHEN user_id % 23 <> 0 THEN high END, false) OR coalesce(close < low, false) OR coalesce(close > CASE WHEN user_id % 23 <> 0 THEN high END, false))]) AS n_violations FROM bars""")
+def price_assertions(spark, d):
+    return quality.assert_table(_bars(spark, d), quality.price_rules())
 
 
-@query("macro_contract", """SELECT series_id, date, CASE WHEN v IS NULL THEN 'MISSING_FIELD' WHEN length(id) > 32 THEN 'TYPE_MISMATCH' END AS rejection_reason FROM (SELECT series_id, date, CASE WHEN day(date) = 3 THEN NULL ELSE value END AS v, CASE WHEN day(date) = 4 THEN series_id || repeat('x', 32) ELSE series_id END AS id FROM macro)""", "macro")
+@query("macro_contract", """SELECT series_id, date, CASE WHEN v IS NULL OR length(id) > 32 THEN 'TYPE_MISMATCH' END AS rejection_reason FROM (SELECT series_id, date, CASE WHEN day(date) = 3 THEN NULL ELSE value END AS v, CASE WHEN day(date) = 4 THEN series_id || repeat('x', 32) ELSE series_id END AS id FROM macro)""", "macro")
 def macro_contract(spark, d):
     m = adapter(spark, d, "macro").withColumn("keep", F.col("series_id"))
     m = m.withColumn("value", F.when(F.dayofmonth("date") != 3, -F.col("value"))).withColumn("series_id", F.when(F.dayofmonth("date") == 4, F.concat("series_id", F.repeat(F.lit("x"), 32))).otherwise(F.lower("series_id")))
@@ -194,10 +228,19 @@ def macro_contract(spark, d):
 
 @query("fundamental_contract", """SELECT ticker, period_end, CASE WHEN month(period_end) = 3 THEN 'MISSING_FIELD' WHEN month(period_end) = 6 THEN 'OUT_OF_RANGE' END AS rejection_reason FROM fund""", "fund")
 def fundamental_contract(spark, d):
+    return contracts.fundamental_contract(_statements(spark, d)).select("ticker", "period_end", "rejection_reason")
+
+
+def _statements(spark, d):
     m = F.month("period_end")
     f = adapter(spark, d, "fund").withColumns({c: F.when(m != 3, F.col(c)) for c in ("ingresos_totales", "utilidad_neta")})
     f = f.withColumn("pasivo_total", F.when(m == 6, F.lit(-1.0))).withColumn("activo_total", F.when(m == 9, F.lit(1.0)))
-    return contracts.fundamental_contract(f).select("ticker", "period_end", "rejection_reason")
+    return f
+
+
+@query("fundamental_assertions", """SELECT unnest(['assets_positive', 'liabilities_not_negative', 'some_measure']) AS rule, unnest([CAST(0 AS BIGINT), count(*) FILTER (month(period_end) = 6), count(*) FILTER (month(period_end) = 3)]) AS n_violations FROM fund""", "fund")
+def fundamental_assertions(spark, d):
+    return quality.assert_table(contracts.fundamental_contract(_statements(spark, d)), quality.fundamental_rules(contracts.MEASURES))
 
 
 @query("dictionary_contract", """SELECT c_name AS legal_name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'T' || c_nationkey END AS ticker, CASE WHEN c_custkey % 4 = 0 THEN 'MX' ELSE 'BR' END AS country, c_custkey % 3 <> 0 AS listed FROM customer WHERE c_custkey % 10 <> 9""")

@@ -1,4 +1,10 @@
-"""Incremental validation of landed files."""
+"""Incremental validation of landed files.
+
+Nothing that arrives is lost: each new file's rows are checked and appended, valid rows in one
+folder and rejects in another, one subfolder a batch; a batch that is run again after a failure
+overwrites its own. ``current`` and ``current_quarantine`` read them as the keyed tables that
+upserts of every batch in turn would have left.
+"""
 
 from __future__ import annotations
 
@@ -7,21 +13,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsmarket.operators import upsert
 from newsmarket.operators.contracts import split
 
 
-def run(spark: SparkSession, landed: str, schema: str, check: Callable[[DataFrame], DataFrame], valid: str, quarantine: str, checkpoint: str, late: str = "3 days", time: str = "published_at", key: str = "guid") -> None:
-    """Read only files that are new since the last run, drop repeats of ``key`` within ``late``, check, append.
+def run(spark: SparkSession, landed: str, schema: str, check: Callable[[DataFrame], DataFrame], valid: str, quarantine: str, checkpoint: str, repeats: str = "3 days", key: str = "url") -> None:
+    """Check and append the rows of files that are new since the last run.
 
-    Valid rows and rejects go to parquet folders, one subfolder a batch: a batch that is run again
-    after a failure overwrites its own folder.
+    A row that arrives again unchanged within ``repeats`` of its first arrival is dropped. The
+    watermark runs on arrival, so a row is never late, whatever date it claims, and a date that does
+    not parse is left to the contract. A changed row of the same key passes, as an update; rows
+    without a key always pass.
     """
 
+    rows = spark.readStream.schema(schema).json(landed)
+    columns = rows.columns
+
     def load(batch: DataFrame, number: int) -> None:
-        good, bad = split(check(batch))
+        checked = check(batch).withColumn("batch_no", F.lit(number).cast("long")).persist()
+        good, bad = split(checked, columns)
         good.write.mode("overwrite").parquet(f"{valid}/epoch={number}")
         bad.write.mode("overwrite").parquet(f"{quarantine}/epoch={number}")
+        checked.unpersist()
+
+    stamped = rows.withColumn("arrived_at", F.current_timestamp()).withColumn("row_digest", F.sha2(F.to_json(F.struct(*columns)), 256)).withWatermark("arrived_at", repeats)
+    keyed = stamped.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key, "row_digest"])
+    fresh = keyed.unionByName(stamped.where(F.col(key).isNull()))
+    fresh.drop("row_digest").writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def current(spark: SparkSession, valid: str, keys: list[str], keep: list[str]) -> DataFrame:
+    """One row a key: columns of ``keep`` from its first arrival, the others from the last."""
+    rows = spark.read.option("mergeSchema", "true").parquet(valid).drop("epoch")
+    others = [c for c in rows.columns if c not in (*keys, *keep, "batch_no", "arrived_at")]
+    return upsert.collapse(rows, keys, ["batch_no", "arrived_at", *others[:1]], others, keep)
+
 
-    rows = spark.readStream.schema(schema).json(landed).withColumn("_event", F.to_timestamp(time))
-    rows = rows.withWatermark("_event", late).dropDuplicatesWithinWatermark([key]).drop("_event")
-    rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def current_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
+    """Rejects by (source, guid): the latest reason and payload, how often and since when; without guid all rows."""
+    rows = spark.read.option("mergeSchema", "true").parquet(quarantine)
+    rows = rows.select("source", "guid", F.col("rejection_reason").alias("reason"), F.col("raw_payload").alias("payload"), F.col("arrived_at").alias("rejected_at"))
+    none = rows.limit(0).select("source", "guid", "reason", "payload", F.lit(0).cast("long").alias("times_rejected"), F.col("rejected_at").alias("first_rejected_at"), "rejected_at")
+    return upsert.dead_letters(none, rows)

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsmarket.functions import lists, text
-from newsmarket.operators import asof, calendar, contracts, correlate, lexicon, metrics, replies, upsert, vectors
+from newsmarket.operators import asof, calendar, contracts, correlate, lexicon, metrics, quality, replies, upsert, vectors
 from newsmarket.sources import bronze, feeds
+from newsmarket.streaming import incremental
 
 D = dt.date
 
@@ -58,12 +59,38 @@ def test_guid_is_of_the_instant(spark):
     assert news(spark)["guid"] == news(spark, published_at="2026-07-31T15:30:00-06:00")["guid"] == news(spark, published_at="2026-07-31T21:30:00")["guid"]
 
 
-@pytest.mark.parametrize(("change", "reason"), [({}, None), ({"low": 0.0}, "OUT_OF_RANGE"), ({"volume": -1}, "OUT_OF_RANGE"), ({"low": 11.0}, "OUT_OF_RANGE"), ({"close": 12.0}, "OUT_OF_RANGE"), ({"open": None}, "MISSING_FIELD"), ({"open": float("nan")}, "MISSING_FIELD")])
+@pytest.mark.parametrize(("change", "reason"), [({}, None), ({"low": 0.0}, "OUT_OF_RANGE"), ({"volume": -1}, "OUT_OF_RANGE"), ({"low": 11.0}, "OUT_OF_RANGE"), ({"close": 12.0}, "OUT_OF_RANGE"), ({"open": None}, "TYPE_MISMATCH"), ({"open": float("nan")}, "OUT_OF_RANGE"), ({"open": None, "volume": -1}, "OUT_OF_RANGE"), ({"ticker": "x" * 33}, "TYPE_MISMATCH"), ({"ticker": None, "low": 99.0}, "TYPE_MISMATCH")])
 def test_price_contract(spark, change, reason):
     row = {"ticker": " walmex", "date": D(2026, 1, 2), "open": 10.0, "high": 11.0, "low": 9.0, "close": 10.5, "adj_close": 10.5, "volume": 5} | change
     df = spark.createDataFrame([tuple(row.values())], "ticker string, date date, open double, high double, low double, close double, adj_close double, volume long")
     got = contracts.price_contract(df).first()
-    assert (got["ticker"], got["rejection_reason"]) == ("WALMEX", reason)
+    assert got["rejection_reason"] == reason and (reason is None) == (got["rejection_detail"] is None)
+    if "ticker" not in change:
+        assert got["ticker"] == "WALMEX"
+
+
+def test_absent_fields(spark):
+    row = spark.createDataFrame([("A", D(2026, 1, 2), None, 1.0)], "ticker string, date date, open double, high double")
+    got = contracts.price_contract(row).first()
+    assert got["rejection_reason"] == "MISSING_FIELD"
+    assert got["rejection_detail"] == "open: null or of the wrong type; low: field is absent; close: field is absent; adj_close: field is absent; volume: field is absent"
+    macro = spark.createDataFrame([("s1", D(2026, 1, 2), float("nan")), ("s1", None, 1.0), ("x" * 33, D(2026, 1, 2), 1.0)], "series_id string, date date, value double")
+    assert [r["rejection_reason"] for r in contracts.macro_contract(macro).collect()] == [None, "TYPE_MISMATCH", "TYPE_MISMATCH"]
+    assert contracts.macro_contract(macro.drop("value")).first()["rejection_reason"] == "MISSING_FIELD"
+
+
+def test_run_summary(spark):
+    rows = [("s", "a", None), ("s", "a", None), ("s", "b", None), ("s", None, "X"), ("t", "c", None)]
+    checked = spark.createDataFrame(rows, "source string, guid string, rejection_reason string")
+    count = lambda target: {r["source"]: tuple(r)[1:] for r in contracts.run_summary(checked, target).collect()}
+    assert count(checked.where("guid = 'b'")) == {"s": (1, 2, 1, 0), "t": (1, 0, 0, 0)}
+    assert count(checked.where("rejection_reason is null")) == {"s": (0, 3, 1, 0), "t": (0, 1, 0, 0)}
+
+
+def test_report_states(spark):
+    rows = spark.createDataFrame([(1, True), (2, False)], "x int, ok boolean")
+    checks = {"some": quality.at_least(rows, F.col("ok")), "none": quality.none_of(rows, F.col("ok")), "all": quality.all_of(rows, F.col("x") > 0), "empty": quality.all_of(rows.limit(0), F.col("ok")), "slow": quality.under(rows, F.col("x"), 1)}
+    assert {r["criterion"]: r["status"] for r in quality.report(checks).collect()} == {"some": "PASS", "none": "FAIL", "all": "PASS", "empty": "WARN", "slow": "WARN"}
 
 
 def test_periods_and_values(spark):
@@ -78,11 +105,20 @@ def test_periods_and_values(spark):
 def test_text_functions(spark):
     assert one(spark, text.fold(F.col("x")), x="Quálitas ÑANDÚ") == "qualitas nandu"
     assert one(spark, text.html_to_text(F.col("x")), x="<p>a <b>b</b></p><script>x<y</script><!-- c -->&amp;d") == "a b &d"
+    refs = "Inflaci&oacute;n a&ntilde;o &#8220;x&#x201D; &amp;lt; &copy2026 &nosuch; &#0; &#150; AT&T <br> &nbsp;fin&nbsp; 3 < 4"
+    assert one(spark, text.html_to_text(F.col("x")), x=refs) == "Inflación año “x” &lt; ©2026 &nosuch; \ufffd – AT&T fin\u00a0 3 < 4".replace("\u00a0 3", "\u00a0 3")
+    assert one(spark, text.fold(F.col("x")), x="Č ő Ş ā ž É e\u0301 Ά Й") == "c o s a z e e α и"
+    assert one(spark, lexicon.labels_present(F.col("x"), {"A": ["banco central"], "B": ["México"], "C": ["méxic"], "D": ["c++"]}), x="El Banco Central de MÉXICO y C++.") == ["A", "B", "D"]
+    assert one(spark, lexicon.first_label(F.col("x"), [("one", ["no"]), ("two", ["años"]), ("three", ["de"])]), x="Hace años de eso") == "two"
     assert one(spark, text.html_to_text(F.col("x")), x="plain  text & co") == "plain  text & co"
     cut = one(spark, text.truncate_words(F.col("x"), 20), x="uno dos tres cuatro cinco seis")
     assert cut == "uno dos tres…" and len(cut) <= 20
     assert one(spark, text.truncate_words(F.col("x"), 5), x="abcdefgh") == "abcd…"
     assert one(spark, text.spanish_date(F.col("x")), x="a 2 1 de Julio de 202 6.") == D(2026, 7, 21)
+    for said in ("21 de julio 2026", "21 de julio del 2026", "21 de setiembre de 2026", "31 de febrero de 2026"):
+        assert one(spark, text.spanish_date(F.col("x")), x=said) is None
+    assert one(spark, text.from_second(F.col("x"), "alfa uno", "beta"), x="x alfa  uno y Beta z") == "Beta z"
+    assert one(spark, text.from_second(F.col("x"), "aa"), x="aaa b aa c") == "aa c"
     assert one(spark, text.from_second(F.col("x"), "resumen ejecutivo"), x="i Resumen  Ejecutivo a RESUMEN EJECUTIVO b") == "RESUMEN EJECUTIVO b"
     assert one(spark, text.from_second(F.col("x"), "zzz"), x="abc") == "abc"
     assert one(spark, lists.clean_tickers(F.split("x", ",")), x=" gfnorte ,GFNORTE,walmex,") == ["GFNORTE", "WALMEX"]
@@ -144,7 +180,10 @@ def test_replies(spark):
     assert get('{"tickers": [GFNORTE, "B"]}')["tickers"] == ["GFNORTE", "B"]
     assert get("nothing") is None and get("{}") is not None
     ma = one(spark, replies.sanitize_ma(replies.parse(F.col("x"), replies.MA), ["merger", "none"], ["Clip"], ["bank"], F.lit("general")), x='{"es_evento_ma": "false", "tipo_ma": "merger", "fintechs": ["Clip", "No"], "sector_afectado": "moon"}')
-    assert (ma["ma_event"], ma["ma_kind"], ma["fintechs"], ma["fintech_flag"], ma["sector_affected"]) == (False, "none", ["Clip"], True, "general")
+    assert (ma["ma_event"], ma["ma_kind"], ma["fintechs"], ma["fintech_flag"], ma["sector_affected"]) == (True, "merger", ["Clip"], True, "general")
+    for flag, want in {"true": True, "false": False, "1": True, "0": False, "0.0": False, "null": False, '""': False, '"no"': True, "[]": False, "[1]": True, "{}": False}.items():
+        got = one(spark, replies.truthy(replies.parse(F.col("x"), replies.MA)["es_evento_ma"]), x='{"es_evento_ma": %s}' % flag)
+        assert bool(got) == want, flag
 
 
 def test_vectors(spark):
@@ -152,6 +191,12 @@ def test_vectors(spark):
     got = {r["vec_id"]: r["u"] for r in v.select("vec_id", vectors.normalised(F.col("embedding")).alias("u")).collect()}
     assert got == {1: [0.6, 0.8], 2: [0.0, 0.0], 3: [0.8, 0.6]}
     assert [r["vec_id"] for r in vectors.top_k(v, [1.0, 0.0], 9).orderBy("rank").collect()] == [3, 1, 2]
+    near = spark.createDataFrame([(1, [1.0, 0.0041]), (2, [1.0, 0.0]), (3, [1.0, 0.0]), (4, None), (5, [1.0])], "vec_id long, embedding array<double>")
+    assert [r["vec_id"] for r in vectors.top_k(near.where("vec_id < 4"), [1.0, 0.0], 2).orderBy("rank").collect()] == [2, 3]
+    asked = near.where("vec_id in (1, 2)").select(F.col("vec_id").alias("query_id"), "embedding")
+    for most, folder in ((1000, None), (1, spark.conf.get("spark.sql.warehouse.dir") + "/top")):
+        got = vectors.top_k_many(near, asked, 2, most, folder)
+        assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got.collect()) == [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 2, 3)]
     assert vectors.wrong_size(v, 2).count() == 0 and vectors.wrong_size(v, 3).count() == 3
 
 
@@ -175,3 +220,22 @@ def test_html_table(spark):
     page = "<table><tr><th>Otro</th></tr></table><table><tr><th>Fecha</th><th>Evento</th></tr><tr><td>1</td><td><a href='/x'>Pago <b>A</b></a></td></tr></table>"
     got = feeds.table_rows(spark.createDataFrame([(page,), ("none",)], "h string"), "h", "Evento").first()
     assert got["cells"] == {"Fecha": "1", "Evento": "Pago A"} and got["link"] == "/x"
+
+
+def test_stream_keeps_late_and_bad_rows(spark, tmp_path):
+    schema = "source string, title string, content string, url string, published_at string, tickers array<string>, sector string, entities array<string>"
+    check = lambda df: contracts.news_contract(df, ["s"], F.lit(False))
+    path = f"file://{tmp_path}"
+    row = lambda url, at, title="t": ("s", title, "c", url, at, ["A"], None, None)
+    landings = [
+        [row("https://x.mx/a", "2026-07-31"), row("https://x.mx/b", "ayer"), row(None, "2026-07-31")],
+        [row("https://x.mx/late", "1999-01-01"), row("https://x.mx/a", "2026-07-31"), row("https://x.mx/b", "ayer")],
+        [row("https://x.mx/a", "2026-07-31", "new title"), row(None, "2026-07-31")],
+    ]
+    for rows in landings:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(f"{path}/landed")
+        incremental.run(spark, f"{path}/landed", schema, check, f"{path}/valid", f"{path}/bad", f"{path}/state")
+    good = {r["url"]: r["title"] for r in incremental.current(spark, f"{path}/valid", ["guid"], ["published_ts"]).collect()}
+    assert good == {"https://x.mx/a": "new title", "https://x.mx/late": "t"}
+    bad = sorted(r["reason"] for r in incremental.current_quarantine(spark, f"{path}/bad").collect())
+    assert bad == ["INVALID_DATE", "INVALID_URL", "INVALID_URL"]
