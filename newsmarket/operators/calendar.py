@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsmarket.functions.columns import free
+
 from .asof import forward
 
 
@@ -17,19 +19,21 @@ def number_sessions(days: DataFrame) -> DataFrame:
 
 def next_session(df: DataFrame, date: str, sessions: DataFrame) -> DataFrame:
     """Adds next_session: the first session strictly after ``date``, and days_to_session."""
-    keyed = df.withColumn("_one", F.lit(1)).withColumn("_after", F.date_add(date, 1))
+    after = free("after_", df)
+    keyed = df.withColumn(after, F.date_add(date, 1))
     # The dates asked for are few, whatever the rows: look each up once, then join back.
-    asked = keyed.select("_one", "_after").where("_after is not null").distinct()
-    found = forward(asked, sessions.select(F.lit(1).alias("_one"), "session_date"), "_one", "_after", "session_date", [])
-    out = keyed.join(found.select("_after", F.col("session_date").alias("next_session")), "_after", "left").drop("_one", "_after")
+    asked = keyed.select(F.lit(1).alias("all_"), F.col(after).alias("after_")).where("after_ is not null").distinct()
+    found = forward(asked, sessions.select(F.lit(1).alias("all_"), "session_date"), "all_", "after_", "session_date", [])
+    out = keyed.join(found.select(F.col("after_").alias(after), F.col("session_date").alias("next_session")), after, "left").drop(after)
     return out.withColumn("days_to_session", F.datediff("next_session", date))
 
 
 def shift_sessions(df: DataFrame, date: str, n: int, sessions: DataFrame, name: str) -> DataFrame:
     """Adds the session ``n`` sessions after ``date``; null if date is no session or the calendar ends."""
-    at = sessions.select(F.col("session_date").alias(date), F.col("session_no").alias("_no"))
-    to = sessions.select(F.col("session_date").alias(name), (F.col("session_no") - n).alias("_no"))
-    return df.join(at, date, "left").join(to, "_no", "left").drop("_no")
+    no = free("no_", df)
+    at = sessions.select(F.col("session_date").alias(date), F.col("session_no").alias(no))
+    to = sessions.select(F.col("session_date").alias(name), (F.col("session_no") - n).alias(no))
+    return df.join(at, date, "left").join(to, no, "left").drop(no)
 
 
 def sessions_between(sessions: DataFrame, first: str, last: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsmarket.functions.columns import free
+
 from .asof import lagged_by_year
 
 
@@ -35,10 +37,11 @@ def with_benchmark(prices: DataFrame, benchmark: str) -> DataFrame:
 
     The benchmark has one row a date, so the planner may broadcast it; it is not forced.
     """
-    bench = prices.where(F.col("ticker") == benchmark).select("date", F.col("daily_return_pct").alias("_bench"))
-    out = prices.join(bench, "date", "left")
-    own = F.when(F.col("ticker") != benchmark, F.col("_bench"))
-    return out.withColumn("benchmark_return_pct", own).withColumn("excess_return_pct", F.col("daily_return_pct") - own)
+    name = free("bench_", prices)
+    bench = prices.where(F.col("ticker") == benchmark).select("date", F.col("daily_return_pct").alias(name))
+    own = F.when(F.col("ticker") != benchmark, F.col(name))
+    out = prices.join(bench, "date", "left").withColumn("benchmark_return_pct", own)
+    return out.withColumn("excess_return_pct", F.col("daily_return_pct") - F.col("benchmark_return_pct")).drop(name)
 
 
 def with_beta(prices: DataFrame, n: int = 60) -> DataFrame:
@@ -57,7 +60,7 @@ def with_beta(prices: DataFrame, n: int = 60) -> DataFrame:
 
 def market_metrics(prices: DataFrame, benchmark: str) -> DataFrame:
     """All metrics of a price table."""
-    return with_beta(with_benchmark(with_moving(with_returns(prices)), benchmark)).drop("_bench")
+    return with_beta(with_benchmark(with_moving(with_returns(prices)), benchmark))
 
 
 def yoy(series: DataFrame, keys: list[str], date: str, values: list[str]) -> DataFrame:

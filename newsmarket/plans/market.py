@@ -255,6 +255,13 @@ def l2_normalize(spark, d):
     return rounded(out, "first", "last", "norm")
 
 
+@query("wrong_size", "SELECT vec_id FROM embeddings WHERE vec_id % 10 IN (0, 1)")
+def wrong_size(spark, d):
+    i = F.col("vec_id") % 10
+    v = table(spark, d, "embeddings").withColumn("embedding", F.when(i == 0, F.slice("embedding", 1, 8)).when(i > 1, F.col("embedding")))
+    return vectors.wrong_size(v, 64).select("vec_id")
+
+
 def _top(extra: str = "", qs: str = "0", k: int = 10) -> str:
     return f"""WITH {UNIT}, s AS (SELECT q.vec_id AS query_id, u.vec_id, list_dot_product(u.e, q.e) / (u.n * q.n) AS score FROM u, u q WHERE q.vec_id IN ({qs}) {extra}),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s) SELECT * REPLACE (round(score, {R}) AS score) FROM r WHERE rank <= {k}"""

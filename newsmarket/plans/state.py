@@ -60,10 +60,10 @@ def upsert_series(spark, d):
     return upsert.upsert(old, new, ["ticker", "date"], ["close"], ["first_batch"], ["date"])
 
 
-@query("upsert_gold_news", """SELECT doc_id AS guid, substr(text, 1, 40) AS title, CASE WHEN doc_id % 4 = 0 THEN 'new' ELSE 'old' END AS sentiment FROM documents WHERE doc_id % 2 = 0
+@query("upsert_gold_news", """SELECT doc_id AS guid, md5(text) AS title, CASE WHEN doc_id % 4 = 0 THEN 'new' ELSE 'old' END AS sentiment FROM documents WHERE doc_id % 2 = 0
 UNION ALL SELECT doc_id, 'changed', 'new' FROM documents WHERE doc_id % 2 = 1 AND doc_id % 3 = 0""")
 def upsert_gold_news(spark, d):
-    x = table(spark, d, "documents").select(F.col("doc_id").alias("guid"), F.left("text", F.lit(40)).alias("title"))
+    x = table(spark, d, "documents").select(F.col("doc_id").alias("guid"), F.md5("text").alias("title"))
     old = x.where("guid % 2 = 0").withColumn("sentiment", F.lit("old"))
     new = x.where("guid % 4 = 0 or (guid % 2 = 1 and guid % 3 = 0)").withColumn("title", F.lit("changed")).withColumn("sentiment", F.lit("new"))
     return upsert.upsert(old, new, ["guid"], ["sentiment"], ["title"], ["guid"])
@@ -240,16 +240,17 @@ def bronze_roundtrip(spark, d):
     return back.groupBy("source", "date").agg(F.count("*").alias("n_rows"), F.sum("n_chars").alias("n_chars")).join(bad)
 
 
-@query("feed_xml", "SELECT doc_id, md5(trim(regexp_replace(substr(text, 1, 60), '\\s+', ' ', 'g'))) AS title_md5 FROM documents")
+@query("feed_xml", "SELECT doc_id, md5(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS title_md5 FROM documents")
 def feed_xml(spark, d):
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    title = F.trim(F.regexp_replace(F.substring("text", 1, 60), r"\s+", " "))
+    title = F.trim(F.regexp_replace("text", r"\s+", " "))
     item = F.concat(F.lit("<item><title>"), esc(title), F.lit("</title><guid>"), F.col("doc_id").cast("string"), F.lit("</guid></item>"))
     path = shared_folder(spark)
     feed = F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list("item"), ""), F.lit("</channel></rss>"))
-    items = table(spark, d, "documents").select(F.col("source"), item.alias("item"))
-    feeds_ = items.groupBy("source", F.pmod(F.xxhash64("item"), F.lit(4)).alias("part")).agg(feed.alias("value"))
-    feeds_.write.partitionBy("source", "part").text(path)  # one feed a file
+    # A feed a file, of about a thousand items: as many as the table needs.
+    docs = table(spark, d, "documents")
+    feeds_ = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, docs.count() // 1000))).alias("part"), item.alias("item"))
+    feeds_.groupBy("part").agg(feed.alias("value")).write.partitionBy("part").text(path)
     return feeds.read_feed(spark, path).select(F.col("guid").cast("long").alias("doc_id"), F.md5("title").alias("title_md5"))
 
 
@@ -257,8 +258,9 @@ def feed_xml(spark, d):
 def seed_dictionary(spark, d):
     path = shared_folder(spark)
     c = table(spark, d, "customer").select(F.col("c_name").alias("legal_name"), F.col("c_name").alias("commercial_name"), F.lit(None).cast("string").alias("ticker"), F.col("c_mktsegment").alias("sector"), F.lit("MX").alias("country"))
-    arrays = c.groupBy(F.col("sector").alias("part")).agg(F.to_json(F.collect_list(F.struct(*c.columns))).alias("value"))
-    arrays.write.partitionBy("part").text(path)  # one array a file
+    # An array a file, of about a thousand entries.
+    arrays = c.groupBy(F.pmod(F.xxhash64("legal_name"), F.lit(max(1, c.count() // 1000))).alias("part")).agg(F.to_json(F.collect_list(F.struct(*c.columns))).alias("value"))
+    arrays.write.partitionBy("part").text(path)
     return feeds.read_dictionary(spark, path, "radar").select("legal_name", "sector", "source")
 
 

@@ -122,13 +122,13 @@ def from_summary(spark, d):
 @query("normalize_news", """SELECT doc_id, coalesce(nullif(trim(link), ''), nullif(trim(href), ''), nullif(trim(id), '')) AS url,
   md5(CASE WHEN greatest(length(trim(a)), length(trim(b)), length(trim(c))) = 0 THEN title WHEN length(trim(a)) >= length(trim(b)) AND length(trim(a)) >= length(trim(c)) THEN trim(a) WHEN length(trim(b)) >= length(trim(c)) THEN trim(b) ELSE trim(c) END) AS body_md5
 FROM (SELECT doc_id, title, CASE WHEN doc_id % 3 = 0 THEN '  ' ELSE url END AS link, CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN url END AS href, CAST(doc_id AS VARCHAR) AS id,
-  substr(content, 1, 100 + CAST(doc_id % 50 AS INT)) AS a, substr(content, 20, 120) AS b, substr(content, 5, 90 + CAST(doc_id % 90 AS INT)) AS c FROM news_raw)""", "news_raw")
+  CASE WHEN doc_id % 5 = 0 THEN substr(content, 1, 100) ELSE content END AS a, substr(content, 20 + CAST(doc_id % 50 AS INT)) AS b, CASE WHEN doc_id % 7 = 0 THEN content || content ELSE '' END AS c FROM news_raw)""", "news_raw")
 def normalize_news(spark, d):
     n, i = adapter(spark, d, "news_raw"), F.col("doc_id")
     link = F.when(i % 3 == 0, "  ").otherwise(F.col("url"))
     href = F.when((i % 3 == 0) & (i % 2 == 0), F.col("url"))
-    part = lambda at, size: F.substring(F.col("content"), F.lit(at), size.cast("int"))
-    body = text.longest(part(1, 100 + i % 50), part(20, F.lit(120)), part(5, 90 + i % 90))
+    c = F.col("content")
+    body = text.longest(F.when(i % 5 == 0, F.left(c, F.lit(100))).otherwise(c), F.substring(c, (20 + i % 50).cast("int"), F.length(c)), F.when(i % 7 == 0, F.concat(c, c)).otherwise(""))
     return n.select("doc_id", text.first_filled(link, href, i.cast("string")).alias("url"), F.md5(F.coalesce(body, F.col("title"))).alias("body_md5"))
 
 
