@@ -2,9 +2,11 @@
 
 Equal vectors are one entry that keeps its k + 1 smallest ids (enough for any answer, as ties go
 to smaller ids). Centroids and codebooks come from a bounded sample; every entry is indexed. A
-query probes the cells of its nearest centroids: distance tables of its residual rank a cell's codes, the best
-are measured again on the original vectors, and the nearest of all cells remain. Large cells are
-split into blocks, so that a task holds a bounded number of entries.
+query probes the cells of its nearest centroids. Cells lie in slices of a bounded number of entries,
+near cells together and a large cell in several, so a query goes once to each slice that holds one of
+its cells. There one asymmetric distance table of the query ranks the codes of all its cells, the best are
+measured again on the original vectors, and the nearest of all slices remain. A query that finds too
+few entries is asked again of all cells.
 """
 
 from __future__ import annotations
@@ -22,11 +24,12 @@ from .common import read, shared_dir, stored
 #: Distinct vectors that centroids and codebooks are fitted on, at most; those of the smallest hashes.
 FIT_ROWS = 20_000
 PARTS, CODES = 16, 256
+#: Entries of a slice.
 BLOCK = 4096
-#: Codes kept for exact measuring, from each block.
-SHORTLIST = 60
+#: Codes kept for exact measuring, from each slice.
+SHORTLIST = 100
 #: Share of the sample's true neighbours that must lie in the probed cells, and the queries it is measured with.
-COVERED, TRIALS = 0.98, 256
+COVERED, TRIALS = 0.96, 256
 K = 10
 
 
@@ -81,18 +84,37 @@ class Index:
         place = np.argsort(self.probes(q, len(self.cells)), axis=1)  # place of each cell in a query's order
         return int(np.quantile(place[np.arange(len(q))[:, None], cell[near]], COVERED)) + 1
 
-    def tables(self, q: np.ndarray, cell: int) -> np.ndarray:
-        """Squared distances of a query's residual to each code, (parts, CODES)."""
-        rest = q - self.cells[cell]
-        out = np.full((len(self.books), CODES), np.inf)
+    def constants(self, cell: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What a query does not change in the squared distance to a code: 2 c.r + r.r for centroid c, residual code r."""
+        rest = np.concatenate([book[codes[:, k]] for k, book in enumerate(self.books)], axis=1)
+        return 2 * (self.cells[cell] * rest).sum(1) + (rest * rest).sum(1)
+
+    def table(self, q: np.ndarray) -> np.ndarray:
+        """-2 q.r of a query for each part's codes, (parts, CODES)."""
+        out = np.zeros((len(self.books), CODES))
         for k, (a, b, book) in enumerate(zip(self.bounds[:-1], self.bounds[1:], self.books, strict=True)):
-            out[k, : len(book)] = ((book - rest[a:b]) ** 2).sum(1)
+            out[k, : len(book)] = -2 * book @ q[a:b]
+        return out
+
+    def slices(self, sizes: dict[int, int]) -> list[list[int]]:
+        """The slices of each cell: near cells share one up to BLOCK entries, a larger cell has several of its own."""
+        mid = self.cells - self.cells.mean(0)
+        along = mid @ np.linalg.svd(mid, full_matrices=False)[2][0]
+        out: list[list[int]] = [[] for _ in self.cells]
+        now, held = 0, 0
+        for c in np.argsort(along, kind="stable").tolist():
+            n = sizes.get(c, 0)
+            if held and held + n > BLOCK:
+                now, held = now + 1, 0
+            many = max(1, -(-n // BLOCK))
+            out[c] = list(range(now, now + many))
+            now, held = (now + many, 0) if many > 1 else (now, held + n)
         return out
 
 
 def cells_for(n: int) -> int:
     """Cells grow with the vectors, up to what the fit sample supports."""
-    return int(min(max(8, n // 200), FIT_ROWS // 20))
+    return int(min(max(8, n // 20), FIT_ROWS // 20))
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", col: str = "embedding") -> DataFrame:
@@ -111,17 +133,23 @@ def _packed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([np.array(v, np.float64).tobytes() for v in b.column(0).to_pylist()], pa.binary()), *b.columns[1:]], ["vec", *b.schema.names[1:]])
 
 
-def _search(index: Index, k: int):
+def _search(index: Index, k: int, probes: int):
     def run(key: tuple, entries: pa.Table, queries: pa.Table) -> pa.Table:
         found = []
         if entries.num_rows and queries.num_rows:
             x, codes = _matrix(entries["vec"]), np.frombuffer(b"".join(entries["code"].to_pylist()), np.uint8).reshape(entries.num_rows, -1)
-            ids, part = entries["ids"].to_pylist(), np.arange(codes.shape[1])
-            for qid, vec in zip(queries["query_id"].to_pylist(), _matrix(queries["vec"]), strict=True):
-                rough = index.tables(vec, key[0])[part, codes].sum(1)
-                best = np.argpartition(rough, SHORTLIST)[:SHORTLIST] if len(rough) > SHORTLIST else np.arange(len(rough))
-                exact = np.sqrt(((x[best] - vec) ** 2).sum(1))
-                near = sorted((d, i) for d, e in zip(exact.tolist(), best.tolist(), strict=True) for i in ids[e] if i != qid)
+            cell, ids, part = entries["cell"].to_numpy(), entries["ids"].to_pylist(), np.arange(codes.shape[1])
+            fixed, asked = index.constants(cell, codes), _matrix(queries["vec"])
+            far = _distances(asked, index.cells)
+            for j, qid in enumerate(queries["query_id"].to_pylist()):
+                probed = np.zeros(len(index.cells), bool)
+                probed[np.argsort(far[j], kind="stable")[:probes]] = True
+                at = np.flatnonzero(probed[cell])
+                if len(at) > SHORTLIST:
+                    rough = far[j][cell[at]] + fixed[at] + index.table(asked[j])[part, codes[at]].sum(1)
+                    at = at[np.argpartition(rough, SHORTLIST)[:SHORTLIST]]
+                exact = np.sqrt(((x[at] - asked[j]) ** 2).sum(1))
+                near = sorted((d, i) for d, e in zip(exact.tolist(), at.tolist(), strict=True) for i in ids[e] if i != qid)
                 found += [(qid, i, d) for d, i in near[:k]]
         return pa.table({"query_id": pa.array([f[0] for f in found], pa.int64()), "vec_id": pa.array([f[1] for f in found], pa.int64()), "score": pa.array([f[2] for f in found], pa.float64())})
 
@@ -159,21 +187,36 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
                 cell, codes = held.value.place(_matrix(b.column(0)))
                 yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), *b.columns], ["cell", "code", "vec", "ids"])
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                at = held.value.probes(_matrix(b.column(0)), probes)
-                yield pa.RecordBatch.from_arrays([pa.array(at.ravel().astype(np.int32)), b.column(1).take(pa.array(np.repeat(np.arange(b.num_rows), at.shape[1]))), b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), at.shape[1])))], ["cell", "query_id", "vec"])
-
     placed = stored(entries.mapInArrow(place, "cell int, code binary, vec binary, ids array<long>"), f"{path}/index")
-    blocks = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = placed.join(F.broadcast(blocks), "cell").select("cell", F.pmod(F.xxhash64("vec"), F.col("blocks")).cast("int").alias("block"), "code", "vec", "ids")
-    asked = queries.where(alike).select("v", F.col("vec_id").alias("query_id")).distinct().mapInArrow(_packed, "vec binary, query_id long").mapInArrow(probe, "cell int, query_id long, vec binary")
-    asked = asked.join(F.broadcast(blocks), "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "query_id", "vec")
-    found = placed.groupBy("cell", "block").cogroup(asked.groupBy("cell", "block")).applyInArrow(_search(index, k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")).withColumn("rank", F.row_number().over(order))
-    return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    sizes = dict(placed.groupBy("cell").count().collect())  # a row for each cell
+    of_cell = index.slices(sizes)
+    table = spark.createDataFrame([(c, s) for c, s in enumerate(of_cell)], "cell int, slices array<int>")
+    spot = F.pmod(F.xxhash64("vec"), F.size("slices")).cast("int")
+    placed = placed.join(F.broadcast(table), "cell").select(F.get("slices", spot).alias("slice"), "cell", "code", "vec", "ids")
+    asked = queries.where(alike).select("v", F.col("vec_id").alias("query_id")).distinct().mapInArrow(_packed, "vec binary, query_id long")
+
+    def search(asked: DataFrame, probes: int) -> DataFrame:
+        def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    to = [sorted({s for c in cells for s in of_cell[c]}) for cells in held.value.probes(_matrix(b.column(0)), probes).tolist()]
+                    at = pa.array(np.repeat(np.arange(b.num_rows), [len(t) for t in to]))
+                    yield pa.RecordBatch.from_arrays([pa.array([s for t in to for s in t], pa.int32()), b.column(1).take(at), b.column(0).take(at)], ["slice", "query_id", "vec"])
+
+        sent = asked.mapInArrow(probe, "slice int, query_id long, vec binary")
+        found = placed.groupBy("slice").cogroup(sent.groupBy("slice")).applyInArrow(_search(index, k, probes), "query_id long, vec_id long, score double")
+        order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")).withColumn("rank", F.row_number().over(order))
+        return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    if probes >= len(index.cells):
+        return search(asked, len(index.cells))
+    found = stored(search(asked, probes), f"{path}/found")
+    full = found.where(F.col("rank") == k).select("query_id")
+    few = asked.join(full, "query_id", "left_anti").select("vec", "query_id")
+    if few.isEmpty():
+        return found
+    return found.join(full, "query_id", "left_semi").unionByName(search(few, len(index.cells)))
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
