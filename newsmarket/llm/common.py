@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder that the driver and all executors can reach.
 
-    It lies under ``spark.checkpoint.dir``; where that is unset (tests), under the warehouse.
+    It lies under ``spark.checkpoint.dir``; where that is unset (tests on one machine), under the warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

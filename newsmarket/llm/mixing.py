@@ -3,9 +3,10 @@
 A softmax classifier on byte profiles, fitted on a bounded sample of a labelled table, gives each
 document posteriors p over K domains. With n tokens a document adds rate * n * p to the expected
 domain totals. Rates start at 1 and follow projected gradient steps of the least squares distance
-to the targets, in the metric that makes the step size 1 safe; a step needs K sums over all
-documents. Only those K numbers reach the driver, and a document's rate is recomputed from the
-steps, so nothing but the posteriors is stored.
+to the targets, in the metric of the Gram matrix of the documents whose rate is not 0: that meets
+reachable targets in about ten steps. A step that gains nothing is taken back and damped, towards
+the plain metric. A step needs K sums and that matrix over all documents. Only those numbers reach
+the driver, and a document's rate is recomputed from the steps, so nothing but the posteriors is stored.
 """
 
 from __future__ import annotations
@@ -18,13 +19,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsmarket.functions.columns import free
+
 from .common import read, shared_dir, small_batches, stored
 
 #: Labelled rows that the classifier is fitted on, at most; those of the smallest hashes.
 FIT_ROWS = 8_000
-STEPS, CLOSE = 60, 1e-7
+#: Steps at most, and the share of all tokens by which a domain's total may miss its target. Targets that can be
+#: met take about ten steps; the others stop when a step gains less than a thousandth.
+STEPS, CLOSE = 200, 1e-6
 #: Production weights over the quality label.
-WEIGHTS = {"high": 0.9, "low": 0.1}
+WEIGHTS = {"high": 0.97, "low": 0.03}
 
 
 def profile(text: str | None) -> np.ndarray:
@@ -49,13 +54,14 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, path: str) -> tuple[list[s
     labelled = labelled.select(F.col("doc_id").cast("long").alias("_id"), F.col("domain").cast("string").alias("_domain")).where("_id is not null and _domain is not null")
     few = labelled.groupBy("_id").agg(F.min("_domain").alias("_domain")).orderBy(F.xxhash64("_id"), "_id").limit(FIT_ROWS)
     few = stored(few, f"{path}/few")  # bounded, so it may be broadcast
-    rows = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(few), "_id").select("_domain", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(few), "_id")
+    rows = rows.groupBy("_id", "_domain").agg(F.min("text").alias("text")).select("_domain", "text")  # an id counts once
 
     def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([profile(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["domain", "x"])
 
-    got = rows.mapInArrow(profiles, "domain string, x binary").limit(2 * FIT_ROWS).collect()
+    got = rows.mapInArrow(profiles, "domain string, x binary").collect()  # FIT_ROWS at most
     names = sorted({r["domain"] for r in got})
     if not names:
         return ["all"], np.zeros((257, 1), np.float32)
@@ -83,6 +89,8 @@ class Mix:
 
     def __init__(self, names: list[str], weights: np.ndarray, steps: list[np.ndarray], scale: float):
         self.names, self.weights, self.steps, self.scale = names, weights, steps, scale
+        #: The largest share of all tokens by which a domain misses its target.
+        self.missing = 0.0
 
     def posteriors(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         n = np.array([tokens(t) for t in texts], np.float64)
@@ -122,23 +130,37 @@ def solve(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> tu
         return mix, table
     mix.scale = size["total"] / size["docs"]  # mean tokens of a document: keeps the sums near the count
     gram = np.array([[size[f"g{i}_{j}"] for j in range(k)] for i in range(k)]) / mix.scale**2
-    metric = np.linalg.inv(gram + np.eye(k) * 1e-9 * np.trace(gram))
     wish = np.array([targets.get(n, 0.0) for n in names])
     wish = wish / wish.sum() * size["docs"] if wish.sum() > 0 else np.full(k, size["docs"] / k)
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = np.zeros(k)
+        s, g = np.zeros(k), np.zeros((k, k))
         for batch in batches:
             n, p = batch.column(0).to_numpy() / mix.scale, batch.column(1).values.to_numpy(zero_copy_only=False).reshape(-1, k)
-            s += (_rates(n, p, mix.steps) * n) @ p
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in s], [f"s{i}" for i in range(k)])
-
+            r = _rates(n, p, mix.steps)
+            s += (r * n) @ p
+            g += (p * np.where(r > 0, n * n, 0.0)[:, None]).T @ p
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (*s, *g.ravel())], sums)
+
+    sums = [*(f"s{i}" for i in range(k)), *(f"g{i}" for i in range(k * k))]
+    def measured() -> tuple[np.ndarray, np.ndarray, float]:
+        got = np.array(table.select("n", "p").mapInArrow(totals, ", ".join(f"{c} double" for c in sums)).agg(*[F.sum(c) for c in sums]).first(), float)
+        return got[:k] - wish, got[k:].reshape(k, k), float(np.linalg.norm(got[:k] - wish))
+
+    left, active, error = measured()
+    least, damping, slow = 1e-9 * np.trace(gram), 1e-9 * np.trace(gram), 0
     for _ in range(STEPS):
-        got = table.select("n", "p").mapInArrow(totals, ", ".join(f"s{i} double" for i in range(k))).agg(*[F.sum(f"s{i}") for i in range(k)]).first()
-        left = np.array(got, float) - wish
-        if np.abs(left).max() <= CLOSE * size["docs"]:
+        mix.missing = float(np.abs(left).max() / size["docs"])
+        if mix.missing <= CLOSE or slow >= 5 or damping > 10 * np.trace(gram):
             break
-        mix.steps.append(metric @ left)
+        mix.steps.append(np.linalg.solve(active + damping * np.eye(k), left))
+        tried = measured()
+        if tried[2] < error:
+            slow = slow + 1 if tried[2] > 0.999 * error else 0
+            (left, active, error), damping = tried, max(least, damping / 10)
+        else:  # a step that loses is taken back; with enough damping it is a plain gradient step, which gains
+            mix.steps.pop()
+            damping = max(damping * 10, 1e-4 * np.trace(gram))
     return mix, table
 
 
@@ -146,7 +168,8 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Da
     """doc_id, n_tokens, rate, copies and p_<domain> for each row of docs.
 
     Rates are not negative; a document without words keeps rate 1. Targets that no rates can
-    reach are approached in the least squares sense. Null ids get copies by the hash of null.
+    reach are approached in the least squares sense (``solve`` tells what is missing). Null ids get
+    copies by the hash of null. Other columns, whatever their names, are ignored.
     """
     mix, table = solve(docs, labelled, targets)
 
@@ -161,16 +184,17 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Da
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> DataFrame:
-    """The rows of docs, each as often as its copies; columns unchanged, no rows moved."""
+    """The rows of docs, each as often as its copies; columns unchanged, whatever their names, no rows moved."""
     mix, _ = solve(docs, labelled, targets)
-    schema = T.StructType([*docs.schema.fields, T.StructField("_rate", T.DoubleType())])
+    rate, many, copy = free("rate_", docs), free("copies_", docs), free("copy_", docs)
+    schema = T.StructType([*docs.schema.fields, T.StructField(rate, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch], text_at=docs.columns.index("text")) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mix.rates(batch.column(text_at).to_pylist()))], [*batch.schema.names, "_rate"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mix.rates(batch.column(text_at).to_pylist()))], [*batch.schema.names, rate])
 
-    with_rate = docs.mapInArrow(run, schema).withColumn("_copies", copies("_rate").cast("int"))
-    return with_rate.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    with_rate = docs.mapInArrow(run, schema).withColumn(many, copies(rate).cast("int"))
+    return with_rate.where(F.col(many) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*docs.columns)
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:

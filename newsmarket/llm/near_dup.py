@@ -24,6 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsmarket.functions.columns import free
+
 from .common import read, shared_dir, small_batches, stored
 from .graph import components
 
@@ -250,8 +252,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of candidate pairs (a, b) those whose joint likelihood estimate is high enough."""
-    for side in ("a", "b"):
+    """Of candidate pairs (a, b) those whose joint likelihood estimate is high enough.
+
+    The star ``a`` of many pairs is joined last: its row then meets theirs without being sent once for each, and
+    a skewed star is split by the planner.
+    """
+    for side in ("b", "a"):
         pairs = pairs.join(sets.select(F.col("rep").alias(side), F.col("regs").alias(f"regs_{side}"), F.col("n").alias(f"n_{side}")), side)
     return pairs.mapInArrow(_likely, "a long, b long").distinct()
 
@@ -262,8 +268,8 @@ def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """Of candidate pairs those linked on their full sets."""
-    for side in ("a", "b"):
+    """Of candidate pairs those linked on their full sets; the stars are joined last, as in ``_pairs``."""
+    for side in ("b", "a"):
         pairs = pairs.join(full.select(F.col("id").alias(side), F.col("shingles").alias(f"s_{side}")), side)
     return pairs.mapInArrow(_confirm, _LINK).distinct()
 
@@ -300,10 +306,12 @@ def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Documents without those that are near copies of one with a smaller id; columns unchanged."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    none = docs.where("doc_id is null")
-    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").unionByName(none)
+    """Documents without those that are near copies of one with a smaller id; columns unchanged, whatever
+    their names. Rows with a null id stay; of rows that repeat a kept id all stay.
+    """
+    name = free("kept_", docs)
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, F.col("doc_id") == F.col(name), "left_semi").unionByName(docs.where("doc_id is null"))
 
 
 SQL = r"""
