@@ -21,7 +21,7 @@ from urllib.parse import quote
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import partitions, read, shared_dir, small_batches, stored
@@ -49,7 +49,9 @@ def url_key(url: str | None) -> str:
 
 
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path)
+    """The store of a path by its scheme; Hadoop's names of object stores stand for their plain ones."""
+    scheme, colon, rest = path.partition("://")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(scheme, scheme) + colon + rest)
 
 
 class _Out:
@@ -211,36 +213,57 @@ def all_captures(directory: DataFrame) -> DataFrame:
 
 
 def lookup(urls: DataFrame, directory: DataFrame) -> DataFrame:
-    """Captures of the urls (column url): binary search in the directory, then reads of the blocks hit."""
+    """Captures of the urls (column url), one row for each url and capture of its key; null urls have none."""
+    keys = urls.select("url").where("url is not null").distinct().withColumn("url_key", _key_of("url"))
+    return keys.join(lookup_keys(keys.select("url_key"), directory), "url_key").select("url", "url_key", "page_id", "file", "offset", "length")
+
+
+def _key_of(column: str) -> Column:
+    return F.pandas_udf(lambda s: s.map(url_key), "string")(column)
+
+
+def lookup_keys(keys: DataFrame, directory: DataFrame) -> DataFrame:
+    """Captures of the keys (column url_key): binary search in the directory, then in the blocks hit, which are
+    read by their ranges. Keys that are asked for in a row share the blocks read.
+
+    A directory of more than DIRECTORY_ROWS blocks (1e9 captures) is not sent to the tasks: then all
+    blocks are read and joined by key.
+    """
+    keys = keys.select("url_key").distinct()
     rows = directory.select("first_key", "last_key", "file", "offset", "length").limit(DIRECTORY_ROWS + 1)
-    keys = urls.select("url").where("url is not null").distinct()
     sparse = sorted(tuple(r) for r in rows.collect())
-    key_of = F.pandas_udf(lambda s: s.map(url_key), "string")
     if len(sparse) > DIRECTORY_ROWS:
-        return all_captures(directory).join(keys.withColumn("url_key", key_of("url")), "url_key")
+        return all_captures(directory).join(keys, "url_key", "left_semi")
+    held = keys.sparkSession.sparkContext.broadcast(sparse)
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lasts = [r[1] for r in sparse]
+        blocks_at, lasts = held.value, [r[1] for r in held.value]
         blocks: dict[int, list[list]] = {}
         for frame in frames:
             found = []
-            for url in frame["url"]:
-                key = url_key(url)
+            for key in frame["url_key"]:
                 k = bisect.bisect_left(lasts, key)
-                while k < len(sparse) and sparse[k][0] <= key:
+                while k < len(lasts) and blocks_at[k][0] <= key:
                     if k not in blocks:
                         if len(blocks) >= 16:
                             blocks.clear()
-                        blocks[k] = _lines(*sparse[k][2:])
+                        blocks[k] = _lines(*blocks_at[k][2:])
                     at = bisect.bisect_left(blocks[k], key, key=lambda x: x[0])
                     while at < len(blocks[k]) and blocks[k][at][0] == key:
-                        found.append((url, *blocks[k][at]))
+                        found.append(blocks[k][at])
                         at += 1
+                        if len(found) >= 10_000:  # a key may have very many captures
+                            yield _frame(found)
+                            found = []
                     k += 1
-            yield pd.DataFrame(found, columns=["url", "url_key", "page_id", "file", "offset", "length"]).astype({"page_id": "Int64"})
+            yield _frame(found)
+
+    dealt = keys.repartitionByRange(partitions(keys.sparkSession), "url_key").sortWithinPartitions("url_key")
+    return dealt.mapInPandas(find, _CAPTURE)
+
 
-    dealt = keys.withColumn("url_key", key_of("url")).repartitionByRange(partitions(urls.sparkSession), "url_key").sortWithinPartitions("url_key")
-    return dealt.select("url").mapInPandas(find, "url string, " + _CAPTURE)
+def _frame(captures: list[list]) -> pd.DataFrame:
+    return pd.DataFrame(captures, columns=["url_key", "page_id", "file", "offset", "length"]).astype({"page_id": "Int64"})
 
 
 def read_records(captures: DataFrame, with_html: bool = True) -> DataFrame:
@@ -265,7 +288,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
     captures = stored(write_archives(read(spark, sf_dir, "pages"), f"{path}/warc"), f"{path}/captures")
     directory = stored(build_index(captures, f"{path}/index"), f"{path}/directory")
-    return read_records(all_captures(directory), with_html=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    keys = read(spark, sf_dir, "pages").select(_key_of("url").alias("url_key"))
+    return read_records(lookup_keys(keys, directory), with_html=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 SQL = """
