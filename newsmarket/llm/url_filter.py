@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import partitions, read
 
 #: Rule and verdict; a rule is a host, then the start of a path.
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
@@ -81,7 +81,8 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     urls = base.groupBy("host", "path", "ruled").agg(F.count("*").alias("n"))
     padded = F.concat(F.lit(START * (ORDER - 1)), "host", "path", F.lit(END))
     cut = F.transform(F.sequence(F.lit(1), F.length("host") + F.length("path") + 1), lambda i: F.substring(padded, i, F.lit(ORDER)))
-    cuts = urls.withColumn("g", F.explode(cut))
+    # Distinct URLs are few beside what they explode to, so they are dealt to all tasks first.
+    cuts = urls.repartition(partitions(pages.sparkSession), "host", "path").withColumn("g", F.explode(cut))
     windows = cuts.groupBy("g").agg(*[F.sum(F.when(F.col("ruled") == v, F.col("n")).otherwise(0)).alias(c) for v, c in (("allow", "accepted"), ("block", "rejected"))])
     scored = cuts.join(_log_ratios(windows), "g").groupBy("host", "path", "ruled", "n").agg(F.avg("ratio").alias("score"))
     means = scored.agg(*[(F.sum(F.when(F.col("ruled") == v, F.col("score") * F.col("n"))) / F.sum(F.when(F.col("ruled") == v, F.col("n")))).alias(v) for v in ("allow", "block")])
