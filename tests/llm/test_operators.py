@@ -178,6 +178,29 @@ def test_leaks_of_short_items(spark):
     assert {x for x in got if x[1] in short} == {x for x in want if x[1] in short} and got <= want
 
 
+def test_leaks_by_length():
+    """Of windows with exactly the edits that an item allows, each kind of edit, the share found for each length."""
+    rng = random.Random(12)
+    for size in (*range(1, 13), 20, 33):
+        items = [(k, words(rng, size, 3000)) for k in range(60)]
+        held, hit, total = decontaminate.Items(items), 0, 0
+        for k, t in items:
+            w = t.split()
+            for _ in range(int(decontaminate.EDITS * size)):
+                at = rng.randrange(len(w))
+                kind = rng.choice("sid")
+                w[at : at + (kind != "i")] = [] if kind == "d" else [f"zz{rng.randrange(99)}"]
+            text = f"{words(rng, 20, 3000)} {' '.join(w)} {words(rng, 20, 3000)}"
+            have, item = text.split(), t.split()
+            code = {x: i for i, x in enumerate({*have, *item})}
+            arr = lambda x: np.array([code[y] for y in x], int)
+            near = any(decontaminate.edit_distance(arr(item), arr(have[p : p + size])) <= int(decontaminate.EDITS * size) for p in range(len(have)))
+            found = k in {x[1] for x in held.find([text])}
+            assert near or not found
+            hit, total = hit + found, total + near
+        assert total > 20 and hit >= 0.9 * total and (size > 8 or size in (6, 7) or hit == total), (size, hit, total)
+
+
 # Toxicity
 
 
@@ -320,6 +343,7 @@ def test_warc_lookup_and_edges(spark):
     hits = warc.lookup(asked, directory)
     assert {(r["url"], r["page_id"]) for r in hits.collect()} == {("https://b.org/ü", 4), ("https://www.a.com/p?q=1", 1)}
     assert {r["html"] for r in warc.read_records(hits).collect()} == {"é", None}
+    assert warc.lookup_keys(spark.createDataFrame([("",)], "url_key string"), directory).count() == 1
     assert warc.url_key("https://www.Example.com:443/a?b#c") == "com,example,www)/a?b"
     assert warc.write_archives(pages.limit(0), f"{path}/e").count() == 0
 
@@ -345,6 +369,41 @@ def test_mixing_hits_targets(spark):
     assert mixing.rates(d.limit(0), labelled, {"a": 1.0}).count() == 0
 
 
+def test_mixing_against_brute_least_squares(spark):
+    rng = random.Random(6)
+    text = lambda k: " ".join("".join(rng.choices(["abcde", "cdefg", "xyz"][k], k=5)) for _ in range(rng.randrange(1, 60)))
+    kinds = [rng.choice((0, 0, 0, 1, 1, 2)) for _ in range(300)]
+    d = docs(spark, *[text(k) for k in kinds])
+    labelled = spark.createDataFrame([(i, "abc"[k]) for i, k in enumerate(kinds)], "doc_id long, domain string")
+    for targets in ({"a": 0.05, "b": 0.05, "c": 0.9}, {"a": 0.5, "b": 0.5}, {"c": 1.0}):
+        mix, table = mixing.solve(d, labelled, targets)
+        rows = table.toPandas()
+        n, p = rows["n"].to_numpy(float) / mix.scale, np.stack(rows["p"])
+        wish = np.array([targets.get(x, 0.0) for x in mix.names]) * len(n)
+        x, a = np.ones(len(n)), p * n[:, None]
+        step = 1 / np.linalg.norm(a, 2) ** 2
+        for _ in range(20000):
+            x = np.maximum(0, x - step * (a @ (a.T @ x - wish)))
+        best = np.linalg.norm(a.T @ x - wish)
+        ours = np.linalg.norm(a.T @ mixing._rates(n, p, mix.steps) - wish)
+        assert ours <= best + 2e-3 * len(n), (targets, ours, best)
+        assert mix.missing <= mixing.CLOSE or best > 1e-4
+
+
+def test_stages_with_clashing_names(spark):
+    names = "doc_id, text, _rate, rate_, _copies, copies_, _copy, copy_, kept_, _kept, component_id, n, p, ids, block, row, score".split(", ")
+    rows = [(k, f"some words of document number {k} and more", *([float(k)] * (len(names) - 2))) for k in range(40)]
+    d = spark.createDataFrame(rows, names)
+    labelled = spark.createDataFrame([(k, "ab"[k % 2]) for k in range(40)], "doc_id long, domain string")
+    out = mixing.mixed(d, labelled, {"a": 0.5, "b": 0.5})
+    assert out.columns == names and all(r["_copies"] == r["copy_"] == float(r["doc_id"]) for r in out.collect())
+    assert near_dup.keep_one(d).columns == names and near_dup.keep_one(d).count() == 40
+    bench = spark.createDataFrame([(1, "document number 7 and more")], "item_id long, text string")
+    assert decontaminate.drop_leaking(d, bench).columns == names
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(40)], "doc_id long, quality int, toxic int")
+    assert toxicity.drop_toxic(d, labels).columns == names and token_output.encode_and_digest(d).count() == 40
+
+
 # Neighbours
 
 
@@ -371,6 +430,19 @@ def test_ann_recall_and_contract(spark):
     assert ann.nearest(few, few.where("vec_id = 0")).count() == 3
 
 
+def test_ann_widens_and_splits(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(900, 8)), 50 + 0.01 * rng.normal(size=(4, 8))])  # few in a cell of their own
+    monkeypatch.setattr(ann, "BLOCK", 40)
+    monkeypatch.setattr(ann.Index, "probes_needed", lambda self, sample, k: 1)
+    v = ann.usable(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>"))
+    got = ann.nearest(v, v.where("vec_id in (0, 900)")).toPandas()
+    assert (got.groupby("query_id")["rank"].count() == 10).all()
+    far = got[got["query_id"] == 900].sort_values("rank")["vec_id"].tolist()
+    d = np.sqrt(((x - x[900]) ** 2).sum(1))
+    assert set(far[:3]) == {901, 902, 903} and len(set(far) & set(np.argsort(d)[1:11])) >= 9
+
+
 # URLs
 
 
@@ -396,7 +468,7 @@ def test_pii(spark):
         "", None, "v1.2 has 12 items",
     ]
     d = docs(spark, *texts, *[f"n{k}@x.org" for k in range(3000)])
-    got = {r["doc_id"]: r for r in pii.replaced(d).collect()}
+    got = {r["doc_id"]: r for r in pii.replaced(d, "k").collect()}
     out = [got[k]["text"] for k in range(8)]
     assert out[5:] == texts[5:] and [got[k]["entities"] for k in range(8)] == [2, 3, 2, 1, 4, 0, 0, 0]
     for gone in ("555-3824", "und.34", "UND.34", "233.254", "4111", "b44e15", "John", "Smith", "JOHN"):
@@ -411,7 +483,33 @@ def test_pii(spark):
     assert out[4].split()[1] in pii.GIVEN["m"] and out[4].split()[5] in pii.GIVEN["f"]
     mails = [got[k]["text"] for k in range(8, 3008)]
     assert len(set(mails)) == 3000 and not set(mails) & {f"n{k}@x.org" for k in range(3000)}
-    assert pii.replaced(d.limit(0)).count() == 0
+    assert pii.replaced(d.limit(0), "k").count() == 0
+
+
+def test_pii_names_and_codes(spark):
+    texts = [
+        "Mr John Smithers met Dr Maria Lopez. Later Smithers and Maria left; JOHN SMITHERS stayed. John Smithers' dog, Smithersson.",
+        "Dr Robin O'Neil wrote. O'Neil and robin agreed.",
+        "from 2001:db8::ff00:42:8329 and fe80:0:0:0:1:2:3:4, at 12:30:45, std::vector a::b",
+        "pay DE89 3704 0044 0532 0130 00 or DE89370400440532013000, ssn 123-45-6789, not 123-45-67890",
+        "Later Smithers came",
+    ]
+    got = [r["text"] for r in pii.replaced(docs(spark, *texts), "k").orderBy("doc_id").collect()]
+    for gone in ("Smithers ", "John", "Maria", "Lopez", "JOHN", "SMITHERS"):
+        assert gone not in got[0], gone
+    w = got[0].split()
+    given, family, her = w[1], w[2], w[5]
+    assert w[8] == family and w[10] == her and w[12:14] == [given.upper(), family.upper()] and w[15:17] == [given, f"{family}'"] and w[-1] == "Smithersson."
+    assert given in pii.GIVEN["m"] and her in pii.GIVEN["f"]  # by the name, as the title tells nothing
+    assert "Neil" not in got[1] and got[1].split()[4] == got[1].split()[2] and got[1].split()[6] == "robin"
+    assert "2001:db8" not in got[2] and "fe80" not in got[2] and got[2].endswith("at 12:30:45, std::vector a::b") and got[2].count(":") == texts[2].count(":")
+    one, two = got[3].split("pay ")[1].split(" or ")[0], got[3].split(" or ")[1].split(",")[0]
+    assert one.replace(" ", "") == two != "DE89370400440532013000" and two[:2] == "DE" and [len(x) for x in one.split()] == [4, 4, 4, 4, 4, 2]
+    assert int("".join(str(int(c, 36)) for c in two[4:] + two[:4])) % 97 == 1
+    assert "123-45-6789," not in got[3] and got[3].endswith("not 123-45-67890") and got[4] == texts[4]
+    assert [r["text"] for r in pii.replaced(docs(spark, *texts), "other").orderBy("doc_id").collect()][0] != got[0]
+    with pytest.raises(ValueError, match="key"):
+        pii.replaced(docs(spark, "a"), "")
 
 
 # Licences
@@ -430,6 +528,30 @@ def test_licenses(spark):
     assert licenses.scan(docs(spark, *texts), {}).count() == 0 and licenses.scan(docs(spark, "x").limit(0)).count() == 0
 
 
+def test_licenses_brute(spark):
+    rng = random.Random(3)
+    templates = {f"t{k}": words(rng, 4 + k * 3, 40) for k in range(12)} | {"same": "w1 w2 w3 w4", "also": "w1 w2 w3 w4"}
+    lines = ["w1 w2 w3 w4"]
+    for t in templates.values():
+        for _ in range(4):
+            w = t.split()
+            for _ in range(rng.randrange(0, 4)):
+                w[rng.randrange(len(w))] = "x%d" % rng.randrange(9)
+            lines.append(" ".join(w))
+    texts = ["\n".join(rng.choices(lines, k=5)) for _ in range(30)] + lines
+    grams = {n: licenses.bigrams(licenses.normalised(t)) for n, t in templates.items()}
+    want = set()
+    for d, text in enumerate(texts):
+        split = text.split("\n")
+        for unit, k, part in [("text", 0, text), *(("line", i, x) for i, x in enumerate(split, 1) if len(split) > 1)]:
+            own = licenses.bigrams(licenses.normalised(part))
+            best = min((-round(licenses.dice(own, g), 9), n) for n, g in grams.items())
+            if -best[0] >= licenses.THRESHOLD:
+                want.add((d, unit, k, best[1], -best[0]))
+    got = {tuple(r) for r in licenses.scan(docs(spark, *texts), templates).where("unit <> 'passage'").collect()}
+    assert got == want and any(x[3] == "also" for x in want) and not any(x[3] == "same" for x in want) and len(want) > 40
+
+
 def test_licenses_within_longer_texts(spark):
     import textwrap
 
