@@ -120,6 +120,12 @@ def joint_estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray)
     return j[np.arange(len(j)), fit.argmax(1)]
 
 
+def _set_key(shingles: bytes) -> tuple[int, int]:
+    """A 128-bit key of a set, as two longs."""
+    key = xxhash.xxh3_128_intdigest(shingles)
+    return (key >> 64) - 2**63, (key & (2**64 - 1)) - 2**63
+
+
 _SKETCH = "doc_id long, n_shingles long, k1 long, k2 long, regs binary"
 
 
@@ -129,10 +135,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, k1, k2, regs = [], [], [], []
         for text in batch.column(1).to_pylist():
             s = shingle_set(text, hashes)
-            key = xxhash.xxh3_128_intdigest(s.tobytes())
+            key = _set_key(s.tobytes())
             n.append(len(s))
-            k1.append((key >> 64) - 2**63)
-            k2.append((key & (2**64 - 1)) - 2**63)
+            k1.append(key[0])
+            k2.append(key[1])
             regs.append(registers(s).tobytes() if len(s) else None)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(regs, pa.binary())], ["doc_id", "n_shingles", "k1", "k2", "regs"])
 
@@ -162,7 +168,8 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _hashes
     for batch in batches:
         sets = [shingle_set(t, hashes).tobytes() for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
+        k1, k2 = zip(*map(_set_key, sets), strict=True) if sets else ((), ())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())], ["id", "shingles", "k1", "k2"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,8 +224,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     five words: the whole sequence is the one shingle; no words or null text: empty set, linked
     with nothing). component_id is the smallest id reachable over links, kept is doc_id =
     component_id. Repeated rows come back as often as they went in; rows with a null id keep a
-    null component and are kept; other columns, whatever their names, are ignored. Similarity is
-    taken on 64-bit shingle hashes. At the threshold a pair shares a band key with probability
+    null component and are kept; an id with several texts is linked by each of them; other columns,
+    whatever their names, are ignored. Similarity is taken on 64-bit shingle hashes. At the threshold a pair shares a band key with probability
     1 - 3e-7.
     """
     spark = docs.sparkSession
@@ -264,7 +271,7 @@ def _pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
     """Full sets of the documents named, which share a band with another; texts are moved this once."""
-    return docs.join(ids.distinct().hint("merge"), "doc_id", "left_semi").mapInArrow(_full_sets, "id long, shingles binary")
+    return docs.join(ids.distinct().hint("merge"), "doc_id", "left_semi").mapInArrow(_full_sets, "id long, shingles binary, k1 long, k2 long")
 
 
 def _confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
@@ -290,8 +297,9 @@ def _across_components(members: DataFrame, comp: DataFrame, sets: DataFrame, ful
     few = small.where("component <> major").join(other, "key").where("component <> component_2")
     few = few.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b")).distinct()
     few = stored(_confirmed(_pairs(few, sets), full), f"{path}/few_links")
-    full = full.groupBy("id").agg(F.max("shingles").alias("shingles"))  # an id with several texts: one of them
-    large = large.join(sets.groupBy("rep").agg(F.max("regs").alias("regs")).join(full.withColumnRenamed("id", "rep"), "rep"), "rep")
+    # An id with several texts has a row for each, with the registers of that text.
+    texts = full.groupBy(F.col("id").alias("rep"), "k1", "k2").agg(F.first("shingles").alias("shingles"))
+    large = large.join(texts.join(sets.select("k1", "k2", "regs"), ["k1", "k2"]), "rep")
     spot = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     cols = ["key", "band", "rep", "component", "regs", "shingles"]

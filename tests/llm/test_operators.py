@@ -74,7 +74,11 @@ def brute_components(texts):
     return [find(x) for x in range(len(texts))], [len(s) for s in sets]
 
 
-def test_near_dup_brute(spark):
+@pytest.mark.parametrize(("small", "block"), [(near_dup.SMALL, near_dup.BLOCK), (0, 8), (10**6, 512)])
+def test_near_dup_brute(spark, monkeypatch, small, block):
+    """By joins and blocks as they come, by blocks alone, and by joins alone."""
+    monkeypatch.setattr(near_dup, "SMALL", small)
+    monkeypatch.setattr(near_dup, "BLOCK", block)
     rng = random.Random(3)
     texts = []
     for _ in range(12):
@@ -110,6 +114,16 @@ def test_near_dup_edges(spark):
     assert near_dup.keep_one(docs(spark, "a b", "a b", "c")).count() == 2
 
 
+@pytest.mark.parametrize("small", [0, 10**6])
+def test_near_dup_id_with_several_texts(spark, monkeypatch, small):
+    """Each text of a repeated id is confirmed: 9 links the smaller 4 by one text and 6 by the other."""
+    monkeypatch.setattr(near_dup, "SMALL", small)
+    rng = random.Random(4)
+    first, second = words(rng, 60), words(rng, 60)
+    rows = docs(spark, first, second, first + " a", second + " b", ids=[9, 9, 4, 6])
+    assert {r["component_id"] for r in near_dup.near_duplicates(rows).collect()} == {4}
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 101), (101, 100), (5, 5), (None, 3)] + [(200, x) for x in range(201, 260)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), shared_dir(spark)).collect()}
