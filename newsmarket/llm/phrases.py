@@ -31,7 +31,7 @@ LEAST, LONGEST, TOP, INSIDE = 30, 4, 2000, 80
 NO_LANG = "und"
 HEAD, TILE, BITS = 1 << 17, 1 << 10, 1 << 26
 #: Pairs counted at once in a task, and words that a task holds at once.
-CHUNK, WORDS_HELD = 1 << 21, 300_000
+CHUNK, WORDS_HELD = 1 << 20, 150_000
 #: A tile with so many pairs in a chunk is counted densely.
 DENSE = TILE * TILE // 8
 _SIDE = HEAD // TILE
@@ -138,20 +138,19 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _WordCodes(dict):
-    """Codes of a language's words, remembered for so many words at a time."""
+    """Codes of a language's words; what a text has beyond those remembered is looked up at once."""
 
     def __init__(self, codes: Codes, lang: str) -> None:
-        super().__init__()
+        super().__init__({b"": _NOTHING, b"\n": _BREAK})
         self.codes, self.seed = codes, word_hash(lang.encode(), 42)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > WORDS_HELD:
-            self.clear()
-        code = {b"": _NOTHING, b"\n": _BREAK}.get(word)
-        if code is None:
-            code = int(self.codes.of(np.array([word_hash(word, self.seed)], np.int64))[0])
-        self[word] = code
-        return code
+    def units(self, words: list[bytes]) -> np.ndarray:
+        new = [w for w in set(words) if w not in self]
+        if new:
+            found = self.codes.of(np.fromiter((word_hash(w, self.seed) for w in new), np.int64, len(new)))
+            self.update(zip(new, found.tolist(), strict=True))
+        out = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return out[out != _NOTHING]
 
 
 def _encode(batches: Iterator[pa.RecordBatch], codes: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -159,11 +158,11 @@ def _encode(batches: Iterator[pa.RecordBatch], codes: Broadcast) -> Iterator[pa.
     for batch in batches:
         units = []
         for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            if sum(map(len, of.values())) > WORDS_HELD:
+                of.clear()
             if lang not in of:
                 of[lang] = _WordCodes(codes.value, lang)
-            words = split_words(text.as_py())
-            one = np.fromiter(map(of[lang].__getitem__, words), np.int64, len(words))
-            units += [one[one != _NOTHING], [_BREAK]]
+            units += [of[lang].units(split_words(text.as_py())), [_BREAK]]
         if units:
             yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(units).astype(np.int64).tobytes()], pa.binary())], ["units"])
 
