@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import strip
+
 
 def clean_tickers(x: Column) -> Column:
     """Trimmed, upper case, distinct in order; null if nothing is left."""
-    kept = F.array_distinct(F.filter(F.transform(x, lambda t: F.upper(F.trim(t))), lambda t: t.isNotNull() & (t != "")))
+    kept = F.array_distinct(F.filter(F.transform(x, lambda t: F.upper(strip(t))), lambda t: t.isNotNull() & (t != "")))
     return F.when(F.size(kept) > 0, kept)
 
 
 def clean_entities(x: Column) -> Column:
     """Trimmed, distinct whatever the case, the first spelling kept; null if nothing is left."""
-    filled = F.filter(F.transform(x, lambda t: F.trim(t)), lambda t: t.isNotNull() & (t != ""))
+    filled = F.filter(F.transform(x, strip), lambda t: t.isNotNull() & (t != ""))
     kept = F.aggregate(
         filled,
         F.array().cast("array<string>"),
@@ -24,9 +26,9 @@ def clean_entities(x: Column) -> Column:
 
 
 def clean_texts(x: Column, longest: int = 128, most: int = 32) -> Column:
-    """Model lists: trimmed, not blank, at most ``longest`` characters, distinct in order, the first ``most``."""
-    kept = F.filter(F.transform(x, lambda t: F.trim(t)), lambda t: t.isNotNull() & (t != "") & (F.length(t) <= longest))
-    return F.slice(F.array_distinct(kept), 1, most)
+    """Model lists: trimmed, not blank, cut to ``longest`` characters, distinct in order, the first ``most``."""
+    kept = F.filter(F.transform(x, strip), lambda t: t.isNotNull() & (t != ""))
+    return F.slice(F.array_distinct(F.transform(kept, lambda t: F.left(t, F.lit(longest)))), 1, most)
 
 
 def clamp01(x: Column) -> Column:

@@ -23,6 +23,15 @@ MARKED, PLAIN = "".join(_LETTERS), "".join(_LETTERS.values())
 MONTHS = {"enero": 1, "febrero": 2, "marzo": 3, "abril": 4, "mayo": 5, "junio": 6, "julio": 7, "agosto": 8, "septiembre": 9, "octubre": 10, "noviembre": 11, "diciembre": 12}
 
 
+#: All white space, of ASCII and beyond.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def strip(x: Column | str) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.btrim(x, F.lit(BLANKS))
+
+
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once, however often it is used."""
     return F.element_at(F.transform(F.array(value), use), 1)
@@ -84,7 +93,7 @@ def terms_present(text: Column, terms: list[str]) -> Column:
 
 
 def blank_to_null(x: Column) -> Column:
-    return F.nullif(F.trim(x), F.lit(""))
+    return F.nullif(strip(x), F.lit(""))
 
 
 def first_filled(*columns: Column) -> Column:
@@ -143,7 +152,7 @@ def truncate_words(x: Column, limit: int) -> Column:
     head = F.substring(x, 1, limit - 1)
     blank = F.length(head) - F.instr(F.reverse(head), " ") + 1
     at_word = (F.instr(head, " ") > 0) & (blank - 1 > limit / 2)
-    cut = F.rtrim(F.when(at_word, F.substring(head, F.lit(1), blank - 1)).otherwise(head))
+    cut = F.rtrim(F.when(at_word, F.substring(head, F.lit(1), blank - 1)).otherwise(head), F.lit(BLANKS))
     return F.when(F.length(x) <= limit, x).otherwise(F.concat(cut, F.lit("…")))
 
 
@@ -175,9 +184,19 @@ def from_second(x: Column, *markers: str) -> Column:
     return F.when(F.size(found) > 0, F.substring(x, F.coalesce(F.get(found, F.lit(1)), F.get(found, F.lit(0))), F.length(x))).otherwise(x)
 
 
+def utc_text(at: Column) -> Column:
+    """An instant in ISO form in UTC, whatever the session's zone; a fraction of a second shows if there is one."""
+    seconds, micros = F.unix_seconds(at), F.pmod(F.unix_micros(at), F.lit(1_000_000))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int"))
+    clock = F.pmod(seconds, F.lit(86400))
+    two = lambda n: F.lpad(F.floor(n).cast("string"), 2, "0")
+    fraction = F.when(micros > 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise("")
+    return F.concat(day.cast("string"), F.lit("T"), F.concat_ws(":", two(clock / 3600), two(clock % 3600 / 60), two(clock % 60)), fraction, F.lit("+00:00"))
+
+
 def guid(source: Column, url: Column, at: Column) -> Column:
     """SHA-256 of source, url and the UTC instant in ISO form."""
-    return F.sha2(F.concat_ws("|", source, url, F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))), 256)
+    return F.sha2(F.concat_ws("|", source, url, utc_text(at)), 256)
 
 
 ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
@@ -185,20 +204,21 @@ ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{
 
 def iso_instant(x: Column) -> Column:
     """An ISO date or time; without zone it is UTC; anything else null."""
-    t = F.trim(x)
-    return F.when(t.rlike(ISO), F.try_to_timestamp(t))
+    t = strip(x)
+    whole = F.when(F.length(t) == 10, F.concat(t, F.lit("T00:00:00Z"))).when(t.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & (F.length(t) > 10), t).otherwise(F.concat(t, F.lit("Z")))
+    return F.when(t.rlike(ISO), F.try_to_timestamp(whole))
 
 
 def dmy_value(date: Column, value: Column) -> tuple[Column, Column]:
     """dd/MM/yyyy and a number with thousands separators; what does not parse is null."""
-    day = F.when(F.trim(date).rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.to_date(F.try_to_timestamp(F.trim(date), F.lit("d/M/yyyy"))))
-    return day, F.replace(F.trim(value), F.lit(",")).try_cast("double")
+    day = F.when(strip(date).rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.to_date(F.try_to_timestamp(strip(date), F.lit("d/M/yyyy"))))
+    return day, F.replace(strip(value), F.lit(",")).try_cast("double")
 
 
 def period_date(x: Column) -> Column:
     """yyyy, yyyy/mm or yyyy/mm/qq (fortnight 1 or 2) as its first day; anything else null."""
-    ok = F.trim(x).rlike(r"^\d{4}(/\d{1,2}(/\d{1,2})?)?$")
-    part = F.split(F.trim(x), "/")
+    ok = strip(x).rlike(r"^\d{4}(/\d{1,2}(/\d{1,2})?)?$")
+    part = F.split(strip(x), "/")
     month = F.lpad(F.coalesce(F.get(part, F.lit(1)), F.lit("1")), 2, "0")
     half = F.get(part, F.lit(2)).cast("int")
     day = F.when(half.isNull() | (half == 1), "01").when(half == 2, "16")

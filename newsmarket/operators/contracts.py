@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmarket.functions.lists import clean_entities, clean_tickers
-from newsmarket.functions.text import blank_to_null, bound, guid, iso_instant
+from newsmarket.functions.text import blank_to_null, bound, guid, iso_instant, strip
 
 Rule = tuple[str, Column, str]  # reason, condition that breaks it, message
 
@@ -19,9 +19,10 @@ Rule = tuple[str, Column, str]  # reason, condition that breaks it, message
 WEAK = "TYPE_MISMATCH"
 
 
-def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
+def apply_rules(df: DataFrame, rules: list[Rule], first: int = 0) -> DataFrame:
     """The first broken rule gives the reason, those of WEAK after all others; the detail joins the
-    messages of all broken rules (2048 characters). Each condition is evaluated once.
+    messages of all broken rules (2048 characters). The ``first`` rules are preconditions: one that is
+    broken ends the check with its own reason and message. Each condition is evaluated once.
     """
 
     def outcome(broken: Column) -> Column:
@@ -29,7 +30,8 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
         order = sorted(range(len(rules)), key=lambda k: rules[k][0] == WEAK)
         reason = F.coalesce(*[F.when(at[k], F.lit(rules[k][0])) for k in order])
         detail = F.left(F.concat_ws("; ", *[F.when(b, F.lit(m)) for b, (_, _, m) in zip(at, rules, strict=True)]), F.lit(2048))
-        return F.struct(reason.alias("reason"), F.when(reason.isNotNull(), detail).alias("detail"))
+        alone = F.coalesce(F.lit(None).cast("string"), *[F.when(at[k], F.lit(rules[k][2])) for k in range(first)])
+        return F.struct(reason.alias("reason"), F.when(reason.isNotNull(), F.coalesce(alone, detail)).alias("detail"))
 
     found = bound(F.array(*[F.coalesce(c, F.lit(False)) for _, c, _ in rules]), outcome)
     out = df.withColumn("rejection_reason", found)
@@ -58,7 +60,7 @@ def news_contract(raw: DataFrame, sources: list[str], bypass: Column, limits: tu
     only then the missing entity, which ``bypass`` (a boolean column) can lift.
     """
     for c in ("source", "title", "content", "url", "sector"):
-        raw = raw.withColumn(c, F.trim(c))
+        raw = raw.withColumn(c, strip(c))
     raw = raw.withColumn("tickers", clean_tickers(F.col("tickers"))).withColumn("entities", clean_entities(F.col("entities")))
     raw = raw.withColumn("published_ts", iso_instant(F.col("published_at"))).withColumn("macro_bypass", bypass)
     url, n = F.col("url"), F.length
@@ -76,7 +78,7 @@ def news_contract(raw: DataFrame, sources: list[str], bypass: Column, limits: tu
     ]
     clean = ~bad("title", limits[0]) & ~bad("content", limits[1]) & ~F.coalesce(n("sector") > 64, F.lit(False))
     entity_rule = ("MISSING_ENTITY", clean & ~entity & ~F.coalesce(F.col("macro_bypass"), F.lit(False)), "no ticker, sector or entity")
-    out = apply_rules(raw, [*rules, entity_rule])
+    out = apply_rules(raw, [*rules, entity_rule], first=3)
     keyed = blank_to_null(F.col("source")).isNotNull() & blank_to_null(url).isNotNull() & F.col("published_ts").isNotNull()
     return out.withColumn("guid", F.when(keyed, guid(F.col("source"), url, F.col("published_ts"))))
 
@@ -90,7 +92,7 @@ def price_contract(raw: DataFrame) -> DataFrame:
     prices = ("open", "high", "low", "close", "adj_close")
     raw, absent = with_absent(raw, {"ticker": "string", "date": "date"} | dict.fromkeys(prices, "double") | {"volume": "long"})
     lacking = {message.split(":")[0] for _, _, message in absent}
-    raw = raw.withColumn("ticker", F.upper(F.trim("ticker")))
+    raw = raw.withColumn("ticker", F.upper(strip("ticker")))
     rules: list[Rule] = []
     for c in ("ticker", "date", *prices, "volume"):
         wrong = F.col(c).isNull() | ~F.length("ticker").between(1, 32) if c == "ticker" else F.col(c).isNull()
@@ -108,7 +110,7 @@ def macro_contract(raw: DataFrame) -> DataFrame:
     """series_id, date, value -> checked rows; values of any sign, and NaN, pass."""
     raw, absent = with_absent(raw, {"series_id": "string", "date": "date", "value": "double"})
     lacking = {message.split(":")[0] for _, _, message in absent}
-    raw = raw.withColumn("series_id", F.upper(F.trim("series_id")))
+    raw = raw.withColumn("series_id", F.upper(strip("series_id")))
     wrong = {"series_id": F.col("series_id").isNull() | ~F.length("series_id").between(1, 32), "date": F.col("date").isNull(), "value": F.col("value").isNull()}
     return apply_rules(raw, [*absent, *((WEAK, c, f"{name}: null or of the wrong type") for name, c in wrong.items() if name not in lacking)])
 
@@ -117,22 +119,42 @@ def macro_contract(raw: DataFrame) -> DataFrame:
 MEASURES = ("ingresos_totales", "utilidad_neta", "utilidad_por_accion", "activo_total", "pasivo_total", "capital_contable", "flujo_operativo", "flujo_libre")
 
 
+# Characters that the names of a dictionary may have.
+DICTIONARY_LIMITS = {"legal_name": 256, "commercial_name": 128, "sector": 64, "ticker": 32}
+
+
 def fundamental_contract(raw: DataFrame) -> DataFrame:
-    """ticker, period_end and up to eight measures -> checked rows; absent measures are null."""
+    """ticker, period_end and up to eight measures -> checked rows; absent measures are null.
+
+    An absent ticker or period is a missing field; assets that are not positive or liabilities below
+    zero, or no numbers, are out of range; a null or blank ticker, one of over 32 characters and a null
+    period are of the wrong type. Only a row without these faults is asked for a measure at all.
+    """
+    raw, absent = with_absent(raw, {"ticker": "string", "period_end": "date"})
+    lacking = {message.split(":")[0] for _, _, message in absent}
     for c in MEASURES:
         raw = raw.withColumn(c, F.col(c).cast("double") if c in raw.columns else F.lit(None).cast("double"))
-    raw = raw.withColumn("ticker", F.upper(F.trim("ticker")))
-    none = F.coalesce(*MEASURES).isNull()
-    rng = (F.col("activo_total") <= 0) | (F.col("pasivo_total") < 0)
-    return apply_rules(raw, [("MISSING_FIELD", F.col("ticker").isNull() | F.col("period_end").isNull() | none, "no measure, ticker or period"), ("OUT_OF_RANGE", rng, "assets are not positive or liabilities negative")])
+    raw = raw.withColumn("ticker", F.upper(strip("ticker")))
+    wrong = {"ticker": F.col("ticker").isNull() | ~F.length("ticker").between(1, 32), "period_end": F.col("period_end").isNull()}
+    rules: list[Rule] = [*absent, *((WEAK, c, f"{name}: null or of the wrong type") for name, c in wrong.items() if name not in lacking)]
+    for c, bad in (("activo_total", F.col("activo_total") <= 0), ("pasivo_total", F.col("pasivo_total") < 0)):
+        rules.append(("OUT_OF_RANGE", bad | F.isnan(c), f"{c}: out of range"))
+    passed = F.lit(True)
+    for _, broken, _ in rules:
+        passed = passed & ~F.coalesce(broken, F.lit(False))
+    return apply_rules(raw, [*rules, ("MISSING_FIELD", passed & F.coalesce(*MEASURES).isNull(), "no measure")])
 
 
 def dictionary_contract(raw: DataFrame) -> DataFrame:
-    """legal_name, commercial_name, ticker, sector, country -> valid rows with ``listed``; others are dropped."""
-    out = raw.select(*[F.trim(c).alias(c) for c in ("legal_name", "commercial_name", "sector")], F.upper(blank_to_null(F.col("ticker"))).alias("ticker"), F.upper(F.trim("country")).alias("country"))
-    ok = F.lit(True)
+    """legal_name, commercial_name, ticker, sector, country -> valid rows with ``listed``; others are dropped.
+
+    Texts are trimmed and have 1 to the characters of ``DICTIONARY_LIMITS``; a blank ticker is none; an absent country is MX.
+    """
+    raw = raw if "country" in raw.columns else raw.withColumn("country", F.lit("MX"))
+    out = raw.select(*[strip(c).alias(c) for c in ("legal_name", "commercial_name", "sector")], F.upper(blank_to_null(F.col("ticker"))).alias("ticker"), F.upper(strip("country")).alias("country"))
+    ok = F.coalesce(F.length("ticker"), F.lit(0)) <= DICTIONARY_LIMITS["ticker"]
     for c in ("legal_name", "commercial_name", "sector"):
-        ok = ok & F.length(c).between(1, 256)
+        ok = ok & F.length(c).between(1, DICTIONARY_LIMITS[c])
     return out.where(ok & (F.length("country") == 2)).withColumn("listed", F.col("ticker").isNotNull())
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmarket.functions.lists import clamp01, clean_texts, within
+from newsmarket.functions.text import strip
 
 SENTIMENTS = ["positive", "negative", "neutral"]
 NER = "tickers array<string>, personas array<string>, empresas array<string>, sectores array<string>, sentimiento string, confianza_sentimiento string, _bad string"
@@ -14,7 +15,7 @@ MA = "es_evento_ma variant, tipo_ma string, confianza_ma string, fintechs array<
 
 def unfenced(x: Column) -> Column:
     """Without markdown fences."""
-    return F.trim(F.regexp_replace(x, r"(?m)^\s*```[A-Za-z]*\s*$", ""))
+    return strip(F.regexp_replace(x, r"(?m)^\s*```[A-Za-z]*\s*$", ""))
 
 
 def repaired(x: Column) -> Column:
@@ -32,7 +33,7 @@ def parse(x: Column, schema: str) -> Column:
 
 def sanitize_ner(reply: Column, universe: list[str], sectors: list[str]) -> Column:
     """Tickers and sectors of the vocabularies, clean names, a known sentiment (else neutral) and a score in 0..1."""
-    mood = F.lower(F.trim(reply["sentimiento"]))
+    mood = F.lower(strip(reply["sentimiento"]))
     return F.struct(
         within(clean_texts(reply["tickers"]), universe).alias("tickers"),
         within(clean_texts(reply["sectores"]), sectors).alias("sectors"),
@@ -53,7 +54,7 @@ def sanitize_ma(reply: Column, kinds: list[str], fintechs: list[str], sectors: l
     """Event only if the flag is true and the kind is known and not none; the fintech flag follows from names
     in the dictionary; a missing sector falls back to the lexicon if there are fintechs. Any filled text, "false" too, is a true flag.
     """
-    kind = F.lower(F.trim(reply["tipo_ma"]))
+    kind = F.lower(strip(reply["tipo_ma"]))
     event = F.coalesce(truthy(reply["es_evento_ma"]) & kind.isin([k for k in kinds if k != "none"]), F.lit(False))
     found = within(clean_texts(reply["fintechs"]), fintechs)
     sector = F.when(reply["sector_afectado"].isin(sectors), reply["sector_afectado"])

@@ -35,24 +35,32 @@ def upsert_counts(target: DataFrame, updates: DataFrame, keys: list[str], overwr
     return both.agg(F.count_if("is_new").alias("n_new"), F.count_if("is_updated").alias("n_updated"), F.count("*").alias("n_rows"))
 
 
+#: What a quarantine row carries of its latest rejection, as far as the input has it.
+CARRIED = ("reason", "detail", "payload", "batch")
+
+
 def dead_letters(target: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Quarantine by (source, guid): latest reason and payload, times_rejected added up, first time kept.
+    """Quarantine by (source, guid): reason, detail, payload and batch of the latest rejection, times_rejected added up, first time kept.
 
-    target: source, guid, reason, payload, times_rejected, first_rejected_at, rejected_at; rejects
-    has source, guid, reason, payload, rejected_at. Rows without a guid are always appended.
+    target: source, guid, reason, detail, payload, batch, times_rejected, first_rejected_at, rejected_at;
+    rejects has the same but for times_rejected and first_rejected_at, and both may lack detail and
+    batch. Rows without a guid are always appended.
     """
     new = rejects.withColumn("times_rejected", F.lit(1).cast("long")).withColumn("first_rejected_at", F.col("rejected_at"))
     both = target.unionByName(new.select(target.columns))
+    carried = [c for c in CARRIED if c in target.columns]
     keyed = both.where("guid is not null").groupBy("source", "guid")
-    last = F.max_by(F.struct("reason", "payload"), F.struct("rejected_at", "reason", "payload"))
+    last = F.max_by(F.struct(*carried), F.struct("rejected_at", *carried))
     grouped = keyed.agg(last.alias("_l"), F.sum("times_rejected").alias("times_rejected"), F.min("first_rejected_at").alias("first_rejected_at"), F.max("rejected_at").alias("rejected_at"))
-    return grouped.select("source", "guid", "_l.reason", "_l.payload", "times_rejected", "first_rejected_at", "rejected_at").unionByName(both.where("guid is null"))
+    return grouped.select("source", "guid", "_l.*", "times_rejected", "first_rejected_at", "rejected_at").select(target.columns).unionByName(both.where("guid is null"))
 
 
 def collapse_dead_letters(rows: DataFrame) -> DataFrame:
-    """Accumulated duplicates: of each (source, guid) the smallest id, first and last time, count and the latest reason."""
-    last = F.max_by("reason", F.struct("rejected_at", "id"))
-    return rows.where("guid is not null").groupBy("source", "guid").agg(F.min("id").alias("id"), F.min("rejected_at").alias("first_rejected_at"), F.max("rejected_at").alias("last_rejected_at"), F.count("*").alias("times_rejected"), last.alias("reason"))
+    """Accumulated duplicates: of each (source, guid) the smallest id, first and last time, count and the reason, detail, payload and batch of the latest."""
+    carried = [c for c in CARRIED if c in rows.columns]
+    last = F.max_by(F.struct(*carried), F.struct("rejected_at", "id"))
+    out = rows.where("guid is not null").groupBy("source", "guid").agg(F.min("id").alias("id"), F.min("rejected_at").alias("first_rejected_at"), F.max("rejected_at").alias("last_rejected_at"), F.count("*").alias("times_rejected"), last.alias("_l"))
+    return out.select("source", "guid", "id", "first_rejected_at", "last_rejected_at", "times_rejected", "_l.*")
 
 
 def pending(rows: DataFrame, done: DataFrame, key: str, newest: str, limit: int | None = None, reprocess: bool = False) -> DataFrame:

@@ -26,16 +26,16 @@ def query(name: str, sql: str | None = None, *names: str):
     return keep
 
 
-# Orders before 1997 are the target; later ones, with their customer as key, come as updates.
-SIDES = """t AS (SELECT o_custkey AS k, max_by(o_totalprice, o_orderkey) AS v, max_by(o_orderpriority, o_orderkey) AS w, min_by(o_orderdate, o_orderkey) AS first_seen FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY 1),
-u AS (SELECT o_custkey AS k, max_by(o_totalprice, o_orderkey) AS v, max_by(o_orderpriority, o_orderkey) AS w, min_by(o_orderdate, o_orderkey) AS first_seen FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY 1)"""
+# Orders before 1997 are the target; those from 1996 on, with their customer as key, come as updates.
+SIDES = """t AS (SELECT o_custkey AS k, max_by(o_totalprice, o_orderkey) AS v, max_by(o_orderpriority, o_orderkey) AS w, min_by(o_orderdate, o_orderkey) AS first_seen FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01' GROUP BY 1),
+u AS (SELECT o_custkey AS k, max_by(o_totalprice, o_orderkey) AS v, max_by(o_orderpriority, o_orderkey) AS w, min_by(o_orderdate, o_orderkey) AS first_seen FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' GROUP BY 1)"""
 
 
 def _sides(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderpriority").alias("w"), F.col("o_orderdate").alias("first_seen"), "o_orderkey")
     at = lambda s: F.to_timestamp_ntz(F.lit(s))
-    target = upsert.collapse(o.where(F.col("first_seen") < at("1996-01-01 00:00:00")), ["k"], ["o_orderkey"], ["v", "w"], ["first_seen"])
-    return target, o.where(F.col("first_seen") >= at("1998-01-01 00:00:00"))
+    target = upsert.collapse(o.where(F.col("first_seen") < at("1997-01-01 00:00:00")), ["k"], ["o_orderkey"], ["v", "w"], ["first_seen"])
+    return target, o.where(F.col("first_seen") >= at("1996-01-01 00:00:00"))
 
 
 ARGS = (["k"], ["v", "w"], ["first_seen"], ["o_orderkey"])
@@ -69,26 +69,26 @@ def upsert_gold_news(spark, d):
     return upsert.upsert(old, new, ["guid"], ["sentiment"], ["title"], ["guid"])
 
 
-LETTERS = """rej AS (SELECT event_type AS source, CASE WHEN user_id % 10 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS guid, 'R' || (event_id % 3) AS reason, props AS payload, ts AS rejected_at, event_id AS id FROM events)"""
+LETTERS = """rej AS (SELECT event_type AS source, CASE WHEN user_id % 10 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS guid, 'R' || (event_id % 3) AS reason, 'd' || (event_id % 7) AS detail, props AS payload, CAST(event_id % 5 AS VARCHAR) AS batch, ts AS rejected_at, event_id AS id FROM events)"""
 
 
 def _letters(spark, d):
     u = F.col("user_id")
-    return table(spark, d, "events").select(F.col("event_type").alias("source"), F.when(u % 10 != 0, u.cast("string")).alias("guid"), F.concat(F.lit("R"), (F.col("event_id") % 3).cast("string")).alias("reason"), F.col("props").alias("payload"), F.col("ts").alias("rejected_at"), F.col("event_id").alias("id"))
+    return table(spark, d, "events").select(F.col("event_type").alias("source"), F.when(u % 10 != 0, u.cast("string")).alias("guid"), F.concat(F.lit("R"), (F.col("event_id") % 3).cast("string")).alias("reason"), F.concat(F.lit("d"), (F.col("event_id") % 7).cast("string")).alias("detail"), F.col("props").alias("payload"), (F.col("event_id") % 5).cast("string").alias("batch"), F.col("ts").alias("rejected_at"), F.col("event_id").alias("id"))
 
 
-@query("dead_letter_merge", f"WITH {LETTERS} SELECT source, guid, max_by(reason, (rejected_at, reason)) AS reason, count(*) AS times_rejected, min(rejected_at) AS first_rejected_at FROM rej WHERE guid IS NOT NULL GROUP BY ALL UNION ALL SELECT source, NULL, reason, 1, rejected_at FROM rej WHERE guid IS NULL")
+@query("dead_letter_merge", f"""WITH {LETTERS} SELECT source, guid, l.reason AS reason, l.detail AS detail, l.batch AS batch, times_rejected, first_rejected_at FROM (SELECT source, guid, max_by({{'reason': reason, 'detail': detail, 'batch': batch}}, (rejected_at, reason, detail, payload, batch)) AS l, count(*) AS times_rejected, min(rejected_at) AS first_rejected_at FROM rej WHERE guid IS NOT NULL GROUP BY ALL) UNION ALL SELECT source, NULL, reason, detail, batch, 1, rejected_at FROM rej WHERE guid IS NULL""")
 def dead_letter_merge(spark, d):
     r = _letters(spark, d)
     first, second = r.where("id % 2 = 0").drop("id"), r.where("id % 2 = 1").drop("id")
-    empty = first.limit(0).select("source", "guid", "reason", "payload", F.lit(0).cast("long").alias("times_rejected"), F.col("rejected_at").alias("first_rejected_at"), "rejected_at")
+    empty = first.limit(0).select("source", "guid", "reason", "detail", "payload", "batch", F.lit(0).cast("long").alias("times_rejected"), F.col("rejected_at").alias("first_rejected_at"), "rejected_at")
     out = upsert.dead_letters(upsert.dead_letters(empty, first), second)
-    return out.select("source", "guid", "reason", "times_rejected", "first_rejected_at")
+    return out.select("source", "guid", "reason", "detail", "batch", "times_rejected", "first_rejected_at")
 
 
-@query("dead_letter_collapse", f"WITH {LETTERS} SELECT source, guid, min(id) AS id, min(rejected_at) AS first_rejected_at, max(rejected_at) AS last_rejected_at, count(*) AS times_rejected, max_by(reason, (rejected_at, id)) AS reason FROM rej WHERE guid IS NOT NULL GROUP BY ALL")
+@query("dead_letter_collapse", f"WITH {LETTERS} SELECT source, guid, min(id) AS id, min(rejected_at) AS first_rejected_at, max(rejected_at) AS last_rejected_at, count(*) AS times_rejected, max_by(reason, (rejected_at, id)) AS reason, max_by(detail, (rejected_at, id)) AS detail, max_by(batch, (rejected_at, id)) AS batch FROM rej WHERE guid IS NOT NULL GROUP BY ALL")
 def dead_letter_collapse(spark, d):
-    return upsert.collapse_dead_letters(_letters(spark, d))
+    return upsert.collapse_dead_letters(_letters(spark, d)).drop("payload")
 
 
 @query("pending_scan", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 30) ORDER BY o_orderdate DESC, o_orderkey LIMIT 100")

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from newsmarket.functions.text import BLANKS
+
 BENCHMARK = "ALL"
 HOLIDAYS = ("1994-01-03", "1995-05-01", "1996-09-16", "1997-12-25", "1998-01-01")
 
@@ -35,13 +37,13 @@ WHERE CAST(extract(dow FROM session_date) AS INT) NOT IN ({weekend}) AND CAST(se
     + ", ".join(f"'{d}'" for d in HOLIDAYS)
     + ")",
     "news_raw": """
-SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN 'other_feed' ELSE source END AS source, substr(text, 1, 80) AS title, text AS content,
+SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN 'other_feed' ELSE source END AS source, split_part(text, '.', 1) AS title, text AS content,
   CASE WHEN doc_id % 40 = 3 THEN '  ' WHEN doc_id % 40 = 4 THEN 'ftp:/broken' ELSE concat('https://', source, '.example.org/', CAST(doc_id AS STRING)) END AS url,
   CASE WHEN doc_id % 60 = 11 THEN 'yesterday' WHEN doc_id % 60 = 12 THEN '31/07/2026'
     ELSE concat(CAST(DATE '1995-01-01' + CAST(floor((doc_id * 37 % 57000) / 24.0) AS INT) AS STRING), 'T', lpad(CAST((doc_id * 37 % 57000) % 24 AS STRING), 2, '0'), ':00:00') END AS published_at
 FROM {documents}""",
     "news": """
-SELECT doc_id, CAST(doc_id AS STRING) AS guid, source, substr(text, 1, 80) AS title, text AS content,
+SELECT doc_id, CAST(doc_id AS STRING) AS guid, source, split_part(text, '.', 1) AS title, text AS content,
   CAST(DATE '1995-01-01' + CAST(floor((doc_id * 37 % 57000) / 24.0) AS INT) AS TIMESTAMP) + make_interval({hours}) AS published_at,
   CASE WHEN doc_id % 3 = 0 THEN 'negative' WHEN doc_id % 3 = 1 THEN 'positive' ELSE 'neutral' END AS sentiment,
   CASE WHEN doc_id % 5 = 0 THEN '1-URGENT' WHEN doc_id % 5 = 1 THEN '2-HIGH' WHEN doc_id % 5 = 2 THEN 'ALL' END AS model_ticker,
@@ -87,5 +89,10 @@ def oracle(body: str, *names: str) -> str:
         parts.append(f"{name} AS ({re.sub(r'[{](\w+)[}]', r'\1', text)})")
     head = ", ".join(parts)
     if not names:
-        return body
-    return f"WITH {head}, {body.lstrip()[5:]}" if body.lstrip().upper().startswith("WITH ") else f"WITH {head} {body}"
+        return stripping(body)
+    return stripping(f"WITH {head}, {body.lstrip()[5:]}" if body.lstrip().upper().startswith("WITH ") else f"WITH {head} {body}")
+
+
+def stripping(sql: str) -> str:
+    """The oracle's text with each ``trim(x)`` made to strip white space of any kind."""
+    return re.sub(r"\btrim\(((?:[^()]|\((?:[^()]|\([^()]*\))*\))*)\)", lambda m: f"trim({m[1]}, '{BLANKS}')", sql)

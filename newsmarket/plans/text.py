@@ -48,8 +48,8 @@ def fold_text(spark, d):
     return docs(spark, d).select("doc_id", F.md5(text.fold(F.col("text"))).alias("folded"))
 
 
-@query("truncate_words", """WITH h AS (SELECT doc_id, text, substr(text, 1, 199) AS head FROM documents), p AS (SELECT *, length(head) - strpos(reverse(head), ' ') + 1 AS pos FROM h)
-SELECT doc_id, CASE WHEN length(text) <= 200 THEN text ELSE rtrim(CASE WHEN contains(head, ' ') AND pos - 1 > 100 THEN substr(head, 1, pos - 1) ELSE head END) || '…' END AS short FROM p""")
+@query("truncate_words", f"""WITH h AS (SELECT doc_id, text, substr(text, 1, 199) AS head FROM documents), p AS (SELECT *, length(head) - strpos(reverse(head), ' ') + 1 AS pos FROM h)
+SELECT doc_id, CASE WHEN length(text) <= 200 THEN text ELSE rtrim(CASE WHEN contains(head, ' ') AND pos - 1 > 100 THEN substr(head, 1, pos - 1) ELSE head END, '{text.BLANKS}') || '…' END AS short FROM p""")
 def truncate_words(spark, d):
     return docs(spark, d).select("doc_id", text.truncate_words(F.col("text"), 200).alias("short"))
 
@@ -98,9 +98,9 @@ def macro_bypass(spark, d):
     return docs(spark, d).select("doc_id", F.size(lexicon.macro_terms(x, TERMS)).alias("n_terms"), lexicon.macro_bypass(x, F.col("source"), TERMS, TRUSTED).alias("bypass"))
 
 
-@query("embed_text", "SELECT doc_id, md5('passage: ' || concat_ws(chr(10) || chr(10), nullif(trim(substr(text, 1, 80)), ''), nullif(trim(text), ''))) AS input_md5 FROM documents")
+@query("embed_text", "SELECT doc_id, md5('passage: ' || concat_ws(chr(10) || chr(10), nullif(trim(split_part(text, '.', 1)), ''), nullif(trim(text), ''))) AS input_md5 FROM documents")
 def embed_text(spark, d):
-    return docs(spark, d).select("doc_id", F.md5(text.embed_text(F.substring("text", 1, 80), F.col("text"), "passage")).alias("input_md5"))
+    return docs(spark, d).select("doc_id", F.md5(text.embed_text(F.split_part("text", F.lit("."), F.lit(1)), F.col("text"), "passage")).alias("input_md5"))
 
 
 @query("spanish_date", """WITH t AS (SELECT o_orderkey, CAST(day(o_orderdate) AS VARCHAR) AS dd, month(o_orderdate) AS mm, year(o_orderdate) AS yy, CAST(o_orderdate AS DATE) AS date FROM orders) SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE date END AS found FROM t""")
@@ -135,7 +135,7 @@ def normalize_news(spark, d):
 CHECKED = f"""c AS (SELECT doc_id, trim(source) AS source, trim(title) AS title, trim(content) AS content, trim(url) AS url, published_at, {N_TERMS.replace('low', 'strip_accents(lower(content))')} AS n_terms,
   CASE WHEN doc_id % 2 = 0 THEN 'X' END AS ticker, CASE WHEN regexp_matches(published_at, '^\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN CAST(published_at AS TIMESTAMP) END AS ts FROM news_raw),
 r AS (SELECT *, CASE WHEN source NOT IN ({', '.join(f"'{s}'" for s in SOURCES)}) THEN 'UNKNOWN_SOURCE' WHEN url = '' THEN 'INVALID_URL' WHEN ts IS NULL THEN 'INVALID_DATE'
-  WHEN NOT regexp_matches(url, '^https?://[^\\s/?#]+') THEN 'INVALID_URL' WHEN length(title) < 1 OR length(content) < 1 OR length(content) > 8192 THEN 'TYPE_MISMATCH'
+  WHEN NOT regexp_matches(url, '^https?://[^\\s/?#]+') THEN 'INVALID_URL' WHEN length(title) < 1 OR length(title) > 1024 OR length(content) < 1 OR length(content) > 8192 THEN 'TYPE_MISMATCH'
   WHEN ticker IS NULL AND NOT (n_terms >= CASE WHEN source IN ('src1', 'src2') THEN 1 ELSE 2 END) THEN 'MISSING_ENTITY' END AS rejection_reason,
   CASE WHEN source <> '' AND url <> '' AND ts IS NOT NULL THEN sha256(concat_ws('|', source, url, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00')) END AS guid FROM c)"""
 
@@ -163,9 +163,9 @@ def run_summary(spark, d):
     return contracts.run_summary(checked, target, "guid", F.col("doc_id") % 30 == 1)
 
 
-@query("rejection_details", f"""WITH {CHECKED} SELECT doc_id, concat_ws('; ', CASE WHEN source NOT IN ({', '.join(f"'{s}'" for s in SOURCES)}) THEN 'source: unknown' END, CASE WHEN url = '' THEN 'url: blank' END, CASE WHEN ts IS NULL THEN 'published_at: no ISO time' END,
-CASE WHEN NOT regexp_matches(url, '^https?://[^\\s/?#]+') THEN 'url: not absolute or too long' END, CASE WHEN length(title) < 1 THEN 'title: no text of 1 to 1024 characters' END, CASE WHEN length(content) NOT BETWEEN 1 AND 8192 THEN 'content: no text of 1 to 8192 characters' END,
-CASE WHEN length(title) >= 1 AND length(content) BETWEEN 1 AND 8192 AND ticker IS NULL AND NOT (n_terms >= CASE WHEN source IN ('src1', 'src2') THEN 1 ELSE 2 END) THEN 'no ticker, sector or entity' END) AS rejection_detail FROM r WHERE rejection_reason IS NOT NULL""", "news_raw")
+@query("rejection_details", f"""WITH {CHECKED} SELECT doc_id, CASE WHEN source NOT IN ({', '.join(f"'{s}'" for s in SOURCES)}) THEN 'source: unknown' WHEN url = '' THEN 'url: blank' WHEN ts IS NULL THEN 'published_at: no ISO time' ELSE concat_ws('; ',
+CASE WHEN NOT regexp_matches(url, '^https?://[^\\s/?#]+') THEN 'url: not absolute or too long' END, CASE WHEN length(title) NOT BETWEEN 1 AND 1024 THEN 'title: no text of 1 to 1024 characters' END, CASE WHEN length(content) NOT BETWEEN 1 AND 8192 THEN 'content: no text of 1 to 8192 characters' END,
+CASE WHEN length(title) BETWEEN 1 AND 1024 AND length(content) BETWEEN 1 AND 8192 AND ticker IS NULL AND NOT (n_terms >= CASE WHEN source IN ('src1', 'src2') THEN 1 ELSE 2 END) THEN 'no ticker, sector or entity' END) END AS rejection_detail FROM r WHERE rejection_reason IS NOT NULL""", "news_raw")
 def rejection_details(spark, d):
     return checked_news(spark, d).where("rejection_reason is not null").select("doc_id", "rejection_detail")
 
@@ -189,11 +189,11 @@ def validate(spark, d):
     return part(valid, "valid").unionByName(part(rejected, "quarantine"))
 
 
-@query("clean_lists", """WITH l AS (SELECT doc_id, [' ' || lang || ' ', upper(lang), '', source, NULL] AS t, [source, upper(source), ' ' || lang, lang] AS e FROM documents)
+@query("clean_lists", """WITH l AS (SELECT doc_id FROM documents)
 SELECT doc_id, array_to_string(list_distinct_order, ',') AS tickers, source || ',' || lang AS entities, len(list_distinct_order) > 1 AS several FROM (SELECT l.doc_id, [upper(lang), upper(source)] AS list_distinct_order, lang, source FROM l JOIN documents USING (doc_id))""")
 def clean_lists(spark, d):
-    t = F.array(F.concat(F.lit(" "), "lang", F.lit(" ")), F.upper("lang"), F.lit(""), F.col("source"), F.lit(None))
-    e = F.array(F.col("source"), F.upper("source"), F.concat(F.lit(" "), "lang"), F.col("lang"))
+    t = F.array(F.concat(F.lit("\t"), "lang", F.lit("\n")), F.upper("lang"), F.lit("\r\n"), F.col("source"), F.lit(None))
+    e = F.array(F.concat("source", F.lit("\n")), F.upper("source"), F.concat(F.lit("\u00a0"), "lang"), F.col("lang"))
     out = docs(spark, d).select("doc_id", lists.clean_tickers(t).alias("t"), lists.clean_entities(e).alias("e"))
     return out.select("doc_id", F.array_join("t", ",").alias("tickers"), F.array_join("e", ",").alias("entities"), (F.size("t") > 1).alias("several"))
 
@@ -226,27 +226,31 @@ def macro_contract(spark, d):
     return contracts.macro_contract(m).select(F.col("keep").alias("series_id"), "date", "rejection_reason")
 
 
-@query("fundamental_contract", """SELECT ticker, period_end, CASE WHEN month(period_end) = 3 THEN 'MISSING_FIELD' WHEN month(period_end) = 6 THEN 'OUT_OF_RANGE' END AS rejection_reason FROM fund""", "fund")
+@query("fundamental_contract", """SELECT ticker, period_end, CASE WHEN month(period_end) = 6 OR (month(period_end) = 12 AND year(period_end) = 1995) OR ticker = 'MACHINERY' THEN 'OUT_OF_RANGE' WHEN ticker IN ('BUILDING', 'FURNITURE') THEN 'TYPE_MISMATCH' WHEN month(period_end) = 3 THEN 'MISSING_FIELD' END AS rejection_reason FROM fund""", "fund")
 def fundamental_contract(spark, d):
-    return contracts.fundamental_contract(_statements(spark, d)).select("ticker", "period_end", "rejection_reason")
+    # A blank ticker, one of 40 characters and assets that are no number.
+    t = F.col("ticker")
+    f = _statements(spark, d).withColumn("keep", t).withColumn("activo_total", F.when(t == "MACHINERY", F.lit(float("nan"))).otherwise(F.col("activo_total")))
+    f = f.withColumn("ticker", F.when(t == "BUILDING", "\t").when(t == "FURNITURE", F.repeat(F.lit("x"), 40)).otherwise(t))
+    return contracts.fundamental_contract(f).select(F.col("keep").alias("ticker"), "period_end", "rejection_reason")
 
 
 def _statements(spark, d):
     m = F.month("period_end")
     f = adapter(spark, d, "fund").withColumns({c: F.when(m != 3, F.col(c)) for c in ("ingresos_totales", "utilidad_neta")})
-    f = f.withColumn("pasivo_total", F.when(m == 6, F.lit(-1.0))).withColumn("activo_total", F.when(m == 9, F.lit(1.0)))
+    f = f.withColumn("pasivo_total", F.when(m == 6, F.lit(-1.0))).withColumn("activo_total", F.when(m == 9, F.lit(1.0)).when((m == 12) & (F.year("period_end") == 1995), F.lit(0.0)))
     return f
 
 
-@query("fundamental_assertions", """SELECT unnest(['assets_positive', 'liabilities_not_negative', 'some_measure']) AS rule, unnest([CAST(0 AS BIGINT), count(*) FILTER (month(period_end) = 6), count(*) FILTER (month(period_end) = 3)]) AS n_violations FROM fund""", "fund")
+@query("fundamental_assertions", """SELECT unnest(['assets_positive', 'liabilities_not_negative', 'some_measure']) AS rule, unnest([count(*) FILTER (month(period_end) = 12 AND year(period_end) = 1995), count(*) FILTER (month(period_end) = 6), count(*) FILTER (month(period_end) = 3)]) AS n_violations FROM fund""", "fund")
 def fundamental_assertions(spark, d):
     return quality.assert_table(contracts.fundamental_contract(_statements(spark, d)), quality.fundamental_rules(contracts.MEASURES))
 
 
-@query("dictionary_contract", """SELECT c_name AS legal_name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'T' || c_nationkey END AS ticker, CASE WHEN c_custkey % 4 = 0 THEN 'MX' ELSE 'BR' END AS country, c_custkey % 3 <> 0 AS listed FROM customer WHERE c_custkey % 10 <> 9""")
+@query("dictionary_contract", """SELECT c_name AS legal_name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'T' || c_nationkey END AS ticker, CASE WHEN c_custkey % 4 = 0 THEN 'MX' ELSE 'BR' END AS country, c_custkey % 3 <> 0 AS listed FROM customer WHERE c_custkey % 10 <> 9 AND c_custkey % 17 <> 5 AND c_custkey % 19 <> 5""")
 def dictionary_contract(spark, d):
     k = F.col("c_custkey")
-    raw = table(spark, d, "customer").select(F.concat(F.lit(" "), "c_name").alias("legal_name"), F.col("c_name").alias("commercial_name"), F.col("c_mktsegment").alias("sector"), F.when(k % 3 == 0, " ").otherwise(F.concat(F.lit("t"), F.col("c_nationkey").cast("string"))).alias("ticker"), F.when(k % 10 == 9, "MEX").when(k % 4 == 0, "mx").otherwise("br").alias("country"))
+    raw = table(spark, d, "customer").select(F.concat(F.lit(" "), "c_name").alias("legal_name"), F.when(k % 17 == 5, F.repeat(F.lit("x"), 129)).otherwise(F.col("c_name")).alias("commercial_name"), F.when(k % 19 == 5, F.repeat(F.lit("x"), 65)).otherwise(F.col("c_mktsegment")).alias("sector"), F.when(k % 3 == 0, " ").otherwise(F.concat(F.lit("t"), F.col("c_nationkey").cast("string"))).alias("ticker"), F.when(k % 10 == 9, "MEX").when(k % 4 == 0, "mx").otherwise("br").alias("country"))
     return contracts.dictionary_contract(raw).select("legal_name", "ticker", "country", "listed")
 
 
