@@ -28,8 +28,9 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, since texts can be long."""
+def small_batches(spark: SparkSession, rows: int = 1000, mb: int = 16) -> None:
+    """Bound the rows of an Arrow batch and its bytes, since texts can be long; a batch holds one row at least."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

@@ -31,7 +31,9 @@ LEAST, LONGEST, TOP, INSIDE = 30, 4, 2000, 80
 NO_LANG = "und"
 HEAD, TILE, BITS = 1 << 17, 1 << 10, 1 << 26
 #: Pairs counted at once in a task, and words that a task holds at once.
-CHUNK, WORDS_HELD = 1 << 20, 150_000
+CHUNK, WORDS_HELD = 1 << 20, 100_000
+#: Units in a row of the encoded texts.
+ROW = 1 << 15
 #: A tile with so many pairs in a chunk is counted densely.
 DENSE = TILE * TILE // 8
 _SIDE = HEAD // TILE
@@ -155,16 +157,26 @@ class _WordCodes(dict):
 
 def _encode(batches: Iterator[pa.RecordBatch], codes: Broadcast) -> Iterator[pa.RecordBatch]:
     of: dict[str, _WordCodes] = {}
+    units, n = [], 0
+
+    def out() -> pa.RecordBatch:
+        row = pa.array([np.concatenate(units).astype(np.int64).tobytes()], pa.binary())
+        units.clear()
+        return pa.RecordBatch.from_arrays([row], ["units"])
+
     for batch in batches:
-        units = []
         for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
             if sum(map(len, of.values())) > WORDS_HELD:
                 of.clear()
             if lang not in of:
                 of[lang] = _WordCodes(codes.value, lang)
             units += [of[lang].units(split_words(text.as_py())), [_BREAK]]
-        if units:
-            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(units).astype(np.int64).tobytes()], pa.binary())], ["units"])
+            n += len(units[-2]) + 1
+            if n >= ROW:
+                yield out()
+                n = 0
+    if units:
+        yield out()
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch], codes: list[Broadcast]) -> Iterator[pa.RecordBatch]:
