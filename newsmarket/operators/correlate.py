@@ -7,27 +7,26 @@ from pyspark.sql import functions as F
 
 from .asof import forward, snapshot
 from .calendar import next_session, shift_sessions
+from .dictionary import first_known
 
 
-def targets(news: DataFrame, universe: list[str], proxies: DataFrame, fintechs: list[str]) -> DataFrame:
+def targets(news: DataFrame, universe: list[str], proxies: DataFrame, fintechs: DataFrame) -> DataFrame:
     """guid, ticker, relation, label: direct tickers and, for the sector, proxies that are not direct.
 
     news: guid, model_tickers, lexicon_tickers, fintechs, lexicon_fintechs (arrays), sector,
     lexicon_sector. proxies: sector, proxy, pos - a short list. The label of a proxy is the first fintech
-    found by the model, else by the lexicon.
+    found by the model, else by the lexicon, of those in the dictionary table ``fintechs`` (name).
     """
     empty = F.array().cast("array<string>")
     lst = lambda c: F.coalesce(F.col(c), empty)
     known = F.array(*map(F.lit, universe))
     direct = F.array_sort(F.array_intersect(F.array_union(lst("model_tickers"), lst("lexicon_tickers")), known))
-    names = F.array(*map(F.lit, fintechs))
-    own, by_lexicon = F.array_intersect(lst("fintechs"), names), F.array_intersect(lst("lexicon_fintechs"), names)
-    found = F.when(F.size(own) > 0, own).otherwise(by_lexicon)
-    base = news.select("guid", direct.alias("direct"), F.coalesce("sector", "lexicon_sector").alias("sector"), F.get(found, F.lit(0)).alias("label"))
+    labels = first_known(news, fintechs, "guid", ["fintechs", "lexicon_fintechs"])
+    base = news.select("guid", direct.alias("direct"), F.coalesce("sector", "lexicon_sector").alias("sector"))
     by_name = base.select("guid", F.explode("direct").alias("ticker"), F.lit("direct").alias("relation"), F.lit(None).cast("string").alias("label"))
     # A news item has one sector and a sector few proxies, so the list becomes an array a sector.
     lists = proxies.groupBy("sector").agg(F.sort_array(F.collect_list(F.struct("pos", "proxy"))).alias("_p"))
-    by_sector = base.join(lists, "sector").select("guid", "direct", "label", F.explode(F.transform("_p", lambda p: p["proxy"])).alias("ticker"))
+    by_sector = base.join(lists, "sector").join(labels, "guid", "left").select("guid", "direct", "label", F.explode(F.transform("_p", lambda p: p["proxy"])).alias("ticker"))
     by_sector = by_sector.where(F.col("ticker").isin(universe) & ~F.array_contains("direct", F.col("ticker"))).select("guid", "ticker", F.lit("proxy").alias("relation"), "label")
     return by_name.unionByName(by_sector)
 

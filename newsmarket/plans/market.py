@@ -188,7 +188,7 @@ def _targets(spark, news):
     one = lambda c: F.when(F.col(c).isNotNull(), F.array(c))
     null = F.lit(None).cast("array<string>")
     n = news.select("guid", one("model_ticker").alias("model_tickers"), one("lexicon_ticker").alias("lexicon_tickers"), one("fintech").alias("fintechs"), null.alias("lexicon_fintechs"), "sector", F.lit(None).cast("string").alias("lexicon_sector"))
-    return corr.targets(n, UNIVERSE, spark.createDataFrame(PROXIES, "sector string, proxy string, pos int"), FINTECHS)
+    return corr.targets(n, UNIVERSE, spark.createDataFrame(PROXIES, "sector string, proxy string, pos int"), spark.createDataFrame([(x,) for x in FINTECHS], "name string"))
 
 
 @query("targets_direct_proxy", f"WITH {DATES}, {TARGETS} SELECT guid, ticker, relation, label FROM targets", "news")

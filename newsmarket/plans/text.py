@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsmarket.functions import lists, text
-from newsmarket.operators import contracts, lexicon, quality
+from newsmarket.operators import contracts, dictionary, lexicon, quality
 
 from .testbed import adapter, oracle, table
 
@@ -84,6 +84,39 @@ def tag_entities(spark, d):
     return docs(spark, d).select("doc_id", F.array_join(lexicon.labels_present(F.col("text"), ENTITIES), ",").alias("entities"))
 
 
+# Names of the given tables, written into the documents in ways that are occurrences and in ways that are not.
+def _with_names(spark, d):
+    i = F.col("doc_id")
+    first, second = (F.format_string("%09d", (i * k) % 1500 + 1) for k in (7, 11))
+    said = F.when(i % 4 == 0, F.concat(F.lit(" CUSTOMER#"), first, F.lit(", United  Kingdom, 'Perú'.")))
+    said = said.when(i % 4 == 1, F.concat(F.lit(" Customer#"), first, F.lit("x and xCustomer#"), second, F.lit(" in the United States!")))
+    said = said.when(i % 4 == 2, F.concat(F.lit(" (Customer#"), first, F.lit(") with customer#"), second, F.lit("; Saudi-Arabia"))).otherwise("")
+    return docs(spark, d).select("doc_id", F.concat("text", said).alias("text"))
+
+
+WITH_NAMES = """SELECT doc_id, text || CASE doc_id % 4 WHEN 0 THEN ' CUSTOMER#' || lpad(CAST(doc_id * 7 % 1500 + 1 AS VARCHAR), 9, '0') || ', United  Kingdom, ''Perú''.'
+  WHEN 1 THEN ' Customer#' || lpad(CAST(doc_id * 7 % 1500 + 1 AS VARCHAR), 9, '0') || 'x and xCustomer#' || lpad(CAST(doc_id * 11 % 1500 + 1 AS VARCHAR), 9, '0') || ' in the United States!'
+  WHEN 2 THEN ' (Customer#' || lpad(CAST(doc_id * 7 % 1500 + 1 AS VARCHAR), 9, '0') || ') with customer#' || lpad(CAST(doc_id * 11 % 1500 + 1 AS VARCHAR), 9, '0') || '; Saudi-Arabia' ELSE '' END AS text FROM documents"""
+
+
+def _names(spark, d):
+    customers = table(spark, d, "customer").select(F.col("c_name").alias("label"), F.col("c_name").alias("term"))
+    return customers.unionByName(table(spark, d, "nation").select(F.col("n_name").alias("label"), F.col("n_name").alias("term")))
+
+
+@query("tag_dictionary", f"""WITH t AS (SELECT doc_id, strip_accents(lower(text)) AS low FROM ({WITH_NAMES})),
+words AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(low, '[^\\p{{L}}\\p{{N}}_#]+')) AS word FROM t),
+found AS (SELECT doc_id, c_name AS label FROM words JOIN customer ON lower(c_name) = word
+  UNION SELECT doc_id, n_name FROM t JOIN nation ON regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_])' || lower(n_name) || '([^\\p{{L}}\\p{{N}}_]|$)')
+  UNION SELECT doc_id, unnest({labels(ENTITIES)}) FROM t)
+SELECT doc_id, coalesce(string_agg(label, ',' ORDER BY label), '') AS entities FROM t LEFT JOIN found USING (doc_id) GROUP BY doc_id""")
+def tag_dictionary(spark, d):
+    """The fixed lexicon's entities together with the names of a dictionary that is a table."""
+    x = _with_names(spark, d)
+    out = dictionary.labelled(x, _names(spark, d), "doc_id", "text", "entities", also=lexicon.labels_present(F.col("text"), ENTITIES))
+    return out.select("doc_id", F.array_join("entities", ",").alias("entities"))
+
+
 @query("first_sector", f"SELECT doc_id, CASE {' '.join(f'WHEN {has(t)} THEN {chr(39)}{k}{chr(39)}' for k, t in SECTORS)} END AS sector FROM (SELECT doc_id, {LOW} AS low FROM documents)")
 def first_sector(spark, d):
     return docs(spark, d).select("doc_id", lexicon.first_label(F.col("text"), SECTORS).alias("sector"))

@@ -143,7 +143,7 @@ def test_targets(spark):
     schema = "guid string, model_tickers array<string>, lexicon_tickers array<string>, fintechs array<string>, lexicon_fintechs array<string>, sector string, lexicon_sector string"
     rows = [("a", ["B", "A"], ["A", "ZZ"], None, None, "bank", None), ("b", None, None, ["No"], ["Clip"], None, "bank"), ("c", None, None, None, None, "other", None), ("d", ["IDX"], None, None, None, None, None)]
     proxies = spark.createDataFrame([("bank", "A", 0), ("bank", "C", 1)], "sector string, proxy string, pos int")
-    got = sorted(tuple(r) for r in correlate.targets(spark.createDataFrame(rows, schema), ["A", "B", "C"], proxies, ["Clip"]).collect())
+    got = sorted(tuple(r) for r in correlate.targets(spark.createDataFrame(rows, schema), ["A", "B", "C"], proxies, spark.createDataFrame([("Clip",), (None,)], "name string")).collect())
     assert got == sorted([("a", "A", "direct", None), ("a", "B", "direct", None), ("a", "C", "proxy", None), ("b", "A", "proxy", "Clip"), ("b", "C", "proxy", "Clip")], key=lambda x: (x[0], x[1], x[2]))
 
 
