@@ -1,9 +1,9 @@
 """Spelling variants: words one edit apart, by an index of grams of variable length.
 
 A gram is a stretch of a word between its edge marks. The dictionary of grams is pruned by
-frequency: a gram that occurs more than ``FREQUENT`` times among the distinct words is replaced by
-its extensions, up to ``Q_MAX`` characters, so common beginnings get long grams and rare ones stay
-short. A word is decomposed into one gram for each position, the shortest that is not extended.
+frequency: it holds the ``DICTIONARY`` most frequent of those that occur more than ``FREQUENT``
+times among the distinct words, and these are replaced by their extensions, up to ``Q_MAX``
+characters, so common beginnings get long grams and rare ones stay short. A word is decomposed into one gram for each position, the shortest that is not extended.
 Which gram that is depends on its own characters alone; so an edit touches only the grams that
 cover its place, at most ``a`` of a word's grams, wherever it falls. Two words one edit apart share
 all others, at equal places before the edit and at places one apart after it, and therefore one at
@@ -20,9 +20,12 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read, shared_dir, small_batches, stored
@@ -31,6 +34,8 @@ SHORTEST, LEAST = 5, 3
 #: Lengths of grams; a word has at least Q_MAX letters, so no edit touches all its grams.
 Q_MIN, Q_MAX = 2, 5
 FREQUENT, LIST = 64, 64
+#: Grams in the dictionary, which is broadcast: at most so many texts of Q_MAX letters.
+DICTIONARY = 1 << 17
 SLIP = 97
 WORDS_HELD = 300_000
 
@@ -78,48 +83,103 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
 
 
-def decomposed(words: DataFrame) -> DataFrame:
-    """word, size, a, grams: array<struct<f, h, p, gram>>, the rarest first.
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: Counter = Counter()
+
+    def out() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["gram", "f"])
+        held.clear()
+        return batch
+
+    for batch in batches:
+        for word in batch.column(0).to_pylist():
+            padded = f"^{word}$"
+            for q in range(Q_MIN, Q_MAX + 1):
+                held.update(padded[p : p + q] for p in range(len(padded) - q + 1))
+            if len(held) > WORDS_HELD:
+                yield out()
+    yield out()
+
+
+def gram_dictionary(words: DataFrame) -> dict[str, int]:
+    """Of the grams that occur more than FREQUENT times among the words the DICTIONARY most frequent, with their counts."""
+    counts = words.select("word").mapInArrow(_count_grams, "gram string, f long").groupBy("gram").agg(F.sum("f").alias("f"))
+    top = counts.where(F.col("f") > FREQUENT).orderBy(F.desc("f"), "gram").limit(DICTIONARY).toPandas()
+    return dict(zip(top["gram"].tolist(), top["f"].tolist(), strict=True))
 
-    f is 0 for a gram that isn't frequent; order by f and a hash is one order for all words.
+
+def decomposed(word: str, dictionary: dict[str, int]) -> tuple[int, list[tuple[int, str, int]]]:
+    """a and the word's grams as (frequency, gram, place), the rarest first.
+
+    The frequency is 0 for a gram that isn't in the dictionary; with the grams' own order it makes
+    one order for all words.
     """
-    padded, size = F.concat(F.lit("^"), "word", F.lit("$")), F.length("word")
-    cut = F.transform(F.sequence(F.lit(0), size), lambda p: F.transform(F.sequence(F.lit(Q_MIN), F.least(F.lit(Q_MAX), size + 2 - p)), lambda q: F.struct(p.alias("p"), F.substring(padded, p + 1, q).alias("gram"))))
-    grams = words.select("word", F.explode(F.flatten(cut)).alias("g")).select("word", "g.*")
-    frequent = grams.groupBy("gram").agg(F.count("*").alias("f")).where(F.col("f") > FREQUENT)
-    marked = grams.join(frequent, "gram", "left").select("word", "p", "gram", F.coalesce("f", F.lit(0)).alias("f"))
-    q = F.length("gram").alias("q")
-    at = marked.repartition("word").groupBy("word", "p").agg(F.min(F.when(F.col("f") == 0, F.struct(q, "gram", "f"))).alias("leaf"), F.max(F.struct(q, "gram", "f")).alias("longest"))
-    at = at.select("word", "p", F.coalesce("leaf", "longest").alias("g"))
-    sorted_grams = F.sort_array(F.collect_list(F.struct("g.f", F.xxhash64("g.gram").alias("h"), "p", "g.gram")))
-    whole = at.groupBy("word").agg(sorted_grams.alias("grams"))
-    covering = lambda e: F.size(F.filter("grams", lambda g: (g["p"] <= e) & (e < g["p"] + F.length(g["gram"]))))
-    return whole.select("word", size.alias("size"), F.array_max(F.transform(F.sequence(F.lit(1), size), covering)).alias("a"), "grams")
-
-
-def _places(p: Column, role: Column) -> Column:
+    padded, n = f"^{word}$", len(word)
+    grams, edges = [], [0] * (n + 4)
+    for p in range(n + 1):
+        q, most = Q_MIN, min(Q_MAX, n + 2 - p)
+        gram = padded[p : p + q]
+        while q < most and gram in dictionary:
+            q += 1
+            gram = padded[p : p + q]
+        grams.append((dictionary.get(gram, 0), gram, p))
+        edges[p] += 1
+        edges[p + q] -= 1
+    grams.sort()
+    return max(list(accumulate(edges))[1 : n + 1]), grams
+
+
+def _places(p: int, role: int) -> tuple[int, ...]:
     """Places at which the shorter of two words, or one of equal size, may have a gram that stands at p."""
-    return F.when(role == 0, F.array(p)).when(p == 0, F.array(p)).otherwise(F.array(p, p - 1))
+    return (p, p - 1) if role and p else (p,)
+
+
+_ENTRIES = "key long, role int, word string, at int, sure int"
+
+
+def _entries(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+    types = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [x.split()[0] for x in _ENTRIES.split(", ")])
 
 
-def _lists(grams: DataFrame) -> DataFrame:
-    """key, role, word, at: entries of each word in the lists of its a + 1 rarest grams.
+def _key(*parts: object) -> int:
+    return xxhash.xxh3_64_intdigest(repr(parts)) - 2**63
 
-    A list holds a gram at a place in words of a size (role 0) and in words one longer (role 1).
+
+def _lists(words: DataFrame, dictionary: Broadcast) -> DataFrame:
+    """key, role, word, at, sure: entries of each word in the lists of its a + 1 rarest grams.
+
+    A list holds a gram at a place in words of a size (role 0) and in words one longer (role 1). at is
+    the gram's rank among the word's, sure the number of grams that it shares with any near word.
     """
-    items = grams.select("word", "size", F.posexplode(F.slice("grams", F.lit(1), F.col("a") + 1)).alias("at", "g"))
-    roles = items.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("role"))
-    placed = roles.select("*", F.explode(_places(F.col("g.p"), F.col("role"))).alias("place"))
-    return placed.select(F.xxhash64("g.gram", "place", F.col("size") - F.col("role")).alias("key"), "role", "word", "at")
 
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for word in batch.column(0).to_pylist():
+                a, grams = decomposed(word, dictionary.value)
+                for at, (_, gram, p) in enumerate(grams[: a + 1]):
+                    rows += [(_key(gram, place, len(word) - role), role, word, at, len(grams) - a) for role in (0, 1) for place in _places(p, role)]
+            yield _entries(rows)
+
+    return words.select("word").mapInArrow(lists, _ENTRIES)
 
-def _split(hot: DataFrame, grams: DataFrame, shared: int) -> DataFrame:
+
+def _split(hot: DataFrame, dictionary: Broadcast, shared: int) -> DataFrame:
     """Entries of long lists by one more shared gram, of which each word has ``shared`` by then."""
-    both = hot.select("key", "role", "word", "at").join(grams, "word")
-    following = F.slice("grams", F.col("at") + 2, F.greatest(F.col("a") + shared - F.col("at") - 1, F.lit(0)))
-    items = both.select("key", "role", "word", "at", F.posexplode(following).alias("more", "g"))
-    placed = items.select("*", F.explode(_places(F.col("g.p"), F.col("role"))).alias("place"))
-    return placed.select(F.xxhash64("key", "g.gram", "place").alias("key"), "role", "word", (F.col("at") + F.col("more") + 1).alias("at"))
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key, role, word, at, sure in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                a, grams = decomposed(word, dictionary.value)
+                for more in range(at + 1, min(a + shared, len(grams))):
+                    _, gram, p = grams[more]
+                    rows += [(_key(key, gram, place), role, word, more, sure) for place in _places(p, role)]
+            yield _entries(rows)
+
+    return hot.select(*[x.split()[0] for x in _ENTRIES.split(", ")]).mapInArrow(lists, _ENTRIES)
 
 
 def _pairs(entries: DataFrame) -> DataFrame:
@@ -133,8 +193,9 @@ def _pairs(entries: DataFrame) -> DataFrame:
 
 def near_pairs(words: DataFrame, path: str) -> DataFrame:
     """word, near for each pair of words that differ by one code point, once (word < near)."""
-    grams = stored(decomposed(words), f"{path}/grams")
-    entries, found, shared = stored(_lists(grams), f"{path}/lists1"), None, 1
+    spark = words.sparkSession
+    dictionary = spark.sparkContext.broadcast(gram_dictionary(words))
+    entries, found, shared = stored(_lists(words, dictionary), f"{path}/lists1"), None, 1
     while True:
         sizes = entries.groupBy("key").agg(F.count_if(F.col("role") == 0).alias("n0"), F.count("*").alias("all_n")).where("n0 > 0 and all_n > 1").drop("n0")
         live = stored(entries.join(sizes, "key"), f"{path}/live{shared}")
@@ -145,10 +206,9 @@ def near_pairs(words: DataFrame, path: str) -> DataFrame:
             return found.distinct()
         shared += 1
         # Two words that share fewer grams than that for sure have nothing left to be split by.
-        short = grams.where(F.size("grams") - F.col("a") < shared).select("word")
-        few = stored(_pairs(hot.join(short, "word", "left_semi")), f"{path}/short{shared}")
+        few = stored(_pairs(hot.where(F.col("sure") < shared)), f"{path}/short{shared}")
         found = found.unionByName(few)
-        entries = stored(_split(hot, grams, shared), f"{path}/lists{shared}")
+        entries = stored(_split(hot, dictionary, shared), f"{path}/lists{shared}")
 
 
 def _roots(forms: DataFrame, path: str) -> DataFrame:
