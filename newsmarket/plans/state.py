@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsmarket.functions import text
-from newsmarket.operators import quality, replies, upsert, vectors
+from newsmarket.operators import partitioned, quality, replies, upsert, vectors
 from newsmarket.sources import bronze, feeds
 from newsmarket.streaming import incremental
 
@@ -60,6 +60,26 @@ def upsert_series(spark, d):
     return upsert.upsert(old, new, ["ticker", "date"], ["close"], ["first_batch"], ["date"])
 
 
+@query("upsert_touched", """WITH a AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day, o_totalprice AS v, 'old' AS first_batch FROM orders WHERE o_orderkey % 5 <> 0),
+b AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day, o_totalprice + 1 AS v, 'new' AS first_batch FROM orders WHERE o_orderdate >= TIMESTAMP '1996-05-01' AND o_orderdate < TIMESTAMP '1996-07-01'),
+m AS (SELECT k, day, coalesce(b.v, a.v) AS v, coalesce(a.first_batch, b.first_batch) AS first_batch, a.k IS NULL AS is_new, a.k IS NOT NULL AND b.k IS NOT NULL AS is_old FROM a FULL JOIN b USING (k, day))
+SELECT strftime(day, '%Y-%m') AS part, count(*) AS n_rows, max(v) AS highest, count(*) FILTER (first_batch = 'new') AS n_added, any_value(t.n_new) AS n_new, any_value(t.n_updated) AS n_updated, any_value(t.n_partitions) AS n_partitions
+FROM m, (SELECT count(*) FILTER (is_new) AS n_new, count(*) FILTER (is_old) AS n_updated, count(DISTINCT CASE WHEN is_new OR is_old THEN strftime(day, '%Y-%m') END) AS n_partitions FROM m) t GROUP BY 1""")
+def upsert_touched(spark, d):
+    """A target partitioned by month; a batch of two months reads and rewrites these only. Run twice, with equal results."""
+    path = shared_folder(spark)
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("v"))
+    args, by = (["k", "day"], ["v"], ["first_batch"], ["v"]), F.date_format("day", "yyyy-MM")
+    partitioned.upsert_into(f"{path}/orders", o.where("k % 5 <> 0").withColumn("first_batch", F.lit("old")), *args, by, f"{path}/work")
+    batch = o.where("day >= date '1996-05-01' and day < date '1996-07-01'").withColumn("v", F.col("v") + 1).withColumn("first_batch", F.lit("new"))
+    done = partitioned.upsert_into(f"{path}/orders", batch, *args, by, f"{path}/work")
+    partitioned.upsert_into(f"{path}/orders", batch, *args, by, f"{path}/work")
+    now = partitioned.read_table(spark, f"{path}/orders", batch.select("k", "day", "v", "first_batch").schema)
+    counts = {"n_new": done.n_new, "n_updated": done.n_updated, "n_partitions": len(done.partitions)}
+    out = now.groupBy("part").agg(F.count("*").alias("n_rows"), F.max("v").alias("highest"), F.count_if(F.col("first_batch") == "new").alias("n_added"))
+    return out.withColumns({k: F.lit(v).cast("long") for k, v in counts.items()})
+
+
 @query("upsert_gold_news", """SELECT doc_id AS guid, md5(text) AS title, CASE WHEN doc_id % 4 = 0 THEN 'new' ELSE 'old' END AS sentiment FROM documents WHERE doc_id % 2 = 0
 UNION ALL SELECT doc_id, 'changed', 'new' FROM documents WHERE doc_id % 2 = 1 AND doc_id % 3 = 0""")
 def upsert_gold_news(spark, d):
@@ -272,8 +292,13 @@ def html_table_rows(spark, d):
     return feeds.table_rows(p.select("page_id", page.alias("h")), "h", "Event").select("page_id", F.col("cells")["Event"].alias("event"), "link")
 
 
-@query("stream_validate", f"""WITH {CHECKED} SELECT coalesce(rejection_reason, 'VALID') AS reason, count(*) + count(*) FILTER (rejection_reason IS NOT NULL AND guid IS NULL AND doc_id % 12 = 0) AS n_rows, count(*) FILTER (rejection_reason IS NULL AND doc_id % 12 = 0) AS n_changed,
-CAST(coalesce(sum(CASE WHEN rejection_reason IS NOT NULL THEN CASE WHEN doc_id % 12 = 0 THEN 2 ELSE 1 END END), 0) AS BIGINT) AS n_rejections FROM r GROUP BY 1""", "news_raw")
+LANDED = """landed AS (SELECT 1 AS landing, * FROM news_raw WHERE doc_id % 2 = 0 UNION ALL SELECT 2, * REPLACE (CASE WHEN doc_id % 12 = 0 THEN 'changed' ELSE title END AS title) FROM news_raw WHERE doc_id % 2 = 1 OR doc_id % 6 = 0)"""
+
+
+@query("stream_validate", f"""WITH {LANDED}, {CHECKED.replace("FROM news_raw", "FROM landed").replace("c AS (SELECT doc_id,", "c AS (SELECT landing, doc_id,")},
+good AS (SELECT guid, max_by(title, landing) AS title FROM r WHERE rejection_reason IS NULL GROUP BY guid),
+bad AS (SELECT max_by(rejection_reason, landing) AS reason, count(*) AS times FROM r WHERE rejection_reason IS NOT NULL AND guid IS NOT NULL GROUP BY source, guid UNION ALL SELECT rejection_reason, 1 FROM r WHERE rejection_reason IS NOT NULL AND guid IS NULL)
+SELECT reason, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed, CAST(sum(times) AS BIGINT) AS n_rejections FROM bad GROUP BY 1 UNION ALL SELECT 'VALID', count(*), count(*) FILTER (title = 'changed'), 0 FROM good""", "news_raw")
 def stream_validate(spark, d):
     from newsmarket.operators import contracts, lexicon
 
@@ -286,8 +311,8 @@ def stream_validate(spark, d):
     changed = raw.where("doc_id % 2 = 1 or doc_id % 6 = 0").withColumn("title", F.when(F.col("doc_id") % 12 == 0, "changed").otherwise(F.col("title")))
     for landing in (raw.where("doc_id % 2 = 0"), changed):
         landing.write.mode("append").option("ignoreNullFields", False).json(f"{path}/landed")
-        incremental.run(spark, f"{path}/landed", schema, check, f"{path}/valid", f"{path}/quarantine", f"{path}/state", key="doc_id")
-    good = incremental.current(spark, f"{path}/valid", ["guid"], ["published_ts"])
+        incremental.run(spark, f"{path}/landed", schema, check, f"{path}/valid", f"{path}/quarantine", f"{path}/state")
+    good = incremental.current(spark, f"{path}/valid", schema)
     bad = incremental.current_quarantine(spark, f"{path}/quarantine")
     rows = good.select(F.lit("VALID").alias("reason"), (F.col("title") == "changed").cast("int").alias("changed"), F.lit(0).cast("long").alias("times"))
     rows = rows.unionByName(bad.select("reason", F.lit(0).alias("changed"), F.col("times_rejected").alias("times")))
