@@ -6,13 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmarket.functions.lists import clamp01, clean_texts, within
-from newsmarket.functions.text import strip
+from newsmarket.functions.text import bound, strip
 
 SENTIMENTS = ["positive", "negative", "neutral"]
-NER = "tickers array<string>, personas array<string>, empresas array<string>, sectores array<string>, sentimiento string, confianza_sentimiento string, _bad string"
-MA = "es_evento_ma variant, tipo_ma string, confianza_ma string, fintechs array<string>, bancos_tradicionales array<string>, sector_afectado string, _bad string"
-
-
 def unfenced(x: Column) -> Column:
     """Without markdown fences."""
     return strip(F.regexp_replace(x, r"(?m)^\s*```[A-Za-z]*\s*$", ""))
@@ -23,24 +19,47 @@ def repaired(x: Column) -> Column:
     return F.regexp_replace(x, r'([\[,]\s*)([A-Z][A-Z0-9.*-]*)(?=\s*[\],])', '$1"$2"')
 
 
-def parse(x: Column, schema: str) -> Column:
-    """The reply as a struct; null if neither the text nor its repaired form is JSON."""
-    options = {"columnNameOfCorruptRecord": "_bad"}
-    first, second = F.from_json(unfenced(x), schema, options), F.from_json(repaired(unfenced(x)), schema, options)
-    good = lambda s: s.isNotNull() & s["_bad"].isNull()
-    return F.when(good(first), first).when(good(second), second)
+def parse(x: Column) -> Column:
+    """The reply as a VARIANT object; null if neither the text nor its repaired form is one in JSON."""
+    plain = unfenced(x)
+    whole = lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
+    return F.coalesce(bound(F.try_parse_json(plain), whole), bound(F.try_parse_json(repaired(plain)), whole))
+
+
+def field(reply: Column, name: str, kind: str = "variant") -> Column:
+    """A field of a reply as a type; null if it is absent, null or of another type."""
+    return F.try_variant_get(reply, f"$.{name}", kind)
+
+
+def texts(reply: Column, name: str) -> Column:
+    """The texts of a field that is a list, its other elements left out; null for a field that is none."""
+    each = lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    return F.array_compact(F.transform(field(reply, name, "array<variant>"), each))
+
+
+def text(reply: Column, name: str) -> Column:
+    return bound(field(reply, name), lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")))
+
+
+def number(reply: Column, name: str) -> Column:
+    """A number, a text that is one, or true and false as 1 and 0, moved into 0..1; else null."""
+    said = field(reply, name, "string")
+    return bound(field(reply, name), lambda v: F.when(F.schema_of_variant(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double")).otherwise(clamp01(said)))
 
 
 def sanitize_ner(reply: Column, universe: list[str], sectors: list[str]) -> Column:
-    """Tickers and sectors of the vocabularies, clean names, a known sentiment (else neutral) and a score in 0..1."""
-    mood = F.lower(strip(reply["sentimiento"]))
+    """Tickers and sectors of the vocabularies, clean names, a known sentiment (else neutral) and a score in 0..1.
+
+    Each field stands for itself: one of another type is as if it were absent.
+    """
+    mood, none = F.lower(strip(text(reply, "sentimiento"))), F.array().cast("array<string>")
     return F.struct(
-        within(clean_texts(reply["tickers"]), universe).alias("tickers"),
-        within(clean_texts(reply["sectores"]), sectors).alias("sectors"),
-        F.coalesce(clean_texts(reply["personas"]), F.array().cast("array<string>")).alias("persons"),
-        F.coalesce(clean_texts(reply["empresas"]), F.array().cast("array<string>")).alias("companies"),
+        F.coalesce(within(clean_texts(texts(reply, "tickers")), universe), none).alias("tickers"),
+        F.coalesce(within(clean_texts(texts(reply, "sectores")), sectors), none).alias("sectors"),
+        F.coalesce(clean_texts(texts(reply, "personas")), none).alias("persons"),
+        F.coalesce(clean_texts(texts(reply, "empresas")), none).alias("companies"),
         F.when(mood.isin(SENTIMENTS), mood).otherwise("neutral").alias("sentiment"),
-        clamp01(reply["confianza_sentimiento"]).alias("sentiment_score"),
+        number(reply, "confianza_sentimiento").alias("sentiment_score"),
     )
 
 
@@ -54,14 +73,15 @@ def sanitize_ma(reply: Column, kinds: list[str], fintechs: list[str], sectors: l
     """Event only if the flag is true and the kind is known and not none; the fintech flag follows from names
     in the dictionary; a missing sector falls back to the lexicon if there are fintechs. Any filled text, "false" too, is a true flag.
     """
-    kind = F.lower(strip(reply["tipo_ma"]))
-    event = F.coalesce(truthy(reply["es_evento_ma"]) & kind.isin([k for k in kinds if k != "none"]), F.lit(False))
-    found = within(clean_texts(reply["fintechs"]), fintechs)
-    sector = F.when(reply["sector_afectado"].isin(sectors), reply["sector_afectado"])
+    kind = F.lower(strip(text(reply, "tipo_ma")))
+    event = F.coalesce(truthy(field(reply, "es_evento_ma")) & kind.isin([k for k in kinds if k != "none"]), F.lit(False))
+    found = F.coalesce(within(clean_texts(texts(reply, "fintechs")), fintechs), F.array().cast("array<string>"))
+    said = text(reply, "sector_afectado")
+    sector = F.when(said.isin(sectors), said)
     return F.struct(
         event.alias("ma_event"),
         F.when(event, kind).otherwise("none").alias("ma_kind"),
-        clamp01(reply["confianza_ma"]).alias("ma_score"),
+        number(reply, "confianza_ma").alias("ma_score"),
         found.alias("fintechs"),
         (F.size(found) > 0).alias("fintech_flag"),
         F.coalesce(sector, F.when(F.size(found) > 0, lexicon_sector)).alias("sector_affected"),
@@ -71,5 +91,5 @@ def sanitize_ma(reply: Column, kinds: list[str], fintechs: list[str], sectors: l
 def combine_passes(replies: DataFrame) -> DataFrame:
     """guid, ner, ma, errors: the two passes of an item side by side and how many of them failed."""
     out = replies.groupBy("guid").agg(*[F.max(F.when(F.col("pass") == p, F.col("reply_text"))).alias(p) for p in ("ner", "ma")])
-    failed = [parse(F.col(p), s).isNull().cast("int") for p, s in (("ner", NER), ("ma", MA))]
+    failed = [parse(F.col(p)).isNull().cast("int") for p in ("ner", "ma")]
     return out.withColumn("errors", failed[0] + failed[1])

@@ -148,7 +148,7 @@ def idempotence_diff(spark, d):
 def _replies(spark, d):
     i = F.col("doc_id")
     ticker = F.when(i % 4 == 0, "GFNORTE").otherwise('"GFNORTE"')
-    ner = F.concat(F.lit('{"tickers": ['), ticker, F.lit(', "INVENTED", " GFNORTE "], "sectores": ["banks", "moon"], "personas": ["Ana", " Ana ", ""], "empresas": ["Acme "], "sentimiento": "'), F.when(i % 3 == 0, "Positive").when(i % 3 == 1, "angry").otherwise("negative"), F.lit('", "confianza_sentimiento": '), F.when(i % 5 == 0, "1.7").when(i % 5 == 1, "-3").when(i % 5 == 2, '"0.8"').when(i % 5 == 3, '"high"').otherwise("0.5"), F.lit("}"))
+    ner = F.concat(F.lit('{"tickers": ['), ticker, F.lit(', "INVENTED", " GFNORTE ", 7, {"a": 1}], "sectores": ["banks", "moon"], "personas": '), F.when(i % 13 == 0, '{"a": "Ana"}').when(i % 13 == 1, '"Ana"').otherwise('["Ana", " Ana ", ""]'), F.lit(', "empresas": ["Acme "], "sentimiento": "'), F.when(i % 3 == 0, "Positive").when(i % 3 == 1, "angry").otherwise("negative"), F.lit('", "confianza_sentimiento": '), F.when(i % 5 == 0, "1.7").when(i % 5 == 1, "-3").when(i % 5 == 2, '"0.8"').when(i % 5 == 3, '"high"').otherwise("0.5"), F.lit("}"))
     ner = F.when(i % 7 == 0, F.concat(F.lit("```json\n"), ner, F.lit("\n```"))).when(i % 11 == 0, F.lit("no json")).otherwise(ner)
     ma = F.concat(F.lit('{"es_evento_ma": '), F.when(i % 2 == 0, "true").when(i % 3 == 0, '"false"').otherwise("false"), F.lit(', "tipo_ma": "'), F.when(i % 4 == 0, "merger").when(i % 4 == 2, "none").when(i % 9 == 0, "acquisition").otherwise("odd"), F.lit('", "confianza_ma": 0.4, "fintechs": ["'), F.when(i % 3 == 0, "Clip").otherwise("Nobody"), F.lit('"], "sector_afectado": '), F.when(i % 5 == 0, '"banks"').otherwise("null"), F.lit("}"))
     x = table(spark, d, "documents")
@@ -158,13 +158,13 @@ def _replies(spark, d):
 @query("parse_repair_json", "SELECT doc_id, doc_id % 7 = 0 OR doc_id % 11 <> 0 AS parsed FROM documents")
 def parse_repair_json(spark, d):
     r = _replies(spark, d).where("pass = 'ner'")
-    return r.select("doc_id", replies.parse(F.col("reply_text"), replies.NER).isNotNull().alias("parsed"))
+    return r.select("doc_id", replies.parse(F.col("reply_text")).isNotNull().alias("parsed"))
 
 
-@query("sanitize_ner", """SELECT doc_id, 'GFNORTE' AS tickers, 'banks' AS sectors, 'Ana' AS persons, CASE WHEN doc_id % 3 = 0 THEN 'positive' WHEN doc_id % 3 = 1 THEN 'neutral' ELSE 'negative' END AS sentiment,
+@query("sanitize_ner", """SELECT doc_id, 'GFNORTE' AS tickers, 'banks' AS sectors, CASE WHEN doc_id % 13 IN (0, 1) THEN '' ELSE 'Ana' END AS persons, CASE WHEN doc_id % 3 = 0 THEN 'positive' WHEN doc_id % 3 = 1 THEN 'neutral' ELSE 'negative' END AS sentiment,
 CASE WHEN doc_id % 5 = 0 THEN 1.0::DOUBLE WHEN doc_id % 5 = 1 THEN 0.0 WHEN doc_id % 5 = 2 THEN 0.8 WHEN doc_id % 5 = 4 THEN 0.5 END AS sentiment_score FROM documents WHERE doc_id % 7 = 0 OR doc_id % 11 <> 0""")
 def sanitize_ner(spark, d):
-    r = _replies(spark, d).where("pass = 'ner'").withColumn("r", replies.parse(F.col("reply_text"), replies.NER)).where("r is not null")
+    r = _replies(spark, d).where("pass = 'ner'").withColumn("r", replies.parse(F.col("reply_text"))).where("r is not null")
     s = r.withColumn("s", replies.sanitize_ner(F.col("r"), ["GFNORTE", "WALMEX"], ["banks", "retail"]))
     return s.select("doc_id", *[F.array_join(f"s.{c}", ",").alias(c) for c in ("tickers", "sectors", "persons")], "s.sentiment", "s.sentiment_score")
 
@@ -173,7 +173,7 @@ def sanitize_ner(spark, d):
 CASE WHEN doc_id % 5 = 0 THEN 'banks' WHEN doc_id % 3 = 0 THEN lang END AS sector_affected FROM documents""")
 def sanitize_ma(spark, d):
     lang = table(spark, d, "documents").select("doc_id", "lang")
-    r = _replies(spark, d).where("pass = 'ma'").join(lang, "doc_id").withColumn("r", replies.parse(F.col("reply_text"), replies.MA))
+    r = _replies(spark, d).where("pass = 'ma'").join(lang, "doc_id").withColumn("r", replies.parse(F.col("reply_text")))
     s = r.withColumn("s", replies.sanitize_ma(F.col("r"), ["merger", "acquisition", "none"], ["Clip", "Kueski"], ["banks"], F.col("lang")))
     return s.select("doc_id", "s.ma_event", "s.ma_kind", F.array_join("s.fintechs", ",").alias("fintechs"), "s.fintech_flag", "s.sector_affected")
 
@@ -256,7 +256,7 @@ def bronze_roundtrip(spark, d):
     for lang in ("en", "fr", "de", "es"):
         bronze.write_batch(x.where(F.col("lang") == lang).withColumn("tags", F.array("lang")), root, "news", lang, "2026-01-01")
     back = bronze.read_batches(spark, root, "doc_id long, text string, n_chars long, tags array<string>", category="news")
-    bad = bronze.damaged(spark, root).agg(F.count("*").alias("n_damaged"))
+    bad = bronze.damaged(spark, root, "doc_id long, text string, lang string, source string, n_chars long, tags array<string>").agg(F.count("*").alias("n_damaged"))
     return back.groupBy("source", "date").agg(F.count("*").alias("n_rows"), F.sum("n_chars").alias("n_chars")).join(bad)
 
 
@@ -326,8 +326,8 @@ def enriched_assertions(spark, d):
 
 def _enriched(spark, d):
     r = replies.combine_passes(_replies(spark, d).withColumnRenamed("doc_id", "guid")).where("errors < 2")
-    ner = replies.sanitize_ner(replies.parse(F.col("ner"), replies.NER), ["GFNORTE", "WALMEX"], ["banks", "retail"])
-    ma = replies.sanitize_ma(replies.parse(F.col("ma"), replies.MA), ["merger", "acquisition", "none"], ["Clip", "Kueski"], ["banks"], F.lit(None).cast("string"))
+    ner = replies.sanitize_ner(replies.parse(F.col("ner")), ["GFNORTE", "WALMEX"], ["banks", "retail"])
+    ma = replies.sanitize_ma(replies.parse(F.col("ma")), ["merger", "acquisition", "none"], ["Clip", "Kueski"], ["banks"], F.lit(None).cast("string"))
     return r.select("guid", ner.alias("n"), ma.alias("m")).select("guid", "n.*", "m.*")
 
 

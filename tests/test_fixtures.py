@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsmarket.functions import lists, text
-from newsmarket.operators import asof, calendar, contracts, correlate, lexicon, metrics, quality, replies, upsert, vectors
+from newsmarket.operators import asof, calendar, contracts, correlate, dictionary, lexicon, metrics, partitioned, quality, replies, upsert, vectors
 from newsmarket.sources import bronze, feeds
 from newsmarket.streaming import incremental
 
@@ -175,15 +175,20 @@ def test_upsert_is_idempotent(spark):
 
 
 def test_replies(spark):
-    get = lambda x: one(spark, replies.parse(F.col("x"), replies.NER), x=x)
+    get = lambda x: (lambda v: v and v.toPython())(one(spark, replies.parse(F.col("x")), x=x))
     assert get('```json\n{"tickers": ["A"]}\n```')["tickers"] == ["A"]
     assert get('{"tickers": [GFNORTE, "B"]}')["tickers"] == ["GFNORTE", "B"]
     assert get("nothing") is None and get("{}") is not None
-    ma = one(spark, replies.sanitize_ma(replies.parse(F.col("x"), replies.MA), ["merger", "none"], ["Clip"], ["bank"], F.lit("general")), x='{"es_evento_ma": "false", "tipo_ma": "merger", "fintechs": ["Clip", "No"], "sector_afectado": "moon"}')
+    ma = one(spark, replies.sanitize_ma(replies.parse(F.col("x")), ["merger", "none"], ["Clip"], ["bank"], F.lit("general")), x='{"es_evento_ma": "false", "tipo_ma": "merger", "fintechs": ["Clip", "No"], "sector_afectado": "moon"}')
     assert (ma["ma_event"], ma["ma_kind"], ma["fintechs"], ma["fintech_flag"], ma["sector_affected"]) == (True, "merger", ["Clip"], True, "general")
     for flag, want in {"true": True, "false": False, "1": True, "0": False, "0.0": False, "null": False, '""': False, '"no"': True, "[]": False, "[1]": True, "{}": False}.items():
-        got = one(spark, replies.truthy(replies.parse(F.col("x"), replies.MA)["es_evento_ma"]), x='{"es_evento_ma": %s}' % flag)
+        got = one(spark, replies.truthy(replies.field(replies.parse(F.col("x")), "es_evento_ma")), x='{"es_evento_ma": %s}' % flag)
         assert bool(got) == want, flag
+    # A field of another type is as if it were absent; the rest of the reply stays.
+    odd = '{"tickers": "AMX", "personas": {}, "empresas": ["\\tAcme\\n", 7, {"a": 1}, "' + "x" * 200 + '"], "sectores": ["bank"], "sentimiento": 3, "confianza_sentimiento": true}'
+    ner = one(spark, replies.sanitize_ner(replies.parse(F.col("x")), ["AMX"], ["bank"]), x=odd)
+    assert tuple(ner) == ([], ["bank"], [], ["Acme", "x" * 128], "neutral", 1.0)
+    assert get("[1]") is None and get('"text"') is None
 
 
 def test_vectors(spark):
@@ -209,11 +214,75 @@ def test_bronze(spark, tmp_path):
         bronze.write_batch(rows, root, "news", "s1", "2026-01-01", "b1")
     got = bronze.read_batches(spark, root, "title string, tags array<string>", source="s1")
     assert got.count() == 2 and got.first()["tags"] == ["a"]
-    assert bronze.damaged(spark, root).count() == 0
+    schema = "title string, tags array<string>"
+    assert bronze.damaged(spark, root, schema).count() == 0
     part = next((tmp_path / path.removeprefix(f"{root}/") / "payload").glob("part-*"))
     part.write_text('{"title":"changed"}\n')
     (part.parent / f".{part.name}.crc").unlink()
-    assert [r["batch"] for r in bronze.damaged(spark, root).collect()] == ["b1"]
+    assert "b1" in {r["batch"] for r in bronze.damaged(spark, root, schema).collect()}
+
+
+def test_bronze_digests_content(spark, tmp_path):
+    import json
+
+    root, seen = f"file://{tmp_path}", spark.sparkContext.accumulator(0)
+    mark = F.udf(lambda x: (seen.add(1), x)[1], "long").asNondeterministic()
+    rows = spark.range(2500).coalesce(1).select(mark("id").alias("b"), F.struct(F.lit("x").alias("z"), F.lit("y").alias("a")).alias("n"))
+    path = bronze.write_batch(rows, root, "news", "s", "2026-01-01", "b1")
+    assert seen.value == 2500  # the input is evaluated once
+    assert spark.read.parquet(f"{path}/metadata").first()["n_records"] == 2500 and spark.read.parquet(f"{path}/blocks").count() == 3
+    part = next((tmp_path / path.removeprefix(f"{root}/") / "payload").glob("part-*"))
+    (part.parent / f".{part.name}.crc").unlink()
+    lines = [json.loads(x) for x in part.read_text().splitlines()]
+    turned = [{"record_no": x["record_no"], "n": dict(reversed(x["n"].items())), "b": x["b"]} for x in lines]
+    part.write_text("".join(json.dumps(x, indent=None, separators=(", ", ": ")) + "\n" for x in turned))
+    schema = "b long, n struct<z:string,a:string>"
+    assert bronze.damaged(spark, root, schema).count() == 0  # keys in another order, other blanks
+    turned[1700]["b"] = -1
+    part.write_text("".join(json.dumps(x) + "\n" for x in turned))
+    assert [tuple(r) for r in bronze.damaged(spark, root, schema).collect()] == [("b1", 1)]
+
+
+def test_dictionary_tables(spark):
+    texts = spark.createDataFrame([(1, "Banco Azteca, S.A. y KUESKI!"), (2, "el banco  azteca; ¡clip!"), (3, None), (4, "xkueski Kueskis clip"), (5, "Kueski")], "id long, text string")
+    names = spark.createDataFrame([("A", "banco azteca"), ("K", "Kueski"), ("C", "¡Clip!"), ("S", "S.A."), ("E", " "), (None, "x"), ("N", None)], "label string, term string")
+    got = {r["id"]: r["labels"] for r in dictionary.labelled(texts, names, "id", "text").collect()}
+    assert got == {1: ["A", "K", "S"], 2: ["C"], 3: [], 4: [], 5: ["K"]}
+    for low, high in ((10, 10_000),):
+        sizes = [len(dictionary.occurrences(texts, spark.range(n).select(F.col("id").cast("string").alias("label"), F.concat(F.lit("n"), "id").alias("term")), "id", "text")._jdf.queryExecution().optimizedPlan().toString()) for n in (low, high)]
+        assert abs(sizes[0] - sizes[1]) < 20  # the plan does not grow with the names
+
+
+def test_times_and_blanks_in_any_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    found = []
+    for zone in ("UTC", "America/Mexico_City"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            n = news(spark, published_at=" 2026-07-31T21:30:00\n", title="\tT\n", tickers=["\tamx\n", "AMX"], entities=["Slim\n", "slim"])
+            found.append((n["guid"], n["title"], n["tickers"], n["entities"], n["rejection_reason"]))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+    assert found[0] == found[1] and found[0][1:] == ("T", ["AMX"], ["Slim"], None)
+    assert found[0][0] == news(spark)["guid"]
+    assert news(spark, title="\n")["rejection_reason"] == "TYPE_MISMATCH"
+    assert news(spark, url="", title="")["rejection_detail"] == "url: blank"
+
+
+def test_touched_partitions(spark, tmp_path):
+    path, work = f"file://{tmp_path}/t", f"file://{tmp_path}/w"
+    rows = lambda *x: spark.createDataFrame([(k, D(2026, m, 1), v) for k, m, v in x], "k long, day date, v long")
+    args, by = (["k", "day"], ["v"], [], ["v"]), F.date_format("day", "yyyy-MM")
+    first = partitioned.upsert_into(path, rows((1, 1, 1), (2, 2, 2), (3, 3, 3)), *args, by, work)
+    assert (first.n_new, first.n_updated) == (3, 0)
+    files = lambda: {str(p) for p in (tmp_path / "t").glob("part=*/*.parquet")}
+    one = files()
+    for turn in range(2):
+        done = partitioned.upsert_into(path, rows((2, 2, 20), (4, 2, 40)), *args, by, work)
+        assert done.partitions == ("2026-02",) and (done.n_new, done.n_updated) == ((1, 1) if turn == 0 else (0, 2)) and done.n_rows == 2
+        assert len(one & files()) == 2  # the files of the other months stay
+    assert sorted(tuple(r)[::2] for r in partitioned.read_table(spark, path, rows((1, 1, 1)).schema).drop("part").collect()) == [(1, 1), (2, 20), (3, 3), (4, 40)]
+    assert partitioned.upsert_into(path, rows((1, 1, 1)).limit(0), *args, by, work).partitions == ()
 
 
 def test_html_table(spark):
@@ -239,3 +308,37 @@ def test_stream_keeps_late_and_bad_rows(spark, tmp_path):
     assert good == {"https://x.mx/a": "new title", "https://x.mx/late": "t"}
     bad = sorted(r["reason"] for r in incremental.current_quarantine(spark, f"{path}/bad").collect())
     assert bad == ["INVALID_DATE", "INVALID_DATE", "INVALID_URL", "INVALID_URL"]  # without a guid every arrival is kept
+
+
+def test_stream_counts_each_arrival_once(spark, tmp_path):
+    """A batch that fails after the state was updated runs again and counts nothing twice."""
+    schema = "source string, title string, content string, url string, published_at string, tickers array<string>, sector string, entities array<string>"
+    check = lambda df: contracts.news_contract(df, ["s"], F.lit(False))
+    path = f"file://{tmp_path}"
+    args = (f"{path}/landed", schema, check, f"{path}/valid", f"{path}/bad", f"{path}/state")
+    land = lambda tickers: spark.createDataFrame([("s", "t", "c", "https://x.mx/a", "2026-07-31", tickers, None, None)], schema).coalesce(1).write.mode("append").json(f"{path}/landed")
+    land(None)
+    incremental.run(spark, *args)
+    land(None)
+    whole, partitioned_upsert = [], partitioned.upsert_into
+
+    def fails_once(at, *rest):
+        if at.endswith("/bad") and not whole:
+            whole.append(at)
+            raise RuntimeError("lost in the middle of a batch")
+        return partitioned_upsert(at, *rest)
+
+    partitioned.upsert_into = fails_once
+    try:
+        with pytest.raises(Exception, match="lost in the middle"):
+            incremental.run(spark, *args)
+        incremental.run(spark, *args)
+    finally:
+        partitioned.upsert_into = partitioned_upsert
+    (row,) = incremental.current_quarantine(spark, f"{path}/bad").collect()
+    assert (row["reason"], row["times_rejected"]) == ("MISSING_ENTITY", 2) and row["first_rejected_at"] < row["rejected_at"]
+    assert incremental.current(spark, f"{path}/valid", schema).count() == 0
+    land(["AMX"])
+    incremental.run(spark, *args)
+    assert incremental.current(spark, f"{path}/valid", schema).count() == 1
+    assert incremental.current_quarantine(spark, f"{path}/bad").first()["times_rejected"] == 2
