@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read, shared_dir, small_batches, stored
+from .common import bloom_bits, maybe_in, read, shared_dir, small_batches, stored
 
 LEAST, LONGEST, TOP, INSIDE = 30, 4, 2000, 80
 NO_LANG = "und"
@@ -83,10 +83,8 @@ class Codes:
             known = self.keys[at] == hashes
             out[known], open_ = self.order[at[known]], ~known
         if self.bits is not None:
-            h = hashes.view(np.uint64)
-            for p in (h & np.uint64(BITS - 1), (h >> np.uint64(32)) & np.uint64(BITS - 1)):
-                open_ &= (self.bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            out[open_] = (HEAD + (h[open_] >> np.uint64(2))).view(np.int64)
+            open_ &= maybe_in(self.bits, hashes)
+            out[open_] = (HEAD + (hashes.view(np.uint64)[open_] >> np.uint64(2))).view(np.int64)
         return out
 
     def joined(self, units: np.ndarray) -> np.ndarray:
@@ -205,17 +203,13 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], codes: list[Broadcast]) -> I
         yield from out()
 
 
-def _codes_of(units: DataFrame) -> Broadcast:
-    """Codes of a level's frequent units: h, f. Collects HEAD hashes and BITS bits at most."""
+def _codes_of(units: DataFrame, most: int) -> Broadcast:
+    """Codes of a level's frequent units: h, f. Collects ``most`` hashes and BITS bits at most."""
     spark = units.sparkSession
-    head = units.select("h", "f").orderBy(F.desc("f"), "h").limit(HEAD).toPandas()["h"].to_numpy(np.int64)
+    head = units.select("h", "f").orderBy(F.desc("f"), "h").limit(most).toPandas()["h"].to_numpy(np.int64)
     bits = None
-    if len(head) == HEAD and units.count() > HEAD:
-        bits = np.zeros(BITS // 8, np.uint8)
-        place = F.explode(F.array(F.expr(f"h & {BITS - 1}"), F.expr(f"shiftrightunsigned(h, 32) & {BITS - 1}"))).alias("p")
-        parts = units.select(place).groupBy(F.expr("shiftright(p, 15)").alias("part")).agg(F.bitmap_construct_agg(F.expr("p & 32767")).alias("bits"))
-        for row in parts.toLocalIterator():
-            bits[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    if len(head) == most and units.count() > most:
+        bits = bloom_bits(units.select("h"), BITS)
     return spark.sparkContext.broadcast(Codes(head, bits))
 
 
@@ -249,18 +243,18 @@ def _worst_cut(k: int) -> Column:
     return F.array_min(F.array(*cuts))
 
 
-def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST, top: int = TOP) -> DataFrame:
+def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST, top: int = TOP, head: int = HEAD) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: of each language the ``top`` best phrases of 2 to ``longest`` words.
 
     a, l, r count the phrase and the parts of its worst cut, n all words of the language; the score
     is floor(2000000 * a / (l + r)). Phrases within a longer one that takes ``INSIDE`` per cent of
     their occurrences are dropped. A null language is ``und``; null and empty texts hold no words;
     repeated rows count as often as they occur; other columns, whatever their names, are ignored; an
-    empty table gives no rows. Counts are exact but for units whose 64-bit hashes are equal (with
+    empty table gives no rows. ``head`` bounds the units that address tiles, at each level. Counts are exact but for units whose 64-bit hashes are equal (with
     10^8 frequent units of a level, a chance of about 3e-4 that there are any two).
     """
-    if longest < 2 or least < 1:
-        raise ValueError("phrases have two words or more and occur once at least")
+    if longest < 2 or least < 1 or not 0 < head <= HEAD:
+        raise ValueError("phrases have two words or more and occur once at least; the head has up to HEAD units")
     spark, path = docs.sparkSession, shared_dir(docs.sparkSession)
     small_batches(spark)
     texts = docs.select(F.col(text_col).cast("binary").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"))
@@ -268,7 +262,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     words = stored(words.select("lang", F.col("word").cast("string").alias("phrase"), "f"), f"{path}/words")
     all_words = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= least).withColumn("h", F.xxhash64("lang", "phrase"))
-    codes = [_codes_of(frequent)]
+    codes = [_codes_of(frequent, head)]
     first = codes[0]
     encoded = stored(texts.mapInArrow(lambda batches: _encode(batches, first), "units binary"), f"{path}/encoded")
     units = _with_codes(frequent, first).select("code", "lang", "phrase", "f", F.array("f").alias("first"), F.array("f").alias("last"), F.col("phrase").alias("end"))
@@ -279,7 +273,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         counted = encoded.mapInArrow(lambda batches, c=tuple(so_far): _count_pairs(batches, c), "left long, right long, c long")
         pairs = counted.groupBy("left", "right").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
         pairs = stored(_with_pair_hash(pairs), f"{path}/pairs{k}")
-        codes.append(_codes_of(pairs))
+        codes.append(_codes_of(pairs, head))
         pairs = _with_codes(pairs, codes[-1])
         before = units.select(F.col("code").alias("left"), "lang", F.col("phrase").alias("start"), "first")
         after = units.select(F.col("code").alias("right"), "last", "end")

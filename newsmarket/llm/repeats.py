@@ -2,8 +2,8 @@
 
 Every string of ``LENGTH`` bytes has an anchor, the first of its stretches of ``GRAM`` bytes with
 the smallest hash, so equal strings have equal anchors at equal places. Neighbouring strings with
-the same anchor make a segment. Segments are counted by anchor and content: one that occurs twice
-is repeated as a whole, and only anchors with several contents need a closer look. Of those, each
+the same anchor make a segment. Anchors are counted, and a Bloom filter of a fixed size spares what
+has none that repeats. Segments are counted by anchor and content: one that occurs twice is repeated as a whole, and only anchors with several contents need a closer look. Of those, each
 content is fetched once, and a bucket of anchors is indexed at a time: the Burrows-Wheeler
 transform of the contents is compressed to runs, the suffix array is sampled at the ends of runs,
 and the longest match of every position with any other follows from those of the samples, one byte
@@ -23,14 +23,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, shared_dir, small_batches, stored
+from .common import bloom_bits, maybe_in, read, shared_dir, small_batches, stored
 
 LENGTH, GRAM = 200, 32
 PLACES = LENGTH - GRAM + 1
 LIST, BUCKET_BYTES, PIECE = 512, 1_000_000, 1 << 20
+#: Bits of the Bloom filters of repeated anchors and of texts, which only spare moving what has no match.
+BITS = 1 << 26
 _LOW = np.uint64((1 << 24) - 1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,17 +76,43 @@ def segments(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
 _SEGMENTS = "k1 long, k2 long, s int, e int, p int, a long, h long"
 
 
-def _segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors of the segments with their counts in a batch."""
+    for batch in batches:
+        found = [a for text in batch.column(0) for _, _, _, a in segments(text.as_py())]
+        if found:
+            a, c = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c.astype(np.int64))], ["a", "c"])
+
+
+def _segment(batches: Iterator[pa.RecordBatch], repeated: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Segments whose anchors may occur twice."""
     for batch in batches:
         for k1, k2, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             text = text.as_py()
-            for s, e, p, a in segments(text):
-                view = memoryview(text)
+            view = memoryview(text)
+            for found in segments(text):
+                s, e, p, a = (x[maybe_in(repeated.value, found[3])] for x in found)
                 h = np.fromiter((xxhash.xxh3_64_intdigest(view[i:j]) for i, j in zip(s.tolist(), e.tolist(), strict=True)), np.uint64, len(s)).view(np.int64)
                 keys = [pa.array(np.full(len(s), k, np.int64)) for k in (k1, k2)]
                 yield pa.RecordBatch.from_arrays([*keys, *(pa.array(x.astype(np.int32)) for x in (s, e, p)), pa.array(a), pa.array(h)], ["k1", "k2", "s", "e", "p", "a", "h"])
 
 
+def _of_texts(texts: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts whose key k1 may be among the keys, which are all that a join with them has to move, and the others."""
+    held = texts.sparkSession.sparkContext.broadcast(bloom_bits(keys.select("k1").distinct(), BITS))
+
+    def part(inside: bool) -> DataFrame:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                k1 = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                yield batch.filter(pa.array(maybe_in(held.value, k1) == inside))
+
+        return texts.mapInArrow(keep, texts.schema)
+
+    return part(True), part(False)
+
+
 _PIECES = "a long, h long, at int, key long, ch long, lo int, hi int, anchor int, content binary"
 
 
@@ -253,12 +282,13 @@ def _marks(texts: DataFrame, kinds: DataFrame, path: str) -> DataFrame:
     """a, h, x, y: bytes x to y of such segments are repeated, of anchors with several contents."""
     several = kinds.groupBy("a").agg(F.count("*").alias("kinds")).where("kinds > 1").select("a")
     wanted = kinds.join(several, "a").groupBy("rep.k1", "rep.k2").agg(F.collect_list(F.struct("a", "h", "rep.s", "rep.e", "rep.p")).alias("wanted"))
-    pieces = texts.join(wanted, ["k1", "k2"]).select("text", "wanted").mapInArrow(_fetch, _PIECES)
+    wanted = stored(wanted, f"{path}/wanted", "zstd")
+    pieces = _of_texts(texts, wanted)[0].join(wanted, ["k1", "k2"]).select("text", "wanted").mapInArrow(_fetch, _PIECES)
     found, level = None, 0
     while True:
         whole = F.struct("a", "h", "at", "lo", "hi", "anchor", "content")
         reps = pieces.groupBy("key", "ch").agg(F.count("*").alias("c"), F.min_by(whole, F.struct("a", "h", "at")).alias("r")).select("key", "ch", "c", "r.*")
-        reps = stored(reps, f"{path}/reps{level}")
+        reps = stored(reps, f"{path}/reps{level}", "zstd")
         sizes = reps.groupBy("key").agg(F.count("*").alias("kinds"), F.sum(F.octet_length("content")).alias("bytes"))
         sizes = stored(sizes.where("kinds > 1"), f"{path}/sizes{level}")
         few, many = sizes.where(F.col("kinds") <= LIST), sizes.where(F.col("kinds") > LIST).select("key")
@@ -290,14 +320,20 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small_batches(docs.sparkSession, 200)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
     texts = texts.select(F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"), "text", "doc_id")
-    found = stored(texts.select("k1", "k2", "text").mapInArrow(_segment, _SEGMENTS), f"{path}/segments")
+    spark = docs.sparkSession
+    counts = texts.select("text").mapInArrow(_anchors, "a long, c long").groupBy("a").agg(F.sum("c").alias("c"))
+    repeated = spark.sparkContext.broadcast(bloom_bits(counts.where("c > 1").select("a"), BITS))
+    found = stored(texts.select("k1", "k2", "text").mapInArrow(lambda batches: _segment(batches, repeated), _SEGMENTS), f"{path}/segments", "zstd")
     kinds = found.groupBy("a", "h").agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "s", "e", "p")).alias("rep"))
-    kinds = stored(kinds, f"{path}/kinds")
+    kinds = stored(kinds, f"{path}/kinds", "zstd")
     whole = kinds.where("c > 1").select("a", "h", F.lit(0).alias("x"), F.expr("rep.e - rep.s").alias("y"))
     marks = _marks(texts, kinds, path).unionByName(whole)
     spans = found.select("k1", "k2", "s", "a", "h").join(marks, ["a", "h"]).select("k1", "k2", F.expr("s + x").alias("s"), F.expr("s + y").alias("e")).distinct()
     spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    return texts.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans").mapInArrow(_cut, _RESULT)
+    spans = stored(spans, f"{path}/spans", "zstd")
+    some, none = _of_texts(texts, spans)
+    whole = some.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans")
+    return whole.unionByName(none.select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))).mapInArrow(_cut, _RESULT)
 
 
 def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
