@@ -132,7 +132,8 @@ class Items:
         self.unknown = len(self.vocab)
         self.ids = [i for i, _ in split]
         self.words = [np.array([self.vocab[w] for w in words], np.int64) for _, words in split]
-        self.bits = rng.integers(0, 2, (REPEATS, CYCLE, self.unknown + 2), dtype=np.uint8)
+        # The walks' bits are hashes of walk, step and word, so they take the same room for any number of words.
+        self.steps = rng.integers(0, 2**63, (2, REPEATS, CYCLE), dtype=np.uint64) | np.uint64(1)
         self.places = rng.random((REPEATS, BITS))
         self.salt = rng.integers(1, 2**62, (REPEATS, BITS + 1), dtype=np.int64) | 1
         self.lengths = sorted({len(w) for w in self.words})
@@ -149,6 +150,12 @@ class Items:
         order = np.argsort(self.keys, kind="stable")
         self.keys, self.owners = self.keys[order], self.owners[order].astype(np.int64)
 
+    def bit(self, walk: np.ndarray, step: int, word: np.ndarray) -> np.ndarray:
+        """A random bit, 0 or 1, for each walk, step and word."""
+        x = (word.astype(np.uint64) + np.uint64(1)) * self.steps[0, walk, step]
+        x = (x ^ (x >> np.uint64(29))) * self.steps[1, walk, step]
+        return (x >> np.uint64(63)).astype(np.int64)
+
     def samples(self, text: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """One key for each window and walk."""
         n, walk = len(start), np.arange(REPEATS)[None, :]
@@ -160,7 +167,7 @@ class Items:
                 word = np.where(at < length[:, None], text[np.minimum(start[:, None] + at, len(text) - 1)], self.unknown + 1)
                 for b in range(BITS):
                     key += np.where(places[:, :, b] == j, (word + 1) * self.salt[None, :, b], 0)
-                at += self.bits[walk, j % CYCLE, word]
+                at += self.bit(walk, j % CYCLE, word)
             return key ^ (key >> 29)
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:

@@ -192,6 +192,19 @@ def test_leaks_of_short_items(spark):
     assert {x for x in got if x[1] in short} == {x for x in want if x[1] in short} and got <= want
 
 
+def test_walks_take_equal_room():
+    """What is sent to the tasks beside the items' words does not grow with the words; bits are even and independent of each other."""
+    few, many = (decontaminate.Items([(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(n)]) for n in (10, 5000))
+    assert few.steps.nbytes == many.steps.nbytes < 1 << 20 and not hasattr(many, "bits")
+    import pickle
+
+    assert len(pickle.dumps(many)) < 50_000_000  # 100 000 words
+    words = np.arange(100_000)
+    a, b, c = (many.bit(w, j, words) for w, j in ((0, 0), (0, 1), (1, 0)))
+    for x in (a, b, c, a ^ b, a ^ c):
+        assert abs(x.mean() - 0.5) < 0.01
+
+
 def test_leaks_by_length():
     """Of windows with exactly the edits that an item allows, each kind of edit, the share found for each length."""
     rng = random.Random(12)
