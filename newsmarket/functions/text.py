@@ -11,6 +11,8 @@ from html import entities
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .html import MARKUP
+
 
 def _unmarked(c: str) -> str:
     return "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
@@ -114,7 +116,7 @@ _LEGACY = sorted((n for n in entities.html5 if not n.endswith(";")), key=lambda
 # Numbers that stand for the characters of the Windows code page.
 _PAGE = {n: bytes([n]).decode("cp1252") for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 _REFERENCE = "&(?:#[0-9]{1,9};?|#[xX][0-9a-fA-F]{1,8};?|[A-Za-z][A-Za-z0-9]{1,31};|" + "|".join(_LEGACY) + ")"
-_TAG = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|</?[a-z!?][^>]*>"
+_TAG = f"(?is){MARKUP}"
 _EDGE_BLANKS = r"(?U)^\s+|\s+$"
 
 
@@ -140,7 +142,8 @@ def unescaped(x: Column) -> Column:
 
 def html_to_text(x: Column) -> Column:
     """Text of a page: what stands between tags, scripts, styles and comments, each trimmed, the filled
-    ones joined by a blank. A text without ``<`` is returned as it is.
+    ones joined by a blank. A sign ``>`` in a quoted value ends no tag; a script, style or comment that
+    is never closed takes the rest. A text without ``<`` is returned as it is.
     """
     nodes = F.split(unescaped(F.regexp_replace(x, _TAG, "\x01")), "\x01")
     filled = F.filter(F.transform(nodes, lambda n: F.regexp_replace(n, _EDGE_BLANKS, "")), lambda n: n != "")

@@ -25,6 +25,23 @@ def count_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     return both.withColumn("n_added", F.coalesce("n_after", F.lit(0)) - F.coalesce("n_before", F.lit(0)))
 
 
+def fingerprints(df: DataFrame, keys: list[str], buckets: int = 256, by: Column | None = None) -> DataFrame:
+    """bucket, n_rows, sum_a, xor_b: what the rows of each bucket of keys hold, whatever their order; partial sums only. Buckets are of a hash of the keys, or ``by``."""
+    columns = sorted(df.columns)
+    nulls = F.concat(*[F.isnull(c).cast("int").cast("string") for c in columns])
+    a, b = F.xxhash64(*columns, nulls), F.xxhash64(F.lit(1), *columns, nulls)
+    rows = df.select((F.pmod(F.xxhash64(*keys), F.lit(buckets)) if by is None else by).alias("bucket"), a.cast("decimal(20,0)").alias("a"), b.alias("b"))
+    return rows.groupBy("bucket").agg(F.count("*").alias("n_rows"), F.sum("a").alias("sum_a"), F.bit_xor("b").alias("xor_b"))
+
+
+def content_diff(before: DataFrame, after: DataFrame, keys: list[str], buckets: int = 256, by: Column | None = None) -> DataFrame:
+    """bucket, n_before, n_after of the buckets of keys whose rows differ: none if a rerun changes nothing."""
+    x, y = (fingerprints(df, keys, buckets, by) for df in (before, after))
+    both = x.alias("x").join(y.alias("y"), "bucket", "full_outer")
+    same = F.col("x.n_rows").eqNullSafe(F.col("y.n_rows")) & F.col("x.sum_a").eqNullSafe(F.col("y.sum_a")) & F.col("x.xor_b").eqNullSafe(F.col("y.xor_b"))
+    return both.where(~same).select("bucket", F.coalesce("x.n_rows", F.lit(0)).alias("n_before"), F.coalesce("y.n_rows", F.lit(0)).alias("n_after"))
+
+
 def report(checks: dict[str, DataFrame]) -> DataFrame:
     """criterion, status, evidence: each check is a one-row table (ok boolean, evidence long); a null ok is WARN:
     there is nothing to show the criterion with.

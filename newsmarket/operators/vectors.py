@@ -30,7 +30,7 @@ def wrong_size(vectors: DataFrame, dim: int) -> DataFrame:
 
 def top_k(vectors: DataFrame, query: list[float], k: int) -> DataFrame:
     """vec_id, score, rank of the k nearest to one query by cosine in double precision, ties to smaller ids."""
-    q = F.array(*[F.lit(float(x)) for x in query])
+    q = F.array(*[F.lit(float(x)) for x in query]).cast("array<double>")
     scored = vectors.select("vec_id", dot(normalised(F.col("embedding")), normalised(q)).alias("score"))
     best = scored.orderBy(F.desc("score"), "vec_id").limit(k)
     return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "vec_id")))

@@ -268,7 +268,9 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 
 
 def vector_of(spark, d, vec_id):
-    return table(spark, d, "embeddings").where(F.col("vec_id") == vec_id).select("embedding").first()[0]
+    """The vector asked for; without one, none, which nothing is near to."""
+    found = table(spark, d, "embeddings").where(F.col("vec_id") == vec_id).select("embedding").first()
+    return found[0] if found else []
 
 
 @query("cosine_topk", f"SELECT vec_id, score, rank, label FROM ({_top()}) JOIN embeddings USING (vec_id)")

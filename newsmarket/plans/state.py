@@ -144,6 +144,18 @@ def idempotence_diff(spark, d):
     return quality.count_diff(quality.row_counts({"customers": once, "orders": orders}), quality.row_counts({"customers": twice, "orders": orders}))
 
 
+@query("content_diff", f"WITH {SIDES} SELECT 'rerun' AS what, CAST(0 AS BIGINT) AS n_buckets, CAST(0 AS BIGINT) AS n_before, CAST(0 AS BIGINT) AS n_after UNION ALL SELECT 'one value', 1, n, n FROM (SELECT count(*) AS n FROM t FULL JOIN u USING (k) WHERE k % 64 = (SELECT min(k) % 64 FROM (SELECT k FROM t UNION SELECT k FROM u)))")
+def content_diff(spark, d):
+    """By content: an upsert that runs again changes nothing; one changed value is found, in one bucket of keys."""
+    target, updates = _sides(spark, d)
+    once = upsert.upsert(target, updates, *ARGS)
+    again = upsert.upsert(once, updates, *ARGS)
+    low = once.agg(F.min("k").alias("low"))
+    touched = once.join(F.broadcast(low)).withColumn("v", F.when(F.col("k") == F.col("low"), F.col("v") + 0.01).otherwise(F.col("v"))).drop("low")
+    totals = lambda name, diff: diff.agg(F.count("*").alias("n_buckets"), F.coalesce(F.sum("n_before"), F.lit(0)).alias("n_before"), F.coalesce(F.sum("n_after"), F.lit(0)).alias("n_after")).select(F.lit(name).alias("what"), "n_buckets", "n_before", "n_after")
+    return totals("rerun", quality.content_diff(once, again, ["k"])).unionByName(totals("one value", quality.content_diff(once, touched, ["k"], by=F.pmod(F.col("k"), F.lit(64)))))
+
+
 # Replies made from ids, with fences, bare words, unknown labels and scores out of range.
 def _replies(spark, d):
     i = F.col("doc_id")
@@ -284,10 +296,10 @@ def seed_dictionary(spark, d):
     return feeds.read_dictionary(spark, path, "radar").select("legal_name", "sector", "source")
 
 
-@query("html_table_rows", "SELECT page_id, 'E' || page_id AS event, url AS link FROM pages UNION ALL SELECT page_id, 'second', NULL FROM pages")
+@query("html_table_rows", "SELECT page_id, 'E' || page_id AS event, url AS link FROM pages UNION ALL SELECT page_id, 'sec ond', NULL FROM pages")
 def html_table_rows(spark, d):
     p = table(spark, d, "pages")
-    page = F.concat(F.col("html"), F.lit("<table><tr><th>Other</th></tr><tr><td>x</td></tr></table><table><tr><th>Date</th><th>Event</th></tr><tr><td>1</td><td><a href='"), F.col("url"), F.lit("'><b>E</b></a></td></tr><tr><td>2</td><td>second</td></tr></table>"))
+    page = F.concat(F.col("html"), F.lit("<table><tr><th>Other</th></tr><tr><td>x<table><tr><td>in</table></td></tr></table><table><tr><th title='a > b'>Date<th>Event<tr><td>1</td><td><a class=\"x>y\" href='"), F.col("url"), F.lit("'><b>E</b></a></td></tr><tr><td>2<td>sec<i>ond</i></table>"))
     page = F.replace(page, F.lit("<b>E</b>"), F.concat(F.lit("E"), F.col("page_id").cast("string")))
     return feeds.table_rows(p.select("page_id", page.alias("h")), "h", "Event").select("page_id", F.col("cells")["Event"].alias("event"), "link")
 

@@ -58,17 +58,23 @@ def truncate_words(spark, d):
 REFERENCES = {"&nbsp;": "\u00a0", "&copy;": "©", "&quot;": '"', "&middot;": "·", "&lt;": "<", "&gt;": ">", "&#39;": "''", "&apos;": "''", "&amp;": "&"}
 
 
+# Markup that tells tokens from patterns: a sign in a quoted value, an unclosed script.
+ODD_HTML = """CASE page_id % 3 WHEN 0 THEN '<a title="x > y" href=''z>''>t</a><p it''s>u' WHEN 1 THEN 'v<script>if (a > b) lost' ELSE '' END"""
+
+
 def _html_sql() -> str:
-    x = "regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|</?[a-z!?][^>]*>', chr(1), 'g')"
+    rest = """(?:[^>=]|=\\s*"[^"]*"|=\\s*''[^'']*''|=)*>"""
+    x = f"regexp_replace(html, '(?is)<!--.*?(?:-->|\\z)|<script\\b{rest}.*?(?:</script\\s*>|\\z)|<style\\b{rest}.*?(?:</style\\s*>|\\z)|</?[a-z]{rest}|<[!?][^>]*>', chr(1), 'g')"
     for ref, ch in REFERENCES.items():
         x = f"replace({x}, '{ref}', '{ch}')"
     nodes = f"list_filter(list_transform(string_split({x}, chr(1)), lambda n: regexp_replace(n, '^[\\s\u00a0]+|[\\s\u00a0]+$', '', 'g')), lambda n: n <> '')"
-    return f"SELECT page_id, md5(CASE WHEN contains(html, '<') THEN array_to_string({nodes}, ' ') ELSE html END) AS text_md5 FROM pages"
+    return f"SELECT page_id, md5(CASE WHEN contains(html, '<') THEN array_to_string({nodes}, ' ') ELSE html END) AS text_md5 FROM (SELECT page_id, html || {ODD_HTML} AS html FROM pages)"
 
 
 @query("html_to_text", _html_sql())
 def html_to_text(spark, d):
-    return table(spark, d, "pages").select("page_id", F.md5(text.html_to_text(F.col("html"))).alias("text_md5"))
+    pages = table(spark, d, "pages").select("page_id", F.expr("concat(html, " + ODD_HTML.replace("it''s", "it\\'s").replace("''z>''", "\\'z>\\'") + ")").alias("html"))
+    return pages.select("page_id", F.md5(text.html_to_text(F.col("html"))).alias("text_md5"))
 
 
 @query("tag_tickers", f"SELECT doc_id, array_to_string({labels(ALIASES)}, ',') AS tickers FROM (SELECT doc_id, {LOW} AS low FROM documents)")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsmarket.functions.html import rows_under
+
 FEED = "title string, link string, guid string, description string, pubDate string"
 
 
@@ -63,20 +65,14 @@ def read_dictionary(spark: SparkSession, path: str, source: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path).withColumn("source", F.lit(source))
 
 
-def _cells(row: Column, tag: str) -> Column:
-    inner = F.regexp_extract_all(row, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
-    return F.transform(inner, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"(?s)<[^>]*>", " "), r"\s+", " ")))
-
-
 def table_rows(pages: DataFrame, html: str, header: str) -> DataFrame:
-    """Rows of the first table that has a header cell named ``header``, as a map by header name, with the row's link."""
-    tables = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<table\b.*?</table>"), F.lit(0))
-    fits = F.filter(tables, lambda t: F.array_contains(_cells(t, "th"), header))
-    one = pages.withColumn("_t", F.get(fits, F.lit(0))).where("_t is not null").withColumn("_h", _cells(F.col("_t"), "th"))
-    rows = one.withColumn("_r", F.explode(F.regexp_extract_all("_t", F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0)))).withColumn("_c", _cells(F.col("_r"), "td")).where(F.size("_c") > 0)
-    n = F.least(F.size("_h"), F.size("_c"))
-    cells = F.map_from_arrays(F.slice("_h", F.lit(1), n), F.slice("_c", F.lit(1), n))
-    return rows.select(*pages.columns, cells.alias("cells"), F.nullif(F.regexp_extract("_r", r"""(?i)<a\b[^>]*href=["']([^"']+)""", 1), F.lit("")).alias("link"))
+    """Rows of the first table that has a header cell named ``header``, as a map by header name, with the row's link.
+
+    Quoted values, tables within cells and ends of rows and cells that are left out are understood; a
+    page without such a table, or null, gives no rows.
+    """
+    rows = F.udf(lambda page: rows_under(page, header), "array<struct<cells:map<string,string>,link:string>>", useArrow=True)
+    return pages.withColumn("_r", F.explode(rows(F.col(html)))).select(*pages.columns, "_r.cells", "_r.link")
 
 
 def latest_report(links: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from newsmarket.functions import lists, text
+from newsmarket.functions import html, lists, text
 from newsmarket.operators import asof, calendar, contracts, correlate, dictionary, lexicon, metrics, partitioned, quality, replies, upsert, vectors
 from newsmarket.sources import bronze, feeds
 from newsmarket.streaming import incremental
@@ -291,6 +291,33 @@ def test_html_table(spark):
     assert got["cells"] == {"Fecha": "1", "Evento": "Pago A"} and got["link"] == "/x"
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<a title="x > y">t</a>', "t"),
+        ("<a title='x > \"y\"' b=c>t</a>", "t"),
+        ("a<script>if (a > b) { x }", "a"),
+        ("a<STYLE type='x>y'>p { }</style >b", "a b"),
+        ("a<!-- b > c", "a"),
+        ("<p it's>u</p>", "u"),
+        ("<a href=x=>t</a>", "t"),
+        ("3 < 4 and <b>5</b>", "3 < 4 and 5"),
+        ("<p>" + "<i a='" + "=" * 20000 + "'>x</i></p>", "x"),
+    ],
+)
+def test_html_tokens(spark, page, want):
+    assert one(spark, text.html_to_text(F.col("x")), x=page) == want
+
+
+def test_html_tables():
+    page = """<TABLE><tr><th title="a > b">Fecha<th>Evento<tr><td>1<td>Pago <b>A</b> <a class="x>y" href='/a&amp;b'>l</a>
+    <tr><td>2<td>q<table><tr><th>In</th></tr><tr><td>n</td></tr></table>r</td></tr></table><table><tr><td>no"""
+    rows = html.rows_under(page, "Evento")
+    assert rows == [{"cells": {"Fecha": "1", "Evento": "Pago A l"}, "link": "/a&b"}, {"cells": {"Fecha": "2", "Evento": "qInnr"}, "link": None}]
+    assert html.rows_under(page, "In") == [{"cells": {"In": "n"}, "link": None}]
+    assert html.rows_under(page, "Nada") == html.rows_under(None, "x") == html.rows_under("", "x") == []
+
+
 def test_stream_keeps_late_and_bad_rows(spark, tmp_path):
     schema = "source string, title string, content string, url string, published_at string, tickers array<string>, sector string, entities array<string>"
     check = lambda df: contracts.news_contract(df, ["s"], F.lit(False))
