@@ -40,17 +40,22 @@ SYLLABLES = ["ba", "ce", "di", "fo", "gu", "ha", "je", "ki", "lo", "mu", "na", "
 SYLLABLES_CYR = ["ба", "ве", "ги", "до", "жу", "за", "ке", "ли", "мо", "ну", "па", "ре", "си", "то", "фу", "ха", "це", "чи", "шо", "ю"]
 
 _WORD = r"\p{Lu}[\p{L}'’-]*+"
+# Particles of family names; they stay as they are.
+PARTICLES = ["de", "del", "de la", "la", "las", "los", "da", "das", "do", "dos", "di", "du", "le", "van", "von", "der", "den", "ter", "ten", "zu", "zur", "bin", "ibn", "al", "el"]
+_PARTICLE = r"(?:(?i:" + "|".join(p for p in PARTICLES if " " not in p) + r")[ \t]{1,3})"
+_INITIAL = r"\p{Lu}\.(?:[ \t]{1,3}|(?=\p{Lu}))"
+_GAP = r"[ \t\u00a0]{0,3}(?:\r?\n)?[ \t\u00a0]{0,3}"
 _TITLE, _TITLE_UP = ("(?:" + "|".join(f(t) for g in TITLES.values() for t in g) + r")\b\.?" for f in (str, str.upper))
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
     "secret": r"(?<=[\"'=: ])(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{32,128}(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}]|\.\d)",
-    "card": r"(?<![\p{L}\p{N}])(?:\d[ -]?){12,18}\d(?![\p{L}\p{N}])",
+    "card": r"(?<![\p{L}\p{N}])(?!(?:19|20)\d\d-[01]\d-[0-3]\d\b)(?:\d[ -]?){12,18}\d(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip6": r"(?<![\p{L}\p{N}:.])(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?=[0-9a-fA-F]{0,3}\d)[0-9a-fA-F]{4}(?::[0-9a-fA-F]{1,4}){0,5}::(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,5})?)(?![\p{L}\p{N}:])",
-    "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE} {_WORD}(?: {_WORD})?|{_TITLE_UP} \p{{Lu}}{{2,}}(?: \p{{Lu}}{{2,}})?)",
+    "phone": r"(?<![\p{L}\p{N}])(?<!\d{4}-\d\d-)(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}.,-])[2-9]\d{9}(?![\p{L}\p{N}]|[.,-]\d)",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE}(?=\s){_GAP}(?:{_INITIAL}){{0,3}}{_PARTICLE}{{0,3}}{_WORD}(?:[ \t]{{1,3}}(?:{_INITIAL}){{0,2}}{_PARTICLE}{{0,3}}{_WORD})?|{_TITLE_UP}(?=\s){_GAP}\p{{Lu}}{{2,}}(?:[ \t]{{1,3}}\p{{Lu}}{{2,}})?)",
 }
 # A look at the next character goes before the alternatives, as most places start no entity.
 _INITIALS = "".join(sorted({t[0] for g in TITLES.values() for t in g} | {t[0].upper() for g in TITLES.values() for t in g}))
@@ -134,7 +139,10 @@ def _with_surrogate(values: DataFrame, attempt: int, key: str) -> DataFrame:
     given = F.lit(None).cast("string")
     for gender in ("m", "f", "n"):
         lists = [F.array(*map(F.lit, GIVEN[gender + s])) for s in ("", "-cyr")]
-        words = F.when(cyrillic, F.element_at(lists[1], _pick(0, len(GIVEN[gender + "-cyr"])) + 1)).otherwise(F.element_at(lists[0], _pick(0, len(GIVEN[gender])) + 1))
+        one = lambda names, n, k: F.element_at(names, F.pmod(_pick(0, n) + k, F.lit(n)) + 1)
+        # Where the name drawn is the real one, or begins it, the next is taken.
+        other = lambda names, n: F.when(value.startswith(F.lower(one(names, n, 0))) | F.lower(one(names, n, 0)).startswith(value), one(names, n, 1)).otherwise(one(names, n, 0))
+        words = F.when(cyrillic, other(lists[1], len(GIVEN[gender + "-cyr"]))).otherwise(other(lists[0], len(GIVEN[gender])))
         given = F.when(kind == f"given-{gender}", words).otherwise(given)
     # Given names are few: from the second attempt on they get syllables, as many as the attempt.
     syllable = lambda i: F.when(cyrillic, F.element_at(F.array(*map(F.lit, SYLLABLES_CYR)), _pick(i, 20) + 1)).otherwise(F.element_at(F.array(*map(F.lit, SYLLABLES)), _pick(i, 20) + 1))
@@ -158,19 +166,35 @@ def _gender(mention: Column, given: Column) -> Column:
 
 
 def _parts(kind: Column, mention: Column) -> Column:
-    """array<struct<kind, value, word>>: the canonical values of a mention, one or two for a name, and its words."""
+    """array<struct<kind, value, word>>: the canonical values of a mention and its words.
+
+    A name has a part for each word after the title: given names, the family name (the last word), and
+    particles and initials, which are of the kind ``kept``: the former stay, the latter become ``X.``.
+    """
     part = lambda k, v, w: F.struct(k.alias("kind"), v.alias("value"), w.alias("word"))
-    words = F.split(mention, " ")
-    none = F.lit(None).cast("string")
-    first, last = F.element_at(words, 2), F.element_at(words, -1)
-    given = part(F.concat(F.lit("given-"), _gender(mention, F.lower(first))), F.lower(first), first)
-    family = part(F.lit("family"), F.lower(last), last)
-    name = F.when(F.size(words) > 2, F.array(given, family)).otherwise(F.array(family))
+    words, none = _name_words(mention), F.lit(None).cast("string")
+    first = F.lower(F.element_at(words, 1))
+
+    def of(w: Column, i: Column) -> Column:
+        last, initial = i == F.size(words) - 1, w.rlike(r"^\p{Lu}\.$")
+        kept = ~last & (initial | F.lower(w).isin([p for p in PARTICLES if " " not in p]))
+        kind_ = F.when(kept, "kept").when(last, "family").otherwise(F.concat(F.lit("given-"), _gender(mention, first)))
+        return part(kind_, F.when(kept & initial, "X.").when(kept, w).otherwise(F.lower(w)), F.when(~kept, w))
+
+    name = F.transform(words, of)
     phone = F.when(mention.startswith("+"), F.concat(F.regexp_extract(mention, r"^(\+\d{1,3})", 1), F.lit(" "), _digits(F.regexp_replace(mention, r"^\+\d{1,3}", "")))).otherwise(F.concat(F.lit("+ "), _digits(mention)))
     value = F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), _digits(mention)).when(kind == "iban", F.lower(F.replace(mention, F.lit(" ")))).otherwise(F.lower(mention))
     return F.when(kind == "name", name).otherwise(F.array(part(kind, value, none)))
 
 
+_AFTER_TITLE = r"(?U)^\S+\s+"
+
+
+def _name_words(mention: Column) -> Column:
+    """The words of a titled name without the title; initials written together are parted."""
+    return F.filter(F.split(F.regexp_replace(F.regexp_replace(mention, _AFTER_TITLE, ""), r"(\p{Lu}\.)(?=\p{Lu})", "$1 "), r"(?U)\s+"), lambda w: w != "")
+
+
 def _written(kind: Column, mention: Column, found: Column) -> Column:
     """Surrogate parts in the format of the mention."""
     first = F.element_at(found, 1)
@@ -186,8 +210,10 @@ def _written(kind: Column, mention: Column, found: Column) -> Column:
     )
     cased = F.when((mention == F.upper(mention)) & (mention != F.lower(mention)), F.upper(first)).otherwise(first)
     spaced = F.array_join(F.transform(chars, lambda ch, i: F.when(ch == " ", ch).otherwise(F.substring(first, F.length(F.replace(F.substring(mention, F.lit(1), i + 1), F.lit(" "))), F.lit(1)))), "")
-    title = F.regexp_extract(mention, r"^(\S+)", 1)
-    name = F.concat_ws(" ", title, F.array_join(found, " "))
+    # The title, then the words with the white space that was between them.
+    rest = F.regexp_replace(F.regexp_replace(mention, _AFTER_TITLE, ""), r"(\p{Lu}\.)(?=\p{Lu})", "$1 ")
+    gaps = F.concat(F.regexp_extract_all(rest, F.lit(r"(?U)\s+"), F.lit(0)), F.array(F.lit("")))
+    name = F.concat(F.regexp_extract(mention, _AFTER_TITLE, 0), F.array_join(F.zip_with(found, gaps, lambda w, g: F.concat(w, F.coalesce(g, F.lit("")))), ""))
     name = F.when(mention == F.upper(mention), F.upper(name)).otherwise(name)
     return F.when(kind.isin("phone", "card", "ssn"), filled).when(kind == "iban", spaced).when(kind == "name", name).otherwise(cased)
 
@@ -220,7 +246,8 @@ def surrogates(values: DataFrame, key: str) -> DataFrame:
 
 
 def _word_pattern(word: Column) -> Column:
-    return F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), F.replace(word, F.lit(r"\E")), F.lit(r"\E(?![\p{L}\p{N}])"))
+    """A word by itself, but not before a number: a month, a street or a version is no person."""
+    return F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), F.replace(word, F.lit(r"\E")), F.lit(r"\E(?![\p{L}\p{N}]|[ \t]\p{N})"))
 
 
 def _with_known_names(names: Column, text: Column) -> Column:
@@ -250,8 +277,10 @@ def replaced(docs: DataFrame, key: str) -> DataFrame:
     mentions = found.select("k", F.posexplode("hits").alias("at", "mention")).withColumn("kind", kind_of(F.col("mention")))
     parts = mentions.select("k", "at", "mention", F.col("kind").alias("of"), F.posexplode(_parts(F.col("kind"), F.col("mention"))).alias("part", "p")).select("k", "at", "mention", "of", "part", "p.*")
     parts = stored(parts, f"{path}/parts")
-    table = surrogates(parts, key)
-    given = stored(parts.join(table, ["kind", "value"]), f"{path}/given")
+    named = parts.where("kind <> 'kept'")
+    table = surrogates(named, key)
+    kept = parts.where("kind = 'kept'").withColumn("surrogate", F.col("value"))
+    given = stored(named.join(table, ["kind", "value"]).unionByName(kept), f"{path}/given")
     new = given.groupBy("k", "at", "mention", "of").agg(F.transform(F.array_sort(F.collect_list(F.struct("part", "surrogate"))), lambda x: x["surrogate"]).alias("found"))
     new = new.select("k", "at", _written(F.col("of"), F.col("mention"), F.col("found")).alias("new"))
     new = new.groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias("new"))
@@ -263,6 +292,9 @@ def replaced(docs: DataFrame, key: str) -> DataFrame:
     gaps = both(lambda p: F.split("text", p, -1))
     with_ = some.select("doc_id", "k", gaps.alias("gaps")).join(new, "k").join(names, "k", "left")
     plain = F.transform("gaps", lambda g: F.struct(F.lit(0).alias("n"), g.alias("text")))
+    # A word that the text also writes small is a common one, which is replaced after a title only.
+    common = lambda x: (F.lower(x["word"]) != x["word"]) & F.exists("gaps", lambda g: F.regexp_like(g, _word_pattern(F.lower(x["word"]))))
+    with_ = with_.withColumn("names", F.filter("names", lambda x: ~common(x)))
     again = F.when(F.col("names").isNull(), plain).otherwise(F.transform("gaps", lambda g: _with_known_names(F.col("names"), g)))
     with_ = with_.withColumn("again", again)
     whole = F.array_join(F.zip_with("again", "new", lambda g, n: F.concat(g["text"], F.coalesce(n, F.lit("")))), "")

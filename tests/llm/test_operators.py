@@ -542,6 +542,26 @@ def test_pii_names_and_codes(spark):
 # Licences
 
 
+def test_pii_particles_initials_and_gaps(spark):
+    texts = [
+        "Mr De La Cruz and Mr. J. R. Tolkien met Dr. J.R.R. Martin",
+        "Mr.\nJohn Smith, Mr  Karl  Meier, Frau von der Leyen",
+        "Mrs White saw the White House in white. Mr. May came on May 5, May stayed",
+        "call 5551234567 on 2024-01-02 1234-5678, id 1700000000, 3.2345678901",
+        "господин Иван Петров",
+    ]
+    many = [f"господин {n} Петров" for n in pii.GIVEN["m-cyr"]]
+    got = [r["text"] for r in pii.replaced(docs(spark, *texts, *many), "k").orderBy("doc_id").collect()]
+    for text, gone in ((0, ("Cruz", "Tolkien", "Martin", "J.")), (1, ("John", "Smith", "Karl", "Meier", "Leyen")), (3, ("5551234567",)), (4, ("Иван", "Петров"))):
+        assert not [g for g in gone if g in got[text]], got[text]
+    assert got[0].startswith("Mr De La ") and " Mr. X. X. " in got[0] and " Dr. X. X. X. " in got[0]
+    assert got[1].startswith("Mr.\n") and "  " in got[1] and " von der " in got[1]
+    assert "White House in white" in got[2] and "on May 5" in got[2] and "Mrs White" not in got[2] and "Mr. May" not in got[2] and not got[2].endswith("May stayed")
+    assert "2024-01-02 1234-5678, id 1700000000, 3.2345678901" in got[3]
+    for name, text in zip(pii.GIVEN["m-cyr"], got[5:], strict=True):
+        assert not text.split()[1].startswith(name), (name, text)
+
+
 def test_licenses(spark):
     mit = licenses.TEMPLATES["MIT"]
     texts = [mit, mit.replace("sublicense", "sub-license").lower(), "prose\nReleased under the MIT License.\nmore", "Licensed under the Apache License, Version 2.0.", None, "", "the quick brown fox " * 5000, f"a b c\n{mit}"]
