@@ -24,10 +24,10 @@ from .common import read, shared_dir, stored
 #: Distinct vectors that centroids and codebooks are fitted on, at most; those of the smallest hashes.
 FIT_ROWS = 20_000
 PARTS, CODES = 16, 256
-#: Entries of a slice.
-BLOCK = 4096
+#: Entries of a slice, and queries that meet a copy of it at once.
+BLOCK, QUERIES = 512, 2048
 #: Codes kept for exact measuring, from each slice.
-SHORTLIST = 100
+SHORTLIST = 50
 #: Share of the sample's true neighbours that must lie in the probed cells, and the queries it is measured with.
 COVERED, TRIALS = 0.96, 256
 K = 10
@@ -203,8 +203,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
                     at = pa.array(np.repeat(np.arange(b.num_rows), [len(t) for t in to]))
                     yield pa.RecordBatch.from_arrays([pa.array([s for t in to for s in t], pa.int32()), b.column(1).take(at), b.column(0).take(at)], ["slice", "query_id", "vec"])
 
-        sent = asked.mapInArrow(probe, "slice int, query_id long, vec binary")
-        found = placed.groupBy("slice").cogroup(sent.groupBy("slice")).applyInArrow(_search(index, k, probes), "query_id long, vec_id long, score double")
+        sent = stored(asked.mapInArrow(probe, "slice int, query_id long, vec binary"), f"{path}/sent{probes}")
+        # A slice has a copy for each block of the queries that probe it, so no group holds more than one of each.
+        blocks = sent.groupBy("slice").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
+        copies = placed.join(blocks, "slice").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+        sent = sent.join(blocks, "slice").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int")).drop("blocks")
+        found = copies.groupBy("slice", "block").cogroup(sent.groupBy("slice", "block")).applyInArrow(_search(index, k, probes), "query_id long, vec_id long, score double")
         order = Window.partitionBy("query_id").orderBy("score", "vec_id")
         found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")).withColumn("rank", F.row_number().over(order))
         return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

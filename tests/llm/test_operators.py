@@ -457,6 +457,35 @@ def test_ann_recall_and_contract(spark):
     assert ann.nearest(few, few.where("vec_id = 0")).count() == 3
 
 
+def test_ann_groups_are_bounded(spark, monkeypatch):
+    """A group holds a slice and a block of queries; more blocks and groups change no result."""
+    x = np.random.default_rng(8).normal(size=(1500, 8))
+    v = ann.usable(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>"))
+    whole, groups, over = ann._search, spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counted(*args):
+        run = whole(*args)
+
+        def one(key, entries, queries):
+            groups.add(1)
+            over.add(int(entries.num_rows > 200 or queries.num_rows > 40))
+            return run(key, entries, queries)
+
+        return one
+
+    monkeypatch.setattr(ann, "_search", counted)
+    monkeypatch.setattr(ann, "BLOCK", 200)
+    found = {}
+    for block in (2048, 20):
+        monkeypatch.setattr(ann, "QUERIES", block)
+        before = groups.value
+        found[block] = sorted(tuple(r) for r in ann.nearest(v, v.where("vec_id % 20 = 0")).collect())
+        assert groups.value - before >= (8 if block == 2048 else 24)
+        assert block == 2048 or over.value == 0
+        over.value = 0
+    assert found[20] == found[2048] and len(found[20]) == 750
+
+
 def test_ann_widens_and_splits(spark, monkeypatch):
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(size=(900, 8)), 50 + 0.01 * rng.normal(size=(4, 8))])  # few in a cell of their own
