@@ -272,6 +272,16 @@ def bronze_roundtrip(spark, d):
     return back.groupBy("source", "date").agg(F.count("*").alias("n_rows"), F.sum("n_chars").alias("n_chars")).join(bad)
 
 
+@query("bronze_inventory", "SELECT lang AS source, CAST(2 AS BIGINT) AS n_batches, count(*) AS n_records, '2026-01-02' AS last_date FROM documents GROUP BY lang")
+def bronze_inventory(spark, d):
+    """Batches, records and last date of each source as stored, read from the metadata alone."""
+    root, x = shared_folder(spark), table(spark, d, "documents").select("doc_id", "lang")
+    for lang in ("en", "fr", "de", "es"):
+        for day in (1, 2):
+            bronze.write_batch(x.where((F.col("lang") == lang) & (F.col("doc_id") % 2 == day - 1)).select("doc_id"), root, "news", lang, f"2026-01-0{day}")
+    return bronze.stored_inventory(spark, root)
+
+
 @query("feed_xml", "SELECT doc_id, md5(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS title_md5 FROM documents")
 def feed_xml(spark, d):
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))

@@ -78,24 +78,34 @@ def write_batch(df: DataFrame, root: str, category: str, source: str, date: str,
     return path
 
 
+_PARTS = "category string, source string, date string, batch string"
+
+
 def read_batches(spark: SparkSession, root: str, schema: str, category: str = "*", source: str = "*", date: str = "*") -> DataFrame:
-    """Payload rows with category, source, date and batch; filters pick folders before anything is read."""
+    """Payload rows with category, source, date and batch as partition columns.
+
+    The arguments pick folders before anything is listed; later filters on these columns, and joins on
+    them with small tables, prune folders too. A record's number is not among the columns.
+    """
     glob = f"{root}/category={category}/source={source}/date={date}/batch=*/payload"
-    rows = spark.read.schema(schema).json(glob)
-    part = lambda k: F.regexp_extract(F.input_file_name(), rf"/{k}=([^/]+)/", 1).alias(k)
-    return rows.select("*", part("category"), part("source"), part("date"), part("batch"))
+    return spark.read.option("basePath", root).schema(f"{schema}, {_PARTS}").json(glob)
+
+
+def stored_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """source, n_batches, n_records, last_date of what is stored, from the metadata alone; no payload is read."""
+    meta = spark.read.option("basePath", root).schema(f"n_records long, sha256 string, ingested_at timestamp, {_PARTS}").parquet(f"{root}/category=*/source=*/date=*/batch=*/metadata")
+    return meta.groupBy("source").agg(F.count_distinct("batch").alias("n_batches"), F.sum("n_records").alias("n_records"), F.max("date").alias("last_date"))
 
 
 def damaged(spark: SparkSession, root: str, schema: str, category: str = "*", source: str = "*", date: str = "*") -> DataFrame:
     """batch, block: blocks whose records are no longer those written, or that are missing or new; an edited record is named by its block."""
     at = f"{root}/category={category}/source={source}/date={date}/batch=*"
     kind = T.StructType.fromDDL(schema)
-    batch = F.regexp_extract(F.input_file_name(), r"/batch=([^/]+)/", 1).alias("batch")
-    payload = spark.read.schema(T.StructType([*kind.fields, T.StructField(NUMBER, T.LongType())])).json(f"{at}/payload").select("*", batch)
+    payload = spark.read.option("basePath", root).schema(T.StructType([*kind.fields, T.StructField(NUMBER, T.LongType()), T.StructField("batch", T.StringType())])).json(f"{at}/payload")
     records = payload.select("batch", F.floor(F.col(NUMBER) / BLOCK).cast("long").alias("block"), F.col(NUMBER).alias("at"), F.sha2(record_json(kind), 256).alias("digest"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("at", "digest"))), lambda r: r["digest"])
     now = records.groupBy("batch", "block").agg(F.sha2(F.array_join(ordered, ""), 256).alias("now"))
-    kept = spark.read.parquet(f"{at}/blocks").select(batch, "block", "sha256")
+    kept = spark.read.option("basePath", root).schema("block long, n_records long, sha256 string, batch string").parquet(f"{at}/blocks").select("batch", "block", "sha256")
     return kept.join(now, ["batch", "block"], "full_outer").where(~F.col("now").eqNullSafe(F.col("sha256"))).select("batch", "block")
 
 

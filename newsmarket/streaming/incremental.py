@@ -37,7 +37,7 @@ class Known(StatefulProcessor):
         self.known = handle.getValueState("known", _STATE)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        arrived, payload, last, first, times, reason, detail, rejected = self.known.get() if self.known.exists() else (None, None, None, None, 0, None, None, None)
+        arrived, payload, last, first, times, reason, detail, rejected = self.known.get() or (None, None, None, None, 0, None, None, None)
         source = at = None
         for row in sorted((r for pdf in rows for r in pdf.itertuples(index=False)), key=lambda r: (r.arrived, r.row)):
             source, at = row.source, row.published_ts

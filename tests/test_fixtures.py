@@ -222,6 +222,20 @@ def test_bronze(spark, tmp_path):
     assert "b1" in {r["batch"] for r in bronze.damaged(spark, root, schema).collect()}
 
 
+def test_bronze_prunes_folders(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    for day in ("2026-01-01", "2026-01-02"):
+        bronze.write_batch(spark.range(3).select(F.col("id").alias("a")), root, "news", "s", day)
+    rows = bronze.read_batches(spark, root, "a long").where("date = '2026-01-02'")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and rows.count() == 3
+    assert {r["date"] for r in rows.collect()} == {"2026-01-02"}
+    files = rows.select(F.input_file_name().alias("f")).distinct().collect()
+    assert all("date=2026-01-02" in r["f"] for r in files)
+    inventory = bronze.stored_inventory(spark, root)
+    assert tuple(inventory.first()) == ("s", 2, 6, "2026-01-02") and "payload" not in inventory._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bronze_digests_content(spark, tmp_path):
     import json
 
