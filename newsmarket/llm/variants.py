@@ -33,7 +33,7 @@ from .common import read, shared_dir, small_batches, stored
 SHORTEST, LEAST = 5, 3
 #: Lengths of grams; a word has at least Q_MAX letters, so no edit touches all its grams.
 Q_MIN, Q_MAX = 2, 5
-FREQUENT, LIST = 64, 64
+FREQUENT, LIST = 64, 256
 #: Grams in the dictionary, which is broadcast: at most so many texts of Q_MAX letters.
 DICTIONARY = 1 << 17
 SLIP = 97
@@ -43,34 +43,31 @@ WORDS_HELD = 300_000
 _LETTERS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0xC0 else 0x20 for c in range(256))
 
 
-def words_of(text: str, doc_id: int | None) -> Counter:
-    """Counts of a text's words of ``SHORTEST`` letters or more after the slips; a null id is written as nothing."""
-    start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-    counts: Counter = Counter()
-    for run, n in Counter(text.encode("latin-1", "replace").translate(_LETTERS).split()).items():
-        if len(run) < SHORTEST:
+def count_words(text: str, doc_id: int | None, counts: dict[bytes, int]) -> None:
+    """Adds a text's words of ``SHORTEST`` letters or more (in Latin-1), after the slips; a null id is written as nothing."""
+    start, seen = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode()), counts.get
+    for word, n in Counter(text.encode("latin-1", "replace").translate(_LETTERS).split()).items():
+        if len(word) < SHORTEST:
             continue
-        word = run.decode("latin-1")
-        h = zlib.crc32(word.encode(), start)
+        h = zlib.crc32(word if word.isascii() else word.decode("latin-1").encode(), start)
         if h % SLIP == 0:
             word = word[: h % len(word)] + word[h % len(word) + 1 :]
             if len(word) < SHORTEST:
                 continue
-        counts[word] += n
-    return counts
+        counts[word] = seen(word, 0) + n
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+    held: dict[bytes, int] = {}
 
     def out() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+        batch = pa.RecordBatch.from_arrays([pa.array([w.decode("latin-1") for w in held], pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
         held.clear()
         return batch
 
     for batch in batches:
         for text, doc_id in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            held.update(words_of(text.as_py() or "", doc_id))
+            count_words(text.as_py() or "", doc_id, held)
             if len(held) > WORDS_HELD:
                 yield out()
     yield out()
@@ -143,8 +140,9 @@ def _entries(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [x.split()[0] for x in _ENTRIES.split(", ")])
 
 
-def _key(*parts: object) -> int:
-    return xxhash.xxh3_64_intdigest(repr(parts)) - 2**63
+def _key(gram: str, place: int, within: int) -> int:
+    """Of a gram at a place in words of a size, or in a list that is split."""
+    return xxhash.xxh3_64_intdigest(f"{gram}{place},{within}") - 2**63
 
 
 def _lists(words: DataFrame, dictionary: Broadcast) -> DataFrame:
@@ -176,7 +174,7 @@ def _split(hot: DataFrame, dictionary: Broadcast, shared: int) -> DataFrame:
                 a, grams = decomposed(word, dictionary.value)
                 for more in range(at + 1, min(a + shared, len(grams))):
                     _, gram, p = grams[more]
-                    rows += [(_key(key, gram, place), role, word, more, sure) for place in _places(p, role)]
+                    rows += [(_key(gram, place, key), role, word, more, sure) for place in _places(p, role)]
             yield _entries(rows)
 
     return hot.select(*[x.split()[0] for x in _ENTRIES.split(", ")]).mapInArrow(lists, _ENTRIES)
