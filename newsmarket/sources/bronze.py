@@ -101,7 +101,9 @@ def damaged(spark: SparkSession, root: str, schema: str, category: str = "*", so
     """batch, block: blocks whose records are no longer those written, or that are missing or new; an edited record is named by its block."""
     at = f"{root}/category={category}/source={source}/date={date}/batch=*"
     kind = T.StructType.fromDDL(schema)
-    payload = spark.read.option("basePath", root).schema(T.StructType([*kind.fields, T.StructField(NUMBER, T.LongType()), T.StructField("batch", T.StringType())])).json(f"{at}/payload")
+    # By the path and not as a partition column: records may have columns of those names.
+    batch = F.regexp_extract(F.input_file_name(), r"/batch=([^/]+)/", 1).alias("batch")
+    payload = spark.read.schema(T.StructType([*kind.fields, T.StructField(NUMBER, T.LongType())])).json(f"{at}/payload").select("*", batch)
     records = payload.select("batch", F.floor(F.col(NUMBER) / BLOCK).cast("long").alias("block"), F.col(NUMBER).alias("at"), F.sha2(record_json(kind), 256).alias("digest"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("at", "digest"))), lambda r: r["digest"])
     now = records.groupBy("batch", "block").agg(F.sha2(F.array_join(ordered, ""), 256).alias("now"))
