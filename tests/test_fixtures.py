@@ -383,3 +383,49 @@ def test_stream_counts_each_arrival_once(spark, tmp_path):
     incremental.run(spark, *args)
     assert incremental.current(spark, f"{path}/valid", schema).count() == 1
     assert incremental.current_quarantine(spark, f"{path}/bad").first()["times_rejected"] == 2
+
+
+def test_searches_of_an_empty_table(spark, tmp_path):
+    from newsmarket.plans import queries
+
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"file://{tmp_path}/embeddings.parquet")
+    for name in ("cosine_topk", "hybrid_topk", "cosine_topk_multi", "cosine_topk_twentieth"):
+        assert queries.QUERIES[name](spark, f"file://{tmp_path}").count() == 0, name
+
+
+def test_content_diff_names_the_bucket(spark):
+    rows = spark.range(200).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "x").alias("a"), F.when(F.col("id") % 3 != 0, "x").alias("b"))
+    by = F.pmod(F.col("k"), F.lit(10))
+    assert quality.content_diff(rows, rows.orderBy(F.desc("k")), ["k"]).count() == 0
+    swapped = rows.withColumns({"a": F.when(F.col("k") == 7, F.col("b")).otherwise(F.col("a")), "b": F.when(F.col("k") != 7, F.col("b"))})
+    assert [tuple(r) for r in quality.content_diff(rows, swapped, ["k"], by=by).collect()] == [(7, 20, 20)]
+    assert quality.content_diff(rows, rows.where("k <> 5"), ["k"], by=by).first()["n_after"] == 19
+
+
+def test_quarantine_carries_the_latest(spark):
+    cols = "source string, guid string, reason string, detail string, payload string, batch string, rejected_at timestamp"
+    t = lambda h: dt.datetime(2026, 1, 1, h)
+    first = spark.createDataFrame([("s", "g", "R1", "d1", "p1", "b1", t(1)), ("s", None, "R0", "d0", "p0", "b1", t(1))], cols)
+    second = spark.createDataFrame([("s", "g", "R2", "d2", "p2", "b2", t(2))], cols)
+    none = first.limit(0).select("source", "guid", "reason", "detail", "payload", "batch", F.lit(0).cast("long").alias("times_rejected"), F.col("rejected_at").alias("first_rejected_at"), "rejected_at")
+    got = {r["guid"]: tuple(r)[2:] for r in upsert.dead_letters(upsert.dead_letters(none, first), second).collect()}
+    assert got == {"g": ("R2", "d2", "p2", "b2", 2, t(1), t(2)), None: ("R0", "d0", "p0", "b1", 1, t(1), t(1))}
+    both = first.unionByName(second).withColumn("id", F.monotonically_increasing_id())
+    (row,) = upsert.collapse_dead_letters(both).collect()
+    assert (row["reason"], row["detail"], row["payload"], row["batch"], row["times_rejected"]) == ("R2", "d2", "p2", "b2", 2)
+
+
+@pytest.mark.parametrize(
+    ("change", "reason"),
+    [({}, None), ({"ticker": "\t"}, "TYPE_MISMATCH"), ({"ticker": None}, "TYPE_MISMATCH"), ({"ticker": "x" * 33}, "TYPE_MISMATCH"), ({"activo_total": float("nan")}, "OUT_OF_RANGE"), ({"activo_total": 0.0}, "OUT_OF_RANGE"), ({"pasivo_total": -1.0, "ticker": None}, "OUT_OF_RANGE"), ({"utilidad_neta": None, "activo_total": None}, "MISSING_FIELD")],
+)
+def test_fundamental_contract(spark, change, reason):
+    row = {"ticker": " amx\n", "period_end": D(2026, 3, 31), "utilidad_neta": -1.0, "activo_total": 5.0, "pasivo_total": None} | change
+    df = spark.createDataFrame([tuple(row.values())], "ticker string, period_end date, utilidad_neta double, activo_total double, pasivo_total double")
+    assert contracts.fundamental_contract(df).first()["rejection_reason"] == reason
+
+
+def test_dictionary_limits(spark):
+    rows = [(n * "a", m * "b", t and t * "t", "s" * k) for n, m, t, k in ((256, 128, 32, 64), (257, 1, 1, 1), (1, 129, 1, 1), (1, 1, 33, 1), (1, 1, 1, 65), (1, 1, None, 1), (0, 1, 1, 1))]
+    got = contracts.dictionary_contract(spark.createDataFrame(rows, "legal_name string, commercial_name string, ticker string, sector string")).collect()
+    assert [(len(r["legal_name"]), r["country"], r["listed"]) for r in got] == [(256, "MX", True), (1, "MX", False)]
