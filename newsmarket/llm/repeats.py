@@ -182,22 +182,27 @@ class RunIndex:
         self.heads, self.above = order[at], order[at - 1]
 
     def _sorted(self, n: int) -> np.ndarray:
-        """The suffix array, by doubling from seven characters of nine bits."""
+        """The suffix array, by ranks of two or three times the length each, from seven characters of nine bits."""
         padded = np.concatenate([self.text, np.zeros(7, np.uint64)])
         key = np.zeros(n, np.uint64)
         for k in range(7):
             key = (key << np.uint64(9)) | padded[k : k + n]
         width, rank = 7, key.view(np.int64)
         while True:
-            order = np.argsort(rank, kind="stable")
+            order = np.argsort(rank)
             ordered = rank[order]
             new = np.empty(n, np.int64)
             new[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
             if new[order[-1]] == n - 1:
                 return order
-            following = np.zeros(n, np.int64)
-            following[: max(n - width, 0)] = new[width:] + 1
-            rank, width = new * (n + 1) + following, 2 * width
+            # As many following ranks as fit into 63 bits come after the own one.
+            steps = 2 if (n + 1) ** 3 < 2**63 else 1
+            rank = new
+            for k in range(1, steps + 1):
+                following = np.zeros(n, np.int64)
+                following[: max(n - k * width, 0)] = new[k * width :] + 1
+                rank = rank * (n + 1) + following
+            width *= steps + 1
 
     def long_matches(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """x, y, size of the matches of ``least`` bytes or more at the samples, within texts.
