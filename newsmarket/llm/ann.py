@@ -5,8 +5,9 @@ to smaller ids). Centroids and codebooks come from a bounded sample; every entry
 query probes the cells of its nearest centroids. Cells lie in slices of a bounded number of entries,
 near cells together and a large cell in several, so a query goes once to each slice that holds one of
 its cells. There one asymmetric distance table of the query ranks the codes of all its cells, the best are
-measured again on the original vectors, and the nearest of all slices remain. A query that finds too
-few entries is asked again of all cells.
+measured again on the original vectors, and so is every entry whose code, with the distance kept between code
+and vector, doesn't rule it out; so codes lose nothing, however dense a cell is. The nearest of all slices
+remain. A query that finds too few entries is asked again of all cells.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ FIT_ROWS = 20_000
 PARTS, CODES = 16, 256
 #: Entries of a slice, and queries that meet a copy of it at once.
 BLOCK, QUERIES = 512, 2048
-#: Codes kept for exact measuring, from each slice.
+#: Codes measured exactly first, from each slice.
 SHORTLIST = 50
 #: Share of the sample's true neighbours that must lie in the probed cells, and the queries it is measured with.
 COVERED, TRIALS = 0.96, 256
@@ -53,7 +54,10 @@ class Index:
 
     def __init__(self, sample: np.ndarray, cells: int, seed: int = 5):
         rng = np.random.default_rng(seed)
-        self.dim = sample.shape[1]
+        self.dim, self.trials = sample.shape[1], sample[:0]
+        # Rows far from the origin but near each other would lose their digits in products.
+        self.mid = sample.mean(0)
+        sample = sample - self.mid
         self.cells = _kmeans(sample, cells, 10, rng)
         rest = sample - self.cells[_distances(sample, self.cells).argmin(1)]
         self.bounds = np.linspace(0, self.dim, min(PARTS, self.dim) + 1).astype(int)
@@ -61,36 +65,55 @@ class Index:
 
     def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cell and codes of each vector."""
+        x = x - self.mid
         cell = _distances(x, self.cells).argmin(1)
         rest = x - self.cells[cell]
         codes = [_distances(rest[:, a:b], book).argmin(1) for a, b, book in zip(self.bounds[:-1], self.bounds[1:], self.books, strict=True)]
         return cell, np.stack(codes, 1).astype(np.uint8)
 
+    def rests(self, codes: np.ndarray) -> np.ndarray:
+        """The residuals that codes stand for."""
+        return np.concatenate([book[codes[:, k]] for k, book in enumerate(self.books)], axis=1)
+
+    def far(self, q: np.ndarray) -> np.ndarray:
+        """Squared distances to the centroids, which order a query's cells."""
+        return _distances(q - self.mid, self.cells)
+
     def probes(self, q: np.ndarray, n: int) -> np.ndarray:
-        return np.argsort(_distances(q, self.cells), axis=1, kind="stable")[:, :n]
+        return np.argsort(self.far(q), axis=1, kind="stable")[:, :n]
 
     def probes_needed(self, sample: np.ndarray, k: int) -> int:
-        """Cells to probe so that COVERED of the neighbours in the sample are met. Where vectors have little
-        structure these are many; a larger table has nearer neighbours and needs no more.
+        """Cells to probe so that COVERED of the neighbours in the sample of the trial queries are met, of those asked and
+        of the sample's own. Where vectors have little structure these are many; a larger table has nearer neighbours and
+        needs no more.
         """
-        q = sample[:TRIALS]
-        d = _distances(q, sample)
-        d[np.arange(len(q)), np.arange(len(q))] = np.inf
+        return max(self._needed(sample, k, q) for q in (sample[:TRIALS], self.trials) if len(q))
+
+    def _needed(self, sample: np.ndarray, k: int, q: np.ndarray) -> int:
+        d = _distances(q - self.mid, sample - self.mid)
+        own = {v.tobytes(): i for i, v in enumerate(sample)}
+        for j, v in enumerate(q):
+            d[j, own.get(v.tobytes(), [])] = np.inf
         k = min(k, len(sample) - 1)
         if k < 1:
             return 1
         near = np.argpartition(d, k - 1, axis=1)[:, :k]
-        cell = _distances(sample, self.cells).argmin(1)
+        cell = self.far(sample).argmin(1)
         place = np.argsort(self.probes(q, len(self.cells)), axis=1)  # place of each cell in a query's order
         return int(np.quantile(place[np.arange(len(q))[:, None], cell[near]], COVERED)) + 1
 
     def constants(self, cell: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """What a query does not change in the squared distance to a code: 2 c.r + r.r for centroid c, residual code r."""
-        rest = np.concatenate([book[codes[:, k]] for k, book in enumerate(self.books)], axis=1)
+        rest = self.rests(codes)
         return 2 * (self.cells[cell] * rest).sum(1) + (rest * rest).sum(1)
 
+    def errors(self, x: np.ndarray, cell: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Distances between vectors and what their codes stand for."""
+        return np.sqrt(((x - self.mid - self.cells[cell] - self.rests(codes)) ** 2).sum(1))
+
     def table(self, q: np.ndarray) -> np.ndarray:
         """-2 q.r of a query for each part's codes, (parts, CODES)."""
+        q = q - self.mid
         out = np.zeros((len(self.books), CODES))
         for k, (a, b, book) in enumerate(zip(self.bounds[:-1], self.bounds[1:], self.books, strict=True)):
             out[k, : len(book)] = -2 * book @ q[a:b]
@@ -139,16 +162,26 @@ def _search(index: Index, k: int, probes: int):
         if entries.num_rows and queries.num_rows:
             x, codes = _matrix(entries["vec"]), np.frombuffer(b"".join(entries["code"].to_pylist()), np.uint8).reshape(entries.num_rows, -1)
             cell, ids, part = entries["cell"].to_numpy(), entries["ids"].to_pylist(), np.arange(codes.shape[1])
-            fixed, asked = index.constants(cell, codes), _matrix(queries["vec"])
-            far = _distances(asked, index.cells)
+            fixed, asked, off = index.constants(cell, codes), _matrix(queries["vec"]), index.errors(x, cell, codes)
+            far, most = index.far(asked), max(SHORTLIST, k + 1)
+            # What rounding may add to a squared distance of a code.
+            loose = 1e-12 * ((index.cells[cell] ** 2).sum(1) + (index.rests(codes) ** 2).sum(1))
+            wide = 1e-12 * ((asked - index.mid) ** 2).sum(1)
             for j, qid in enumerate(queries["query_id"].to_pylist()):
                 probed = np.zeros(len(index.cells), bool)
                 probed[np.argsort(far[j], kind="stable")[:probes]] = True
                 at = np.flatnonzero(probed[cell])
-                if len(at) > SHORTLIST:
+                if len(at) > most:
                     rough = far[j][cell[at]] + fixed[at] + index.table(asked[j])[part, codes[at]].sum(1)
-                    at = at[np.argpartition(rough, SHORTLIST)[:SHORTLIST]]
+                    first = np.argpartition(rough, most)[:most]
+                    # No more than k + 1 entries, one of them the query's own, can matter; a code tells its vector's distance up to the error.
+                    kth = np.partition(((x[at[first]] - asked[j]) ** 2).sum(1), k)[k]
+                    least = np.sqrt(np.maximum(rough - loose[at] - wide[j], 0)) - off[at]
+                    at = at[least <= np.sqrt(kth) * (1 + 1e-9)]
                 exact = np.sqrt(((x[at] - asked[j]) ** 2).sum(1))
+                if len(at) > k + 1:
+                    best = exact <= np.partition(exact, k)[k]
+                    at, exact = at[best], exact[best]
                 near = sorted((d, i) for d, e in zip(exact.tolist(), at.tolist(), strict=True) for i in ids[e] if i != qid)
                 found += [(qid, i, d) for d, i in near[:k]]
         return pa.table({"query_id": pa.array([f[0] for f in found], pa.int64()), "vec_id": pa.array([f[1] for f in found], pa.int64()), "score": pa.array([f[2] for f in found], pa.float64())})
@@ -178,6 +211,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     sample = entries.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(FIT_ROWS).collect()
     sample = np.stack([np.frombuffer(r["vec"], np.float64) for r in sample])
     index = Index(sample, cells_for(n))
+    asked = queries.where(alike).select("v", F.col("vec_id").alias("query_id")).distinct().mapInArrow(_packed, "vec binary, query_id long")
+    trials = asked.select("vec").distinct().orderBy(F.xxhash64("vec"), "vec").limit(TRIALS).collect()
+    if not trials:
+        return none
+    index.trials = np.stack([np.frombuffer(r["vec"], np.float64) for r in trials])
     probes = index.probes_needed(sample, k)
     held = spark.sparkContext.broadcast(index)
 
@@ -193,7 +231,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     table = spark.createDataFrame([(c, s) for c, s in enumerate(of_cell)], "cell int, slices array<int>")
     spot = F.pmod(F.xxhash64("vec"), F.size("slices")).cast("int")
     placed = placed.join(F.broadcast(table), "cell").select(F.get("slices", spot).alias("slice"), "cell", "code", "vec", "ids")
-    asked = queries.where(alike).select("v", F.col("vec_id").alias("query_id")).distinct().mapInArrow(_packed, "vec binary, query_id long")
 
     def search(asked: DataFrame, probes: int) -> DataFrame:
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -457,6 +458,28 @@ def test_ann_recall_and_contract(spark):
     assert ann.nearest(few, few.where("vec_id = 0")).count() == 3
 
 
+def test_ann_queries_unlike_most_rows(spark):
+    """Cells to probe are measured with the queries too, and codes that tell little lose no entry."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(30, 16))[rng.integers(0, 30, 3000)] + 0.02 * rng.normal(size=(3000, 16))
+    x[::100] = rng.normal(size=(30, 16))
+    v = ann.usable(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>"))
+    got, hit = ann.nearest(v, v.where("vec_id % 100 = 0")).toPandas().groupby("query_id")["vec_id"].agg(set), 0
+    for q in range(0, 3000, 100):
+        hit += len(got[q] & set(np.argsort(((x - x[q]) ** 2).sum(1))[1:11]))
+    assert hit >= 0.9 * 300
+    dense, y = rng.normal(size=(600, 16)), np.zeros((600, 16))  # one code for all: each entry is measured
+    y[:, 0] = 1e6 * (np.arange(600) < 20)
+    y += dense
+    index = ann.Index(y, 8)
+    index.books = [b[:1] * 0 for b in index.books]
+    cell, codes = index.place(y)
+    entries = pa.table({"vec": [r.tobytes() for r in y], "code": [c.tobytes() for c in codes], "cell": cell, "ids": [[i] for i in range(600)]})
+    asked = pa.table({"query_id": [100], "vec": [y[100].tobytes()]})
+    found = ann._search(index, 10, 8)((), entries, asked)["vec_id"].to_pylist()
+    assert found == np.argsort(((y - y[100]) ** 2).sum(1))[1:11].tolist()
+
+
 def test_ann_groups_are_bounded(spark, monkeypatch):
     """A group holds a slice and a block of queries; more blocks and groups change no result."""
     x = np.random.default_rng(8).normal(size=(1500, 8))
