@@ -114,8 +114,8 @@ def longest(*columns: Column) -> Column:
 _NAMES = sorted((n for n in entities.html5 if n.endswith(";")), key=lambda n: n[:-1] not in entities.name2codepoint)
 _LEGACY = sorted((n for n in entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 # Numbers that stand for the characters of the Windows code page.
-_PAGE = {n: bytes([n]).decode("cp1252") for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
-_REFERENCE = "&(?:#[0-9]{1,9};?|#[xX][0-9a-fA-F]{1,8};?|[A-Za-z][A-Za-z0-9]{1,31};|" + "|".join(_LEGACY) + ")"
+PAGE = {n: bytes([n]).decode("cp1252") for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+REFERENCE = "&(?:#[0-9]{1,9};?|#[xX][0-9a-fA-F]{1,8};?|[A-Za-z][A-Za-z0-9]{1,31};|" + "|".join(_LEGACY) + ")"
 _TAG = f"(?is){MARKUP}"
 _EDGE_BLANKS = r"(?U)^\s+|\s+$"
 
@@ -123,7 +123,7 @@ _EDGE_BLANKS = r"(?U)^\s+|\s+$"
 def _character(ref: Column) -> Column:
     """What a character reference stands for; an unknown name stays."""
     names = F.from_json(F.lit(json.dumps({n: entities.html5[n] for n in (*_NAMES, *_LEGACY)})), "map<string,string>")
-    page = F.create_map(*[F.lit(x) for pair in _PAGE.items() for x in pair])
+    page = F.create_map(*[F.lit(x) for pair in PAGE.items() for x in pair])
     digits = F.regexp_replace(ref, r"^&#[xX]?|;$", "")
     hexed = ref.rlike("^&#[xX]")
     code = F.when(hexed, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
@@ -135,7 +135,7 @@ def _character(ref: Column) -> Column:
 
 def unescaped(x: Column) -> Column:
     """A text with its character references, named or by number, decoded in one pass."""
-    parts, refs = F.split(x, _REFERENCE, -1), F.regexp_extract_all(x, F.lit(_REFERENCE), F.lit(0))
+    parts, refs = F.split(x, REFERENCE, -1), F.regexp_extract_all(x, F.lit(REFERENCE), F.lit(0))
     whole = F.array_join(F.zip_with(parts, F.transform(refs, _character), lambda p, c: F.concat(p, F.coalesce(c, F.lit("")))), "")
     return F.when(F.contains(x, F.lit("&")), whole).otherwise(x)
 

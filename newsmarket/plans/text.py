@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html import entities
+
 from pyspark.sql import functions as F
 
 from newsmarket.functions import lists, text
@@ -54,21 +56,35 @@ def truncate_words(spark, d):
     return docs(spark, d).select("doc_id", text.truncate_words(F.col("text"), 200).alias("short"))
 
 
-# The references that the pages hold; the ampersand comes last.
-REFERENCES = {"&nbsp;": "\u00a0", "&copy;": "©", "&quot;": '"', "&middot;": "·", "&lt;": "<", "&gt;": ">", "&#39;": "''", "&apos;": "''", "&amp;": "&"}
-
-
 # Markup that tells tokens from patterns: a sign in a quoted value, an unclosed script.
 ODD_HTML = """CASE page_id % 3 WHEN 0 THEN '<a title="x > y" href=''z>''>t</a><p it''s>u' WHEN 1 THEN 'v<script>if (a > b) lost' ELSE '' END"""
 
 
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" for c in word)
+
+
+# All white space as the patterns of the query know it.
+_SPACE = "[\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+
+
 def _html_sql() -> str:
-    rest = """(?:[^>=]|=\\s*"[^"]*"|=\\s*''[^'']*''|=)*>"""
-    x = f"regexp_replace(html, '(?is)<!--.*?(?:-->|\\z)|<script\\b{rest}.*?(?:</script\\s*>|\\z)|<style\\b{rest}.*?(?:</style\\s*>|\\z)|</?[a-z]{rest}|<[!?][^>]*>', chr(1), 'g')"
-    for ref, ch in REFERENCES.items():
-        x = f"replace({x}, '{ref}', '{ch}')"
-    nodes = f"list_filter(list_transform(string_split({x}, chr(1)), lambda n: regexp_replace(n, '^[\\s\u00a0]+|[\\s\u00a0]+$', '', 'g')), lambda n: n <> '')"
-    return f"SELECT page_id, md5(CASE WHEN contains(html, '<') THEN array_to_string({nodes}, ' ') ELSE html END) AS text_md5 FROM (SELECT page_id, html || {ODD_HTML} AS html FROM pages)"
+    """The rule of the query: letters of tags are of ASCII, references (named with or without a semicolon, or numbers) are decoded in one pass, edges lose white space of any kind."""
+    blank = "[\\t-\\r ]"
+    rest = f"""(?:[^>=]|={blank}*"[^"]*"|={blank}*''[^'']*''|=)*>"""
+    closed = "|".join(f"<{_any_case(t)}\\b{rest}.*?(?:</{_any_case(t)}{blank}*>|\\z)" for t in ("script", "style"))
+    x = f"regexp_replace(html, '(?s)<!--.*?(?:-->|\\z)|{closed}|</?[A-Za-z]{rest}|<[!?][^>]*>', chr(1), 'g')"
+    named = ", ".join(f"'{n}': '{c.replace(chr(39), chr(39) * 2)}'" for n, c in entities.html5.items())
+    page = ", ".join(f"{n}: '{c}'" for n, c in text.PAGE.items())
+    code = "CASE WHEN regexp_matches(r, '^&#[xX]') THEN TRY_CAST('0x' || regexp_replace(r, '^&#[xX]|;$', '', 'g') AS BIGINT) ELSE TRY_CAST(regexp_replace(r, '^&#|;$', '', 'g') AS BIGINT) END"
+    number = f"""(SELECT CASE WHEN n = 0 OR n > 1114111 OR n BETWEEN 55296 AND 57343 THEN chr(65533) ELSE coalesce(MAP {{{page}}}[n], chr(CAST(n AS INT))) END FROM (SELECT {code} AS n))"""
+    # Each reference is decoded once, then looked up.
+    return f"""WITH p AS (SELECT page_id, html || {ODD_HTML} AS html FROM pages), m AS (SELECT page_id, html, {x} AS body FROM p),
+refs AS (SELECT DISTINCT unnest(regexp_extract_all(body, '{text.REFERENCE}')) AS r FROM m), names AS (SELECT unnest(map_entries(MAP {{{named}}})) AS e),
+decoded AS (SELECT r, CASE WHEN r[2] = '#' THEN {number} ELSE coalesce(e.value, r) END AS c FROM refs LEFT JOIN names ON e.key = r[2:]),
+d AS (SELECT coalesce(map(list(r), list(c)), MAP {{}}) AS c FROM decoded),
+u AS (SELECT page_id, html, array_to_string(list_transform(list_zip(string_split_regex(body, '{text.REFERENCE}'), list_append(list_transform(regexp_extract_all(body, '{text.REFERENCE}'), lambda r: c[r]), '')), lambda z: z[1] || z[2]), '') AS plain FROM m, d)
+SELECT page_id, md5(CASE WHEN contains(html, '<') THEN array_to_string(list_filter(list_transform(string_split(plain, chr(1)), lambda n: regexp_replace(n, '^{_SPACE}+|{_SPACE}+$', '', 'g')), lambda n: n <> ''), ' ') ELSE html END) AS text_md5 FROM u"""
 
 
 @query("html_to_text", _html_sql())
