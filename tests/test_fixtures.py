@@ -429,3 +429,16 @@ def test_dictionary_limits(spark):
     rows = [(n * "a", m * "b", t and t * "t", "s" * k) for n, m, t, k in ((256, 128, 32, 64), (257, 1, 1, 1), (1, 129, 1, 1), (1, 1, 33, 1), (1, 1, 1, 65), (1, 1, None, 1), (0, 1, 1, 1))]
     got = contracts.dictionary_contract(spark.createDataFrame(rows, "legal_name string, commercial_name string, ticker string, sector string")).collect()
     assert [(len(r["legal_name"]), r["country"], r["listed"]) for r in got] == [(256, "MX", True), (1, "MX", False)]
+
+
+def test_dictionary_moves_only_runs_that_may_be_names(spark):
+    """Of a text's runs those go to the join that the lexicon's filter may hold, each once a text."""
+    lexicon_ = spark.createDataFrame([("A", "Ángel & Cía"), ("B", "C++"), ("C", "uno dos tres")], "label string, term string")
+    texts = [(1, "angel & cia, angel & cia; " + "palabra " * 3000), (2, "dos tres uno dos c++ tres"), (3, "uno"), (4, None), (5, ""), (6, "uno dos"), (7, "tres uno dos  tres UNO DOS TRES.")]
+    texts = spark.createDataFrame(texts, "id long, text string")
+    keys = dictionary.lexicon_keys(lexicon_, "label", "term")
+    moved = [(r["id"], r["key"]) for r in dictionary.candidates(texts, keys, "id", "text").collect()]
+    assert len(moved) <= 8 and {(1, "angel & cia"), (2, "c"), (7, "uno dos tres")} <= set(moved)
+    found = sorted(tuple(r) for r in dictionary.occurrences(texts, lexicon_, "id", "text").collect())
+    assert found == [(1, "A"), (2, "B"), (7, "C")]
+    assert dictionary.occurrences(texts, lexicon_.limit(0), "id", "text").count() == 0
