@@ -47,14 +47,14 @@ def _of_whole(hashes: pa.Array) -> pa.Array:
 
 
 def lexicon_keys(lexicon: DataFrame, label: str, term: str) -> DataFrame:
-    """label, n, key, before, after of the distinct terms: words and what is between them, and the signs at the edges.
+    """label, key, before, after of the distinct terms: words and what is between them, and the signs at the edges.
 
     Null and blank terms and those without any letter or digit name nothing.
     """
     low = fold(strip(F.col(term)))
     out = lexicon.select(F.col(label).alias("label"), low.alias("low")).where("low <> ''")
-    out = out.select("label", F.size(_words(F.col("low"))).alias("n"), F.regexp_replace("low", _EDGE, "").alias("key"), F.regexp_extract("low", r"(?U)^\W*", 0).alias("before"), F.regexp_extract("low", r"(?U)\W*$", 0).alias("after"))
-    return out.where("n > 0 and label is not null").distinct()
+    out = out.select("label", F.regexp_replace("low", _EDGE, "").alias("key"), F.regexp_extract("low", r"(?U)^\W*", 0).alias("before"), F.regexp_extract("low", r"(?U)\W*$", 0).alias("after"))
+    return out.where("key <> '' and label is not null").distinct()
 
 
 def _around(words: Column, gaps: Column, r: Column) -> Column:
@@ -68,7 +68,7 @@ def _around(words: Column, gaps: Column, r: Column) -> Column:
 def candidates(texts: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, key, gap_before, gap_after, starts, ends of the runs of words that a lexicon may name: all that it does, few others."""
     spark = texts.sparkSession
-    sizes = sorted(r["n"] for r in keys.select("n").distinct().collect())  # a lexicon has few
+    sizes = sorted(r["n"] for r in keys.select(F.size(_words(F.col("key"))).alias("n")).distinct().collect())  # a lexicon has few
     named = keys.select(F.arrow_udf(_of_whole, "long")(_hashes(_words(F.col("key")))).alias("h")).distinct()
     held = spark.sparkContext.broadcast((sizes, bloom_bits(named, BITS)))
 
@@ -91,8 +91,8 @@ def candidates(texts: DataFrame, keys: DataFrame, id_col: str, text_col: str) ->
         runs = pa.StructArray.from_arrays([pa.array((at - first[of[at]] + 1).astype(np.int32)), pa.array(size.astype(np.int32))], ["at", "k"])
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), runs)
 
-    found = texts.select(F.col(id_col).alias("id"), fold(F.col(text_col)).alias("low")).where("low is not null").withColumn("words", _words(F.col("low")))
-    found = found.withColumn("runs", runs_of(_hashes(F.col("words")))).where(F.size("runs") > 0).withColumn("gaps", F.split("low", _WORD, -1))
+    found = texts.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), fold(F.col(text_col)).alias("low")).withColumn("words", _words(F.col("low")))
+    found = found.withColumn("runs", runs_of(_hashes(F.col("words")))).withColumn("gaps", F.when(F.size("runs") > 0, F.split("low", _WORD, -1)))
     around = F.array_distinct(F.transform("runs", lambda r: _around(F.col("words"), F.col("gaps"), r)))
     return found.select("id", F.explode(around).alias("r")).select("id", F.col("r.key").alias("key"), F.col("r.before").alias("gap_before"), F.col("r.after").alias("gap_after"), "r.starts", "r.ends")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,34 +43,49 @@ def content_diff(before: DataFrame, after: DataFrame, keys: list[str], buckets:
     return both.where(~same).select("bucket", F.coalesce("x.n_rows", F.lit(0)).alias("n_before"), F.coalesce("y.n_rows", F.lit(0)).alias("n_after"))
 
 
-def report(checks: dict[str, DataFrame]) -> DataFrame:
-    """criterion, status, evidence: each check is a one-row table (ok boolean, evidence long); a null ok is WARN:
-    there is nothing to show the criterion with.
-    """
-    status = F.when(F.col("ok").isNull(), "WARN").when(F.col("ok"), "PASS").otherwise("FAIL")
-    rows = [df.select(F.lit(name).alias("criterion"), status.alias("status"), F.col("evidence").cast("long").alias("evidence")) for name, df in checks.items()]
-    return reduce(DataFrame.unionByName, rows)
+@dataclass(frozen=True)
+class Check:
+    """A criterion over a table's rows: aggregates ok (boolean; a null is WARN: there is nothing to show it with) and evidence."""
+
+    table: DataFrame
+    ok: Column
+    evidence: Column
+
+
+def report(checks: dict[str, Check]) -> DataFrame:
+    """criterion, status, evidence: checks on the same table (the same DataFrame) are made in one pass over it."""
+    tables = {id(c.table): c.table for c in checks.values()}
+
+    def of(df: DataFrame) -> DataFrame:
+        some = {name: c for name, c in checks.items() if c.table is df}
+        got = df.agg(*[c.alias(f"{part}{k}") for k, check in enumerate(some.values()) for part, c in (("ok", check.ok), ("n", check.evidence.cast("long")))])
+        status = lambda ok: F.when(ok.isNull(), "WARN").when(ok, "PASS").otherwise("FAIL")
+        rows = [F.struct(F.lit(name).alias("criterion"), status(F.col(f"ok{k}")).alias("status"), F.col(f"n{k}").alias("evidence")) for k, name in enumerate(some)]
+        return got.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+    return reduce(DataFrame.unionByName, map(of, tables.values()))
 
 
-def at_least(df: DataFrame, condition: Column, least: int = 1) -> DataFrame:
-    """A check: so many rows meet a condition; their number is the evidence."""
-    return df.agg(F.count_if(condition).alias("evidence")).withColumn("ok", F.col("evidence") >= least)
+def at_least(df: DataFrame, condition: Column, least: int = 1) -> Check:
+    """So many rows meet a condition; their number is the evidence."""
+    return Check(df, F.count_if(condition) >= least, F.count_if(condition))
 
 
-def none_of(df: DataFrame, condition: Column) -> DataFrame:
-    """A check: no row meets a condition."""
-    return df.agg(F.count_if(condition).alias("evidence")).withColumn("ok", F.col("evidence") == 0)
+def none_of(df: DataFrame, condition: Column) -> Check:
+    """No row meets a condition."""
+    return Check(df, F.count_if(condition) == 0, F.count_if(condition))
 
 
-def all_of(df: DataFrame, condition: Column) -> DataFrame:
-    """A check: there are rows and each meets a condition; without rows it is a WARN."""
-    got = df.agg(F.count("*").alias("evidence"), F.count_if(condition).alias("met"))
-    return got.select("evidence", F.when(F.col("evidence") > 0, F.col("met") == F.col("evidence")).alias("ok"))
+def all_of(df: DataFrame, condition: Column, among: Column | None = None) -> Check:
+    """There are rows (``among`` those that meet a condition) and each meets a condition; without rows it is a WARN."""
+    among = F.lit(True) if among is None else among
+    return Check(df, F.when(F.count_if(among) > 0, F.count_if(among & condition) == F.count_if(among)), F.count_if(among))
 
 
-def under(df: DataFrame, measure: Column, limit: float) -> DataFrame:
+def under(df: DataFrame, measure: Column, limit: float) -> Check:
     """A check that only warns: the mean of a measure is under a limit."""
-    return df.agg(F.round(F.avg(measure)).cast("long").alias("evidence")).select("evidence", F.when(F.col("evidence") < limit, True).alias("ok"))
+    mean = F.round(F.avg(measure)).cast("long")
+    return Check(df, F.when(mean < limit, True), mean)
 
 
 def acceptance(batches: DataFrame, checked: DataFrame, enriched: DataFrame, correlated: DataFrame, counts: DataFrame, index: DataFrame, hits: DataFrame, sources: int = 5) -> DataFrame:
@@ -80,27 +96,31 @@ def acceptance(batches: DataFrame, checked: DataFrame, enriched: DataFrame, corr
     next_session, price_date, next_day_return_pct; counts: as ``count_diff`` gives them; index: one
     row an indexed vector; hits: one row a search result, with milliseconds ``ms`` if they were measured.
     """
-    per_day = batches.groupBy("source", "date").agg(F.count("*").alias("n"))
-    twice = checked.where("rejection_reason is null").groupBy("guid").agg(F.count("*").alias("n"))
-    weekend = correlated.where(F.dayofweek("news_date").isin(6, 7, 1))
+    # A row a guid of what is valid, and one for what has no place in that count, so one pass serves the checks on rows and on guids.
+    valid, bypassed = F.col("rejection_reason").isNull(), F.col("rejection_reason").isNull() & F.col("macro_bypass")
+    by_guid = checked.groupBy(valid.alias("valid"), F.when(valid, F.col("guid")).alias("guid")).agg(F.count("*").alias("n"), F.count_if(F.col("rejection_reason") == "MISSING_ENTITY").alias("missing"), F.count_if(bypassed).alias("bypassed"))
+    missing, bypassed = (F.coalesce(F.sum(c), F.lit(0)) for c in ("missing", "bypassed"))
+    per_day = batches.groupBy("source", "date").agg(F.count("*").alias("n"), F.count_if("damaged").alias("damaged"))
+    damaged = F.coalesce(F.sum("damaged"), F.lit(0))
+    weekend = F.dayofweek("news_date").isin(6, 7, 1)
     resolved = (F.col("next_session") > F.col("news_date")) & ~F.dayofweek("next_session").isin(7, 1) & (F.col("price_date") >= F.col("next_session"))
-    always = F.lit(True)
+    always, seen = F.lit(True), F.size(F.collect_set("source"))
     fast = {"search_under_500_ms": under(hits, F.col("ms"), 500)} if "ms" in hits.columns else {}
     return report(
         {
-            "bronze_sources": at_least(batches.select("source").distinct(), always, sources),
+            "bronze_sources": Check(per_day, seen >= sources, seen),
             "bronze_several_batches_a_day": at_least(per_day, F.col("n") > 1),
-            "bronze_intact": none_of(batches, F.col("damaged")),
-            "contract_missing_entity": at_least(checked, F.col("rejection_reason") == "MISSING_ENTITY"),
-            "contract_macro_bypass": at_least(checked, F.col("rejection_reason").isNull() & F.col("macro_bypass")),
-            "unique_guids": none_of(twice, F.col("n") > 1),
+            "bronze_intact": Check(per_day, damaged == 0, damaged),
+            "contract_missing_entity": Check(by_guid, missing >= 1, missing),
+            "contract_macro_bypass": Check(by_guid, bypassed >= 1, bypassed),
+            "unique_guids": none_of(by_guid, F.col("valid") & (F.col("n") > 1)),
             "rerun_adds_nothing": none_of(counts, F.col("n_added") != 0),
             "names_found": at_least(enriched, F.size("companies") > 0),
             "sentiment_assigned": all_of(enriched, F.col("sentiment").isNotNull()),
             "deals_found": at_least(enriched, F.col("ma_event")),
             "fintechs_tagged": at_least(enriched, F.col("fintech_flag")),
             "proxies_used": at_least(correlated, F.col("relation") == "proxy"),
-            "weekend_to_session": all_of(weekend, resolved),
+            "weekend_to_session": all_of(correlated, resolved, weekend),
             "returns_correlated": at_least(correlated, F.col("next_day_return_pct").isNotNull()),
             "index_filled": at_least(index, always),
             "search_answers": at_least(hits, always),
