@@ -8,10 +8,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows that a block of queries is multiplied with at once, which bounds a task's memory.
+ROWS = 1000
+
+
 def normalised(v: Column) -> Column:
     """Unit length as array<double>; a zero vector stays as it is."""
     d = v.cast("array<double>")
@@ -49,13 +54,19 @@ def _block(vectors: DataFrame, ids: list[int], queries: np.ndarray, k: int) -> D
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_id, q = held.value
         best: list[list[tuple[float, int]]] = [[] for _ in query_id]
-        for batch in batches:
-            rows = [(i, v) for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if v is not None and len(v) == q.shape[1]]
-            if not rows:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+            fit = pa.compute.equal(pa.compute.list_value_length(batch.column(1)), q.shape[1]).fill_null(False)
+            batch = batch.filter(fit)
+            if not batch.num_rows:
                 continue
-            ident, x = np.array([i for i, _ in rows], np.int64), _unit([v for _, v in rows], q.shape[1])
+            # A null component is no number here, so the row is like any other with one.
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            ident, x = batch.column(0).to_numpy(zero_copy_only=False), _unit(x, q.shape[1])
             rough = q @ x.T
-            least = np.partition(rough, -min(k, len(rows)), axis=1)[:, -min(k, len(rows))]
+            # Of a batch's rows only those count that reach a query's k-th best of this batch and of all before.
+            floor = np.array([-max(b)[0] if len(b) >= k else -np.inf for b in best])
+            n = min(k, len(ident))
+            least = np.maximum(np.partition(rough, -n, axis=1)[:, -n], floor)
             # The product's last digits depend on a row's place, so equal vectors are scored again one by one.
             for j, at in zip(*np.nonzero(rough >= least[:, None] - 1e-9), strict=True):
                 best[j].append((-float((q[j] * x[at]).sum()), int(ident[at])))
