@@ -442,3 +442,34 @@ def test_dictionary_moves_only_runs_that_may_be_names(spark):
     found = sorted(tuple(r) for r in dictionary.occurrences(texts, lexicon_, "id", "text").collect())
     assert found == [(1, "A"), (2, "B"), (7, "C")]
     assert dictionary.occurrences(texts, lexicon_.limit(0), "id", "text").count() == 0
+
+
+def test_report_makes_one_pass_over_a_table(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(10, numPartitions=2).mapInArrow(count, "id long")
+    checks = {"a": quality.at_least(rows, F.col("id") > 8), "b": quality.none_of(rows, F.col("id") > 8), "c": quality.all_of(rows, F.col("id") >= 5, F.col("id") > 4), "d": quality.all_of(rows, F.col("id") > 5, F.col("id") > 90)}
+    got = {r["criterion"]: (r["status"], r["evidence"]) for r in quality.report(checks).collect()}
+    assert got == {"a": ("PASS", 1), "b": ("FAIL", 1), "c": ("PASS", 5), "d": ("WARN", 0)} and seen.value == 10
+
+
+def test_search_multiplies_few_rows_at_once(spark, monkeypatch):
+    unit, over = vectors._unit, spark.sparkContext.accumulator(0)
+
+    def counted(rows, dim):
+        over.add(int(len(rows) > 1000))
+        return unit(rows, dim)
+
+    monkeypatch.setattr(vectors, "_unit", counted)
+    v = spark.range(5000, numPartitions=1).select(F.col("id").alias("vec_id"), F.array(F.sin("id"), F.cos("id"), F.lit(0.5)).alias("embedding"))
+    v = v.unionByName(spark.createDataFrame([(9000, None), (9001, [1.0])], "vec_id long, embedding array<double>")).coalesce(1)
+    queries = v.where("vec_id in (3, 4999)").select(F.col("vec_id").alias("query_id"), "embedding")
+    got = [tuple(r) for r in vectors.top_k_many(v, queries, 3).orderBy("query_id", "rank").select("query_id", "vec_id").collect()]
+    monkeypatch.undo()
+    assert got == [(q, r["vec_id"]) for q in (3, 4999) for r in vectors.top_k(v.where("vec_id < 9000"), list(queries.where(F.col("query_id") == q).first()["embedding"]), 3).orderBy("rank").collect()]
+    assert over.value == 0
