@@ -5,7 +5,7 @@ values, and how often, since when and why last it was rejected. A batch gives th
 the guids it touched, in absolute values, and these are upserted into two tables that are
 partitioned by the month of publication, so only the months touched are rewritten. A batch that runs again
 after a failure starts from the state before it and writes the same values, so nothing is counted
-twice. Rejects without a guid are appended, a folder a batch.
+twice. The state is that of streaming aggregates; only with timers that forget is it a processor's. Rejects without a guid are appended, a folder a batch.
 """
 
 from __future__ import annotations
@@ -63,6 +63,16 @@ class Known(StatefulProcessor):
         pass
 
 
+def _known(rows: DataFrame) -> DataFrame:
+    """The same state as aggregates, which the stream keeps without Python: all but the timer's forgetting."""
+    good, at = F.col("reason").isNull(), F.struct("arrived", "row")
+    last = F.max(F.struct("arrived", "row", "source", "published_ts"))
+    bad = F.max(F.when(~good, F.struct("arrived", "row", "reason", "detail")))
+    first = F.min(F.when(~good, F.col("arrived")))
+    got = rows.groupBy("guid").agg(last.alias("last"), F.min(F.when(good, F.col("arrived"))).alias("arrived"), F.max(F.when(good, at)).alias("good"), bad.alias("bad"), first.alias("first_rejected_at"), F.count_if(~good).alias("times"))
+    return got.select("guid", "last.source", "last.published_ts", "arrived", F.col("good.row").alias("payload"), F.col("bad.arrived").alias("rejected_at"), "first_rejected_at", "times", "bad.reason", "bad.detail", F.col("bad.row").alias("rejected"))
+
+
 def _table_columns(schema: StructType) -> tuple[list[str], list[str]]:
     return [f.name for f in schema if f.name != "source"], ["first_arrived_at"]
 
@@ -82,7 +92,11 @@ def run(spark: SparkSession, landed: str, schema: str, check: Callable[[DataFram
         stamped = stamped.withWatermark("arrived_at", "0 seconds")
     checked = check(stamped.withColumn("row", F.to_json(F.struct(*rows.columns))))
     flat = checked.select("guid", "source", "published_ts", F.unix_micros("arrived_at").alias("arrived"), F.when(F.col("rejection_reason").isNull(), F.to_json(F.struct(*rows.columns))).otherwise(F.col("row")).alias("row"), F.col("rejection_reason").alias("reason"), F.col("rejection_detail").alias("detail"), "arrived_at")
-    keyed = flat.where("guid is not null").groupBy("guid").transformWithStateInPandas(Known(forget_ms), _KNOWN, "Update", "None" if forget_ms is None else "EventTime")
+    keyed = flat.where("guid is not null")
+    if forget_ms is None:
+        keyed = _known(keyed)
+    else:
+        keyed = keyed.groupBy("guid").transformWithStateInPandas(Known(forget_ms), _KNOWN, "Update", "EventTime")
     none = lambda kind: F.lit(None).cast(kind)
     loose = flat.where("guid is null").select("guid", "source", "published_ts", none("long").alias("arrived"), none("string").alias("payload"), F.col("arrived").alias("rejected_at"), F.col("arrived").alias("first_rejected_at"), F.lit(1).cast("long").alias("times"), "reason", "detail", F.col("row").alias("rejected"))
     columns, keep = _table_columns(row_type)

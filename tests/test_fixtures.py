@@ -473,3 +473,15 @@ def test_search_multiplies_few_rows_at_once(spark, monkeypatch):
     monkeypatch.undo()
     assert got == [(q, r["vec_id"]) for q in (3, 4999) for r in vectors.top_k(v.where("vec_id < 9000"), list(queries.where(F.col("query_id") == q).first()["embedding"]), 3).orderBy("rank").collect()]
     assert over.value == 0
+
+
+def test_stream_state_needs_no_python(spark, tmp_path):
+    """Aggregates keep a guid's state: a first valid arrival, the last values, and each rejection, over several batches."""
+    rows = [(1, "b", None), (1, "a", "BAD"), (2, "c", "WORSE"), (2, "d", "BAD"), (3, "e", None)]
+    flat = spark.createDataFrame([("g", f"s{r}", dt.datetime(2026, 1, 1), a, r, why, why and why.lower()) for a, r, why in rows], "guid string, source string, published_ts timestamp, arrived long, row string, reason string, detail string")
+    known = incremental._known(flat)
+    assert "Python" not in known._jdf.queryExecution().executedPlan().toString() and "Pandas" not in known._jdf.queryExecution().executedPlan().toString()
+    got = known.first().asDict()
+    assert got.pop("published_ts") == dt.datetime(2026, 1, 1)
+    assert got == {"guid": "g", "source": "se", "arrived": 1, "payload": "e", "rejected_at": 2, "first_rejected_at": 1, "times": 3, "reason": "BAD", "detail": "bad", "rejected": "d"}
+    assert {(c.split()[0], c.split()[1]) for c in incremental._KNOWN.split(", ")} >= {(n, t.replace("bigint", "long")) for n, t in known.dtypes}
