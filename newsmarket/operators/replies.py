@@ -89,7 +89,9 @@ def sanitize_ma(reply: Column, kinds: list[str], fintechs: list[str], sectors: l
 
 
 def combine_passes(replies: DataFrame) -> DataFrame:
-    """guid, ner, ma, errors: the two passes of an item side by side and how many of them failed."""
+    """guid, ner, ma, ner_reply, ma_reply, errors: the two passes of an item side by side, parsed, and how many of them failed."""
     out = replies.groupBy("guid").agg(*[F.max(F.when(F.col("pass") == p, F.col("reply_text"))).alias(p) for p in ("ner", "ma")])
-    failed = [parse(F.col(p)).isNull().cast("int") for p in ("ner", "ma")]
-    return out.withColumn("errors", failed[0] + failed[1])
+    # Exploded, so a filter on the errors finds the replies parsed and does not parse them once more.
+    parsed = F.explode(F.array(F.struct(parse(F.col("ner")).alias("ner_reply"), parse(F.col("ma")).alias("ma_reply"))))
+    failed = [F.col(p).isNull().cast("int") for p in ("ner_reply", "ma_reply")]
+    return out.select("*", parsed.alias("_p")).select("guid", "ner", "ma", "_p.*").withColumn("errors", failed[0] + failed[1])

@@ -12,6 +12,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsmarket.functions.text import bound
 
 #: Rows that a block of queries is multiplied with at once, which bounds a task's memory.
 ROWS = 1000
@@ -21,7 +22,8 @@ def normalised(v: Column) -> Column:
     """Unit length as array<double>; a zero vector stays as it is."""
     d = v.cast("array<double>")
     norm = F.sqrt(F.aggregate(d, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(d, lambda x: x / F.when(norm == 0, F.lit(1.0)).otherwise(norm))
+    # The norm is bound, or each element would measure it anew.
+    return bound(norm, lambda n: F.transform(d, lambda x: x / F.when(n == 0, F.lit(1.0)).otherwise(n)))
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -348,8 +348,8 @@ def enriched_assertions(spark, d):
 
 def _enriched(spark, d):
     r = replies.combine_passes(_replies(spark, d).withColumnRenamed("doc_id", "guid")).where("errors < 2")
-    ner = replies.sanitize_ner(replies.parse(F.col("ner")), ["GFNORTE", "WALMEX"], ["banks", "retail"])
-    ma = replies.sanitize_ma(replies.parse(F.col("ma")), ["merger", "acquisition", "none"], ["Clip", "Kueski"], ["banks"], F.lit(None).cast("string"))
+    ner = replies.sanitize_ner(F.col("ner_reply"), ["GFNORTE", "WALMEX"], ["banks", "retail"])
+    ma = replies.sanitize_ma(F.col("ma_reply"), ["merger", "acquisition", "none"], ["Clip", "Kueski"], ["banks"], F.lit(None).cast("string"))
     return r.select("guid", ner.alias("n"), ma.alias("m")).select("guid", "n.*", "m.*")
 
 

@@ -37,13 +37,13 @@ WHERE CAST(extract(dow FROM session_date) AS INT) NOT IN ({weekend}) AND CAST(se
     + ", ".join(f"'{d}'" for d in HOLIDAYS)
     + ")",
     "news_raw": """
-SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN 'other_feed' ELSE source END AS source, split_part(text, '.', 1) AS title, text AS content,
+SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN 'other_feed' ELSE source END AS source, {title} AS title, text AS content,
   CASE WHEN doc_id % 40 = 3 THEN '  ' WHEN doc_id % 40 = 4 THEN 'ftp:/broken' ELSE concat('https://', source, '.example.org/', CAST(doc_id AS STRING)) END AS url,
   CASE WHEN doc_id % 60 = 11 THEN 'yesterday' WHEN doc_id % 60 = 12 THEN '31/07/2026'
     ELSE concat(CAST(DATE '1995-01-01' + CAST(floor((doc_id * 37 % 57000) / 24.0) AS INT) AS STRING), 'T', lpad(CAST((doc_id * 37 % 57000) % 24 AS STRING), 2, '0'), ':00:00') END AS published_at
 FROM {documents}""",
     "news": """
-SELECT doc_id, CAST(doc_id AS STRING) AS guid, source, split_part(text, '.', 1) AS title, text AS content,
+SELECT doc_id, CAST(doc_id AS STRING) AS guid, source, {title} AS title, text AS content,
   CAST(DATE '1995-01-01' + CAST(floor((doc_id * 37 % 57000) / 24.0) AS INT) AS TIMESTAMP) + make_interval({hours}) AS published_at,
   CASE WHEN doc_id % 3 = 0 THEN 'negative' WHEN doc_id % 3 = 1 THEN 'positive' ELSE 'neutral' END AS sentiment,
   CASE WHEN doc_id % 5 = 0 THEN '1-URGENT' WHEN doc_id % 5 = 1 THEN '2-HIGH' WHEN doc_id % 5 = 2 THEN 'ALL' END AS model_ticker,
@@ -53,8 +53,8 @@ SELECT doc_id, CAST(doc_id AS STRING) AS guid, source, split_part(text, '.', 1)
 FROM {documents}""",
 }
 # Words of the two engines for the same thing.
-_SPARK = {"weekend": "1, 7", "hours": "0, 0, 0, 0, CAST((doc_id * 37 % 57000) % 24 AS INT)"}
-_ORACLE = {"weekend": "0, 6", "hours": "hours := CAST((doc_id * 37 % 57000) % 24 AS INT)"}
+_SPARK = {"weekend": "1, 7", "title": "substring_index(text, '.', 1)", "hours": "0, 0, 0, 0, CAST((doc_id * 37 % 57000) % 24 AS INT)"}
+_ORACLE = {"weekend": "0, 6", "title": "split_part(text, '.', 1)", "hours": "hours := CAST((doc_id * 37 % 57000) % 24 AS INT)"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -485,3 +485,22 @@ def test_stream_state_needs_no_python(spark, tmp_path):
     assert got.pop("published_ts") == dt.datetime(2026, 1, 1)
     assert got == {"guid": "g", "source": "se", "arrived": 1, "payload": "e", "rejected_at": 2, "first_rejected_at": 1, "times": 3, "reason": "BAD", "detail": "bad", "rejected": "d"}
     assert {(c.split()[0], c.split()[1]) for c in incremental._KNOWN.split(", ")} >= {(n, t.replace("bigint", "long")) for n, t in known.dtypes}
+
+
+def _plan(df, part="analyzed"):
+    return getattr(df._jdf.queryExecution(), part)().toString()
+
+
+def test_norms_are_measured_once(spark):
+    df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), (None,)], "v array<double>").select(vectors.normalised(F.col("v")).alias("u"))
+    assert [r["u"] for r in df.collect()] == [[0.6, 0.8], [0.0, 0.0], None]
+    assert _plan(df).count("aggregate(") == 1
+
+
+def test_replies_are_parsed_once_for_their_errors_and_fields(spark):
+    rows = [(1, "ner", '{"sentimiento": "positive", "empresas": [ACME]}'), (1, "ma", "no json"), (2, "ner", "no"), (2, "ma", "no"), (3, "ma", "{}")]
+    both = replies.combine_passes(spark.createDataFrame(rows, "guid long, pass string, reply_text string"))
+    out = both.where("errors < 2").select("guid", "errors", replies.text(F.col("ner_reply"), "sentimiento").alias("s"), replies.texts(F.col("ner_reply"), "empresas").alias("e"))
+    assert [tuple(r) for r in out.orderBy("guid").collect()] == [(1, 1, "positive", ["ACME"]), (3, 1, None, None)]
+    # Two replies, each as it is and repaired, although a filter asks for their errors.
+    assert _plan(out, "optimizedPlan").count("parseJson(") == 4
