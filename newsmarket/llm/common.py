@@ -24,9 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
-    """Write a table and read it back: lineage ends here, and a lost executor costs no rerun."""
-    df.write.mode("overwrite").option("compression", codec).parquet(path)
+def stored(df: DataFrame, path: str, codec: str = "snappy", **options: str) -> DataFrame:
+    """Write a table and read it back: lineage ends here, and a lost executor costs no rerun. options are the writer's."""
+    df.write.mode("overwrite").options(compression=codec, **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,6 +11,9 @@ coordinates. Units beyond the head are known by a hash, and a Bloom filter of ``
 out most of those that are not frequent; it only spares work, as counts are filtered at the end.
 So what is broadcast has a fixed bound whatever the size of the corpus: 8 bytes for each unit of
 the head and the filter, at each level.
+
+Encoded texts lie in short rows, since readers hold 4096 rows of a table at once. A text is cut
+anywhere; the next row's first units are repeated, and pairs that start there count in the next row.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ NO_LANG = "und"
 HEAD, TILE, BITS = 1 << 17, 1 << 10, 1 << 26
 #: Pairs counted at once in a task, and words that a task holds at once.
 CHUNK, WORDS_HELD = 1 << 20, 100_000
-#: Units in a row of the encoded texts.
-ROW = 1 << 15
+#: Units in a row of the encoded texts, without the next row's; units that a task works on at once; MB of an Arrow batch to a task and rows of one with counts from it; MB of a row group of encoded texts.
+ROW, UNITS, BATCH_MB, BATCH, GROUP_MB = 1 << 10, 1 << 17, 4, 1 << 16, 16
 #: A tile with so many pairs in a chunk is counted densely.
 DENSE = TILE * TILE // 8
 _SIDE = HEAD // TILE
@@ -96,22 +99,29 @@ class Codes:
         return out
 
 
-def tile_counts(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """left, right, count of distinct pairs of codes."""
-    head = (left < HEAD) & (right < HEAD)
-    a, b = left[head], right[head]
-    tile = ((a // TILE) * _SIDE + b // TILE).astype(np.uint16)
-    cell = ((a % TILE) * TILE + b % TILE).astype(np.int32)
+def _keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Tile and cell of pairs of ranks in the head, as one number."""
+    tile = (left // TILE) * _SIDE + right // TILE
+    return tile * (TILE * TILE) + (left % TILE) * TILE + right % TILE
+
+
+def _key_counts(keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    tile = (keys // (TILE * TILE)).astype(np.uint16)
     sizes = np.bincount(tile, minlength=_SIDE * _SIDE)
     for t in np.flatnonzero(sizes >= DENSE):
-        counts = np.bincount(cell[tile == t], minlength=TILE * TILE)
+        counts = np.bincount(keys[tile == t] % (TILE * TILE), minlength=TILE * TILE)
         found = np.flatnonzero(counts)
         yield (t // _SIDE) * TILE + found // TILE, (t % _SIDE) * TILE + found % TILE, counts[found]
-    sparse = sizes[tile] < DENSE
-    found, counts = np.unique(tile[sparse].astype(np.int64) * (TILE * TILE) + cell[sparse], return_counts=True)
+    found = keys[(sizes < DENSE)[tile]]
+    del tile
+    found.sort()
+    first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.empty(0, np.int64)
+    counts, found = np.diff(first, append=len(found)), found[first]
     t, c = found // (TILE * TILE), found % (TILE * TILE)
     yield (t // _SIDE) * TILE + c // TILE, (t % _SIDE) * TILE + c % TILE, counts
-    a, b = left[~head], right[~head]
+
+
+def _far_counts(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     if len(a):
         order = np.lexsort((b, a))
         a, b = a[order], b[order]
@@ -119,6 +129,13 @@ def tile_counts(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarra
         yield a[first], b[first], np.diff(np.concatenate([first, [len(a)]]))
 
 
+def tile_counts(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """left, right, count of distinct pairs of codes."""
+    head = (left < HEAD) & (right < HEAD)
+    yield from _key_counts(_keys(left[head], right[head]))
+    yield from _far_counts(left[~head], right[~head])
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, Counter] = {}
 
@@ -153,14 +170,17 @@ class _WordCodes(dict):
         return out[out != _NOTHING]
 
 
-def _encode(batches: Iterator[pa.RecordBatch], codes: Broadcast) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], codes: Broadcast, longest: int = LONGEST) -> Iterator[pa.RecordBatch]:
+    """Rows of ROW units and the longest - 1 after them; if fewer come after, the row ends with a break."""
     of: dict[str, _WordCodes] = {}
     units, n = [], 0
 
-    def out() -> pa.RecordBatch:
-        row = pa.array([np.concatenate(units).astype(np.int64).tobytes()], pa.binary())
+    def out() -> Iterator[pa.RecordBatch]:
+        held = np.concatenate(units).astype(np.int64)
         units.clear()
-        return pa.RecordBatch.from_arrays([row], ["units"])
+        for at in range(0, len(held), UNITS):
+            rows = [held[i : i + ROW + longest - 1].tobytes() for i in range(at, min(at + UNITS, len(held)), ROW)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["units"])
 
     for batch in batches:
         for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -170,36 +190,48 @@ def _encode(batches: Iterator[pa.RecordBatch], codes: Broadcast) -> Iterator[pa.
                 of[lang] = _WordCodes(codes.value, lang)
             units += [of[lang].units(split_words(text.as_py())), [_BREAK]]
             n += len(units[-2]) + 1
-            if n >= ROW:
-                yield out()
+            if n >= UNITS:
+                yield from out()
                 n = 0
     if units:
-        yield out()
+        yield from out()
+
+
+def _row_pairs(rows: list[np.ndarray], codes: list[Broadcast]) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbours in encoded rows, but for those that the next row has too."""
+    units, own = np.concatenate(rows), np.concatenate([np.arange(len(row)) < ROW for row in rows])
+    for c in codes:
+        units = c.value.joined(units)
+    both = (units[:-1] >= 0) & (units[1:] >= 0) & own[: max(len(units) - 1, 0)]
+    return units[:-1][both], units[1:][both]
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch], codes: list[Broadcast]) -> Iterator[pa.RecordBatch]:
     """Counts of neighbours among the units that the codes of the levels so far make of the words."""
-    left, right, n = [], [], 0
+    keys, left, right, n = [], [], [], 0
 
     def out() -> Iterator[pa.RecordBatch]:
-        for found in tile_counts(np.concatenate(left), np.concatenate(right)):
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in found], ["left", "right", "c"])
-        left.clear()
-        right.clear()
+        near, a, b = np.concatenate(keys), np.concatenate(left), np.concatenate(right)
+        for held in (keys, left, right):
+            held.clear()
+        for counts in (_key_counts(near), _far_counts(a, b)):
+            for found in counts:
+                for at in range(0, len(found[0]), BATCH):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[at : at + BATCH].astype(np.int64)) for x in found], ["left", "right", "c"])
 
     for batch in batches:
-        for row in batch.column(0):
-            units = np.frombuffer(row.as_py(), np.int64)
-            for c in codes:
-                units = c.value.joined(units)
-            both = (units[:-1] >= 0) & (units[1:] >= 0)
-            left.append(units[:-1][both])
-            right.append(units[1:][both])
-            n += int(both.sum())
+        column = batch.column(0)
+        for at in range(0, len(column), UNITS // ROW):
+            a, b = _row_pairs([np.frombuffer(row.as_py(), np.int64) for row in column.slice(at, UNITS // ROW)], codes)
+            head = (a < HEAD) & (b < HEAD)
+            keys.append(_keys(a[head], b[head]))
+            left.append(a[~head])
+            right.append(b[~head])
+            n += len(a)
             if n >= CHUNK:
                 yield from out()
                 n = 0
-    if left:
+    if keys:
         yield from out()
 
 
@@ -256,7 +288,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     if longest < 2 or least < 1 or not 0 < head <= HEAD:
         raise ValueError("phrases have two words or more and occur once at least; the head has up to HEAD units")
     spark, path = docs.sparkSession, shared_dir(docs.sparkSession)
-    small_batches(spark)
+    small_batches(spark, mb=BATCH_MB)
     texts = docs.select(F.col(text_col).cast("binary").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"))
     words = texts.mapInArrow(_count_words, "lang string, word binary, c long").groupBy("lang", "word").agg(F.sum("c").alias("f"))
     words = stored(words.select("lang", F.col("word").cast("string").alias("phrase"), "f"), f"{path}/words")
@@ -264,7 +296,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     frequent = words.where(F.col("f") >= least).withColumn("h", F.xxhash64("lang", "phrase"))
     codes = [_codes_of(frequent, head)]
     first = codes[0]
-    encoded = stored(texts.mapInArrow(lambda batches: _encode(batches, first), "units binary"), f"{path}/encoded")
+    encoded = stored(texts.mapInArrow(lambda batches: _encode(batches, first, longest), "units binary"), f"{path}/encoded", codec="zstd", **{"parquet.block.size": str(GROUP_MB << 20)})
     units = _with_codes(frequent, first).select("code", "lang", "phrase", "f", F.array("f").alias("first"), F.array("f").alias("last"), F.col("phrase").alias("end"))
     units = stored(units, f"{path}/units1")
     levels = []

@@ -84,6 +84,36 @@ def test_tiles_dense_and_sparse():
     assert got == Counter(zip(left.tolist(), right.tolist(), strict=True))
 
 
+class Held:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_phrase_batches_are_bounded(monkeypatch):
+    """However long the texts, rows of encoded texts and batches of counts have a fixed size, and no pair is lost or counted twice at a cut."""
+    monkeypatch.setattr(phrases, "BATCH", 100, raising=False)
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 40, 200_000)
+    texts = [" ".join(f"w{w}" for w in words), "w1 w2", "", *(" ".join(["w3"] * n) for n in range(1020, 1032))]
+    seed = phrases.word_hash(b"en", 42)
+    hashes = np.array([phrases.word_hash(b"w%d" % w, seed) for w in range(40)])
+    pairs = np.array([(a, b) for a in range(40) for b in range(40)])
+    codes = [Held(phrases.Codes(hashes, None)), Held(phrases.Codes(phrases.pair_hash(pairs[:, 0], pairs[:, 1]), None))]
+    batch = phrases.pa.RecordBatch.from_pydict({"text": [t.encode() for t in texts], "lang": ["en"] * len(texts)})
+    encoded = list(phrases._encode(iter([batch]), codes[0]))
+    assert max(len(row.as_py()) for b in encoded for row in b.column(0)) <= 8 * (1024 + 3)
+    ids = [np.array([int(w[1:]) for w in t.split()], np.int64) for t in texts]
+    for so_far, units in (([], ids), (codes[1:], [x[:-1] * 40 + x[1:] for x in ids])):
+        got, want = Counter(), Counter()
+        for b in phrases._count_pairs(iter(encoded), so_far):
+            assert b.num_rows <= 100
+            for left, right, c in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                got[left, right] += c
+        for x in units:
+            want.update(zip(x[:-1].tolist(), x[1:].tolist(), strict=True))
+        assert got == want
+
+
 # Spelling variants
 
 
